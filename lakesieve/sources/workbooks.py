@@ -1,0 +1,144 @@
+"""Spreadsheet source: a folder of ``.xlsx`` workbooks, read in parallel.
+
+A workbook is one compressed document and cannot be split, so one task reads
+one workbook; its size is bounded by the format (1,048,576 rows a sheet).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import io
+import re
+import zipfile
+from collections.abc import Iterator
+from xml.etree import ElementTree
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .files import NULL_TOKENS, _typed, infer_types
+
+MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+# Built-in number formats that show a date or a time.
+DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+
+CELLS = "path string, line long, cells map<string,string>"
+
+
+def _xml(book: zipfile.ZipFile, name: str) -> ElementTree.Element | None:
+    return ElementTree.fromstring(book.read(name)) if name in book.namelist() else None
+
+
+def _text(element: ElementTree.Element) -> str:
+    return "".join(t.text or "" for t in element.iter(f"{MAIN}t"))
+
+
+def _sheet_file(book: zipfile.ZipFile, sheet: str | int) -> str:
+    sheets = list(_xml(book, "xl/workbook.xml").iter(f"{MAIN}sheet"))
+    if isinstance(sheet, int):
+        chosen = sheets[sheet]
+    else:
+        chosen = next(s for s in sheets if s.get("name") == sheet)
+    links = _xml(book, "xl/_rels/workbook.xml.rels")
+    target = next(r.get("Target") for r in links if r.get("Id") == chosen.get(RELATION))
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Cell styles that show a date."""
+    styles = _xml(book, "xl/styles.xml")
+    if styles is None:
+        return set()
+    dated = set(DATE_FORMATS)
+    for custom in styles.iter(f"{MAIN}numFmt"):
+        code = re.sub(r'"[^"]*"|\[[^\]]*\]', "", custom.get("formatCode", ""))
+        if re.search(r"[ymdhs]", code, re.IGNORECASE):
+            dated.add(int(custom.get("numFmtId")))
+    formats = styles.find(f"{MAIN}cellXfs")
+    found = [] if formats is None else list(formats)
+    return {i for i, f in enumerate(found) if int(f.get("numFmtId", 0)) in dated}
+
+
+def _value(cell: ElementTree.Element, shared: list[str], dated: set[int]) -> str | None:
+    kind, raw = cell.get("t", "n"), cell.findtext(f"{MAIN}v")
+    if kind == "inlineStr":
+        return _text(cell)
+    if raw is None or kind == "e":
+        return None
+    if kind == "s":
+        return shared[int(raw)]
+    if kind == "b":
+        return "true" if raw == "1" else "false"
+    if kind == "n" and int(cell.get("s", 0)) in dated:
+        return str(dt.datetime(1899, 12, 30) + dt.timedelta(days=float(raw)))
+    return raw
+
+
+def workbook_rows(content: bytes, sheet: str | int) -> Iterator[list[str | None]]:
+    """The rows of one sheet as texts, in sheet order, gaps as None."""
+    book = zipfile.ZipFile(io.BytesIO(content))
+    strings = _xml(book, "xl/sharedStrings.xml")
+    shared = [] if strings is None else [_text(s) for s in strings.iter(f"{MAIN}si")]
+    dated = _date_styles(book)
+    with book.open(_sheet_file(book, sheet)) as stream:
+        for _, element in ElementTree.iterparse(stream):
+            if element.tag != f"{MAIN}row":
+                continue
+            row: list[str | None] = []
+            for cell in element.iter(f"{MAIN}c"):
+                letters = re.match(r"[A-Z]*", cell.get("r", "")).group()
+                place = 0
+                for letter in letters:
+                    place = place * 26 + ord(letter) - 64
+                row += [None] * (place - 1 - len(row))
+                row.append(_value(cell, shared, dated))
+            yield row
+            element.clear()
+
+
+def parse_workbooks(
+    files: DataFrame, sheet_name: str | int = 0, schema: str | None = None
+) -> DataFrame:
+    """Tables in ``(path, content)`` workbooks, united by column name.
+
+    The first row names the columns. Without a ``schema`` the columns are the
+    union of all headers and types are inferred.
+    """
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                rows = workbook_rows(content, sheet_name)
+                header = [name or f"Unnamed: {i}" for i, name in enumerate(next(rows, []))]
+                chunk: list[tuple] = []
+                for line, row in enumerate(rows):
+                    chunk.append((path, line, dict(zip(header, row))))
+                    if len(chunk) == 10_000:
+                        yield pd.DataFrame(chunk, columns=["path", "line", "cells"])
+                        chunk = []
+                yield pd.DataFrame(chunk, columns=["path", "line", "cells"])
+
+    found = files.select("path", "content").mapInPandas(cells, CELLS)
+    if schema is None:
+        names = found.select(F.explode(F.map_keys("cells")).alias("name")).distinct()
+        # As many names as there are columns, at most 16,384 by the format.
+        headers = sorted(r["name"] for r in names.collect())
+    else:
+        from pyspark.sql.types import StructType
+
+        headers = StructType.fromDDL(schema).names
+    values = {h: F.col("cells").getItem(h) for h in headers}
+    table = found.select(
+        *[F.when(~v.isin(NULL_TOKENS), v).alias(h) for h, v in values.items()]
+    )
+    return infer_types(table) if schema is None else _typed(table, schema)
+
+
+def read_workbooks(
+    spark: SparkSession, path: str, sheet_name: str | int = 0, schema: str | None = None
+) -> DataFrame:
+    files = spark.read.format("binaryFile").load(path)
+    return parse_workbooks(files, sheet_name, schema)
