@@ -66,7 +66,7 @@ def quality_alerts(metrics: DataFrame, scores: DataFrame, pipeline: Column) -> D
         F.lit("Pipeline: "), pipeline,
         F.lit("\nStage: "), F.col("stage_name"),
         F.lit("\nRun: "), F.col("run_id"),
-        F.lit("\nQuality score: "), F.format_number(F.col("score").cast("double") * 100, "0.00"),
+        F.lit("\nQuality score: "), F.format_string("%.2f", F.col("score").cast("double") * 100),
         F.lit("%\nFailed expectations ("), F.col("failures").cast("string"),
         F.lit("):\n"), F.array_join("lines", "\n"),
     )

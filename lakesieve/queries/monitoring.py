@@ -360,8 +360,8 @@ def _snapshot_case(build: str, entry: str) -> str:
     p as (select *, lag(entries) over w as old_entries, lag(names) over w as old_names
       from s window w as (partition by dataset order by recorded_at, k))
     select k, dataset, case when old_entries is null then 'initial'
-        when len(list_filter(names, x -> not list_contains(old_names, x))) > 0 then 'added'
-        when len(list_filter(old_names, x -> not list_contains(names, x))) > 0 then 'removed'
+        when len(list_intersect(names, old_names)) < len(names) then 'added'
+        when len(list_intersect(names, old_names)) < len(old_names) then 'removed'
         when entries <> old_entries then 'changed' else 'unchanged' end as change_type
     from p
 """)
@@ -412,13 +412,13 @@ def run_failure_alerts(spark, sf):
 
 
 GREEDY = """
-    with recursive ordered as (select event_id, {key} as key, epoch_us(ts) as at,
+    with recursive ordered as (select event_id, {key} as key, epoch_us(ts) as us,
         row_number() over (partition by {key} order by ts, event_id) as i from events),
     sent as (
-      select key, i, at from ordered where i = 1
+      select key, i, us from ordered where i = 1
       union all
-      select s.key, n.i, n.at from sent s, lateral (
-        select o.i, o.at from ordered o where o.key = s.key and o.at > s.at + {minutes} * 60000000
+      select s.key, n.i, n.us from sent s, lateral (
+        select o.i, o.us from ordered o where o.key = s.key and o.us > s.us + {minutes} * 60000000::bigint
         order by o.i limit 1) n)
     select o.event_id, s.i is null as suppressed from ordered o left join sent s on o.key = s.key and o.i = s.i
 """

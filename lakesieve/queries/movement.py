@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rules import RuleSet
 from ..plans.stage import Stage
-from ..session import fresh_path
+from ..session import fresh_path, small_frame
 from ..sinks.tables import Table
 from ..sources import Source, api_pages, extract
 from ..sources.files import read_csv, read_json, watermark
@@ -242,8 +242,8 @@ def load_counts(spark, sf):
         target.load(_orders(spark, sf, OLD), "full"),
         target.load(_orders(spark, sf, NEW), "incremental", "k"),
     ]
-    rows = [(c.strategy, c.rows_loaded) for c in counts]
-    return spark.createDataFrame(rows, "strategy string, rows_loaded bigint")
+    rows = [{"strategy": c.strategy, "rows_loaded": c.rows_loaded} for c in counts]
+    return small_frame(spark, rows, "strategy string, rows_loaded bigint")
 
 
 # -- streaming ------------------------------------------------------------------------------

@@ -291,11 +291,11 @@ LINE_RULES = RuleSet.of("line_items", [
 ], dataset="lineitem")
 
 MARKED = f"""
-    select *, list_filter([
+    select *, concat_ws(',',
       case when rn > 1 then 'line_key' end,
       case when l_quantity < 1 or l_quantity > 45 then 'quantity' end,
       case when l_returnflag not in ('A', 'N') then 'return_flag' end,
-      case when not l_discount <= 0.09 then 'discount' end], x -> x is not null) as broken
+      case when not l_discount <= 0.09 then 'discount' end) as broken
     from (select *, row_number() over (
         partition by {", ".join(KEY)} order by {", ".join(ORDER)}) as rn from lineitem)
 """
@@ -344,13 +344,13 @@ def quality_score(spark, sf):
     return score_rows(validate(table(spark, sf, "lineitem"), LINE_RULES).to_df(spark))
 
 
-@query(f"select {LINES} from ({MARKED}) where len(broken) = 0")
+@query(f"select {LINES} from ({MARKED}) where broken = ''")
 def split_valid(spark, sf):
     return split_lines(spark, sf).valid.select(*LINE_COLUMNS)
 
 
 @query(f"""
-    select {LINES}, array_to_string(broken, ',') as broken from ({MARKED}) where len(broken) > 0
+    select {LINES}, broken from ({MARKED}) where broken <> ''
 """)
 def split_quarantined(spark, sf):
     broken = F.concat_ws(",", "_violations").alias("broken")
@@ -358,7 +358,8 @@ def split_quarantined(spark, sf):
 
 
 @query(f"""
-    select unnest(broken) as expectation_name, count(*) as violations from ({MARKED}) group by 1
+    select unnest(string_split(broken, ',')) as expectation_name, count(*) as violations
+    from ({MARKED}) where broken <> '' group by 1
 """)
 def violations_by_rule(spark, sf):
     return count_violations(split_lines(spark, sf).annotated)
@@ -375,10 +376,10 @@ def _quarantined(spark: SparkSession, sf: str) -> str:
 
 
 @query(f"""
-    select {LINES}, array_to_string(broken, ',') as _quarantine_reason,
+    select {LINES}, broken as _quarantine_reason,
       epoch_us(timestamp '{AT}') as quarantined_us, 'retail' as _pipeline, 'lines' as _stage,
       'run-1' as _run_id
-    from ({MARKED}) where len(broken) > 0
+    from ({MARKED}) where broken <> ''
 """)
 def quarantine_rows(spark, sf):
     rows = spark.read.parquet(_quarantined(spark, sf))
@@ -388,7 +389,7 @@ def quarantine_rows(spark, sf):
 
 @query(f"""
     select 'retail' as pipeline_name, 'lines' as stage_name, 'run-1' as run_id, count(*) as row_count
-    from ({MARKED}) where len(broken) > 0
+    from ({MARKED}) where broken <> ''
 """)
 def quarantine_summary(spark, sf):
     return summarise_quarantine(spark, _quarantined(spark, sf))
@@ -398,7 +399,7 @@ SAMPLE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quant
 
 
 @query(f"""
-    select {LINES} from ({MARKED}) where len(broken) > 0 order by {", ".join(SAMPLE_ORDER)} limit 200
+    select {LINES} from ({MARKED}) where broken <> '' order by {", ".join(SAMPLE_ORDER)} limit 200
 """)
 def quarantine_sample(spark, sf):
     root = _quarantined(spark, sf)
@@ -432,7 +433,7 @@ BY_FLAG = [
 @query(f"""
     select l_returnflag, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue,
       sum(l_quantity) as l_quantity_sum, count(l_quantity) as l_quantity_count
-    from ({MARKED}) where len(broken) = 0 group by l_returnflag
+    from ({MARKED}) where broken = '' group by l_returnflag
 """)
 def stage_end_to_end(spark, sf):
     """Check line items, quarantine bad ones, derive revenue, aggregate and load."""
@@ -461,8 +462,8 @@ def quality_metrics_rows(spark, sf):
 @query(f"""
     select 'run-1' as run_id, 'lines' as stage_name, 'success' as status, 'full' as load_strategy,
       'lines' as target_table, count(*) as rows_extracted,
-      count(*) filter (where len(broken) = 0) as rows_loaded,
-      count(*) filter (where len(broken) > 0) as rows_quarantined
+      count(*) filter (where broken = '') as rows_loaded,
+      count(*) filter (where broken <> '') as rows_quarantined
     from ({MARKED})
 """)
 def stage_rows(spark, sf):

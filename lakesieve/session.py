@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +55,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/lakesieve/{label}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: str) -> DataFrame:
+    """A few driver-made rows as a DataFrame, without starting a Python worker.
+
+    Columns a row leaves out are null.
+    """
+    text = json.dumps([dict(row) for row in rows], default=str)
+    parsed = F.from_json(F.lit(text), f"array<struct<{schema}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(parsed))
+
+
 def materialise(df: DataFrame, label: str, row_id: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

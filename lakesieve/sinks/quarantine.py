@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import column
 from ..operators.split import VIOLATIONS
+from ..session import small_frame
 from .tables import counted_write
 
 REASON, AT = "_quarantine_reason", "_quarantined_at"
@@ -67,7 +68,7 @@ def quarantine_summary(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
-        stored = spark.createDataFrame([], schema)
+        stored = small_frame(spark, [], schema)
     names = [F.col(p).alias(n) for p, n in zip(PARTITIONS, ("pipeline_name", "stage_name", "run_id"))]
     return stored.groupBy(*names).agg(F.count("*").alias("row_count"))
 

@@ -11,6 +11,7 @@ what that version did before, so a retried or replayed load is not applied twice
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import column
-from ..session import materialise
+from ..session import materialise, small_frame
 
 MANIFEST_SCHEMA = (
     "seq bigint, version string, strategy string, rows bigint, "
@@ -84,14 +85,14 @@ class Table:
 
     def _segments(self, names, schema: T.StructType) -> DataFrame:
         if not names:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])
 
     def read(self) -> DataFrame:
         state = self.state()
         if state is None:
             raise FileNotFoundError(f"{self.path} was never loaded")
-        return self._segments(state["segments"], T.StructType.fromJson(_json(state["columns"])))
+        return self._segments(state["segments"], _stored_schema(state))
 
     def load(
         self,
@@ -107,7 +108,7 @@ class Table:
         version = version or uuid.uuid4().hex
         base = self.state(without_version=version)
         fresh = strategy == "full" or base is None
-        schema = df.schema if fresh else T.StructType.fromJson(_json(base["columns"]))
+        schema = df.schema if fresh else _stored_schema(base)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         if not fresh:
             df = self._fitted(df, schema)
@@ -149,15 +150,13 @@ class Table:
 
     def _publish(self, base, version, strategy, rows, segments, schema) -> None:
         seq = 0 if base is None else base["seq"] + 1
-        entry = [(seq, version, strategy, rows, segments, schema.json())]
-        manifest = self.spark.createDataFrame(entry, MANIFEST_SCHEMA).coalesce(1)
-        manifest.write.mode("overwrite").json(f"{self.path}/_manifest/{version}")
+        entry = {"seq": seq, "version": version, "strategy": strategy, "rows": rows,
+                 "segments": segments, "columns": schema.json()}
+        small_frame(self.spark, [entry], MANIFEST_SCHEMA).write.mode("overwrite").json(f"{self.path}/_manifest/{version}")
 
 
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
+def _stored_schema(state: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(state["columns"]))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, strategy: str = "full", **options: str) -> int:

@@ -92,9 +92,12 @@ def _typed(df: DataFrame, schema: str | T.StructType) -> DataFrame:
 def files_by_header(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
     """The files under ``path`` by their first line."""
     lines = spark.read.option("encoding", encoding).text(path)
-    first = lines.where(F.col("_metadata.file_block_start") == 0).groupBy(
-        F.col("_metadata.file_path").alias("file")
-    ).agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+    placed = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    first = placed.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     headers: dict[str, list[str]] = {}
     for file, header in first.orderBy("file").collect():
         headers.setdefault(header, []).append(file)
