@@ -114,26 +114,54 @@ def run_failure_alerts(runs: DataFrame, stages: DataFrame) -> DataFrame:
 # -- suppression ----------------------------------------------------------------------------
 #
 # An alert is sent if no alert of its key was *sent* in the minutes before it. That makes
-# each decision depend on the one before, along the whole history of a key. To still spread
-# a busy key over many tasks, its history is cut into blocks of time, and each block is
-# reduced to a small function: last alert sent before the block -> last one sent in it.
-# Only these functions are chained per key; every block is then decided by itself.
-
-#: Length of a block, in suppression windows.
+# each decision depend on the one before, along the whole history of a key. Keys with few
+# alerts are folded one by one inside the JVM. The history of a busy key is cut into blocks
+# of time, so that many tasks share it: each block is first reduced to a small function
+# (last alert sent before the block -> last one sent in it), only these functions are
+# chained per key, and then every block is decided by itself.
+
+#: Instants of one key that are folded as a single array.
+FOLD_ROWS = 4096
+#: Instants of a busy key that a block holds on average.
+BLOCK_ROWS = 100_000
+#: Shortest block, in suppression windows.
 BLOCK_WINDOWS = 8
 
 
+def _folded(moments: DataFrame, window: int, id_type: str) -> DataFrame:
+    """Sent alerts of keys with a bounded number of instants."""
+    nothing = F.struct(
+        F.lit(None).cast("bigint").alias("last"), F.array().cast(f"array<{id_type}>").alias("ids")
+    )
+
+    def step(state: Column, alert: Column) -> Column:
+        sent = state["last"].isNull() | (alert["_at"] > state["last"] + window)
+        grown = F.struct(
+            alert["_at"].alias("last"),
+            F.concat(state["ids"], F.array(alert["_id"])).alias("ids"),
+        )
+        return F.when(sent, grown).otherwise(state)
+
+    instants = F.sort_array(F.collect_list(F.struct("_at", "_id")))
+    folded = moments.groupBy("_key").agg(instants.alias("instants")).select(
+        F.aggregate("instants", nothing, step)["ids"].alias("ids")
+    )
+    return folded.select(F.explode("ids").alias("_sent"))
+
+
 def _block_function(window: int):
     def reduce_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         name, block = key
         times = np.sort(rows["_at"].to_numpy())
         follow = np.searchsorted(times, times + window, side="right")
-        last = np.arange(len(times))
-        for _ in range(BLOCK_WINDOWS + 1):
-            step = follow[last]
-            last = np.where(step < len(times), step, last)
-        # Only an alert in the block's first window (or the one after) can be sent first.
-        start = block * window * BLOCK_WINDOWS
+        # Follow the chain of sent alerts from every possible first one to its end in the
+        # block, doubling the stride each time.
+        places = np.arange(len(times))
+        last = np.where(follow < len(times), follow, places)
+        while not np.array_equal(last, last[last]):
+            last = last[last]
+        # Only an alert in the block's first window, or the next one, can be sent first.
+        start = rows["_first"].iloc[0] + block * rows["_length"].iloc[0]
         firsts = np.searchsorted(times, start + window, side="left") + 1
         exits, starts = times[last[:firsts]], times[:firsts]
         final = np.append(exits[1:] != exits[:-1], True)
@@ -184,12 +212,31 @@ def _decide(window: int):
     return decide_block
 
 
+def _blockwise(moments: DataFrame, window: int, id_type: str) -> DataFrame:
+    """Sent alerts of busy keys; ``moments`` carry ``_first`` and ``_length``."""
+    block = F.floor((F.col("_at") - F.col("_first")) / F.col("_length"))
+    moments = moments.withColumn("_block", block)
+    reduced = moments.groupBy("_key", "_block").applyInPandas(
+        _block_function(window), "_key string, _block long, _start long, _exit long"
+    )
+    entries = reduced.groupBy("_key").applyInPandas(
+        _chain(window), "_key string, _block long, _before long"
+    )
+    return (
+        moments.join(materialise(entries, "entries"), ["_key", "_block"])
+        .groupBy("_key", "_block")
+        .applyInPandas(_decide(window), f"_sent {id_type}")
+    )
+
+
 def suppress_repeats(
     alerts: DataFrame,
     key: str = "alert_key",
     at: str = "created_at",
     id_column: str = "alert_id",
     minutes: int = SUPPRESSION_MINUTES,
+    fold_rows: int = FOLD_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``suppressed``: an alert of the same key was sent at most ``minutes`` ago.
 
@@ -199,23 +246,30 @@ def suppress_repeats(
     window = minutes * 60_000_000
     micros = epoch_micros(column(at), column_type(alerts, at))
     id_type = column_type(alerts, id_column).simpleString()
-    moments = (
-        alerts.groupBy(column(key).cast("string").alias("_key"), micros.alias("_at"))
-        .agg(F.min(column(id_column)).alias("_id"))
-        .withColumn("_block", F.floor(F.col("_at") / F.lit(window * BLOCK_WINDOWS)))
+    moments = materialise(
+        alerts.groupBy(column(key).cast("string").alias("_key"), micros.alias("_at")).agg(
+            F.min(column(id_column)).alias("_id")
+        ),
+        "moments",
     )
-    moments = materialise(moments, "moments")
-    reduced = moments.groupBy("_key", "_block").applyInPandas(
-        _block_function(window), "_key string, _block long, _start long, _exit long"
+    n, first, span = F.count("*"), F.min("_at"), F.max("_at") - F.min("_at") + 1
+    length = F.greatest(
+        F.lit(window * BLOCK_WINDOWS), F.ceil(span / F.ceil(n / F.lit(block_rows)))
     )
-    entries = reduced.groupBy("_key").applyInPandas(
-        _chain(window), "_key string, _block long, _before long"
-    )
-    sent = (
-        moments.join(entries, ["_key", "_block"])
-        .groupBy("_key", "_block")
-        .applyInPandas(_decide(window), f"_sent {id_type}")
+    busy = materialise(
+        moments.groupBy("_key")
+        .agg(n.alias("_n"), first.alias("_first"), length.cast("bigint").alias("_length"))
+        .where(F.col("_n") > fold_rows)
+        .drop("_n"),
+        "busy-keys",
     )
+    if busy.isEmpty():
+        sent = _folded(moments, window, id_type)
+    else:
+        quiet = moments.join(busy, "_key", "left_anti")
+        sent = _folded(quiet, window, id_type).unionAll(
+            _blockwise(moments.join(busy, "_key"), window, id_type)
+        )
     flagged = alerts.join(materialise(sent, "sent"), column(id_column) == F.col("_sent"), "left")
     return flagged.withColumn("suppressed", F.col("_sent").isNull()).drop("_sent")
 

@@ -444,7 +444,8 @@ def alert_suppression(spark, sf):
 def alert_log_rows(spark, sf):
     df = table(spark, sf, "events").selectExpr("event_id", "event_type", f"{SEVERITY} as severity", "ts")
     flagged = alerts.suppress_repeats(
-        df, key="event_type", at="ts", id_column="event_id", minutes=240
+        df, key="event_type", at="ts", id_column="event_id", minutes=240, fold_rows=1000,
+        block_rows=500,
     )
     rows = alerts.alert_log_rows(flagged, ["email", "slack"])
     return rows.select("event_id", "severity", "suppressed", "channel")
