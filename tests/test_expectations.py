@@ -1,0 +1,176 @@
+"""Single expectations: what they observe, when they hold, and on what base."""
+
+import datetime as dt
+
+import pytest
+
+from lakesieve import RuleSet, validate
+
+
+def check(df, kind, columns=(), **params):
+    rules = RuleSet.of("r", [{"name": "x", "type": kind, "columns": columns, "params": params}])
+    return validate(df, rules).results[0]
+
+
+def test_schema_reports_missing_columns_and_wrong_types(sample):
+    result = check(sample, "schema", columns={}, **{})
+    assert result.success
+    rules = RuleSet.of("r", [{"name": "x", "type": "schema", "params": {
+        "columns": {"id": "int", "absent": "str", "category": "float"}}}])
+    result = validate(sample, rules).results[0]
+    assert not result.success
+    assert result.observed["missing"] == ["absent"]
+    assert list(result.observed["type_mismatches"]) == ["category"]
+
+
+@pytest.mark.parametrize("extra, holds", [(True, True), (False, False)])
+def test_schema_extra_columns(sample, extra, holds):
+    result = check(sample, "schema", ["id", "category"], allow_extra=extra)
+    assert result.success is holds
+    assert result.observed["unexpected"] == ([] if extra else ["amount"])
+
+
+def test_schema_families(frame):
+    df = frame("a int, b float, c boolean, d timestamp, e decimal(10,2)")
+    types = {"a": "integer", "b": "double", "c": "boolean", "d": "date", "e": "decimal(10,2)"}
+    rules = RuleSet.of("r", [{"name": "x", "type": "schema", "params": {"columns": types}}])
+    assert validate(df, rules).success
+
+
+def test_not_null_rate_and_tolerance(sample):
+    result = check(sample, "not_null", ["category"])
+    assert not result.success
+    assert result.observed["violations"] == {"category": 0.2}
+    assert check(sample, "completeness", ["category"], max_null_rate=0.2).success
+    assert not check(sample, "not_null", ["absent"], max_null_rate=0.9).success
+
+
+def test_nan_is_missing(spark, sample):
+    df = sample.selectExpr("if(id = 1, double('nan'), amount) as amount")
+    assert check(df, "not_null", ["amount"]).observed["null_rates"] == {"amount": 0.2}
+    assert check(df, "range", ["amount"], max=2000).success
+
+
+def test_unique_counts_every_copy(duplicated):
+    result = check(duplicated, "unique", ["id"])
+    assert not result.success
+    assert result.observed == {"duplicate_rows": 2}
+    assert result.message == "Found 2 duplicate rows"
+    assert check(duplicated, "unique", ["id", "absent"]).observed == {"missing": ["absent"]}
+
+
+def test_primary_key_needs_its_parameter_to_test_nulls(frame, duplicated):
+    result = check(duplicated, "primary_key", ["id"], primary_key=True)
+    assert result.observed == {"duplicate_rows": 2, "null_key_rows": 1}
+    one_null = frame("id bigint", (1,), (None,))
+    assert check(one_null, "primary_key", ["id"]).success
+    assert not check(one_null, "primary_key", ["id"], primary_key=True).success
+    # Two missing keys are copies of each other.
+    assert check(frame("id bigint", (None,), (None,)), "unique", ["id"]).observed == {
+        "duplicate_rows": 2
+    }
+
+
+def test_range_bounds_are_inclusive_and_either_may_be_absent(sample):
+    assert not check(sample, "range", ["amount"], min=0).success
+    assert check(sample, "range", ["amount"], min=-5, max=1000).success
+    assert check(sample, "range", ["amount"], max=1000).success
+    assert check(sample, "range", ["amount"], min=0, max_violation_rate=0.2).success
+    assert check(sample, "range", ["amount", "absent"], min=-5).observed["absent"] == "missing"
+
+
+def test_range_reads_text_and_skips_what_is_no_number(frame):
+    df = frame("v string", ("5",), ("50",), ("n/a",), (None,), ("1d",), ("0x10",), (" 7 ",))
+    observed = check(df, "range", ["v"], min=6, max=10).observed["v"]
+    assert observed == {"violation_rate": round(2 / 7, 4), "violations": 2}
+
+
+def test_allowed_values_judges_known_values_only(sample):
+    result = check(sample, "allowed_values", ["category"], values=["a", "b"])
+    assert not result.success
+    assert result.observed["category"] == {"violation_rate": 0.25, "unexpected": ["c"]}
+    assert check(sample, "categorical", ["category"], values=["a"], max_violation_rate=0.5).success
+
+
+def test_allowed_values_do_not_mix_types(frame):
+    df = frame("a string, b bigint", ("1", 1), ("x", 2))
+    assert check(df, "allowed_values", ["a"], values=[1, "x"]).observed["a"]["unexpected"] == ["1"]
+    assert check(df, "allowed_values", ["b"], values=["1", 2]).observed["b"]["unexpected"] == ["1"]
+
+
+def test_unexpected_values_are_the_first_twenty_as_text(spark):
+    df = spark.range(100).selectExpr("id")
+    found = check(df, "allowed_values", ["id"], values=[]).observed["id"]["unexpected"]
+    assert found == sorted(str(i) for i in range(100))[:20]
+
+
+def test_outliers_iqr(frame):
+    df = frame("v bigint", *[(i,) for i in [1, 2, 3, 4, 5, 6, 7, 8, 9, 1000]])
+    result = check(df, "outliers", ["v"], method="iqr", max_outlier_rate=0.0)
+    assert result.observed["v"] == {"outlier_rate": 0.1, "outliers": 1}
+    assert not result.success
+    assert check(df, "outliers", ["v"], max_outlier_rate=0.1).success
+
+
+def test_outliers_zscore(frame):
+    df = frame("v bigint, same bigint", *[(10, 1)] * 20, (10000, 1))
+    result = check(df, "outliers", ["v", "same"], method="zscore", max_outlier_rate=0.0)
+    assert result.observed["v"]["outliers"] == 1
+    assert result.observed["same"]["outliers"] == 0
+
+
+def test_outliers_rate_is_over_readable_numbers(frame):
+    df = frame("v string", *[(str(i),) for i in [1, 2, 3, 4, 100]], ("x",), (None,))
+    assert check(df, "outliers", ["v"]).observed["v"]["outlier_rate"] == 0.2
+    assert check(frame("v string", ("x",)), "outliers", ["v"]).observed["v"] == {"outlier_rate": 0.0}
+
+
+def test_freshness(frame):
+    old = frame("ts string", ("2000-01-01",), ("2000-01-02",), ("never",))
+    result = check(old, "freshness", ["ts"])
+    assert not result.success
+    assert result.observed["latest"] == "2000-01-02 00:00:00"
+    at = {"reference": "2000-01-03"}
+    assert check(old, "freshness", ["ts"], **at).success
+    assert check(old, "freshness", ["ts"], **at).observed["age_hours"] == 24.0
+    assert not check(old, "freshness", ["ts"], max_age_hours=23.9, **at).success
+    now = dt.datetime.now(dt.timezone.utc).isoformat()
+    assert check(frame("ts string", (now,)), "freshness", ["ts"]).success
+    # A time in the future is fresh; no time at all is not.
+    assert check(old, "freshness", ["ts"], reference="1999-01-01").success
+    assert not check(frame("ts string", ("never",)), "freshness", ["ts"]).success
+    assert not check(old, "freshness", ["absent"]).success
+
+
+def test_freshness_of_zoneless_times_does_not_depend_on_the_session_zone(spark, frame):
+    df = frame("ts string", ("2000-01-01 00:00:00",)).selectExpr("cast(ts as timestamp_ntz) as ts")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        observed = check(df, "freshness", ["ts"], reference="2000-01-02").observed
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert observed["age_hours"] == 24.0
+
+
+def test_custom_counts_null_as_violation(sample):
+    result = check(sample, "custom", expression="category in ('a', 'b') and amount > 0")
+    assert result.observed["violations"] == 2
+    assert result.observed["violation_rate"] == 0.4
+    assert check(sample, "business_rule", expression="id > 2", max_violation_rate=0.4).success
+    assert not check(sample, "custom").success
+
+
+@pytest.mark.parametrize("expression", ["absent > 1", "id +", "id + 1"])
+def test_custom_that_cannot_be_analysed_fails(sample, expression):
+    result = check(sample, "custom", expression=expression)
+    assert not result.success and result.broken
+    assert "error" in result.observed
+
+
+def test_empty_frame(frame):
+    df = frame("id bigint, c string, ts string")
+    for kind, params in [("not_null", {}), ("unique", {}), ("range", {"min": 0}),
+                         ("allowed_values", {"values": []}), ("outliers", {})]:
+        assert check(df, kind, ["id"], **params).success, kind
+    assert check(df, "custom", expression="id > 0").success
+    assert not check(df, "freshness", ["ts"]).success
