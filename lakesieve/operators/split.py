@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import column
 from ..session import ROW, materialise
 from .rules import RuleSet, ValidationReport
 from .uniqueness import first_of_duplicates, flag_later_copies
@@ -22,21 +25,36 @@ from .validate import compile_row_rules
 
 VIOLATIONS = "_violations"
 
+#: A control character no rule name holds.
+SEPARATOR = "\x01"
+
 
 @dataclass
 class Split:
     """The two sides of a table; ``quarantined`` rows name the rules they break."""
 
-    annotated: DataFrame
+    rows: DataFrame
+    columns: Sequence[str]
+    #: True where a rule is broken, and the names of the broken ones.
+    broken: Column
+    names: Column
     duplicates: dict[tuple[str, ...], DataFrame]
 
     @property
     def valid(self) -> DataFrame:
-        return self.annotated.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+        return self.rows.where(~self.broken).select(*map(column, self.columns))
 
     @property
     def quarantined(self) -> DataFrame:
-        return self.annotated.where(F.size(VIOLATIONS) > 0)
+        return self._named(self.rows.where(self.broken))
+
+    @property
+    def annotated(self) -> DataFrame:
+        """All rows, each with the rules it breaks."""
+        return self._named(self.rows)
+
+    def _named(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*map(column, self.columns), self.names.alias(VIOLATIONS))
 
 
 def find_duplicates(
@@ -44,9 +62,7 @@ def find_duplicates(
 ) -> dict[tuple[str, ...], DataFrame]:
     """First rows of the duplicated keys of every unique rule, written once."""
     keys = {tuple(c.unique_on) for _, c in compile_row_rules(df, rules).values() if c.unique_on}
-    return {
-        k: materialise(first_of_duplicates(df, k, order_by), "duplicates") for k in sorted(keys)
-    }
+    return {k: first_of_duplicates(df, k, order_by) for k in sorted(keys)}
 
 
 def split(
@@ -71,30 +87,39 @@ def split(
         df = materialise(df, "rows", row_id=True)
         compiled = {i: c for i, c in compile_row_rules(df, rules).items() if i in compiled}
     found = dict(duplicates or {})
-    columns = list(df.columns)
+    columns = [c for c in df.columns if keyed or c != ROW]
 
     flags: dict[tuple[str, ...], str] = {}
-    annotated = df
+    flagged = df
     for _, check in compiled.values():
         keys = tuple(check.unique_on)
         if keys and keys not in flags:
             if keys not in found:
-                found[keys] = materialise(first_of_duplicates(df, keys, order_by), "duplicates")
+                found[keys] = first_of_duplicates(df, keys, order_by)
             flags[keys] = f"_later_{len(flags)}"
-            annotated = flag_later_copies(annotated, found[keys], keys, flags[keys])
+            flagged = flag_later_copies(flagged, found[keys], keys, flags[keys])
 
-    marks = []
+    marks: list[tuple[str, Column]] = []
     for rule, check in compiled.values():
         broken = F.lit(False) if check.violation is None else check.violation
         if check.unique_on:
             broken = broken | F.col(flags[tuple(check.unique_on)])
-        marks.append(F.when(broken, F.lit(rule.name)))
-    named = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
-    kept = [c for c in columns if keyed or c != ROW]
-    annotated = annotated.withColumn(VIOLATIONS, named).select(
-        *[F.col(f"`{c}`") for c in kept], VIOLATIONS
-    )
-    return Split(annotated, found)
+        marks.append((rule.name, broken))
+    any_broken = reduce(or_, (broken for _, broken in marks), F.lit(False))
+    return Split(flagged, columns, any_broken, _names(marks, any_broken), found)
+
+
+def _names(marks: Sequence[tuple[str, Column]], any_broken: Column) -> Column:
+    """The broken rules' names as an array.
+
+    Joining the names and cutting them again stays inside generated code, which
+    removing nulls from an array does not.
+    """
+    nothing = F.array().cast("array<string>")
+    if not marks:
+        return nothing
+    joined = F.concat_ws(SEPARATOR, *[F.when(broken, F.lit(name)) for name, broken in marks])
+    return F.when(any_broken, F.split(joined, SEPARATOR)).otherwise(nothing)
 
 
 def violations_by_rule(annotated: DataFrame) -> DataFrame:

@@ -11,16 +11,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import column, grouping_key
-from ..session import ROW
+from ..session import ROW, materialise
 
 FIRST, COPIES = "_first", "_copies"
 
+#: Bounds within which a table is broadcast outright.
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key values that occur more than once, with their number of rows."""
@@ -41,14 +45,36 @@ def order_key(df: DataFrame, order_by: Sequence[str], tie_break: Sequence[str])
 def first_of_duplicates(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """For each duplicated key, the position of its first row.
+    """For each duplicated key, its number of rows and the position of its first row.
 
-    ``df`` carries ``_row``; first means lowest in ``order_by``, then in file order.
+    ``df`` carries ``_row``; first means lowest in ``order_by``, then in file
+    order. The result is written once. The keys are counted first, which moves
+    nothing but keys. When the duplicated ones are few enough to broadcast,
+    positions are then compared among their rows alone.
     """
+    repeated = materialise(duplicate_keys(df, keys), "repeated-keys")
+    candidates = df
+    if fits_broadcast(repeated, keys):
+        marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+        candidates = df.join(F.broadcast(marked), _same_key(df, keys, "_key"), "left_semi")
     first = F.min(order_key(df, order_by, [ROW]))[ROW]
-    grouped = df.groupBy(*[grouping_key(df, k) for k in keys])
+    grouped = candidates.groupBy(*[grouping_key(df, k) for k in keys])
     found = grouped.agg(F.count("*").alias(COPIES), first.alias(FIRST))
-    return found.where(F.col(COPIES) > 1)
+    return materialise(found.where(F.col(COPIES) > 1), "duplicates")
+
+
+def fits_broadcast(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether a written table's columns are small enough to send to every task."""
+    width = reduce(
+        add, (F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in columns)
+    )
+    rows, size = df.agg(F.count("*"), F.sum(width)).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+
+
+def _same_key(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    parts = (grouping_key(df, k).eqNullSafe(F.col(f"{prefix}_{i}")) for i, k in enumerate(keys))
+    return reduce(and_, parts)
 
 
 def flag_later_copies(
@@ -56,18 +82,14 @@ def flag_later_copies(
 ) -> DataFrame:
     """Add ``flag``: the row's key occurs earlier in the table.
 
-    ``firsts`` is the materialised result of :func:`first_of_duplicates`.
+    ``firsts`` is the result of :func:`first_of_duplicates`.
     """
     renamed = firsts.select(
         *[column(k).alias(f"{flag}_{i}") for i, k in enumerate(keys)],
         F.col(FIRST).alias(f"{flag}_first"),
     )
-    same_key = reduce(
-        and_,
-        (grouping_key(df, k).eqNullSafe(F.col(f"{flag}_{i}")) for i, k in enumerate(keys)),
-    )
     later = F.col(f"{flag}_first").isNotNull() & (F.col(ROW) != F.col(f"{flag}_first"))
-    joined = df.join(renamed, same_key, "left")
+    joined = df.join(renamed, _same_key(df, keys, flag), "left")
     return joined.withColumn(flag, later).drop(*renamed.columns)
 
 

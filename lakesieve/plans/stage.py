@@ -141,22 +141,23 @@ def run_stage(
     if history:
         named = stage.source if isinstance(stage.source, Source) else Source("dataframe", "dataframe")
         base = {"run_id": run_id, "stage_name": stage.name}
-        if rejected:
-            history.record("quarantine_log", [{
+        history.record_all({
+            "quarantine_log": [{
                 **base, "pipeline_name": pipeline, "row_count": rejected,
                 "reason": DEFAULT_REASON, "file_path": path, "recorded_at": started,
-            }])
-        history.record("stage_runs", [{
-            **base, "source_name": named.name, "target_name": places.warehouse,
-            "target_table": stage.table, "load_strategy": strategy, "status": "success",
-            "rows_extracted": extracted, "rows_loaded": loaded.rows_loaded,
-            "rows_quarantined": rejected, "started_at": started, "finished_at": utc_now(),
-        }])
-        history.record("lineage", [{
-            **base, "pipeline_name": pipeline, "source_name": named.name,
-            "source_type": named.type, "target_name": places.warehouse,
-            "target_table": stage.table, "recorded_at": started,
-        }])
+            }] if rejected else [],
+            "stage_runs": [{
+                **base, "source_name": named.name, "target_name": places.warehouse,
+                "target_table": stage.table, "load_strategy": strategy, "status": "success",
+                "rows_extracted": extracted, "rows_loaded": loaded.rows_loaded,
+                "rows_quarantined": rejected, "started_at": started, "finished_at": utc_now(),
+            }],
+            "lineage": [{
+                **base, "pipeline_name": pipeline, "source_name": named.name,
+                "source_type": named.type, "target_name": places.warehouse,
+                "target_table": stage.table, "recorded_at": started,
+            }],
+        })
     result = StageResult(
         stage.name, "success", extracted, loaded.rows_loaded, rejected,
         report.score if report else None, report.success if report else None,

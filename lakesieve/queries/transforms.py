@@ -9,7 +9,6 @@ from ..operators.rules import RuleSet
 from ..operators.transforms import STEPS, apply_steps, register_transform
 from ..operators.uniqueness import first_of_duplicates, flag_later_copies
 from ..operators.validate import compile_row_rules
-from ..session import materialise
 from .base import query, table
 
 
@@ -229,7 +228,7 @@ def tf_dedup_none(spark, sf):
 @query(f"select {PICKED}, rn > 1 as violated from ({RANKED})")
 def viol_duplicate(spark, sf):
     df = table(spark, sf, "lineitem", row_id=True)
-    firsts = materialise(first_of_duplicates(df, KEY, ORDER), "duplicates")
+    firsts = first_of_duplicates(df, KEY, ORDER)
     flagged = flag_later_copies(df, firsts, KEY, "violated")
     return flagged.select(*PICKED.split(", "), "violated")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,24 +41,17 @@ def quarantine_rows(
     at: dt.datetime | str,
     reason: str | None = None,
 ) -> int:
-    """Store rejected rows; a retry of the run replaces its own rows, none write nothing."""
-    names = dict(zip(PARTITIONS, (pipeline, stage, run_id)))
-    stored = marked(rows, at, reason).withColumns({k: F.lit(v) for k, v in names.items()})
-
-    def write(df: DataFrame) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*PARTITIONS)
-            .parquet(root)
-        )
-
-    return counted_write(stored, write)
+    """Store rejected rows and return their number; a retry replaces what its run wrote."""
+    path = quarantine_path(root, pipeline, stage, run_id)
+    return counted_write(
+        marked(rows, at, reason), lambda df: df.write.mode("overwrite").parquet(path)
+    )
 
 
 def quarantine_path(root: str, pipeline: str, stage: str, run_id: str) -> str:
-    values = zip(PARTITIONS, (pipeline, stage, run_id))
-    return "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in values)])
+    """The run's folder, named the way Spark names partitions."""
+    values = (quote(v, safe=" -_.@+,;()") for v in (pipeline, stage, run_id))
+    return "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in zip(PARTITIONS, values))])
 
 
 def quarantine_summary(spark: SparkSession, root: str) -> DataFrame:
@@ -83,7 +77,8 @@ def quarantine_sample(
     order_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """The first rejected rows of one run."""
-    rows = spark.read.parquet(quarantine_path(root, pipeline, stage, run_id))
+    path = quarantine_path(root, pipeline, stage, run_id)
+    rows = spark.read.option("basePath", root).parquet(path)
     if order_by:
         rows = rows.orderBy(*[column(c) for c in order_by])
     return rows.limit(limit)
