@@ -4,7 +4,7 @@ from .operators.rules import Expectation, ExpectationResult, RuleSet, Validation
 from .operators.split import split
 from .operators.transforms import apply_steps, register_transform
 from .operators.validate import register_expectation, register_row_rule, validate
-from .plans.stage import Places, Stage, run_pipeline, run_stage
+from .plans.stage import Places, Stage, run_pipeline, run_stage, stages_from_config
 from .session import build_session
 from .sinks.tables import Table
 from .sources import Source, extract, register_source
@@ -13,5 +13,5 @@ __all__ = [
     "Expectation", "ExpectationResult", "Places", "RuleSet", "Source", "Stage", "Table",
     "ValidationReport", "apply_steps", "build_session", "extract", "register_expectation",
     "register_row_rule", "register_source", "register_transform", "run_pipeline", "run_stage",
-    "split", "validate",
+    "split", "stages_from_config", "validate",
 ]

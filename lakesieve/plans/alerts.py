@@ -215,7 +215,9 @@ def _decide(window: int):
 def _blockwise(moments: DataFrame, window: int, id_type: str) -> DataFrame:
     """Sent alerts of busy keys; ``moments`` carry ``_first`` and ``_length``."""
     block = F.floor((F.col("_at") - F.col("_first")) / F.col("_length"))
-    moments = moments.withColumn("_block", block)
+    # Partitioned by key and block: grouping rows that are partitioned by key already would
+    # otherwise leave all blocks of a key in one task.
+    moments = moments.withColumn("_block", block).repartition("_key", "_block")
     reduced = moments.groupBy("_key", "_block").applyInPandas(
         _block_function(window), "_key string, _block long, _start long, _exit long"
     )

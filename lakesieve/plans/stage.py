@@ -48,6 +48,31 @@ class Stage:
         return self.target_table or self.name
 
 
+def stages_from_config(
+    pipeline: Mapping[str, Any],
+    sources: Mapping[str, Mapping[str, Any]],
+    rule_sets: Mapping[str, Mapping[str, Any]],
+) -> list[Stage]:
+    """Stages of a pipeline configuration whose sources and rule sets are given by name."""
+    stages = []
+    for entry in pipeline.get("stages", ()):
+        source = sources[entry["source"]]
+        rules = entry.get("quality_rule_set")
+        stages.append(
+            Stage(
+                entry["name"],
+                Source(source["name"], source["type"], source.get("options") or {}),
+                RuleSet.from_config(rule_sets[rules]) if rules else None,
+                entry.get("transforms") or (),
+                entry.get("target_table"),
+                entry.get("load_strategy", "full"),
+                entry.get("incremental_key"),
+                entry.get("depends_on") or (),
+            )
+        )
+    return stages
+
+
 @dataclass
 class StageResult:
     name: str

@@ -23,6 +23,7 @@ from ..sinks.quarantine import quarantine_rows as store_quarantine
 from ..sinks.quarantine import quarantine_sample as sample_quarantine
 from ..sinks.quarantine import quarantine_summary as summarise_quarantine
 from ..sinks.tables import Table
+from ..sources import Source
 from .base import query, table
 from .transforms import DIRTY_PARTS, KEY, ORDER, dirty_parts, step
 
@@ -415,12 +416,16 @@ def fresh_places(spark: SparkSession) -> Places:
     return Places(f"{base}/warehouse", f"{base}/quarantine", f"{base}/history")
 
 
-def line_stage(spark: SparkSession, sf: str, *extra: dict) -> Stage:
+def line_source(sf: str) -> Source:
+    return Source("lineitem", "parquet", {"path": f"{sf}/lineitem.parquet"})
+
+
+def line_stage(sf: str, *extra: dict) -> Stage:
     steps = [
         step("derive", column="revenue", expression="l_extendedprice * (1 - l_discount)"),
         *extra,
     ]
-    return Stage("lines", line_items(spark, sf), LINE_RULES, steps, order_by=ORDER)
+    return Stage("lines", line_source(sf), LINE_RULES, steps, order_by=ORDER)
 
 
 BY_FLAG = [
@@ -438,13 +443,13 @@ BY_FLAG = [
 def stage_end_to_end(spark, sf):
     """Check line items, quarantine bad ones, derive revenue, aggregate and load."""
     places = fresh_places(spark)
-    run_stage(spark, line_stage(spark, sf, *BY_FLAG), places, run_id="run-1")
+    run_stage(spark, line_stage(sf, *BY_FLAG), places, run_id="run-1")
     return Table(spark, f"{places.warehouse}/lines").read()
 
 
 def run_with_history(spark: SparkSession, sf: str) -> History:
     places = fresh_places(spark)
-    run_stage(spark, line_stage(spark, sf), places, "retail", run_id="run-1")
+    run_stage(spark, line_stage(sf), places, "retail", run_id="run-1")
     return History(spark, places.history)
 
 
@@ -475,7 +480,7 @@ def stage_rows(spark, sf):
 
 @query("""
     select distinct 'run-1' as run_id, 'retail' as pipeline_name, 'lines' as stage_name,
-      'dataframe' as source_name, 'dataframe' as source_type, 'lines' as target_table from lineitem
+      'lineitem' as source_name, 'parquet' as source_type, 'lines' as target_table from lineitem
 """)
 def lineage_rows(spark, sf):
     return run_with_history(spark, sf).table("lineage").select(
@@ -556,7 +561,7 @@ def star(spark: SparkSession, sf: str, wanted: str) -> DataFrame:
     )
     sales = Stage(
         "transactions",
-        line_items(spark, sf),
+        line_source(sf),
         SALES_RULES,
         [step("derive", column="revenue", expression="round(l_quantity * l_extendedprice, 4)")],
         target_table="fact_sales",

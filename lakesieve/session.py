@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Name of the hidden row-position column used where "first row" has a meaning.
 ROW = "_row"
 
+#: Rows from which it pays to spread a scan that occupies few cores.
+SPREAD_ROWS = 100_000
+
 
 def build_session(app: str = "lakesieve", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC timestamps."""
@@ -79,6 +82,18 @@ def materialise(df: DataFrame, label: str, row_id: bool = False) -> DataFrame:
     return read_parquet(spark, path, schema=df.schema, row_id=row_id)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Write a scan that occupies few cores once more, over all of them.
+
+    A file of one row group is read by one task in every pass. A scan of many
+    files, or of few rows, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if 2 * df.rdd.getNumPartitions() > cores or df.count() < SPREAD_ROWS:
+        return df
+    return materialise(df.repartition(cores, ROW), "spread")
+
+
 def read_parquet(spark: SparkSession, path, schema=None, row_id: bool = False) -> DataFrame:
     """Scan Parquet; ``row_id`` adds ``_row``, the row's file and position in it.
 

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import normalise_missing
-from ..session import materialise, read_parquet
+from ..session import materialise, read_parquet, spread
 from . import api_pages, files, jdbc, workbooks
 
 #: ``(spark, options, since) -> DataFrame``
@@ -98,12 +98,13 @@ def extract(spark: SparkSession, source: Source, since: Any = None) -> DataFrame
 def extract_rows(spark: SparkSession, source: Source, since: Any = None) -> DataFrame:
     """As :func:`extract`, with ``_row`` and ready for several passes.
 
-    Parquet is scanned where it lies. Anything else is read once and landed as
-    Parquet, so text is parsed, and databases are queried, a single time.
+    Parquet is scanned where it lies, unless the scan cannot use the cores there
+    are. Anything else is read once and landed as Parquet, so text is parsed,
+    and databases are queried, a single time.
     """
+    numbered = Source(source.name, source.type, {**source.options, "row_id": True})
     if source.type == "parquet":
-        return extract(spark, Source(source.name, "parquet", {**source.options, "row_id": True}), since)
+        return spread(extract(spark, numbered, since))
     if source.type in FILE_OPTIONS:
-        ordered = Source(source.name, source.type, {**source.options, "row_id": True})
-        return materialise(extract(spark, ordered, since), "landed")
+        return materialise(extract(spark, numbered, since), "landed")
     return materialise(extract(spark, source, since), "landed", row_id=True)

@@ -4,7 +4,16 @@ import pytest
 from conftest import rows_of
 from retail import RULES, STEPS, feeds
 
-from lakesieve import Places, RuleSet, Source, Stage, Table, run_pipeline, run_stage
+from lakesieve import (
+    Places,
+    RuleSet,
+    Source,
+    Stage,
+    Table,
+    run_pipeline,
+    run_stage,
+    stages_from_config,
+)
 from lakesieve.plans import history, monitor
 from lakesieve.streaming.ingest import ingest_files
 
@@ -127,3 +136,22 @@ def test_ingest_sees_each_file_once(spark, places, frame, folder):
     log = history.History(spark, places.history)
     assert rows_of(log.table("stage_runs"), "run_id", "rows_extracted") == [
         ("events-0", 3), ("events-1", 3)]
+
+
+def test_stages_from_configuration(spark, places, tmp_path):
+    (tmp_path / "a.csv").write_text("Product ID,price\n1,5\n1,6\n2,\n")
+    sources = {"feed": {"name": "feed", "type": "csv", "options": {"path": str(tmp_path / "a.csv")}}}
+    rule_sets = {"rules": {"name": "rules", "dataset": "feed", "expectations": [
+        {"name": "key", "type": "unique", "columns": ["Product ID"], "severity": "error"}]}}
+    pipeline = {"name": "p", "stages": [
+        {"name": "first", "source": "feed", "target": "w", "target_table": "t",
+         "quality_rule_set": "rules", "transforms": [{"type": "rename_lower"}]},
+        {"name": "second", "source": "feed", "load_strategy": "incremental",
+         "incremental_key": "price", "depends_on": ["first"]},
+    ]}
+    stages = stages_from_config(pipeline, sources, rule_sets)
+    result = run_pipeline(spark, "p", stages, places)
+    assert [(s.name, s.status, s.rows_loaded) for s in result.stages] == [
+        ("first", "success", 2), ("second", "success", 3)]
+    loaded = Table(spark, f"{places.warehouse}/t").read()
+    assert rows_of(loaded, "product_id", "price") == [(1, 5), (2, None)]
