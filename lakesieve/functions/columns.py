@@ -15,8 +15,7 @@ from pyspark.sql import types as T
 _FLOATS = (T.FloatType, T.DoubleType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-# Java accepts a type suffix ("1d") and hexadecimal floats; a data file means neither.
-_JAVA_ONLY_NUMBER = r"(?i)^\s*[+-]?(0x.*|.*[0-9.][df])\s*$"
+_INFINITE = ["inf", "+inf", "-inf"]
 
 
 def quoted(name: str) -> str:
@@ -53,6 +52,13 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     return df.withColumns({n: without_nan(column(n), column_type(df, n)) for n in floats})
 
 
+def _plain_number(text: Column) -> Column:
+    """False for numbers only Java reads: with a type suffix (``1d``) or hexadecimal."""
+    lowered = F.lower(F.trim(text))
+    suffixed = F.right(lowered, F.lit(1)).isin("d", "f") & ~lowered.isin(_INFINITE)
+    return ~suffixed & ~lowered.contains("x")
+
+
 def as_number(value: Column, dtype: T.DataType) -> Column:
     """``value`` as a number, null where it is not one."""
     if isinstance(dtype, _FLOATS):
@@ -63,7 +69,7 @@ def as_number(value: Column, dtype: T.DataType) -> Column:
         return value.cast("double")
     if isinstance(dtype, T.StringType):
         parsed = value.try_cast("double")
-        return F.when(~value.rlike(_JAVA_ONLY_NUMBER) & ~F.isnan(parsed), parsed)
+        return F.when(parsed.isNotNull() & ~F.isnan(parsed) & _plain_number(value), parsed)
     return F.lit(None).cast("double")
 
 
@@ -75,7 +81,11 @@ def as_whole(value: Column, dtype: T.DataType) -> Column:
     """Rounded half to even and stored as bigint; null where unreadable."""
     if isinstance(dtype, _WHOLE):
         return value.cast("bigint")
-    return F.rint(as_double(value, dtype)).try_cast("bigint")
+    rounded = F.rint(as_double(value, dtype)).try_cast("bigint")
+    if isinstance(dtype, T.StringType):
+        # Whole numbers keep all their digits; a double would not.
+        return F.coalesce(value.try_cast("bigint"), rounded)
+    return rounded
 
 
 def as_timestamp(value: Column, dtype: T.DataType) -> Column:

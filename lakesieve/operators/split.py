@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import column
-from ..session import ROW, materialise
+from ..session import ROW, landed
 from .rules import RuleSet, ValidationReport
 from .uniqueness import first_of_duplicates, flag_later_copies
 from .validate import compile_row_rules
@@ -58,11 +58,17 @@ class Split:
 
 
 def find_duplicates(
-    df: DataFrame, rules: RuleSet, order_by: Sequence[str] = ()
+    df: DataFrame,
+    rules: RuleSet,
+    order_by: Sequence[str] = (),
+    plain: DataFrame | None = None,
 ) -> dict[tuple[str, ...], DataFrame]:
-    """First rows of the duplicated keys of every unique rule, written once."""
+    """First rows of the duplicated keys of every unique rule, written once.
+
+    ``plain`` is the same table without ``_row``, if there is a cheaper scan of it.
+    """
     keys = {tuple(c.unique_on) for _, c in compile_row_rules(df, rules).values() if c.unique_on}
-    return {k: first_of_duplicates(df, k, order_by) for k in sorted(keys)}
+    return {k: first_of_duplicates(df, k, order_by, plain) for k in sorted(keys)}
 
 
 def split(
@@ -82,9 +88,9 @@ def split(
     compiled = compile_row_rules(df, rules)
     if report is not None:
         compiled = {i: c for i, c in compiled.items() if not report.results[i].broken}
-    keyed = ROW in df.columns
+    keyed, plain = ROW in df.columns, None
     if not keyed and any(check.unique_on for _, check in compiled.values()):
-        df = materialise(df, "rows", row_id=True)
+        df, plain = landed(df, "rows")
         compiled = {i: c for i, c in compile_row_rules(df, rules).items() if i in compiled}
     found = dict(duplicates or {})
     columns = [c for c in df.columns if keyed or c != ROW]
@@ -95,7 +101,7 @@ def split(
         keys = tuple(check.unique_on)
         if keys and keys not in flags:
             if keys not in found:
-                found[keys] = first_of_duplicates(df, keys, order_by)
+                found[keys] = first_of_duplicates(df, keys, order_by, plain)
             flags[keys] = f"_later_{len(flags)}"
             flagged = flag_later_copies(flagged, found[keys], keys, flags[keys])
 

@@ -43,16 +43,20 @@ def order_key(df: DataFrame, order_by: Sequence[str], tie_break: Sequence[str])
 
 
 def first_of_duplicates(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    plain: DataFrame | None = None,
 ) -> DataFrame:
     """For each duplicated key, its number of rows and the position of its first row.
 
     ``df`` carries ``_row``; first means lowest in ``order_by``, then in file
     order. The result is written once. The keys are counted first, which moves
-    nothing but keys. When the duplicated ones are few enough to broadcast,
+    nothing but keys (``plain``, the table without ``_row``, may save reading row
+    positions for that). When the duplicated ones are few enough to broadcast,
     positions are then compared among their rows alone.
     """
-    repeated = materialise(duplicate_keys(df, keys), "repeated-keys")
+    repeated = materialise(duplicate_keys(df if plain is None else plain, keys), "repeated-keys")
     candidates = df
     if fits_broadcast(repeated, keys):
         marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])

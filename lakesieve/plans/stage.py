@@ -15,7 +15,7 @@ from ..operators.rules import RuleSet, ValidationReport
 from ..operators.split import find_duplicates, split
 from ..operators.transforms import apply_steps
 from ..operators.validate import validate
-from ..session import ROW, materialise
+from ..session import ROW, landed
 from ..sinks.quarantine import quarantine_path, quarantine_rows
 from ..sinks.tables import Table
 from ..sources import Source, extract_rows
@@ -112,12 +112,12 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def source_rows(spark: SparkSession, stage: Stage) -> DataFrame:
-    """The stage's input with ``_row``, safe to read several times."""
-    if isinstance(stage.source, DataFrame):
-        df = normalise_missing(stage.source)
-        return df if ROW in df.columns else materialise(df, "rows", row_id=True)
-    return extract_rows(spark, stage.source, stage.since)
+def source_rows(spark: SparkSession, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """The stage's input, safe to read several times: with ``_row``, and without."""
+    if isinstance(stage.source, Source):
+        return extract_rows(spark, stage.source, stage.since)
+    df = normalise_missing(stage.source)
+    return (df, df.drop(ROW)) if ROW in df.columns else landed(df, "rows")
 
 
 def run_stage(
@@ -137,14 +137,13 @@ def run_stage(
     """
     run_id, started = run_id or uuid.uuid4().hex, at or utc_now()
     history = History(spark, places.history) if places.history else None
-    df = source_rows(spark, stage)
-    data = df.drop(ROW)
+    df, data = source_rows(spark, stage)
     if history:
         history.record_schema(run_id, stage.name, data, started)
 
     report, rejected, path = None, 0, None
     if stage.rules is not None:
-        duplicates = find_duplicates(df, stage.rules, stage.order_by)
+        duplicates = find_duplicates(df, stage.rules, stage.order_by, data)
         report = validate(data, stage.rules, stage.name, duplicates)
         if history:
             history.record_quality(run_id, stage.name, report, started)

@@ -154,7 +154,7 @@ def exp_range(spark, sf):
 """)
 def exp_allowed_values(spark, sf):
     df = dirty_parts(spark, sf)
-    others = [r[0] for r in df.select("brand").distinct().collect() if r[0] not in (None, "Brand#12")]
+    others = [f"Brand#{i}" for i in range(1, 26) if i != 12]
     return observed(
         spark, df,
         {"name": "brands", "type": "allowed_values", "columns": ["brand"],

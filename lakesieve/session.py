@@ -82,18 +82,36 @@ def materialise(df: DataFrame, label: str, row_id: bool = False) -> DataFrame:
     return read_parquet(spark, path, schema=df.schema, row_id=row_id)
 
 
+def landed(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` and read it back twice: with ``_row``, and without.
+
+    Spark does not prune file metadata a plan makes no use of, so passes that
+    need no row position should read the second.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    numbered = read_parquet(spark, path, schema=df.schema, row_id=True)
+    return numbered, read_parquet(spark, path, schema=df.schema)
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Write a scan that occupies few cores once more, over all of them.
+    """Write the rows of a scan that occupies few cores once more, over all of them.
 
-    A file of one row group is read by one task in every pass. A scan of many
-    files, or of few rows, is returned as it is.
+    ``df`` carries ``_row``, which is kept.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() > cores or df.count() < SPREAD_ROWS:
-        return df
     return materialise(df.repartition(cores, ROW), "spread")
 
 
+def occupies_few_cores(df: DataFrame) -> bool:
+    """Whether a scan of many rows runs in few tasks.
+
+    A file of one row group, for example, is read by one task in every pass.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return 2 * df.rdd.getNumPartitions() <= cores and df.count() >= SPREAD_ROWS
+
+
 def read_parquet(spark: SparkSession, path, schema=None, row_id: bool = False) -> DataFrame:
     """Scan Parquet; ``row_id`` adds ``_row``, the row's file and position in it.
 

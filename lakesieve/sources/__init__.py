@@ -9,14 +9,14 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import normalise_missing
-from ..session import materialise, read_parquet, spread
+from ..session import ROW, landed, materialise, occupies_few_cores, read_parquet, spread
 from . import api_pages, files, jdbc, workbooks
 
 #: ``(spark, options, since) -> DataFrame``
 Reader = Callable[[SparkSession, Mapping[str, Any], Any], DataFrame]
 
 FILE_OPTIONS = {
-    "csv": ("delimiter", "encoding", "schema", "read_options", "union_columns"),
+    "csv": ("delimiter", "encoding", "schema", "read_options", "union_columns", "infer"),
     "json": ("records_path", "encoding", "schema", "read_options"),
 }
 
@@ -95,8 +95,10 @@ def extract(spark: SparkSession, source: Source, since: Any = None) -> DataFrame
     return READERS[source.type](spark, source.options, since)
 
 
-def extract_rows(spark: SparkSession, source: Source, since: Any = None) -> DataFrame:
-    """As :func:`extract`, with ``_row`` and ready for several passes.
+def extract_rows(
+    spark: SparkSession, source: Source, since: Any = None
+) -> tuple[DataFrame, DataFrame]:
+    """As :func:`extract`, ready for several passes: with ``_row``, and without.
 
     Parquet is scanned where it lies, unless the scan cannot use the cores there
     are. Anything else is read once and landed as Parquet, so text is parsed,
@@ -104,7 +106,17 @@ def extract_rows(spark: SparkSession, source: Source, since: Any = None) -> Data
     """
     numbered = Source(source.name, source.type, {**source.options, "row_id": True})
     if source.type == "parquet":
-        return spread(extract(spark, numbered, since))
-    if source.type in FILE_OPTIONS:
-        return materialise(extract(spark, numbered, since), "landed")
-    return materialise(extract(spark, source, since), "landed", row_id=True)
+        plain = extract(spark, source, since)
+        rows = extract(spark, numbered, since)
+        if not occupies_few_cores(plain):
+            return rows, plain
+        rows = spread(rows)
+    elif source.type == "csv" and not source.options.get("schema"):
+        # The text is parsed once; types are found in, and applied to, the landed columns.
+        texts = Source(source.name, "csv", {**numbered.options, "infer": False})
+        rows = files.infer_types(materialise(extract(spark, texts, since), "landed"))
+    elif source.type in FILE_OPTIONS:
+        rows = materialise(extract(spark, numbered, since), "landed")
+    else:
+        return landed(extract(spark, source, since), "landed")
+    return rows, rows.drop(ROW)
