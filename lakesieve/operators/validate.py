@@ -82,12 +82,12 @@ def validate(
     df: DataFrame,
     rules: RuleSet,
     dataset: str | None = None,
-    duplicates: Mapping[tuple[str, ...], DataFrame] | None = None,
+    duplicates: Callable[[], Mapping[tuple[str, ...], DataFrame]] | None = None,
 ) -> ValidationReport:
     """Check ``df`` against ``rules``.
 
-    ``duplicates`` may hold duplicated keys the caller has at hand already, by
-    key columns, with their row counts in ``_copies``.
+    ``duplicates`` may give duplicated keys the caller looks for anyway, by key
+    columns, with their row counts in ``_copies``; it is called last.
     """
     results: dict[int, ExpectationResult] = {}
     checks: dict[int, Check] = {}
@@ -112,9 +112,9 @@ def validate(
         results[i] = _failed(rule, text, {"error": error} if is_custom else {})
         del checks[i]
 
-    _add_duplicates(df, checks, facts, duplicates or {})
     _add_outliers(df, checks, facts)
     _add_samples(df, checks, facts)
+    _add_duplicates(df, checks, facts, duplicates() if duplicates else {})
 
     for i, check in checks.items():
         rule = rules.expectations[i]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -135,19 +136,31 @@ def run_stage(
     the rejected and once for the valid rows. Row rules are cheap expressions,
     so reading twice costs less than writing every row an extra time would.
     """
-    run_id, started = run_id or uuid.uuid4().hex, at or utc_now()
+    with ThreadPoolExecutor(3) as side_jobs:
+        return _run_stage(
+            spark, stage, places, pipeline, run_id or uuid.uuid4().hex, at or utc_now(),
+            full_refresh, side_jobs,
+        )
+
+
+def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, side_jobs):
+    """Jobs that do not wait for each other run side by side: looking for duplicated keys
+    beside the other checks, and notes for the history beside the loading."""
     history = History(spark, places.history) if places.history else None
     df, data = source_rows(spark, stage)
+    notes = []
     if history:
-        history.record_schema(run_id, stage.name, data, started)
+        notes.append(side_jobs.submit(history.record_schema, run_id, stage.name, data, started))
 
     report, rejected, path = None, 0, None
     if stage.rules is not None:
-        duplicates = find_duplicates(df, stage.rules, stage.order_by, data)
-        report = validate(data, stage.rules, stage.name, duplicates)
+        duplicates = side_jobs.submit(find_duplicates, df, stage.rules, stage.order_by, data)
+        report = validate(data, stage.rules, stage.name, duplicates.result)
         if history:
-            history.record_quality(run_id, stage.name, report, started)
-        sides = split(df, stage.rules, stage.order_by, report, duplicates)
+            notes.append(
+                side_jobs.submit(history.record_quality, run_id, stage.name, report, started)
+            )
+        sides = split(df, stage.rules, stage.order_by, report, duplicates.result())
         rejected = quarantine_rows(
             sides.quarantined.drop(ROW), places.quarantine, pipeline, stage.name, run_id, started
         )
@@ -162,6 +175,8 @@ def run_stage(
     loaded = table.load(df.drop(ROW), strategy, stage.incremental_key, version=run_id)
     extracted = report.row_count if report else data.count()
 
+    for note in notes:
+        note.result()
     if history:
         named = stage.source if isinstance(stage.source, Source) else Source("dataframe", "dataframe")
         base = {"run_id": run_id, "stage_name": stage.name}
