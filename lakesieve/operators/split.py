@@ -17,7 +17,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import column
+from ..functions.columns import column, normalise_missing
 from ..session import ROW, landed
 from .rules import RuleSet, ValidationReport
 from .uniqueness import first_of_duplicates, flag_later_copies
@@ -85,6 +85,7 @@ def split(
     if a unique rule needs it. Rules the ``report`` found impossible to
     evaluate mark no rows.
     """
+    df = normalise_missing(df)
     compiled = compile_row_rules(df, rules)
     if report is not None:
         compiled = {i: c for i, c in compiled.items() if not report.results[i].broken}

@@ -15,6 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import normalise_missing
 from . import expectations as built_in
 from .expectations import SAMPLE_VALUES, Check, InvalidExpectation
 from .quantiles import column_quantiles
@@ -89,6 +90,7 @@ def validate(
     ``duplicates`` may give duplicated keys the caller looks for anyway, by key
     columns, with their row counts in ``_copies``; it is called last.
     """
+    df = normalise_missing(df)
     results: dict[int, ExpectationResult] = {}
     checks: dict[int, Check] = {}
     for i, rule in enumerate(rules.expectations):
