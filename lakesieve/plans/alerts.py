@@ -280,8 +280,52 @@ def alert_log_rows(alerts: DataFrame, channels: Sequence[str], minimum: str = "e
     """What the alert log records: a row per channel, or one for all when suppressed.
 
     ``alerts`` carries ``suppressed``; alerts below the threshold leave no row.
-    Whether a channel delivered is for the sender to fill in.
+    ``sent`` says that the alert is handed to the channel, whose sender reads it here.
     """
     every = F.array(*[F.lit(c) for c in channels]) if channels else F.array().cast("array<string>")
     channel = F.explode(F.when(F.col("suppressed"), F.array(F.lit("all"))).otherwise(every))
-    return above_threshold(alerts, minimum).withColumn("channel", channel)
+    return above_threshold(alerts, minimum).withColumns(
+        {"channel": channel, "sent": ~F.col("suppressed")}
+    )
+
+
+def keyed(alerts: DataFrame, minimum: str = "error") -> DataFrame:
+    """Alerts worth sending, with their ``alert_key``."""
+    loud = above_threshold(alerts, minimum)
+    return loud.withColumn("alert_key", dedup_key(F.col("key"), F.col("severity")))
+
+
+def dispatch(
+    alerts: DataFrame,
+    channels: Sequence[str],
+    at: str = "created_at",
+    id_column: str = "alert_id",
+    minimum: str = "error",
+    minutes: int = SUPPRESSION_MINUTES,
+    **options: int,
+) -> DataFrame:
+    """Log rows for a whole history of alerts: threshold, key, suppression, channels."""
+    if not channels:  # nothing is sent, so nothing is suppressed or recorded either
+        return alert_log_rows(alerts.withColumn("suppressed", F.lit(False)), [], minimum)
+    flagged = suppress_repeats(
+        keyed(alerts, minimum), "alert_key", at, id_column, minutes, **options
+    )
+    return alert_log_rows(flagged, channels, minimum)
+
+
+def dispatch_new(
+    alerts: DataFrame,
+    log: DataFrame,
+    channels: Sequence[str],
+    now: Column,
+    minimum: str = "error",
+    minutes: int = SUPPRESSION_MINUTES,
+) -> DataFrame:
+    """Log rows for alerts of this moment, one per key, given what was sent before."""
+    since = F.timestamp_add("MINUTE", F.lit(-minutes), now)
+    recent = log.where(F.col("sent") & (F.col("created_at") >= since)).select("alert_key").distinct()
+    flagged = keyed(alerts, minimum).join(
+        recent.withColumn("suppressed", F.lit(True)), "alert_key", "left"
+    )
+    flagged = flagged.withColumn("suppressed", F.coalesce("suppressed", F.lit(False)))
+    return alert_log_rows(flagged, channels, minimum)

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.columns import normalise_missing
 from ..operators.rules import RuleSet, ValidationReport
@@ -20,7 +21,8 @@ from ..session import ROW, landed
 from ..sinks.quarantine import quarantine_path, quarantine_rows
 from ..sinks.tables import Table
 from ..sources import Source, extract_rows
-from .history import History
+from . import alerts
+from .history import History, latest_state
 
 DEFAULT_REASON = "quality_failure"
 
@@ -221,10 +223,12 @@ def run_pipeline(
     run_id: str | None = None,
     full_refresh: bool = False,
     triggered_by: str = "manual",
+    channels: Sequence[str] = (),
 ) -> PipelineResult:
     """Run stages whose dependencies succeeded, in listed order; skip the others.
 
-    A failed stage does not stop the ones that do not depend on it.
+    A failed stage does not stop the ones that do not depend on it. With
+    ``channels``, failed rules and stages leave alerts for them in the history.
     """
     run_id, started = run_id or uuid.uuid4().hex, utc_now()
     history = History(spark, places.history) if places.history else None
@@ -256,9 +260,32 @@ def run_pipeline(
         history.finish_run(
             run_id, name, result.status, started, result.finished_at, rows, triggered_by
         )
+        if channels:
+            record_alerts(history, run_id, name, channels, result.finished_at)
     return result
 
 
+def record_alerts(
+    history: History, run_id: str, pipeline: str, channels: Sequence[str], at: dt.datetime
+) -> None:
+    """Write the alerts of a run to the alert log, unless the same were sent just before."""
+    mine = F.col("run_id") == run_id
+    quality = alerts.quality_alerts(
+        history.table("quality_metrics").where(mine),
+        history.table("quality_scores").where(mine),
+        F.lit(pipeline),
+    )
+    failure = alerts.run_failure_alerts(
+        latest_state(history.table("pipeline_runs").where(mine)),
+        history.table("stage_runs").where(mine),
+    )
+    raised = quality.unionByName(failure, allowMissingColumns=True)
+    earlier = history.table("alert_log").where(~mine)
+    rows = alerts.dispatch_new(raised, earlier, channels, F.lit(str(at)).cast("timestamp"))
+    # At most one alert per stage and one for the run.
+    history.record("alert_log", [{**row.asDict(), "created_at": at} for row in rows.collect()])
+
+
 def _record_failure(history, run_id, stage, places, exc) -> None:
     named = stage.source.name if isinstance(stage.source, Source) else "dataframe"
     now = utc_now()

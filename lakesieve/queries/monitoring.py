@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,13 +36,11 @@ STAGES = f"select {STAGE_COLUMNS} from lineitem"
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
-    table(spark, sf, "orders").createOrReplaceTempView("orders")
-    return spark.sql(RUNS)
+    return spark.sql(f"select {RUN_COLUMNS} from {{orders}}", orders=table(spark, sf, "orders"))
 
 
 def stages(spark: SparkSession, sf: str) -> DataFrame:
-    table(spark, sf, "lineitem").createOrReplaceTempView("lineitem")
-    return spark.sql(STAGES)
+    return spark.sql(f"select {STAGE_COLUMNS} from {{lines}}", lines=table(spark, sf, "lineitem"))
 
 
 # -- runs and stages ------------------------------------------------------------------------
@@ -216,8 +216,6 @@ SCORES = f"""
 
 def checked_rules(df: DataFrame) -> dict[str, tuple]:
     """Rules with a row predicate, warnings included."""
-    from dataclasses import replace
-
     hard = replace(
         LINE_RULES,
         expectations=[replace(e, severity="error") for e in LINE_RULES.expectations
@@ -442,10 +440,11 @@ def alert_suppression(spark, sf):
     where not suppressed
 """)
 def alert_log_rows(spark, sf):
-    df = table(spark, sf, "events").selectExpr("event_id", "event_type", f"{SEVERITY} as severity", "ts")
-    flagged = alerts.suppress_repeats(
-        df, key="event_type", at="ts", id_column="event_id", minutes=240, fold_rows=1000,
+    df = table(spark, sf, "events").selectExpr(
+        "event_id", "event_type as key", f"{SEVERITY} as severity", "ts"
+    )
+    rows = alerts.dispatch(
+        df, ["email", "slack"], at="ts", id_column="event_id", minutes=240, fold_rows=1000,
         block_rows=500,
     )
-    rows = alerts.alert_log_rows(flagged, ["email", "slack"])
     return rows.select("event_id", "severity", "suppressed", "channel")

@@ -202,8 +202,7 @@ NEW = f"""
 
 
 def _orders(spark, sf, sql: str) -> DataFrame:
-    table(spark, sf, "orders").createOrReplaceTempView("orders")
-    return spark.sql(sql)
+    return spark.sql(sql.replace("from orders", "from {orders}"), orders=table(spark, sf, "orders"))
 
 
 def _loaded(spark, sf, *loads: tuple[str, str, str | None]) -> Table:

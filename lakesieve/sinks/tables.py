@@ -134,9 +134,14 @@ class Table:
         """Segments without the batch's keys; those that hold none stay as they are."""
         batch = self._segments([f"segments/{version}/batch"], schema)
         keys = materialise(batch.select(column(key)).dropna().distinct(), "keys")
+        low, high = keys.agg(F.min(column(key)), F.max(column(key))).first()
+        if low is None:
+            return names
         folder = F.regexp_extract("_metadata.file_path", r"(segments/[^/]+/[^/]+)/[^/]+$", 1)
         stored = self._segments(names, schema).select(column(key), folder.alias("_segment"))
-        hit = stored.join(keys, key, "left_semi").select("_segment").distinct()
+        # The range of the batch's keys lets the scan skip row groups by their statistics.
+        near = stored.where(column(key).between(F.lit(low), F.lit(high)))
+        hit = near.join(keys, key, "left_semi").select("_segment").distinct()
         # As many names as the table has segments.
         touched = {row["_segment"] for row in hit.collect()}
         if not touched:

@@ -156,6 +156,14 @@ def test_log_rows(frame):
     assert rows_of(alerts.alert_log_rows(df, []), "id", "channel") == [(2, "all")]
 
 
+def test_dispatch_without_channels_records_nothing(frame):
+    df = frame("alert_id int, key string, severity string, created_at timestamp",
+               (1, "k", "error", "2024-01-01"), (2, "k", "error", "2024-01-01"))
+    assert alerts.dispatch(df, []).count() == 0
+    assert rows_of(alerts.dispatch(df, ["email"]), "alert_id", "channel", "sent") == [
+        (1, "email", True), (2, "all", False)]
+
+
 def greedy(alarms, window):
     """Ids of the alerts sent, one by one in time order."""
     sent, last = set(), {}

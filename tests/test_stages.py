@@ -155,3 +155,20 @@ def test_stages_from_configuration(spark, places, tmp_path):
         ("first", "success", 2), ("second", "success", 3)]
     loaded = Table(spark, f"{places.warehouse}/t").read()
     assert rows_of(loaded, "product_id", "price") == [(1, 5), (2, None)]
+
+
+def test_alerts_of_runs(spark, places, duplicated, folder):
+    stages = [Stage("ids", duplicated, ID), Stage("bad", Source("x", "csv", {"path": folder()}))]
+    for run in ("r1", "r2"):
+        run_pipeline(spark, "p", stages, places, run_id=run, channels=["email", "slack"])
+    log = history.History(spark, places.history).table("alert_log")
+    found = rows_of(log, "run_id", "subject", "channel", "sent", "suppressed")
+    quality, failure = "Data quality failure in p/ids", "Pipeline p finished with status partial"
+    assert found == [
+        ("r1", quality, "email", True, False), ("r1", quality, "slack", True, False),
+        ("r1", failure, "email", True, False), ("r1", failure, "slack", True, False),
+        ("r2", quality, "all", False, True), ("r2", failure, "all", False, True),
+    ]
+    body = log.where("run_id = 'r1' and subject like 'Pipeline%'").first()["body"]
+    assert body.splitlines()[:4] == ["Pipeline: p", "Run: r1", "Status: partial", "Failed stages (1):"]
+    assert body.splitlines()[4].startswith("- bad: No files matched")
