@@ -15,6 +15,7 @@ from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import column, grouping_key
 from ..session import ROW, materialise
@@ -119,7 +120,21 @@ def drop_duplicates(
         return kept.where(F.col(COPIES) == 1).select("_kept.*")
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first', 'last' or False, not {keep!r}")
-    rest = [ROW] if ROW in df.columns else [c for c in values if c not in order_by]
-    pick = F.min_by if keep == "first" else F.max_by
-    kept = grouped.agg(pick(whole, order_key(df, order_by, rest)).alias("_kept"))
-    return kept.select("_kept.*")
+    if ROW in df.columns or not all(_orderable(f.dataType) for f in df.schema.fields):
+        rest = [ROW] if ROW in df.columns else []
+        pick = F.min_by if keep == "first" else F.max_by
+        kept = grouped.agg(pick(whole, order_key(df, order_by, rest)).alias("_kept"))
+    else:
+        # The order takes in every column, so the least or greatest one is the whole row.
+        rest = [c for c in values if c not in order_by]
+        pick = F.min if keep == "first" else F.max
+        kept = grouped.agg(pick(order_key(df, order_by, rest)).alias("_kept"))
+    return kept.select(*[F.col("_kept").getField(c).alias(c) for c in df.columns])
+
+
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))

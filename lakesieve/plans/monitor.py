@@ -11,7 +11,7 @@ from ..functions.columns import column
 
 
 def with_previous(
-    df: DataFrame, key: str, at: str, value: str, name: str, bucket: str = "month",
+    df: DataFrame, key: str, at: str, value: str, name: str, bucket: str = "day",
     ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add the ``value`` of the row before, per ``key`` in time order.
@@ -32,7 +32,7 @@ def with_previous(
     buckets = Window.partitionBy("_key").orderBy("_bucket")
     carried = lasts.withColumns(
         {"_held": F.lag("_held").over(buckets), "_carried": F.lit(True)}
-    )
+    ).where(F.col("_held").isNotNull())
     inside = Window.partitionBy("_key", "_bucket").orderBy(F.col("_order").asc_nulls_first())
     paired = staged.unionByName(carried, allowMissingColumns=True).withColumn(
         name, F.lag("_held").over(inside)["v"]

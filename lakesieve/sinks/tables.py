@@ -73,7 +73,8 @@ class Table:
         """The newest manifest entry; None for a table that was never loaded."""
         try:
             entries = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/_manifest/*")
-            entries = entries.where(F.col("version") != without_version) if without_version else entries
+            if without_version:
+                entries = entries.where(F.col("version") != without_version)
             return entries.orderBy(F.col("seq").desc()).first()
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc):
@@ -85,7 +86,8 @@ class Table:
 
     def _segments(self, names, schema: T.StructType) -> DataFrame:
         if not names:
-            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+            empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            return self.spark.range(0).select(*empty)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])
 
     def read(self) -> DataFrame:

@@ -48,7 +48,7 @@ def test_counting_duplicates_reads_only_the_key(stored):
 
 def test_dropping_duplicates_shrinks_keys_before_the_shuffle(stored):
     text = plan(drop_duplicates(stored.drop("_row"), ["k"], order_by=["v"]))
-    assert text.index("partial_min_by") > 0
+    assert "partial_min(" in text
     assert "Window" not in text
 
 
