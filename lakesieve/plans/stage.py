@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,7 @@ from . import alerts
 from .history import History, latest_state
 
 DEFAULT_REASON = "quality_failure"
+ROW_COUNTS = ("rows_extracted", "rows_loaded", "rows_quarantined")
 
 
 @dataclass(frozen=True)
@@ -101,6 +102,15 @@ class PipelineResult:
     def total(self, name: str) -> int:
         return sum(getattr(s, name) for s in self.stages)
 
+    @property
+    def duration_seconds(self) -> float:
+        """0 while the run is open."""
+        return (self.finished_at - self.started_at).total_seconds() if self.finished_at else 0.0
+
+    def to_dict(self) -> dict[str, Any]:
+        totals = {c: self.total(c) for c in ROW_COUNTS}
+        return {**asdict(self), **totals, "duration_seconds": self.duration_seconds}
+
 
 @dataclass(frozen=True)
 class Places:
@@ -256,7 +266,7 @@ def run_pipeline(
     result.status = overall_status([s.status for s in result.stages])
     result.finished_at = utc_now()
     if history:
-        rows = {c: result.total(c) for c in ("rows_extracted", "rows_loaded", "rows_quarantined")}
+        rows = {c: result.total(c) for c in ROW_COUNTS}
         history.finish_run(
             run_id, name, result.status, started, result.finished_at, rows, triggered_by
         )

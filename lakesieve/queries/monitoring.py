@@ -56,9 +56,9 @@ def runs_filtered(spark, sf):
 
 
 @query(f"""
-    select run_id, sum(coalesce(rows_extracted, 0)) as rows_extracted,
-      sum(coalesce(rows_loaded, 0)) as rows_loaded,
-      sum(coalesce(rows_quarantined, 0)) as rows_quarantined
+    select run_id, cast(sum(coalesce(rows_extracted, 0)) as bigint) as rows_extracted,
+      cast(sum(coalesce(rows_loaded, 0)) as bigint) as rows_loaded,
+      cast(sum(coalesce(rows_quarantined, 0)) as bigint) as rows_quarantined
     from ({STAGES}) group by run_id
 """)
 def run_totals(spark, sf):
@@ -78,8 +78,8 @@ def run_status(spark, sf):
 @query(f"""
     select count(*) as total_runs, count(*) filter (where status = 'success') as success_runs,
       round(count(*) filter (where status = 'success') / count(*), 6) as success_rate,
-      sum(coalesce(rows_loaded, 0)) as rows_loaded,
-      sum(coalesce(rows_quarantined, 0)) as rows_quarantined
+      cast(sum(coalesce(rows_loaded, 0)) as bigint) as rows_loaded,
+      cast(sum(coalesce(rows_quarantined, 0)) as bigint) as rows_quarantined
     from ({RUNS})
 """)
 def run_kpis(spark, sf):

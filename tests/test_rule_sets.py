@@ -32,6 +32,7 @@ def test_score_counts_warnings_too(sample):
     assert not report.success
     assert [r.name for r in report.failures("warning")] == ["amount"]
     assert report.summary()["dataset"] == "sample"
+    assert [r["success"] for r in report.to_dict()["results"]] == [False, False, True]
     assert validate(sample, RuleSet("empty")).score == 1.0
 
 

@@ -111,7 +111,8 @@ def test_retail_feeds(spark, places, tmp_path):
         "inventory": (484, 469, 15, 0.4),
         "transactions": (2008, 1979, 29, 0.2857),
     }
-    assert result.total("rows_loaded") == 2950
+    assert result.total("rows_loaded") == result.to_dict()["rows_loaded"] == 2950
+    assert result.to_dict()["duration_seconds"] > 0
     sales = Table(spark, f"{places.warehouse}/fact_sales").read()
     assert dict(sales.dtypes)["transaction_ts"] == "timestamp"
     assert sales.where("abs(revenue - quantity * unit_price) > 0").count() == 0
