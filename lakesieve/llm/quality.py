@@ -177,14 +177,14 @@ def score(df: DataFrame, model: QualityModel, text: str = "text", column: str =
     Null and empty texts have no features; their score is that of the bias alone.
     A column of the same name is replaced.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield sent.value.scores(texts)
+            yield QualityModel(*sent.value).scores(texts)
 
-    return df.withColumn(column, scored(F.col(text)))
+    return df.withColumn(column, scored(F.col(f"`{text}`")))
 
 
 def labelled_fold(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, simhash
+from . import bpe, decontaminate, language, quality, sharding, simhash, surrogates, toxicity
 from .common import in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,27 @@ SQL["op1_decontaminate"] = r"""
 """
 
 
+#: The key of the sample tables' surrogates; a real corpus needs a secret one.
+KEY = "sample key"
+
+
+@query
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every document with surrogates for personal data, and their number."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs, KEY)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, quality.labelled_fold(table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number and digest of every document's token ids, and the digest of what they decode to."""
@@ -73,6 +94,18 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", found.alias("d")).select("doc_id", "d.*")
 
 
+@query
+def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document; shards differ by one row at most."""
+    text = F.coalesce("text", F.lit(""))
+    keys = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    return sharding.interleave(keys).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every document and the component that near duplicates form."""
@@ -82,6 +115,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.fit(language.learnable(docs))
+    return language.identify(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learned from two thirds of the labels."""
