@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesieve.llm import bpe, decontaminate, quality, simhash
+from lakesieve.llm import bpe, decontaminate, quality, simhash, surrogates
 from lakesieve.llm.common import table
-from lakesieve.llm.queries import vocabulary_path
+from lakesieve.llm.queries import KEY, vocabulary_path
 from lakesieve.session import materialise
 
 
@@ -27,17 +27,26 @@ def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with surrogates for personal data, and the length of the new text."""
+    columns = docs.columns
+    found = surrogates.pseudonymise(docs, KEY)
+    changed = F.col("n_replaced") > 0
+    return found.withColumn("n_chars", F.when(changed, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids, and the digests of the ids and of the text they decode to."""
+    """Every document's token ids, their number, and the text they decode to."""
     path = vocabulary_path()
-    found = bpe.encode(docs.select("doc_id", "text"), path)
-    return found.withColumn("d", bpe.digests(found, path)).select("doc_id", "ids", "d.*")
+    encoded = bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids", F.size("ids").alias("n_tokens"))
+    return bpe.decode(encoded, path).withColumnRenamed("decoded", "text")
 
 
 STAGES = [
     ("quality", keep_good),
     ("near_duplicates", keep_one_copy),
     ("decontamination", keep_unseen),
+    ("private_data", replace_private),
     ("tokens", encode),
 ]
 

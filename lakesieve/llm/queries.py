@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, sharding, simhash, surrogates, toxicity
+from . import bpe, decontaminate, language, quality, sharding, simhash, substrings, surrogates, toxicity
 from .common import in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,13 @@ SQL["op1_decontaminate"] = r"""
 """
 
 
+@query
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with passages that another holds first, cut; and which documents keep them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.cut_repeats(docs)
+
+
 #: The key of the sample tables' surrogates; a real corpus needs a secret one.
 KEY = "sample key"
 
