@@ -139,21 +139,16 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return runs.where(F.col("stop") - F.col("start") >= span).drop("run")
 
 
-def cut_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
-    """The documents that repeat passages of others: ``df``'s columns, ``text`` without the passages.
-
-    ``passages`` lists what was cut, as ``(start, stop)`` in bytes of the whole text, and
-    ``first_ids`` the documents that keep it. Columns so named are replaced. Documents
-    without repeated passages are not in the result: they stay as they are.
-    """
-    columns = [c for c in df.columns if c not in ("passages", "first_ids")]
+def _cut(df: DataFrame, doc_id: str, text: str, span: int) -> DataFrame:
+    """``(row, passages, first_ids)``: the rows that change, with their text cut."""
     spans = repeated_passages(df, doc_id, text, span)
     spans = spans.groupBy("id", "of").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("passages"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("first_ids")))).alias("first_ids"),
     )
-    spans = spans.withColumnRenamed("of", "text of").withColumnRenamed("id", "text id")
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").alias("t"), F.col(f"`{doc_id}`").alias("id"))
+    spans = spans.withColumnsRenamed({"id": "cut id", "of": "cut of"})
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    rows = df.select(F.struct(*columns).alias("row"), F.col(f"`{text}`").alias("t"), F.col(f"`{doc_id}`").alias("id"))
 
     @F.pandas_udf("string")
     def kept(texts: pd.Series, passages: pd.Series) -> pd.Series:
@@ -164,17 +159,28 @@ def cut_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span:
                 parts.append(data[at : one["start"]])
                 at = one["stop"]
             out.append(b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
-        return pd.Series(out)
+        return pd.Series(out, dtype="object")
+
+    same = F.col("id").eqNullSafe(F.col("cut id")) & (F.xxhash64("t") == F.col("cut of"))
+    cut = rows.join(spans, same).withColumn("t", kept("t", "passages"))
+    changed = [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns]
+    return cut.select(F.struct(*changed).alias("row"), "passages", "first_ids")
 
-    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("text id")) & (F.xxhash64("t") == F.col("text of")))
-    out = [kept("t", "passages").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns]
-    return joined.select(*out, "passages", "first_ids")
+
+def cut_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
+    """The documents that repeat passages of others: ``df``'s columns, ``text`` without the passages.
+
+    ``passages`` lists what was cut, as ``(start, stop)`` in bytes of the whole text, and
+    ``first_ids`` the documents that keep it. Columns so named are replaced. Documents
+    without repeated passages are not in the result: they stay as they are.
+    """
+    own = [F.col("row").getField(c).alias(c) for c in df.columns if c not in ("passages", "first_ids")]
+    return _cut(df, doc_id, text, span).select(*own, "passages", "first_ids")
 
 
 def drop_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """All rows of ``df``, with ``text`` cut where ``cut_repeats`` cuts it."""
-    columns = df.columns
-    cut = materialise(cut_repeats(df, doc_id, text, span).select(F.struct(*[f"`{c}`" for c in columns]).alias("row"), F.lit(1).alias("n")), "cut")
-    spans = repeated_passages(df, doc_id, text, span).select(F.col("id").alias("cut id"), F.col("of").alias("cut of")).distinct()
+    spans = materialise(repeated_passages(df, doc_id, text, span).select("id", "of").distinct(), "cut")
+    spans = spans.withColumnsRenamed({"id": "cut id", "of": "cut of"})
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("cut id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("cut of"))
-    return df.join(spans, same, "left_anti").union(cut.select("row.*"))
+    return df.join(spans, same, "left_anti").union(_cut(df, doc_id, text, span).select("row.*"))
