@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, sharding, simhash, substrings, surrogates, toxicity
+from . import bpe, decontaminate, language, quality, search, sharding, simhash, substrings, surrogates, toxicity
 from .common import in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,20 +37,20 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op1_decontaminate"] = r"""
     with docs as (
         select distinct doc_id, text,
-               list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w != '') as w
+               list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w != '') as w
         from documents where text is not null),
     items as (
         select distinct item_id, text,
-               list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w != '') as w
+               list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w != '') as w
         from benchmark where text is not null),
     held as (
         select distinct doc_id, text, unnest(case when len(w) >= 5
-            then list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i+4], 'string_agg', ' '))
+            then list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
             when len(w) > 0 then [list_aggregate(w, 'string_agg', ' ')] else [] end) as shingle
         from docs),
     asked as (
         select distinct item_id, text, unnest(case when len(w) >= 5
-            then list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i+4], 'string_agg', ' '))
+            then list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
             when len(w) > 0 then [list_aggregate(w, 'string_agg', ' ')] else [] end) as shingle
         from items),
     sizes as (select item_id, text, count(*) as size from asked group by all),
@@ -101,6 +101,33 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", found.alias("d")).select("doc_id", "d.*")
 
 
+@query
+def op6_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 50, by BM25."""
+    return search.top_k(table(spark, sf_dir, "documents"), "doc_id % 50 = 0")
+
+
+SQL["op6_search"] = r"""
+    with words as (
+        select doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w != '')) as word
+        from documents),
+    facts as (select count(*) as n, sum(length) / count(*) as mean from (
+        select doc_id, count(*) filter (word is not null) as length from documents left join words using (doc_id) group by doc_id)),
+    lengths as (select doc_id, count(*) as length from words group by doc_id),
+    counts as (select doc_id, word, count(*) as tf from words group by doc_id, word),
+    frequencies as (select word, count(*) as df from counts group by word),
+    scores as (
+        select q.doc_id as query_id, c.doc_id,
+               round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * c.tf * 2.2 / (c.tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) as score
+        from counts q join counts c on q.word = c.word join frequencies f on f.word = c.word
+        join lengths l on l.doc_id = c.doc_id, facts
+        where q.doc_id % 50 = 0 group by q.doc_id, c.doc_id)
+    select query_id, cast(rank as int) as rank, doc_id, score from (
+        select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scores)
+    where rank <= 10
+"""
+
+
 @query
 def op7_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and slot of every document; shards differ by one row at most."""
