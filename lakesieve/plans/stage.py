@@ -184,7 +184,7 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
         df = apply_steps(df, stage.steps)
     strategy = "full" if full_refresh else stage.load_strategy
     table = Table(spark, f"{places.warehouse.rstrip('/')}/{stage.table}")
-    loaded = table.load(df.drop(ROW), strategy, stage.incremental_key, version=run_id)
+    loaded = table.load(df.drop(ROW), strategy, stage.incremental_key, version=f"{run_id}/{stage.name}")
     extracted = report.row_count if report else data.count()
 
     for note in notes:

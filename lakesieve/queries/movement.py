@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from xml.sax.saxutils import escape
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rules import RuleSet
-from ..plans.stage import Stage
+from ..plans.stage import Stage, run_pipeline
 from ..session import fresh_path, small_frame
 from ..sinks.tables import Table
 from ..sources import Source, api_pages, extract
-from ..sources.files import read_csv, read_json, watermark
-from ..sources.workbooks import parse_workbooks
+from ..sources.files import read_csv, read_json, watermark_row
 from ..streaming.ingest import ingest_files
 from .base import query, table
 from .quality import fresh_places
@@ -88,62 +82,9 @@ def src_incremental(spark, sf):
 
 @query("select epoch_us(max(o_orderdate)) as watermark_us from orders")
 def watermark_max(spark, sf):
-    orders = table(spark, sf, "orders")
-    newest = watermark(orders, "o_orderdate")
-    since = F.lit(str(newest)).cast("timestamp_ntz")
-    rows = orders.where(F.col("o_orderdate") >= since).select("o_orderdate").distinct()
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), "o_orderdate")
-    return rows.select(micros.alias("watermark_us"))
-
-
-# -- workbooks ------------------------------------------------------------------------------
-
-
-def workbook(rows: pd.DataFrame) -> bytes:
-    """A minimal workbook with a header row; numbers as numbers, the rest inline."""
-
-    def cell(value) -> str:
-        if isinstance(value, str):
-            return f'<c t="inlineStr"><is><t>{escape(value)}</t></is></c>'
-        return f"<c><v>{value!r}</v></c>"
-
-    lines = [list(rows.columns), *rows.astype(object).values.tolist()]
-    body = "".join(f"<row>{''.join(map(cell, line))}</row>" for line in lines)
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    parts = {
-        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets>'
-        '<sheet name="data" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/'
-        'package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/>'
-        "</Relationships>",
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData>'
-        "</worksheet>",
-    }
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in parts.items():
-            book.writestr(name, f'<?xml version="1.0" encoding="UTF-8"?>{text}')
-    return buffer.getvalue()
-
-
-def as_workbooks(df: DataFrame, chunk: str) -> DataFrame:
-    """Pack rows into workbooks, one per value of ``chunk``, as a folder scan would give them."""
-
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        content = workbook(rows.drop(columns=["_chunk"]))
-        return pd.DataFrame({"path": [f"book-{key[0]}.xlsx"], "content": [content]})
-
-    chunked = df.withColumn("_chunk", F.expr(chunk))
-    return chunked.groupBy("_chunk").applyInPandas(pack, "path string, content binary")
-
-
-@query("""
-    select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal from customer
-""")
-def src_workbooks(spark, sf):
-    customers = table(spark, sf, "customer").drop("c_mktsegment")
-    return parse_workbooks(as_workbooks(customers, "floor(c_custkey / 500)"), "data")
+    newest = watermark_row(table(spark, sf, "orders"), "o_orderdate")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), "watermark")
+    return newest.select(micros.alias("watermark_us"))
 
 
 # -- landed API pages -----------------------------------------------------------------------
@@ -178,10 +119,10 @@ def api_pages_to_records(spark, sf):
       select event_type as feed, event_id // 500 + 1 as page,
         count(*) filter (where (event_id // 500 * 7 + length(event_type)) % 23 <> 0) as n
       from events group by all),
-    stops as (select feed, min(page) filter (where n = 0) as stop, min(page) as first
+    stops as (select feed, min(page) filter (where n = 0) as stop
       from pages group by feed)
     select feed, page from pages join stops using (feed)
-    where (stop is null or page <= stop) and page < first + 1000
+    where stop is null or page <= stop
 """)
 def api_page_cutoff(spark, sf):
     keep = "(floor(event_id / 500) * 7 + length(event_type)) % 23 <> 0"
@@ -245,6 +186,53 @@ def load_counts(spark, sf):
     return small_frame(spark, rows, "strategy string, rows_loaded bigint")
 
 
+def _numbers(spark, sf, low: int, high: int, label: str) -> DataFrame:
+    """Orders with a key in a range; every ninth has none."""
+    orders = table(spark, sf, "orders").where(F.col("o_orderkey").between(low, high))
+    key = F.expr("case when o_orderkey % 9 = 0 then null else o_orderkey end")
+    return orders.select(key.alias("k"), F.lit(label).alias("loaded_by"))
+
+
+@query("""
+    select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'one' as loaded_by
+    from orders where o_orderkey between 1 and 500
+    union all
+    select case when o_orderkey % 9 = 0 then null else o_orderkey end, 'two'
+    from orders where o_orderkey between 501 and 1200
+""")
+def load_two_stages(spark, sf):
+    """Two incremental stages of one run into one table; both loads stay."""
+    places = fresh_places(spark)
+    stages = [
+        Stage(label, _numbers(spark, sf, low, high, label), target_table="t", load_strategy="incremental")
+        for label, low, high in (("one", 1, 500), ("two", 501, 1200))
+    ]
+    run_pipeline(spark, "pair", stages, places, run_id="r1")
+    return Table(spark, f"{places.warehouse}/t").read()
+
+
+@query("""
+    with a as (select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'first' as loaded_by
+      from orders where o_orderkey between 1 and 500),
+    b as (select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'second' as loaded_by
+      from orders where o_orderkey between 400 and 1200)
+    select 'append' as strategy, * from (select * from a union all select * from b)
+    union all
+    select 'upsert', * from (select * from a union all
+      select * from b where k is null or k not in (select k from a where k is not null))
+""")
+def load_replayed(spark, sf):
+    """Three loads, the last under the first one's version: it takes that one's place."""
+    first, second = _numbers(spark, sf, 1, 500, "first"), _numbers(spark, sf, 400, 1200, "second")
+    results = []
+    for strategy, key in (("append", None), ("upsert", "k")):
+        target = Table(spark, fresh_path(spark, "table"))
+        for rows, version in ((first, "r1"), (second, "r2"), (first, "r1")):
+            target.load(rows, "incremental", key, version)
+        results.append(target.read().select(F.lit(strategy).alias("strategy"), "k", "loaded_by"))
+    return results[0].union(results[1])
+
+
 # -- streaming ------------------------------------------------------------------------------
 
 EVENT_RULES = RuleSet.of("events", [

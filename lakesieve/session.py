@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 #: Name of the hidden row-position column used where "first row" has a meaning.
 ROW = "_row"
 
-#: Rows from which it pays to spread a scan that occupies few cores.
-SPREAD_ROWS = 100_000
-
 
 def build_session(app: str = "lakesieve", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC timestamps."""
@@ -94,24 +91,6 @@ def landed(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     return numbered, read_parquet(spark, path, schema=df.schema)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Write the rows of a scan that occupies few cores once more, over all of them.
-
-    ``df`` carries ``_row``, which is kept.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return materialise(df.repartition(cores, ROW), "spread")
-
-
-def occupies_few_cores(df: DataFrame) -> bool:
-    """Whether a scan of many rows runs in few tasks.
-
-    A file of one row group, for example, is read by one task in every pass.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return 2 * df.rdd.getNumPartitions() <= cores and df.count() >= SPREAD_ROWS
-
-
 def read_parquet(spark: SparkSession, path, schema=None, row_id: bool = False) -> DataFrame:
     """Scan Parquet; ``row_id`` adds ``_row``, the row's file and position in it.
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import column
 from ..operators.split import VIOLATIONS
 from ..session import small_frame
+from ..storage import exists
 from .tables import counted_write
 
 REASON, AT = "_quarantine_reason", "_quarantined_at"
@@ -57,12 +57,7 @@ def quarantine_path(root: str, pipeline: str, stage: str, run_id: str) -> str:
 def quarantine_summary(spark: SparkSession, root: str) -> DataFrame:
     """Rows per pipeline, stage and run, from file footers and folder names alone."""
     schema = ", ".join(f"{p} string" for p in PARTITIONS)
-    try:
-        stored = spark.read.schema(schema).parquet(root)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        stored = small_frame(spark, [], schema)
+    stored = spark.read.schema(schema).parquet(root) if exists(spark, root) else small_frame(spark, [], schema)
     names = [F.col(p).alias(n) for p, n in zip(PARTITIONS, ("pipeline_name", "stage_name", "run_id"))]
     return stored.groupBy(*names).agg(F.count("*").alias("row_count"))
 

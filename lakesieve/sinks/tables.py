@@ -1,12 +1,17 @@
 """Loading into plain Parquet tables: replace, keyed upsert, append.
 
 A table is a folder of immutable segments plus a manifest naming the segments
-that make up its current state. A load writes its segments first and publishes
-them with one manifest entry last, so readers see all of a load or nothing.
-An upsert rewrites only the segments that hold a key of the batch.
+that make up its current state. Every attempt of a load writes into a folder of
+its own, and publishes it with one manifest entry last, so readers see all of a
+load or nothing, and no file that a manifest names is ever overwritten. An upsert
+rewrites only the segments that hold a key of the batch.
 
-One writer per table at a time. Loading again under the same version replaces
-what that version did before, so a retried or replayed load is not applied twice.
+Each segment remembers the version whose rows it holds. Loading under a version
+again, however many others came in between, takes the place of what that version
+loaded before, so a retried or replayed load is not applied twice.
+
+One writer per table at a time. Only the newest manifest entry is read. ``compact``
+merges segments and ``vacuum`` removes what old entries alone name.
 """
 
 from __future__ import annotations
@@ -15,19 +20,22 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import column
 from ..session import materialise, small_frame
+from ..storage import delete, names
 
 MANIFEST_SCHEMA = (
     "seq bigint, version string, strategy string, rows bigint, "
-    "segments array<string>, columns string"
+    "segments array<struct<version:string,name:string>>, columns string"
 )
 
+#: The folders of an upsert's rewritten segments.
+PART = "__part"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -69,32 +77,27 @@ class Table:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def state(self, without_version: str | None = None) -> Row | None:
+    def state(self) -> Row | None:
         """The newest manifest entry; None for a table that was never loaded."""
-        try:
-            entries = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/_manifest/*")
-            if without_version:
-                entries = entries.where(F.col("version") != without_version)
-            return entries.orderBy(F.col("seq").desc()).first()
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc):
-                return None
-            raise
+        entries = names(self.spark, f"{self.path}/_manifest")
+        if not entries:
+            return None
+        return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/_manifest/{entries[-1]}").first()
 
     def exists(self) -> bool:
         return self.state() is not None
 
-    def _segments(self, names, schema: T.StructType) -> DataFrame:
-        if not names:
+    def _segments(self, segments: list[str], schema: T.StructType) -> DataFrame:
+        if not segments:
             empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
             return self.spark.range(0).select(*empty)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in names])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{n}" for n in segments])
 
     def read(self) -> DataFrame:
         state = self.state()
         if state is None:
             raise FileNotFoundError(f"{self.path} was never loaded")
-        return self._segments(state["segments"], _stored_schema(state))
+        return self._segments([s["name"] for s in state["segments"]], _stored_schema(state))
 
     def load(
         self,
@@ -107,24 +110,46 @@ class Table:
         ``key``, or appends when there is no key, no such column or no table yet."""
         if strategy not in ("full", "incremental"):
             raise ValueError(f"Unknown load strategy: {strategy}")
-        version = version or uuid.uuid4().hex
-        base = self.state(without_version=version)
+        attempt = uuid.uuid4().hex
+        version = version or attempt
+        base = self.state()
         fresh = strategy == "full" or base is None
         schema = df.schema if fresh else _stored_schema(base)
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
         if not fresh:
             df = self._fitted(df, schema)
-        batch_name = f"segments/{version}/batch"
-        rows = counted_write(df, lambda d: self._write(d, batch_name))
-        segments = [batch_name]
-        if not fresh:
-            kept = list(base["segments"])
-            if key and key in df.columns:
-                kept = self._delete_keys(kept, schema, key, version)
-            segments = [*kept, batch_name]
-        self._publish(base, version, strategy, rows, segments, schema)
+        batch = f"segments/{attempt}/batch"
+        rows = counted_write(df, lambda d: self._write(d, batch))
+        kept = [] if fresh else [(s["version"], s["name"]) for s in base["segments"] if s["version"] != version]
+        if key and key in df.columns:
+            kept = self._delete_keys(kept, schema, key, attempt)
+        self._publish(base, version, strategy, rows, [*kept, (version, batch)], schema)
         return LoadResult(self.path, strategy, rows, version)
 
+    def compact(self) -> None:
+        """Write the current rows as one segment. Versions before can no longer be replayed."""
+        state = self.state()
+        if state is None or len(state["segments"]) < 2:
+            return
+        attempt = uuid.uuid4().hex
+        rows = counted_write(self.read(), lambda d: self._write(d, f"segments/{attempt}/batch"))
+        segments = [(attempt, f"segments/{attempt}/batch")]
+        self._publish(state, attempt, "compact", rows, segments, _stored_schema(state))
+
+    def vacuum(self, keep: int = 10) -> None:
+        """Remove all but the newest ``keep`` manifest entries, and segments none of these names.
+
+        Whoever still reads a state older than these loses its files.
+        """
+        entries = names(self.spark, f"{self.path}/_manifest")
+        for entry in entries[:-keep]:
+            delete(self.spark, f"{self.path}/_manifest/{entry}")
+        left = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/_manifest/*")
+        attempt = F.split(F.col("s.name"), "/")[1]
+        named = {r[0] for r in left.select(F.explode("segments").alias("s")).select(attempt).distinct().collect()}
+        for folder in set(names(self.spark, f"{self.path}/segments")) - named:
+            delete(self.spark, f"{self.path}/segments/{folder}")
+
     def _fitted(self, df: DataFrame, schema: T.StructType) -> DataFrame:
         """The batch in the table's column order and types; absent columns are null."""
         extra = [c for c in df.columns if c not in schema.names]
@@ -132,34 +157,47 @@ class Table:
             raise ValueError(f"{self.path} has no columns {extra}")
         return df.to(schema)
 
-    def _delete_keys(self, names, schema, key: str, version: str) -> list[str]:
+    def _delete_keys(self, kept, schema, key: str, attempt: str) -> list[tuple[str, str]]:
         """Segments without the batch's keys; those that hold none stay as they are."""
-        batch = self._segments([f"segments/{version}/batch"], schema)
+        batch = self._segments([f"segments/{attempt}/batch"], schema)
         keys = materialise(batch.select(column(key)).dropna().distinct(), "keys")
         low, high = keys.agg(F.min(column(key)), F.max(column(key))).first()
-        if low is None:
-            return names
-        folder = F.regexp_extract("_metadata.file_path", r"(segments/[^/]+/[^/]+)/[^/]+$", 1)
-        stored = self._segments(names, schema).select(column(key), folder.alias("_segment"))
+        if low is None or not kept:
+            return kept
+        folder = F.regexp_extract("_metadata.file_path", r"(segments/.+)/[^/]+$", 1)
+        stored = self._segments([name for _, name in kept], schema)
         # The range of the batch's keys lets the scan skip row groups by their statistics.
-        near = stored.where(column(key).between(F.lit(low), F.lit(high)))
+        near = stored.select(column(key), folder.alias("_segment")).where(column(key).between(F.lit(low), F.lit(high)))
         hit = near.join(keys, key, "left_semi").select("_segment").distinct()
         # As many names as the table has segments.
         touched = {row["_segment"] for row in hit.collect()}
         if not touched:
-            return names
-        old = self._segments([n for n in names if n in touched], schema)
-        self._write(old.join(keys, key, "left_anti"), f"segments/{version}/kept")
-        return [n for n in names if n not in touched] + [f"segments/{version}/kept"]
+            return kept
+        # Every segment is rewritten into one of its own, so that it stays its version's.
+        number = {name: i for i, name in enumerate(sorted(touched))}
+        numbered = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
+        old = self._segments(list(number), schema).withColumn(PART, F.element_at(numbered, folder))
+        old.join(keys, key, "left_anti").write.partitionBy(PART).parquet(f"{self.path}/segments/{attempt}/kept")
+        written = set(names(self.spark, f"{self.path}/segments/{attempt}/kept"))
+        segments = []
+        for version, name in kept:
+            part = f"{PART}={number.get(name)}"
+            if name not in touched:
+                segments.append((version, name))
+            elif part in written:
+                segments.append((version, f"segments/{attempt}/kept/{part}"))
+        return segments
 
     def _write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        df.write.parquet(f"{self.path}/{name}")
 
     def _publish(self, base, version, strategy, rows, segments, schema) -> None:
         seq = 0 if base is None else base["seq"] + 1
+        listed = [{"version": v, "name": n} for v, n in segments]
         entry = {"seq": seq, "version": version, "strategy": strategy, "rows": rows,
-                 "segments": segments, "columns": schema.json()}
-        small_frame(self.spark, [entry], MANIFEST_SCHEMA).write.mode("overwrite").json(f"{self.path}/_manifest/{version}")
+                 "segments": listed, "columns": schema.json()}
+        path = f"{self.path}/_manifest/{seq:012d}"
+        small_frame(self.spark, [entry], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
 
 
 def _stored_schema(state: Row) -> T.StructType:

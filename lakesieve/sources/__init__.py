@@ -9,8 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import normalise_missing
-from ..session import ROW, landed, materialise, occupies_few_cores, read_parquet, spread
-from . import api_pages, files, jdbc, workbooks
+from ..session import ROW, landed, materialise, read_parquet
+from . import api_pages, files, jdbc
 
 #: ``(spark, options, since) -> DataFrame``
 Reader = Callable[[SparkSession, Mapping[str, Any], Any], DataFrame]
@@ -44,13 +44,6 @@ def _parquet(spark: SparkSession, options: Mapping[str, Any], since: Any) -> Dat
     return normalise_missing(files.newer_than(df, options.get("incremental_key"), since))
 
 
-def _excel(spark: SparkSession, options: Mapping[str, Any], since: Any) -> DataFrame:
-    df = workbooks.read_workbooks(
-        spark, options["path"], options.get("sheet_name", 0), options.get("schema")
-    )
-    return files.newer_than(df, options.get("incremental_key"), since)
-
-
 def _database(kind: str) -> Reader:
     return lambda spark, options, since: normalise_missing(
         jdbc.read_jdbc(spark, kind, options, since)
@@ -63,10 +56,10 @@ def _api_pages(spark: SparkSession, options: Mapping[str, Any], since: Any) -> D
     path, feed = options.get("records_path"), options.get("feed")
     pages = api_pages.cut_pages(
         pages,
-        options.get("pagination", {"type": "none"}),
+        options.get("pagination"),
         path,
         feed=feed,
-        max_pages=options.get("max_pages", api_pages.MAX_PAGES),
+        max_pages=options.get("max_pages"),
     )
     df = api_pages.pages_to_records(pages, path, layout=options.get("layout"))
     return files.newer_than(df, options.get("incremental_key"), since)
@@ -75,7 +68,6 @@ def _api_pages(spark: SparkSession, options: Mapping[str, Any], since: Any) -> D
 READERS: dict[str, Reader] = {
     "csv": _files("csv"),
     "json": _files("json"),
-    "excel": _excel,
     "parquet": _parquet,
     "postgresql": _database("postgresql"),
     "mysql": _database("mysql"),
@@ -100,18 +92,13 @@ def extract_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`extract`, ready for several passes: with ``_row``, and without.
 
-    Parquet is scanned where it lies, unless the scan cannot use the cores there
-    are. Anything else is read once and landed as Parquet, so text is parsed,
-    and databases are queried, a single time.
+    Parquet is scanned where it lies. Anything else is read once and landed as
+    Parquet, so text is parsed, and databases are queried, a single time.
     """
     numbered = Source(source.name, source.type, {**source.options, "row_id": True})
     if source.type == "parquet":
-        plain = extract(spark, source, since)
-        rows = extract(spark, numbered, since)
-        if not occupies_few_cores(plain):
-            return rows, plain
-        rows = spread(rows)
-    elif source.type == "csv" and not source.options.get("schema"):
+        return extract(spark, numbered, since), extract(spark, source, since)
+    if source.type == "csv" and not source.options.get("schema"):
         # The text is parsed once; types are found in, and applied to, the landed columns.
         texts = Source(source.name, "csv", {**numbered.options, "infer": False})
         rows = files.infer_types(materialise(extract(spark, texts, since), "landed"))

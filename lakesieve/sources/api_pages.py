@@ -18,9 +18,6 @@ from ..functions.json_path import dig
 from ..session import materialise
 from .files import flatten
 
-#: Pages fetched at most, unless the source says otherwise.
-MAX_PAGES = 1000
-
 # JSON texts that count as "nothing there".
 EMPTY_JSON = ["{}", "[]", '""', "0", "0.0", "-0", "false", "null"]
 
@@ -44,20 +41,25 @@ def parsed(pages: DataFrame, body: str = "body") -> DataFrame:
 
 def cut_pages(
     pages: DataFrame,
-    pagination: Mapping[str, Any],
+    pagination: Mapping[str, Any] | None = None,
     records_path: str | None = None,
     page: str = "page",
     body: str = "body",
     feed: str | None = None,
-    max_pages: int | None = MAX_PAGES,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Keep the pages a client walking through the source would have fetched.
 
-    It stops after the first page without records, and also after the first
+    Without ``pagination`` every landed page is kept. Otherwise the walk stops after the first page without records, and also after the first
     short page (``offset``), the first page without a next cursor (``cursor``)
     or the very first page (``none``). ``feed`` names a column separating
-    independent sources.
+    independent sources; ``max_pages`` limits each source if a caller names a limit.
     """
+    number = column(page)
+    if pagination is None:
+        if max_pages is None:
+            return pages
+        pagination = {"type": "all"}
     kind = pagination.get("type", "none")
     size = F.size(records_in(F.col("_body"), records_path))
     stop = size == 0
@@ -68,9 +70,10 @@ def cut_pages(
     elif kind == "cursor":
         cursor = dig(F.col("_body"), pagination.get("next_cursor_path"))
         stop = stop | ~something(cursor)
+    elif kind == "all":
+        stop = F.lit(None).cast("boolean")
     elif kind != "page":
         raise ValueError(f"Unknown pagination type '{kind}'")
-    number = column(page)
     bounds = [
         F.min(number).alias("_first"),
         F.min(F.when(stop, number)).alias("_stop"),

@@ -243,6 +243,11 @@ def newer_than(df: DataFrame, key: str | None, since: Any) -> DataFrame:
     return df.where(column(key).try_cast("timestamp") > F.lit(str(since)).cast("timestamp"))
 
 
+def watermark_row(df: DataFrame, key: str) -> DataFrame:
+    """The newest key of a loaded table, as the one row of ``watermark``."""
+    return df.agg(F.max(column(key)).alias("watermark"))
+
+
 def watermark(df: DataFrame, key: str) -> Any:
     """The newest key of a loaded table, to pass as ``since`` next time."""
-    return df.agg(F.max(column(key))).first()[0]
+    return watermark_row(df, key).first()[0]

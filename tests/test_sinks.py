@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from conftest import rows_of
 
-from lakesieve import Table
+from lakesieve import Table, storage
 from lakesieve.sinks import quarantine
 from lakesieve.sinks.tables import merge_by_key
 
@@ -68,7 +68,8 @@ def test_untouched_segments_are_not_rewritten(target, frame):
     target.load(frame("id int", (3,), (4,)), "incremental", "id", version="v2")
     target.load(frame("id int", (4,), (5,)), "incremental", "id", version="v3")
     segments = target.state()["segments"]
-    assert segments == ["segments/v1/batch", "segments/v3/kept", "segments/v3/batch"]
+    assert [s["version"] for s in segments] == ["v1", "v2", "v3"]
+    assert [s["name"].split("/", 2)[2].split("=")[0] for s in segments] == ["batch", "kept/__part", "batch"]
     assert rows_of(target.read()) == [(1,), (2,), (3,), (4,), (5,)]
 
 
@@ -92,6 +93,44 @@ def test_a_repeated_load_is_applied_once(target, frame):
     assert rows_of(target.read()) == [(1, 3), (2, 2)]
 
 
+@pytest.mark.parametrize("key", [None, "id"])
+def test_an_older_load_again_takes_its_own_place(target, frame, key):
+    first = frame("id int, v string", (1, "a"), (2, "a"), (None, "a"), (None, "a"), (5, "a"))
+    second = frame("id int, v string", (11, "b"), (12, "b"), (13, "b"), (14, "b"), (15, "b"), (None, "b"), (17, "b"))
+    for rows, version in ((first, "r1"), (second, "r2"), (first, "r1"), (second, "r2"), (first, "r1")):
+        target.load(rows, "incremental", key, version)
+    assert rows_of(target.read()) == rows_of(first.union(second))
+
+
+def test_rewritten_segments_stay_their_versions(target, frame):
+    target.load(frame("id int, v string", (1, "a"), (2, "a"), (3, "a")), "incremental", "id", "r1")
+    target.load(frame("id int, v string", (3, "b"), (4, "b")), "incremental", "id", "r2")
+    assert rows_of(target.read()) == [(1, "a"), (2, "a"), (3, "b"), (4, "b")]
+    target.load(frame("id int, v string", (9, "a")), "incremental", "id", "r1")
+    assert rows_of(target.read()) == [(3, "b"), (4, "b"), (9, "a")]
+
+
+def test_a_retry_does_not_disturb_readers(target, frame):
+    target.load(frame("id int", (1,), (2,)), version="a")
+    before = target.read()
+    target.load(frame("id int", (1,), (2,), (3,)), version="a")
+    target.load(frame("id int", (2,)), "incremental", "id", version="b")
+    assert rows_of(before) == [(1,), (2,)]
+
+
+def test_compact_and_vacuum(target, frame, spark):
+    for i in range(5):
+        target.load(frame("id int", (i,), (i + 1,)), "incremental", "id", version=str(i))
+    rows = rows_of(target.read())
+    target.compact()
+    assert len(target.state()["segments"]) == 1 and rows_of(target.read()) == rows
+    target.vacuum(keep=1)
+    assert storage.names(spark, f"{target.path}/_manifest") == [f"{5:012d}"]
+    assert len(storage.names(spark, f"{target.path}/segments")) == 1 and rows_of(target.read()) == rows
+    target.load(frame("id int", (9,)), "incremental")
+    assert len(rows_of(target.read())) == len(rows) + 1
+
+
 def test_empty_loads(target, frame):
     assert target.load(frame("id int")).rows_loaded == 0
     assert target.read().count() == 0

@@ -7,12 +7,10 @@ import pytest
 from conftest import rows_of
 
 from lakesieve import Source, extract, register_source
-from lakesieve.queries.movement import workbook
 from lakesieve.session import ROW
 from lakesieve.sources import READERS, api_pages, extract_rows
 from lakesieve.sources.files import infer_types, read_csv, read_json
 from lakesieve.sources.jdbc import jdbc_url, reader_options
-from lakesieve.sources.workbooks import read_workbooks, workbook_rows
 
 
 @pytest.fixture
@@ -225,47 +223,3 @@ def test_landed_pages_as_a_source(spark, pages, folder):
     source = Source("api", "api_pages", options)
     assert ids(extract(spark, source)) == [1, 2]
     assert ids(extract(spark, source, since="2024-01-15")) == [2]
-
-
-# -- workbooks ------------------------------------------------------------------------------
-
-
-def test_workbooks_are_united(spark, write, tmp_path):
-    write("w/a.xlsx", workbook(pd.DataFrame({"id": [1, 2], "name": ["x <&>", "NA"]})))
-    write("w/b.xlsx", workbook(pd.DataFrame({"id": [3], "price": [2.5]})))
-    df = read_workbooks(spark, str(tmp_path / "w" / "*.xlsx"))
-    assert rows_of(df, "id", "name", "price") == [(1, "x <&>", None), (2, None, None), (3, None, 2.5)]
-    declared = read_workbooks(spark, str(tmp_path / "w"), "data", schema="id double, name string")
-    assert dict(declared.dtypes) == {"id": "double", "name": "string"}
-
-
-def test_workbook_cells(spark):
-    import io
-    import zipfile
-
-    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    parts = {
-        "xl/workbook.xml": f'<workbook {main} xmlns:r="{office}"><sheets>'
-        '<sheet name="one" r:id="r1"/><sheet name="two" r:id="r2"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="r1" Target="/xl/s1.xml"/>'
-        '<Relationship Id="r2" Target="s2.xml"/></Relationships>',
-        "xl/sharedStrings.xml": f"<sst {main}><si><t>a</t></si><si><r><t>b</t></r><r><t>c</t></r></si></sst>",
-        "xl/styles.xml": f'<styleSheet {main}><numFmts><numFmt numFmtId="170" formatCode="yyyy/mm"/>'
-        '</numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/></cellXfs></styleSheet>',
-        "xl/s1.xml": f"<worksheet {main}><sheetData/></worksheet>",
-        "xl/s2.xml": f'<worksheet {main}><sheetData><row><c r="A1" t="s"><v>0</v></c>'
-        '<c r="C1" t="s"><v>1</v></c></row><row><c r="B2" t="b"><v>1</v></c>'
-        '<c r="C2" s="1"><v>45292</v></c><c r="D2" s="2"><v>45292.5</v></c></row></sheetData></worksheet>',
-    }
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as book:
-        for name, text in parts.items():
-            book.writestr(name, text)
-    assert list(workbook_rows(buffer.getvalue(), "two")) == [
-        ["a", None, "bc"], [None, "true", "2024-01-01 00:00:00", "2024-01-01 12:00:00"]]
-    assert list(workbook_rows(buffer.getvalue(), 0)) == []
-
-
-def test_inference_of_nothing(frame):
-    assert infer_types(frame("a string")).dtypes == [("a", "double")]
