@@ -119,7 +119,8 @@ def fitting_literals(values: Iterable, dtype: T.DataType) -> list:
     if isinstance(dtype, T.BooleanType):
         return [v for v in values if v in (0, 1) and not isinstance(v, str)]
     if isinstance(dtype, (*_WHOLE, *_FLOATS, T.DecimalType)):
-        return [v for v in values if isinstance(v, (int, float))]
+        # True and False are the numbers one and zero
+        return [int(v) if isinstance(v, bool) else v for v in values if isinstance(v, (int, float))]
     return list(values)
 
 

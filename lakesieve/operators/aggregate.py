@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import column, column_type, normalise_missing
 from ..session import ROW
-from .quantiles import BUFFER_ROWS, buffered, largest_group, ranked_quantiles
+from .quantiles import ranked_quantiles
 
 
 def _truth(value: Column, dtype: T.DataType) -> Column:
@@ -43,7 +43,6 @@ FUNCTIONS: dict[str, Callable[[Column, T.DataType], Column]] = {
     "count": lambda v, t: F.count(v),
     "size": lambda v, t: F.count(F.lit(1)),
     "nunique": lambda v, t: F.count_distinct(v),
-    "median": lambda v, t: buffered(v, 0.5),
     "std": lambda v, t: F.stddev_samp(v),
     "var": lambda v, t: F.var_samp(v),
     "sem": lambda v, t: F.stddev_samp(v) / F.sqrt(F.count(v)),
@@ -53,6 +52,9 @@ FUNCTIONS: dict[str, Callable[[Column, T.DataType], Column]] = {
     "all": lambda v, t: F.coalesce(F.bool_and(_truth(v, t)), F.lit(True)),
 }
 
+#: Ranked apart: a group's values are never gathered in one buffer.
+MEDIAN = "median"
+
 #: Functions that depend on row order.
 ORDERED = {"first": F.min_by, "last": F.max_by}
 
@@ -71,17 +73,15 @@ def aggregate(
             wanted[name] = (name, functions)
         else:
             wanted.update({f"{name}_{f}": (name, f) for f in functions})
-    unknown = {f for _, f in wanted.values()} - FUNCTIONS.keys() - ORDERED.keys()
+    unknown = {f for _, f in wanted.values()} - FUNCTIONS.keys() - ORDERED.keys() - {MEDIAN}
     if unknown:
         raise ValueError(f"Unknown aggregate functions: {sorted(unknown)}")
     df = normalise_missing(df).dropna(subset=keys)
 
-    medians = {out: name for out, (name, f) in wanted.items() if f == "median"}
-    # A buffer per group is safe only while the largest group is known to be small.
-    ranked = bool(medians) and largest_group(df, keys) > BUFFER_ROWS
+    medians = {out: name for out, (name, f) in wanted.items() if f == MEDIAN}
     aggregates = []
     for out, (name, function) in wanted.items():
-        if ranked and out in medians:
+        if out in medians:
             continue
         value, dtype = column(name), column_type(df, name)
         if function in ORDERED:
@@ -94,7 +94,7 @@ def aggregate(
             aggregates.append(FUNCTIONS[function](value, dtype).alias(out))
     grouped = df.groupBy(*[column(k) for k in keys])
     result = grouped.agg(*aggregates) if aggregates else df.select(*map(column, keys)).distinct()
-    if not ranked:
+    if not medians:
         return result
     for out, name in medians.items():
         found = ranked_quantiles(df, column(name), {out: 0.5}, keys)

@@ -168,6 +168,8 @@ def not_null(df: DataFrame, rule: Expectation) -> Check:
 
 def unique(df: DataFrame, rule: Expectation) -> Check:
     """No two rows share the key; as a primary key, no key part is missing either."""
+    if not rule.columns:
+        raise InvalidExpectation("No columns provided for uniqueness rule")
     present = present_columns(df, rule)
     absent = missing_columns(df, rule)
     primary = bool(rule.param("primary_key"))
@@ -297,18 +299,22 @@ def freshness(df: DataFrame, rule: Expectation) -> Check:
     if name is None or name not in df.columns:
         raise InvalidExpectation("Freshness column missing or empty", {"column": name})
     reference = rule.param("reference", "now")
+    utc = dt.timezone.utc
+    given = None
+    if reference != "now":
+        try:
+            given = dt.datetime.fromisoformat(str(reference))
+        except ValueError as exc:
+            raise InvalidExpectation("Freshness reference is no time", {"reference": str(reference)}) from exc
+        given = given if given.tzinfo else given.replace(tzinfo=utc)
 
     def judge(facts: Mapping[str, Any]) -> Judgement:
         if facts["latest"] is None:
             text = "No valid timestamps" if facts["rows"] else "Freshness column missing or empty"
             return False, {"column": name}, text
-        utc = dt.timezone.utc
         epoch = dt.datetime(1970, 1, 1, tzinfo=utc)
         latest = epoch + dt.timedelta(microseconds=facts["latest"])
-        now = dt.datetime.now(utc)
-        if reference != "now":
-            now = dt.datetime.fromisoformat(str(reference))
-            now = now if now.tzinfo else now.replace(tzinfo=utc)
+        now = given or dt.datetime.now(utc)
         age = (now - latest).total_seconds() / 3600.0
         observed = {
             "latest": str(latest.replace(tzinfo=None)),

@@ -1,24 +1,15 @@
-"""Exact quantiles with linear interpolation, at any size.
+"""Exact quantiles with linear interpolation, at any size, by one way.
 
-Spark's ``percentile`` keeps every distinct value of a group in one buffer, so
-it is used only where the number of values is known to be small.
-
-Whole columns: an approximate sketch brackets each wanted rank, counting tells
-how many values lie below and inside the bracket, and this repeats until the
-bracket is small enough for the exact aggregate. Every step is one scan with a
-fixed-size result; 10,000 times fewer values remain after each.
-
-Groups: values are counted, range-partitioned and written once; the rank of a
-value is then its partition's offset plus its rank inside the partition, and
-only the partitions that hold a wanted rank are ranked at all. No task ever
-holds more than one range partition.
+Spark's ``percentile`` keeps every distinct value of a group in one buffer. Here
+values are counted, range-partitioned and written once; the rank of a value is
+then its partition's offset plus its rank inside the partition, and only the
+partitions that hold a wanted rank are ranked at all. No task ever holds more
+than one range partition, and a value that most rows share is one counted row.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,25 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import column
 from ..session import materialise
 
-#: Values that a single aggregation buffer may hold.
-BUFFER_ROWS = 1_000_000
-#: Rows up to which a whole column goes through the exact aggregate at once.
-DIRECT_ROWS = 10_000
-#: Distinct values of a bracket that the exact aggregate may hold.
-BRACKET_VALUES = 100_000
-#: Accuracy of the sketch: its ranks are wrong by at most one part in this many.
-ACCURACY = 10_000
-
-
-def buffered(value: Column, probability: float) -> Column:
-    return F.percentile(value, F.lit(probability))
-
-
-def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
-    """Rows of the biggest group (partial counts, one row back)."""
-    counts = df.groupBy(*[column(g) for g in groups]).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
 
 def ranked_quantiles(
     df: DataFrame,
@@ -125,131 +97,14 @@ def ranked_quantiles(
     return found.select(*[F.col(k).alias(g) for k, g in zip(keys, groups)], *results)
 
 
-@dataclass
-class Bracket:
-    """Where neighbouring ranks of a column lie: between two values, with so many rows below."""
-
-    name: str
-    first: int
-    last: int
-    rows: int
-    below: int = 0
-    low: float | None = None
-    high: float | None = None
-    distinct: int | None = None
-
-    def holds(self, value: Column) -> Column:
-        if self.low is None:
-            return value.isNotNull()
-        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
-
-    def share(self, rank: int) -> float:
-        """Middle of the rank's place among the rows inside."""
-        return (rank - self.below + 0.5) / self.rows
-
-    @property
-    def narrow(self) -> bool:
-        known = self.rows if self.distinct is None else self.distinct
-        return self.low is not None and self.low == self.high or known <= BRACKET_VALUES
-
-
-def order_statistics(
-    df: DataFrame, values: Mapping[str, Column], brackets: Sequence[Bracket]
-) -> dict[tuple[str, int], float]:
-    """The values at the brackets' 0-based ranks."""
-    while wide := [b for b in brackets if not b.narrow]:
-        _narrow(df, values, wide)
-    inside = df.select(
-        *[F.when(b.holds(values[b.name]), values[b.name]).alias(f"v{i}")
-          for i, b in enumerate(brackets)]
-    )
-    # ``percentile_disc`` of (i + 1/2) / n is the i-th of n values, without interpolation.
-    row = inside.agg(
-        *[
-            F.expr(f"percentile_disc({b.share(rank)!r}D) within group (order by v{i})").alias(
-                f"v{i}_{end}"
-            )
-            for i, b in enumerate(brackets)
-            for end, rank in enumerate((b.first, b.last))
-        ]
-    ).first()
-    found = {}
-    for i, b in enumerate(brackets):
-        found[b.name, b.first], found[b.name, b.last] = row[f"v{i}_0"], row[f"v{i}_1"]
-    return found
-
-
-def _narrow(df: DataFrame, values: Mapping[str, Column], brackets: Sequence[Bracket]) -> None:
-    """Shrink brackets by a sketch of what is inside, checked by counting."""
-    slack = 2.0 / ACCURACY
-    alike: dict[tuple, list[Bracket]] = {}
-    for b in brackets:
-        alike.setdefault((b.name, b.low, b.high), []).append(b)
-    sketches = []
-    for i, group in enumerate(alike.values()):
-        ends = [
-            F.lit(min(1.0, max(0.0, at)))
-            for b in group
-            for at in (b.share(b.first) - slack, b.share(b.last) + slack)
-        ]
-        value = values[group[0].name]
-        inside = F.when(group[0].holds(value), value)
-        sketches.append(F.percentile_approx(inside, F.array(*ends), ACCURACY).alias(f"s{i}"))
-    sketched = df.agg(*sketches).first()
-    limits = {
-        id(b): sketched[i][2 * j:2 * j + 2]
-        for i, group in enumerate(alike.values())
-        for j, b in enumerate(group)
-    }
-    counts = []
-    for i, b in enumerate(brackets):
-        value = values[b.name]
-        low, high = (F.lit(v) for v in limits[id(b)])
-        inside = (value >= low) & (value <= high)
-        counts += [
-            F.count_if(value < low).alias(f"below{i}"),
-            F.count_if(inside).alias(f"rows{i}"),
-            F.approx_count_distinct(F.when(inside, value)).alias(f"distinct{i}"),
-        ]
-    counted = df.agg(*counts).first()
-    for i, b in enumerate(brackets):
-        low, high = limits[id(b)]
-        below, rows = counted[f"below{i}"], counted[f"rows{i}"]
-        if not below <= b.first <= b.last < below + rows:
-            raise RuntimeError(f"ranks {b.first}, {b.last} of {b.name} were not bracketed")
-        b.low, b.high, b.below, b.rows = low, high, below, rows
-        b.distinct = counted[f"distinct{i}"]
-
-
 def column_quantiles(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    counts: Mapping[str, int],
-    probabilities: Sequence[float],
+    df: DataFrame, values: Mapping[str, Column], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
-    """Quantiles of whole columns; ``counts`` are their known non-null row counts."""
-    known = {name: value for name, value in values.items() if counts[name]}
-    small = [name for name in known if counts[name] <= DIRECT_ROWS]
-    found: dict[str, list[float]] = {}
-    if small:
-        picks = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(
-            *[F.percentile(known[n], picks).alias(f"q{i}") for i, n in enumerate(small)]
-        ).first()
-        found = {name: list(row[f"q{i}"]) for i, name in enumerate(small)}
-    large = [name for name in known if counts[name] > DIRECT_ROWS]
-    if large:
-        places = {
-            (name, float(p)): p * (counts[name] - 1) for name in large for p in probabilities
-        }
-        at = order_statistics(df, known, [
-            Bracket(name, math.floor(place), math.ceil(place), counts[name])
-            for (name, _), place in places.items()
-        ])
-        for name in large:
-            found[name] = []
-            for p in map(float, probabilities):
-                place = places[name, p]
-                low, high = at[name, math.floor(place)], at[name, math.ceil(place)]
-                found[name].append(low + (high - low) * (place - math.floor(place)))
-    return found
+    """Quantiles of whole columns, all ranked together; columns without values are left out."""
+    if not values:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), v.cast("double").alias("v")) for n, v in values.items()])
+    listed = df.select(F.explode(pairs).alias("e")).select("e.*")
+    wanted = {f"q{i}": float(p) for i, p in enumerate(probabilities)}
+    found = ranked_quantiles(listed, F.col("v"), wanted, ["name"]).collect()
+    return {row["name"]: [row[q] for q in wanted] for row in found}

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,10 +22,6 @@ from ..session import ROW, materialise
 
 FIRST, COPIES = "_first", "_copies"
 
-#: Bounds within which a table is broadcast outright.
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 32 * 1024 * 1024
-
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key values that occur more than once, with their number of rows."""
@@ -52,29 +48,21 @@ def first_of_duplicates(
     """For each duplicated key, its number of rows and the position of its first row.
 
     ``df`` carries ``_row``; first means lowest in ``order_by``, then in file
-    order. The result is written once. The keys are counted first, which moves
-    nothing but keys (``plain``, the table without ``_row``, may save reading row
-    positions for that). When the duplicated ones are few enough to broadcast,
-    positions are then compared among their rows alone.
+    order. The keys are counted first, which moves nothing but keys (``plain``, the
+    table without ``_row``, may save reading row positions for that), and positions
+    are compared among the rows of repeated keys alone. Both results are written, so
+    Catalyst knows their size and decides itself how to join them.
     """
-    repeated = materialise(duplicate_keys(df if plain is None else plain, keys), "repeated-keys")
-    candidates = df
-    if fits_broadcast(repeated, keys):
-        marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
-        candidates = df.join(F.broadcast(marked), _same_key(df, keys, "_key"), "left_semi")
-    first = F.min(order_key(df, order_by, [ROW]))[ROW]
-    grouped = candidates.groupBy(*[grouping_key(df, k) for k in keys])
-    found = grouped.agg(F.count("*").alias(COPIES), first.alias(FIRST))
-    return materialise(found.where(F.col(COPIES) > 1), "duplicates")
+    return _end_of_duplicates(df, keys, order_by, plain, F.min)
 
 
-def fits_broadcast(df: DataFrame, columns: Sequence[str]) -> bool:
-    """Whether a written table's columns are small enough to send to every task."""
-    width = reduce(
-        add, (F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in columns)
-    )
-    rows, size = df.agg(F.count("*"), F.sum(width)).first()
-    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+def _end_of_duplicates(df, keys, order_by, plain, pick) -> DataFrame:
+    repeated = materialise(duplicate_keys(df if plain is None else plain, keys), "repeated-keys")
+    marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    candidates = df.join(marked, _same_key(df, keys, "_key"), "left_semi")
+    end = pick(order_key(df, order_by, [ROW]))[ROW]
+    grouped = candidates.groupBy(*[grouping_key(df, k) for k in keys])
+    return materialise(grouped.agg(F.count("*").alias(COPIES), end.alias(FIRST)), "duplicates")
 
 
 def _same_key(df: DataFrame, keys: Sequence[str], prefix: str) -> Column:
@@ -113,23 +101,38 @@ def drop_duplicates(
     keys = list(subset) if subset else values
     if keep is not False and set(keys) == set(values) and ROW not in df.columns:
         return df.dropDuplicates()
-    whole = F.struct(*[column(c) for c in df.columns])
-    grouped = df.groupBy(*[grouping_key(df, k).alias(f"_key_{i}") for i, k in enumerate(keys)])
     if keep is False:
+        grouped = df.groupBy(*[grouping_key(df, k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+        whole = F.struct(*[column(c) for c in df.columns])
         kept = grouped.agg(F.count("*").alias(COPIES), F.any_value(whole).alias("_kept"))
         return kept.where(F.col(COPIES) == 1).select("_kept.*")
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first', 'last' or False, not {keep!r}")
-    if ROW in df.columns or not all(_orderable(f.dataType) for f in df.schema.fields):
-        rest = [ROW] if ROW in df.columns else []
-        pick = F.min_by if keep == "first" else F.max_by
-        kept = grouped.agg(pick(whole, order_key(df, order_by, rest)).alias("_kept"))
-    else:
+    if ROW in df.columns:
+        ends = _end_of_duplicates(df, keys, order_by, df.drop(ROW), F.min if keep == "first" else F.max)
+        flagged = flag_later_copies(df, ends, keys, "_dropped")
+        return flagged.where(~F.col("_dropped")).drop("_dropped")
+    return _kept_by_content(df, keys, keep, order_by)
+
+
+def _kept_by_content(df: DataFrame, keys: Sequence[str], keep: str, order_by: Sequence[str]) -> DataFrame:
+    """One row per key where rows have no position: unique rows pass, the others are compared."""
+    repeated = materialise(duplicate_keys(df, keys), "repeated-keys")
+    marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    same = _same_key(df, keys, "_key")
+    rows = df.join(marked, same, "left_semi")
+    grouped = rows.groupBy(*[grouping_key(df, k).alias(f"_key_{i}") for i, k in enumerate(keys)])
+    if all(_orderable(f.dataType) for f in df.schema.fields):
         # The order takes in every column, so the least or greatest one is the whole row.
-        rest = [c for c in values if c not in order_by]
+        rest = [c for c in df.columns if c not in order_by]
         pick = F.min if keep == "first" else F.max
         kept = grouped.agg(pick(order_key(df, order_by, rest)).alias("_kept"))
-    return kept.select(*[F.col("_kept").getField(c).alias(c) for c in df.columns])
+    else:
+        pick = F.min_by if keep == "first" else F.max_by
+        whole = F.struct(*[column(c) for c in df.columns])
+        kept = grouped.agg(pick(whole, order_key(df, order_by, [])).alias("_kept"))
+    picked = kept.select(*[F.col("_kept").getField(c).alias(c) for c in df.columns])
+    return df.join(marked, same, "left_anti").unionByName(picked)
 
 
 def _orderable(dtype: T.DataType) -> bool:

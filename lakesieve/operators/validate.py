@@ -114,13 +114,24 @@ def validate(
         results[i] = _failed(rule, text, {"error": error} if is_custom else {})
         del checks[i]
 
-    _add_outliers(df, checks, facts)
-    _add_samples(df, checks, facts)
-    _add_duplicates(df, checks, facts, duplicates() if duplicates else {})
+    known = duplicates() if duplicates and any(c.unique_on for c in checks.values()) else {}
+    steps = (
+        lambda some: _add_outliers(df, some, facts),
+        lambda some: _add_samples(df, some, facts),
+        lambda some: _add_duplicates(df, some, facts, known),
+    )
+    for step in steps:
+        for i, error in _failing(step, checks).items():
+            results[i] = _failed(rules.expectations[i], f"Expectation raised an error: {error}")
+            del checks[i]
 
     for i, check in checks.items():
         rule = rules.expectations[i]
-        success, observed, text = check.judge(facts[i])
+        try:
+            success, observed, text = check.judge(facts[i])
+        except Exception as exc:
+            results[i] = _failed(rule, f"Expectation raised an error: {exc}")
+            continue
         results[i] = ExpectationResult(
             rule.name, rule.type, success, rule.severity, list(rule.columns), observed, text
         )
@@ -132,6 +143,21 @@ def validate(
     )
 
 
+def _failing(step: Callable[[Mapping[int, Check]], None], checks: Mapping[int, Check]) -> dict[int, str]:
+    """Run a step for all rules at once; if it fails, for each alone, and say which ones fail."""
+    try:
+        step(checks)
+        return {}
+    except Exception:
+        errors = {}
+        for i, check in checks.items():
+            try:
+                step({i: check})
+            except Exception as exc:
+                errors[i] = str(exc)
+        return errors
+
+
 def _failed(rule: Expectation, text: str, observed: dict | None = None) -> ExpectationResult:
     return ExpectationResult(
         rule.name, rule.type, False, rule.severity, list(rule.columns), observed or {}, text,
@@ -193,8 +219,7 @@ def _add_outliers(df, checks: Mapping[int, Check], facts) -> None:
     tests = {(i, c): t for i, check in checks.items() for c, t in check.outliers.items()}
     tests = {(i, c): t for (i, c), t in tests.items() if facts[i][f"{c} count"]}
     by_quartile = {f"{i} {c}": t.value for (i, c), t in tests.items() if t.method == "iqr"}
-    sizes = {f"{i} {c}": facts[i][f"{c} count"] for i, c in tests}
-    quartiles = column_quantiles(df, by_quartile, sizes, [0.25, 0.75])
+    quartiles = column_quantiles(df, by_quartile, [0.25, 0.75])
     counts: dict[tuple[int, str], Column] = {}
     for (i, c), test in tests.items():
         if test.method == "iqr":

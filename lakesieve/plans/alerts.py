@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import column, column_type, epoch_micros
 from ..session import materialise
+from .monitor import in_ranges
 
 # Severities by rank; an unknown one ranks as an error.
 SEVERITY_RANK = {"info": 0, "warning": 1, "error": 2, "critical": 3}
@@ -114,131 +115,74 @@ def run_failure_alerts(runs: DataFrame, stages: DataFrame) -> DataFrame:
 # -- suppression ----------------------------------------------------------------------------
 #
 # An alert is sent if no alert of its key was *sent* in the minutes before it. That makes
-# each decision depend on the one before, along the whole history of a key. Keys with few
-# alerts are folded one by one inside the JVM. The history of a busy key is cut into blocks
-# of time, so that many tasks share it: each block is first reduced to a small function
-# (last alert sent before the block -> last one sent in it), only these functions are
-# chained per key, and then every block is decided by itself.
-
-#: Instants of one key that are folded as a single array.
-FOLD_ROWS = 4096
-#: Instants of a busy key that a block holds on average.
-BLOCK_ROWS = 100_000
-#: Shortest block, in suppression windows.
-BLOCK_WINDOWS = 8
-
-
-def _folded(moments: DataFrame, window: int, id_type: str) -> DataFrame:
-    """Sent alerts of keys with a bounded number of instants."""
-    nothing = F.struct(
-        F.lit(None).cast("bigint").alias("last"), F.array().cast(f"array<{id_type}>").alias("ids")
-    )
+# each decision depend on the one before, along the whole history of a key. The alerts lie
+# in ranges of key and time; a range is decided by itself once it is known when the key's
+# last alert before the range was sent. For keys that reach over several ranges, of which
+# every range holds at most two, each range is first reduced to a small function (last
+# alert sent before it -> last one sent in it), and these are chained per key.
 
-    def step(state: Column, alert: Column) -> Column:
-        sent = state["last"].isNull() | (alert["_at"] > state["last"] + window)
-        grown = F.struct(
-            alert["_at"].alias("last"),
-            F.concat(state["ids"], F.array(alert["_id"])).alias("ids"),
-        )
-        return F.when(sent, grown).otherwise(state)
-
-    instants = F.sort_array(F.collect_list(F.struct("_at", "_id")))
-    folded = moments.groupBy("_key").agg(instants.alias("instants")).select(
-        F.aggregate("instants", nothing, step)["ids"].alias("ids")
-    )
-    return folded.select(F.explode("ids").alias("_sent"))
+
+def _following(times: np.ndarray, window: int) -> np.ndarray:
+    """For each alert, if it is sent, the place of the next one that is."""
+    return np.searchsorted(times, times + window, side="right")
 
 
-def _block_function(window: int):
-    def reduce_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        name, block = key
+def _range_function(window: int):
+    def reduce_range(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(rows["_at"].to_numpy())
-        follow = np.searchsorted(times, times + window, side="right")
+        follow = _following(times, window)
         # Follow the chain of sent alerts from every possible first one to its end in the
-        # block, doubling the stride each time.
+        # range, doubling the stride each time.
         places = np.arange(len(times))
         last = np.where(follow < len(times), follow, places)
         while not np.array_equal(last, last[last]):
             last = last[last]
-        # Only an alert in the block's first window, or the next one, can be sent first.
-        start = rows["_first"].iloc[0] + block * rows["_length"].iloc[0]
-        firsts = np.searchsorted(times, start + window, side="left") + 1
+        # Whatever was sent before is no later than the range's first alert.
+        firsts = np.searchsorted(times, times[0] + window, side="right") + 1
         exits, starts = times[last[:firsts]], times[:firsts]
         final = np.append(exits[1:] != exits[:-1], True)
-        return pd.DataFrame(
-            {"_key": name, "_block": block, "_start": starts[final], "_exit": exits[final]}
-        )
+        return pd.DataFrame({"_key": key[0], "_range": key[1], "_start": starts[final], "_exit": exits[final]})
 
-    return reduce_block
+    return reduce_range
 
 
 def _chain(window: int):
-    def chain_blocks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_block", "_start"])
-        blocks = rows["_block"].to_numpy()
+    def chain_ranges(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["_range", "_start"])
+        ranges = rows["_range"].to_numpy()
         starts, exits = rows["_start"].to_numpy(), rows["_exit"].to_numpy()
-        edges = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
-        ends = np.append(edges[1:], len(blocks))
+        edges = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
+        ends = np.append(edges[1:], len(ranges))
         before, sent = [], None
         for low, high in zip(edges, ends):
             before.append(sent)
-            place = low if sent is None else low + np.searchsorted(
-                starts[low:high], sent + window, side="right"
-            )
+            place = low if sent is None else low + np.searchsorted(starts[low:high], sent + window, side="right")
             if place < high:
                 sent = int(exits[place])
-        return pd.DataFrame(
-            {"_key": key[0], "_block": blocks[edges], "_before": pd.array(before, dtype="Int64")}
-        )
+        return pd.DataFrame({"_key": key[0], "_range": ranges[edges], "_before": pd.array(before, dtype="Int64")})
 
-    return chain_blocks
+    return chain_ranges
 
 
 def _decide(window: int):
-    def decide_block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_at")
-        times = rows["_at"].to_numpy()
-        follow = np.searchsorted(times, times + window, side="right")
-        before = rows["_before"].iloc[0]
-        place = 0 if pd.isna(before) else int(
-            np.searchsorted(times, int(before) + window, side="right")
-        )
+    def decide_range(rows: pd.DataFrame) -> pd.DataFrame:
         chosen = []
-        while place < len(times):
-            chosen.append(place)
-            place = int(follow[place])
-        return pd.DataFrame({"_sent": rows["_id"].to_numpy()[chosen]})
-
-    return decide_block
-
-
-def _blockwise(moments: DataFrame, window: int, id_type: str) -> DataFrame:
-    """Sent alerts of busy keys; ``moments`` carry ``_first`` and ``_length``."""
-    block = F.floor((F.col("_at") - F.col("_first")) / F.col("_length"))
-    # Partitioned by key and block: grouping rows that are partitioned by key already would
-    # otherwise leave all blocks of a key in one task.
-    moments = moments.withColumn("_block", block).repartition("_key", "_block")
-    reduced = moments.groupBy("_key", "_block").applyInPandas(
-        _block_function(window), "_key string, _block long, _start long, _exit long"
-    )
-    entries = reduced.groupBy("_key").applyInPandas(
-        _chain(window), "_key string, _block long, _before long"
-    )
-    return (
-        moments.join(materialise(entries, "entries"), ["_key", "_block"])
-        .groupBy("_key", "_block")
-        .applyInPandas(_decide(window), f"_sent {id_type}")
-    )
+        for _, alerts in rows.sort_values(["_key", "_at"]).groupby("_key", sort=False, dropna=False):
+            times, ids = alerts["_at"].to_numpy(), alerts["_id"].to_numpy()
+            before = alerts["_before"].iloc[0]
+            place = 0 if pd.isna(before) else int(np.searchsorted(times, int(before) + window, side="right"))
+            follow = _following(times, window)
+            while place < len(times):
+                chosen.append(ids[place])
+                place = int(follow[place])
+        return pd.DataFrame({"_sent": chosen})
+
+    return decide_range
 
 
 def suppress_repeats(
-    alerts: DataFrame,
-    key: str = "alert_key",
-    at: str = "created_at",
-    id_column: str = "alert_id",
+    alerts: DataFrame, key: str = "alert_key", at: str = "created_at", id_column: str = "alert_id",
     minutes: int = SUPPRESSION_MINUTES,
-    fold_rows: int = FOLD_ROWS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``suppressed``: an alert of the same key was sent at most ``minutes`` ago.
 
@@ -248,30 +192,18 @@ def suppress_repeats(
     window = minutes * 60_000_000
     micros = epoch_micros(column(at), column_type(alerts, at))
     id_type = column_type(alerts, id_column).simpleString()
-    moments = materialise(
-        alerts.groupBy(column(key).cast("string").alias("_key"), micros.alias("_at")).agg(
-            F.min(column(id_column)).alias("_id")
-        ),
-        "moments",
-    )
-    n, first, span = F.count("*"), F.min("_at"), F.max("_at") - F.min("_at") + 1
-    length = F.greatest(
-        F.lit(window * BLOCK_WINDOWS), F.ceil(span / F.ceil(n / F.lit(block_rows)))
+    moments = alerts.groupBy(column(key).cast("string").alias("_key"), micros.alias("_at")).agg(
+        F.min(column(id_column)).alias("_id")
     )
-    busy = materialise(
-        moments.groupBy("_key")
-        .agg(n.alias("_n"), first.alias("_first"), length.cast("bigint").alias("_length"))
-        .where(F.col("_n") > fold_rows)
-        .drop("_n"),
-        "busy-keys",
+    moments = in_ranges(moments, "_key", ["_at"], "moments")
+    spanning = moments.groupBy("_key").agg(F.min("_range").alias("a"), F.max("_range").alias("b"))
+    spanning = spanning.where("a != b").select("_key")
+    functions = moments.join(spanning, "_key", "left_semi").groupBy("_key", "_range").applyInPandas(
+        _range_function(window), "_key string, _range int, _start long, _exit long"
     )
-    if busy.isEmpty():
-        sent = _folded(moments, window, id_type)
-    else:
-        quiet = moments.join(busy, "_key", "left_anti")
-        sent = _folded(quiet, window, id_type).unionAll(
-            _blockwise(moments.join(busy, "_key"), window, id_type)
-        )
+    entries = functions.groupBy("_key").applyInPandas(_chain(window), "_key string, _range int, _before long")
+    entered = moments.join(materialise(entries, "entries"), ["_key", "_range"], "left")
+    sent = entered.groupBy("_range").applyInPandas(_decide(window), f"_sent {id_type}")
     flagged = alerts.join(materialise(sent, "sent"), column(id_column) == F.col("_sent"), "left")
     return flagged.withColumn("suppressed", F.col("_sent").isNull()).drop("_sent")
 
@@ -302,14 +234,11 @@ def dispatch(
     id_column: str = "alert_id",
     minimum: str = "error",
     minutes: int = SUPPRESSION_MINUTES,
-    **options: int,
 ) -> DataFrame:
     """Log rows for a whole history of alerts: threshold, key, suppression, channels."""
     if not channels:  # nothing is sent, so nothing is suppressed or recorded either
         return alert_log_rows(alerts.withColumn("suppressed", F.lit(False)), [], minimum)
-    flagged = suppress_repeats(
-        keyed(alerts, minimum), "alert_key", at, id_column, minutes, **options
-    )
+    flagged = suppress_repeats(keyed(alerts, minimum), "alert_key", at, id_column, minutes)
     return alert_log_rows(flagged, channels, minimum)
 
 

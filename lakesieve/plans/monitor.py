@@ -8,38 +8,49 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import column
+from ..session import materialise
 
 
-def with_previous(
-    df: DataFrame, key: str, at: str, value: str, name: str, bucket: str = "day",
-    ties: Sequence[str] = (),
-) -> DataFrame:
-    """Add the ``value`` of the row before, per ``key`` in time order.
+def in_ranges(df: DataFrame, key: str, order: Sequence[str], label: str) -> DataFrame:
+    """``df`` written in ranges of ``key`` and ``order``, each row with the number of its range.
 
-    The window runs per key and time bucket, so a key with a very long history
-    is spread over many tasks. Each bucket starts with one extra row that
-    brings in the last value of the key's bucket before.
+    However many rows a key has, and however they lie in time, a range is one partition's
+    rows: a busy key is cut into as many ranges as it fills.
     """
-    staged = df.withColumns(
-        {
-            "_key": column(key),
-            "_bucket": F.date_trunc(bucket, column(at)),
-            "_order": F.struct(*[column(c) for c in (at, *ties)]),
-            "_held": F.struct(column(value).alias("v")),
-        }
-    )
-    lasts = staged.groupBy("_key", "_bucket").agg(F.max_by("_held", "_order").alias("_held"))
-    buckets = Window.partitionBy("_key").orderBy("_bucket")
-    carried = lasts.withColumns(
-        {"_held": F.lag("_held").over(buckets), "_carried": F.lit(True)}
-    ).where(F.col("_held").isNotNull())
-    inside = Window.partitionBy("_key", "_bucket").orderBy(F.col("_order").asc_nulls_first())
-    paired = staged.unionByName(carried, allowMissingColumns=True).withColumn(
-        name, F.lag("_held").over(inside)["v"]
-    )
-    return paired.where(F.col("_carried").isNull()).select(
-        *[column(c) for c in df.columns], column(name)
+    ranged = df.repartitionByRange(column(key), *[column(c) for c in order])
+    return materialise(ranged.withColumn("_range", F.spark_partition_id()), label)
+
+
+def ranges_before(ranged: DataFrame, key: str, value: Column, order: Column) -> DataFrame:
+    """For every range of a key but its first, the value of the last row of the range before.
+
+    Only keys that reach over several ranges are looked at: at most one for each range.
+    """
+    spanning = ranged.groupBy(column(key).alias("_key")).agg(F.min("_range").alias("a"), F.max("_range").alias("b"))
+    spanning = spanning.where("a != b").select("_key")
+    rows = ranged.join(spanning, column(key).eqNullSafe(F.col("_key")), "left_semi")
+    lasts = rows.groupBy(column(key).alias("_key"), "_range").agg(F.max_by(F.struct(value.alias("v")), order).alias("_held"))
+    before = F.lag("_held").over(Window.partitionBy("_key").orderBy("_range"))
+    return lasts.select("_key", F.col("_range").alias("_at_range"), before.alias("_carried")).where("_carried is not null")
+
+
+def with_previous(df: DataFrame, key: str, at: str, value: str, name: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Add the ``value`` of the row before, per ``key`` in the order of ``at`` and ``ties``.
+
+    Rows lie in ranges of key and time, so a key with a very long history, or with all of
+    it in one instant, is spread over many tasks; the first row of a range takes the last
+    value of the key's range before.
+    """
+    order = F.struct(*[column(c) for c in (at, *ties)])
+    ranged = in_ranges(df, key, (at, *ties), "ranges")
+    carried = materialise(ranges_before(ranged, key, column(value), order), "carried")
+    inside = Window.partitionBy(column(key), "_range").orderBy(order.asc_nulls_first())
+    held = F.lag(F.struct(column(value).alias("v"))).over(inside)
+    paired = ranged.withColumn("_held", held).join(
+        carried, column(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_at_range")), "left"
     )
+    previous = F.coalesce("_held", "_carried")["v"]
+    return paired.select(*[column(c) for c in df.columns], previous.alias(name))
 
 
 def run_totals(stages: DataFrame) -> DataFrame:
@@ -119,27 +130,26 @@ def latest_score(scores: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
 
 
 def score_trend(scores: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
-    """Scores in time order, with the change since the data set's last score."""
+    """Scores with the change since the data set's last score."""
     trend = with_previous(scores, "dataset", "recorded_at", "score", "previous_score", ties=ties)
     drift = F.col("score") - F.col("previous_score")
-    return trend.withColumn("drift", drift).orderBy("recorded_at", "dataset")
+    return trend.withColumn("drift", drift)
 
 
-def schema_changes(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
-    """Classify every schema snapshot against the data set's one before."""
-    paired = with_previous(
-        snapshots, "dataset", "recorded_at", "schema_snapshot", "_previous", ties=ties
-    )
-    now, before = F.map_keys("schema_snapshot"), F.map_keys("_previous")
-    retyped = F.exists(
-        F.map_keys("schema_snapshot"),
-        lambda c: F.col("schema_snapshot")[c] != F.col("_previous")[c],
-    )
-    change = (
-        F.when(F.col("_previous").isNull(), "initial")
+def schema_change_type(snapshot: str, previous: str) -> Column:
+    """How a snapshot, a map of column types, differs from the one before."""
+    now, before = F.map_keys(snapshot), F.map_keys(previous)
+    retyped = F.exists(now, lambda c: F.col(snapshot)[c] != F.col(previous)[c])
+    return (
+        F.when(F.col(previous).isNull(), "initial")
         .when(F.size(F.array_except(now, before)) > 0, "added")
         .when(F.size(F.array_except(before, now)) > 0, "removed")
         .when(retyped, "changed")
         .otherwise("unchanged")
     )
-    return paired.withColumn("change_type", change).drop("_previous")
+
+
+def schema_changes(snapshots: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """Classify every schema snapshot against the data set's one before."""
+    paired = with_previous(snapshots, "dataset", "recorded_at", "schema_snapshot", "_previous", ties=ties)
+    return paired.withColumn("change_type", schema_change_type("schema_snapshot", "_previous")).drop("_previous")

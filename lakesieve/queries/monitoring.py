@@ -443,8 +443,5 @@ def alert_log_rows(spark, sf):
     df = table(spark, sf, "events").selectExpr(
         "event_id", "event_type as key", f"{SEVERITY} as severity", "ts"
     )
-    rows = alerts.dispatch(
-        df, ["email", "slack"], at="ts", id_column="event_id", minutes=240, fold_rows=1000,
-        block_rows=500,
-    )
+    rows = alerts.dispatch(df, ["email", "slack"], at="ts", id_column="event_id", minutes=240)
     return rows.select("event_id", "severity", "suppressed", "channel")

@@ -28,6 +28,17 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(params=["one range", "many ranges"])
+def ranges(spark, request):
+    """Whether small tables fall into one range partition or into several."""
+    if request.param == "many ranges":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+    yield request.param
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture
 def frame(spark):
     """Rows given as tuples, with a DDL schema."""

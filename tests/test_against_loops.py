@@ -90,11 +90,8 @@ def test_split_and_counts(spark, seed):
 
 
 @pytest.mark.parametrize("broadcast", [True, False])
-def test_both_ways_of_finding_first_copies_agree(spark, monkeypatch, broadcast):
-    from lakesieve.operators import uniqueness
-
+def test_first_copies_are_found_by_either_join(spark, broadcast):
     if not broadcast:
-        monkeypatch.setattr(uniqueness, "BROADCAST_ROWS", 0)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         rows = random_rows(99, 400)

@@ -22,7 +22,6 @@ AT = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     ({"a": "int", "b": "int"}, {"a": "int", "c": "int"}, "added"),
 ])
 def test_schema_change_classes(frame, previous, current, change):
-    assert history.classify_schema_change(previous, current) == change
     rows = [("d", s, f"2024-0{i}-01") for i, s in enumerate([previous, current], 1) if s]
     df = frame("dataset string, schema_snapshot map<string,string>, at string", *rows)
     df = df.withColumn("recorded_at", F.col("at").cast("timestamp"))
@@ -30,7 +29,7 @@ def test_schema_change_classes(frame, previous, current, change):
     assert last["change_type"] == change
 
 
-def test_previous_value_reaches_over_time_buckets(spark):
+def test_previous_value_reaches_over_ranges(spark, ranges):
     df = spark.range(60).selectExpr(
         "id", "if(id % 3 = 0, 'hot', 'b') as k",
         "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id * id as int)) as at",
@@ -43,6 +42,14 @@ def test_previous_value_reaches_over_time_buckets(spark):
         last[key] = None if i % 10 == 0 else i
 
 
+def test_one_key_and_one_instant_hold_all_rows(spark, ranges):
+    df = spark.range(500).selectExpr("id", "'k' as k", "timestamp'2024-01-01' as at", "id * 2 as v")
+    found = rows_of(monitor.with_previous(df, "k", "at", "v", "before", ties=["id"]), "id", "before")
+    assert found == [(i, None if i == 0 else 2 * (i - 1)) for i in range(500)]
+    ranged = monitor.in_ranges(df, "k", ["at", "id"], "t")
+    assert ranged.select("_range").distinct().count() == (1 if ranges == "one range" else 13)
+
+
 def test_run_life_cycle(spark, folder):
     log = history.History(spark, folder())
     assert log.table("pipeline_runs").count() == 0
@@ -175,8 +182,7 @@ def greedy(alarms, window):
 
 
 @pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("blocks", [False, True])
-def test_suppression_agrees_with_a_plain_loop(spark, seed, blocks):
+def test_suppression_agrees_with_a_plain_loop(spark, seed, ranges):
     rng = random.Random(seed)
     spread = rng.choice([2_000, 30_000, 200_000])
     alarms = [
@@ -186,8 +192,7 @@ def test_suppression_agrees_with_a_plain_loop(spark, seed, blocks):
     ]
     df = spark.createDataFrame(alarms, "at long, alert_id long, alert_key string").withColumn(
         "created_at", F.timestamp_seconds("at"))
-    options = {"fold_rows": 5, "block_rows": rng.choice([1, 20, 1000])} if blocks else {}
-    out = alerts.suppress_repeats(df, minutes=10, **options)
+    out = alerts.suppress_repeats(df, minutes=10)
     assert out.count() == 400
     got = {r["alert_id"] for r in out.where("not suppressed").collect()}
     assert got == greedy(alarms, 600)

@@ -5,7 +5,6 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lakesieve.operators import quantiles
 from lakesieve.operators.quantiles import column_quantiles, ranked_quantiles
 
 WANTED = {"low": 0.0, "q1": 0.25, "mid": 0.5, "p": 0.937, "high": 1.0}
@@ -28,11 +27,16 @@ def test_against_numpy(spark, seed, partitions):
         assert overall[name] == pytest.approx(pdf.v.quantile(p))
 
 
-def test_both_ways_agree(spark, monkeypatch):
-    df = spark.range(1, 11).selectExpr("cast(id * id as double) as v")
-    counts = {"v": 10}
-    small = column_quantiles(df, {"v": F.col("v")}, counts, [0.25, 0.75])
-    monkeypatch.setattr(quantiles, "BUFFER_ROWS", 5)
-    large = column_quantiles(df, {"v": F.col("v")}, counts, [0.25, 0.75])
-    assert small == large == {"v": [10.75, 60.25]}
-    assert column_quantiles(df, {"v": F.col("v")}, {"v": 0}, [0.5]) == {}
+def test_whole_columns(spark):
+    df = spark.range(1, 11).selectExpr("cast(id * id as double) as v", "id as w", "cast(null as double) as n")
+    found = column_quantiles(df, {c: F.col(c) for c in "vwn"}, [0.25, 0.75])
+    assert found == {"v": [10.75, 60.25], "w": [3.25, 7.75]}
+    assert column_quantiles(df, {}, [0.5]) == {}
+
+
+def test_one_value_in_nearly_all_rows_beside_the_quartile(spark, ranges):
+    values = np.concatenate([np.full(19_800, 5.0), np.arange(100) / 100, 6 + np.arange(100)])
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    probabilities = [0.004, 0.005, 0.25, 0.995, 0.996]
+    found = column_quantiles(df, {"v": F.col("v")}, probabilities)["v"]
+    assert found == pytest.approx(list(np.quantile(values, probabilities)))

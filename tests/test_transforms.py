@@ -6,7 +6,6 @@ from conftest import rows_of
 
 from lakesieve import apply_steps, register_transform
 from lakesieve.functions.naming import snake_case
-from lakesieve.operators import aggregate as aggregation
 from lakesieve.operators.transforms import STEPS
 
 
@@ -125,12 +124,9 @@ def grouped_sample():
     })
 
 
-@pytest.mark.parametrize("ranked", [False, True])
-def test_aggregate_functions_agree_with_pandas(spark, monkeypatch, ranked):
+def test_aggregate_functions_agree_with_pandas(spark, ranges):
     pdf = grouped_sample()
     expected = pdf.groupby("g")["v"].agg(FUNCTIONS).sort_index()
-    if ranked:
-        monkeypatch.setattr(aggregation, "BUFFER_ROWS", 0)
     df = spark.createDataFrame(pdf)
     out = run(df, ("aggregate", {"group_by": "g", "aggregations": {"v": FUNCTIONS},
                                  "order_by": ["o"]}))
