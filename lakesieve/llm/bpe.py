@@ -18,13 +18,27 @@ from .common import Memo, worker_store
 #: The Unicode white space, and the pattern that cuts text before the merges.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^%s\p{L}\p{N}]+|[%s]+(?![^%s])|[%s]+" % ((WHITE,) * 4)
-#: Pieces never run from other characters into white space, so these units hold whole pieces.
-UNITS = " ?[^%s]+|[%s]+(?![^%s])|[%s]+" % ((WHITE,) * 4)
 
-#: Units that a worker remembers at least, and pairs of tokens, and steps of the automaton.
-REMEMBERED = 200_000
+
+def _letters() -> str:
+    """The letters of the basic plane, as the inside of a character class."""
+    known = [chr(c).isalpha() for c in range(0x10000)] + [False]
+    starts = [c for c in range(0x10000) if known[c] and not known[c - 1]]
+    ends = [next(c for c in range(start, 0x10001) if not known[c]) - 1 for start in starts]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends))
+
+
+#: Units hold whole pieces: a run of letters with the space before it, unless a letter from
+#: beyond the basic plane follows; whatever else stands between white space; white space.
+UNITS = " ?[%s]++(?![\U00010000-\U0010ffff])| ?[^%s]+|[%s]+(?![^%s])|[%s]+" % (_letters(), *(WHITE,) * 4)
+
+#: Units that a worker remembers at least, prefixes, pairs of tokens, steps of the automaton.
+REMEMBERED = 300_000
+PREFIXES = 500_000
 PAIRS = 150_000
 TRANSITIONS = 150_000
+#: Bytes of a piece whose prefixes are remembered; longer pieces are hardly ever met again.
+REPEATED = 48
 #: Characters of a text that are cut into units at once.
 BLOCK = 1 << 18
 
@@ -76,6 +90,12 @@ class Tokenizer:
         self.compatible = Memo(self._compatible, PAIRS)
         self.sound = Memo(self._sound, PAIRS)
         self.remembered = Memo(self._encode_unit, REMEMBERED)
+        self._forget_prefixes()
+
+    def _forget_prefixes(self) -> None:
+        """A trie of prefixes met, each with its state and its last token."""
+        self.prefixes: dict[int, int] = {}
+        self.states, self.last = [0], [-1]
 
     def _build_automaton(self) -> None:
         """The automaton over the vocabulary that knows every token a prefix ends with.
@@ -157,23 +177,25 @@ class Tokenizer:
 
     def _encode_piece(self, piece: str) -> list[int]:
         data = piece.encode("utf-8", "surrogatepass")
-        whole = self.of.get(data.decode("latin-1"))
-        if whole is not None and self.sound[whole]:
-            return [whole]
-        lengths, shorter, longest, step = self.lengths, self.shorter, self.longest, self.step
-        compatible = self.compatible
-        last: list[int] = []
-        state = 0
-        for end, byte in enumerate(data, 1):
-            state = step[state << 8 | byte]
-            token = longest[state]
-            while True:
-                start = end - lengths[token]
-                if compatible[last[start - 1] << 20 | token] if start else self.sound[token]:
-                    break
-                token = shorter[token]
-            last.append(token)
-        found, end = [], len(data)
+        if len(data) > REPEATED:
+            last = self._extend([], 0, data)
+        else:
+            # the last token of a prefix never depends on what follows, so prefixes are shared
+            if len(self.last) > PREFIXES:
+                self._forget_prefixes()
+            prefixes, states, lasts = self.prefixes, self.states, self.last
+            last, node = [], 0
+            for byte in data:
+                key = node << 8 | byte
+                child = prefixes.get(key)
+                if child is None:
+                    child = prefixes[key] = len(lasts)
+                    state = self.step[states[node] << 8 | byte]
+                    states.append(state)
+                    lasts.append(self._last_token(last, state))
+                last.append(lasts[child])
+                node = child
+        lengths, found, end = self.lengths, [], len(data)
         while end:
             token = last[end - 1]
             found.append(token)
@@ -181,6 +203,21 @@ class Tokenizer:
         found.reverse()
         return found
 
+    def _last_token(self, last: list[int], state: int) -> int:
+        """The token that ends the encoding of the next prefix: the compatible suffix."""
+        token, end = self.longest[state], len(last) + 1
+        while True:
+            start = end - self.lengths[token]
+            if self.compatible[last[start - 1] << 20 | token] if start else self.sound[token]:
+                return token
+            token = self.shorter[token]
+
+    def _extend(self, last: list[int], state: int, data: bytes) -> list[int]:
+        for byte in data:
+            state = self.step[state << 8 | byte]
+            last.append(self._last_token(last, state))
+        return last
+
     def _encode_unit(self, unit: str) -> tuple[int, ...]:
         word = unit[1:] if unit[0] == " " else unit
         pieces = [unit] if word.isalpha() else self.pieces.findall(unit)
