@@ -20,7 +20,7 @@ LOOK_BACK = 16
 BITS = 5
 #: No cut follows a possible cut within so many bytes, and none is further than MOST away.
 LEAST, MOST = 8, 1024
-#: Bytes that consecutive repeated chunks must cover to be a repeated passage.
+#: Bytes of consecutive chunks that one earlier document must hold as well.
 SPAN = 64
 #: Bytes that are hashed at once, and a cut may move to reach the start of a word.
 BLOCK, WORD = 1 << 20, 32
@@ -77,7 +77,10 @@ def cuts(body: bytes) -> np.ndarray:
 
 
 def chunks(df: DataFrame) -> DataFrame:
-    """``(id, of, digest, start, stop)`` of every chunk of ``(id, of, text)``; offsets in bytes."""
+    """``(id, of, h1, h2, start, stop)`` of every chunk of ``(id, of, text)``.
+
+    The 128 bits of a chunk's digest are ``h1`` and ``h2``; offsets are in bytes.
+    """
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,48 +98,59 @@ def chunks(df: DataFrame) -> DataFrame:
                 held += len(ends)
                 if held >= 200_000 or row == batch.num_rows - 1:
                     at = pa.array(np.concatenate(rows).astype(np.int64))
+                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                    ends_of = (pa.array(np.concatenate(part).astype(np.int32)) for part in (starts, stops))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("id").take(at), batch.column("of").take(at), pa.array(digests, pa.binary()),
-                            pa.array(np.concatenate(starts).astype(np.int64)), pa.array(np.concatenate(stops).astype(np.int64)),
+                            batch.column("id").take(at), batch.column("of").take(at),
+                            pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), *ends_of,
                         ],
-                        ["id", "of", "digest", "start", "stop"],
+                        ["id", "of", "h1", "h2", "start", "stop"],
                     )
                     rows, starts, stops, digests, held = [], [], [], [], 0
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(chunked, f"id {kind}, of bigint, digest binary, start bigint, stop bigint")
+    return df.mapInArrow(chunked, f"id {kind}, of int, h1 bigint, h2 bigint, start int, stop int")
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """``(id, of, start, stop, first_ids)`` of every passage that an earlier one repeats.
 
     The first holder of a chunk, by id, then by the hash ``of`` its text, then by place,
-    keeps it; a null id comes first. Elsewhere, runs of consecutive repeated chunks that
-    cover at least ``span`` bytes are passages; ``first_ids`` are the ids of the documents
-    that keep their chunks, and may hold the document itself. Rows with the same id and
+    keeps it; a null id comes first. Elsewhere, a run of consecutive repeated chunks is a
+    passage if at least ``span`` bytes of it stand at the same distance in one document
+    that keeps them, so chunks that are alike by chance make none. ``first_ids`` are the
+    ids of such documents, and may hold the document itself. Rows with the same id and
     text are one document. Null and empty texts hold nothing.
 
     A chunk that very many documents share is counted before the shuffle, and the join
-    that marks its holders can be split: nothing gathers them.
+    that marks its holders can be split: nothing gathers them. Documents are read twice.
     """
     docs = df.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    docs = docs.select("id", F.xxhash64("text").alias("of"), "text")
+    docs = docs.select("id", F.hash("text").alias("of"), "text")
     found = chunks(docs)
+    # most chunks are unique: half of the digest, counted alone, tells so at the least cost
+    common = found.groupBy("h1").count().where("count > 1").select("h1")
+    found = materialise(found.join(common, "h1"), "chunks")
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "of", "start")
-    firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.where("first != last").select("digest", "first")
-    again = found.join(firsts, "digest").select("id", "of", "start", "stop", "first", place.alias("own"))
+    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = firsts.where("n > 1").select("h1", "h2", "first")
+    again = found.join(firsts, ["h1", "h2"]).select("id", "of", "start", "stop", "first", place.alias("own"))
     again = again.where("own != first").groupBy("id", "of", "start").agg(
-        F.min("stop").alias("stop"), F.min("first.id").alias("first_id")
+        F.min("stop").alias("stop"), F.min("first").alias("first")
     )
     inside = W.partitionBy("id", "of").orderBy("start")
     fresh = F.coalesce(F.lag("stop").over(inside) != F.col("start"), F.lit(True)).cast("int")
     runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(inside))
-    runs = runs.groupBy("id", "of", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sort_array(F.collect_set("first_id")).alias("first_ids")
+    apart = (F.col("start") - F.col("first.start")).alias("apart")
+    alike = runs.groupBy("id", "of", "run", "first.id", "first.of", apart).agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum(F.col("stop") - F.col("start")).alias("bytes")
+    ).toDF("id", "of", "run", "first_id", "first_of", "apart", "start", "stop", "bytes")
+    whole = alike.groupBy("id", "of", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("bytes").alias("bytes"),
+        F.sort_array(F.collect_set(F.when(F.col("bytes") >= span, F.col("first_id")))).alias("first_ids"),
     )
-    return runs.where(F.col("stop") - F.col("start") >= span).drop("run")
+    return whole.where(F.col("bytes") >= span).drop("run", "bytes")
 
 
 def _cut(df: DataFrame, doc_id: str, text: str, span: int) -> DataFrame:
@@ -161,7 +175,7 @@ def _cut(df: DataFrame, doc_id: str, text: str, span: int) -> DataFrame:
             out.append(b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
         return pd.Series(out, dtype="object")
 
-    same = F.col("id").eqNullSafe(F.col("cut id")) & (F.xxhash64("t") == F.col("cut of"))
+    same = F.col("id").eqNullSafe(F.col("cut id")) & (F.hash("t") == F.col("cut of"))
     cut = rows.join(spans, same).withColumn("t", kept("t", "passages"))
     changed = [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns]
     return cut.select(F.struct(*changed).alias("row"), "passages", "first_ids")
@@ -182,5 +196,5 @@ def drop_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span
     """All rows of ``df``, with ``text`` cut where ``cut_repeats`` cuts it."""
     spans = materialise(repeated_passages(df, doc_id, text, span).select("id", "of").distinct(), "cut")
     spans = spans.withColumnsRenamed({"id": "cut id", "of": "cut of"})
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("cut id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("cut of"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("cut id")) & (F.hash(F.col(f"`{text}`")) == F.col("cut of"))
     return df.join(spans, same, "left_anti").union(_cut(df, doc_id, text, span).select("row.*"))
