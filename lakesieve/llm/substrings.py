@@ -21,7 +21,7 @@ BITS = 5
 #: No cut follows a possible cut within so many bytes, and none is further than MOST away.
 LEAST, MOST = 8, 1024
 #: Bytes of consecutive chunks that one earlier document must hold as well.
-SPAN = 64
+SPAN = 100
 #: Bytes that are hashed at once, and a cut may move to reach the start of a word.
 BLOCK, WORD = 1 << 20, 32
 
