@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 from typing import Any
@@ -19,11 +20,17 @@ from ..operators.transforms import apply_steps
 from ..operators.validate import validate
 from ..session import ROW, landed
 from ..sinks.quarantine import quarantine_path, quarantine_rows
-from ..sinks.tables import Table
+from ..sinks.tables import Table, write_jdbc
 from ..sources import Source, extract_rows
+from ..sources.files import watermark
 from . import alerts
 from .history import History, latest_state
 
+log = logging.getLogger(__name__)
+
+#: ``Stage.since``: go on where the target table ends.
+LATEST = "latest"
+
 DEFAULT_REASON = "quality_failure"
 ROW_COUNTS = ("rows_extracted", "rows_loaded", "rows_quarantined")
 
@@ -33,7 +40,13 @@ class Stage:
     """What to load from where, under which rules, and how.
 
     ``source`` is a source description or a DataFrame. ``target_table`` is a
-    folder name under the warehouse, the stage's name by default.
+    folder name under the warehouse, the stage's name by default. ``target``
+    names another place: ``{"type": "parquet", "path": ...}`` or, for a table of a
+    database, ``{"type": "jdbc", "url": ..., "options": {...}}``, which appends or
+    replaces but does not upsert.
+
+    ``since`` limits an incremental source to newer rows; :data:`LATEST` means newer
+    than the newest key the target table holds.
     """
 
     name: str
@@ -46,6 +59,13 @@ class Stage:
     depends_on: Sequence[str] = ()
     order_by: Sequence[str] = ()
     since: Any = None
+    target: Mapping[str, Any] | None = None
+
+    def __post_init__(self) -> None:
+        if self.load_strategy not in ("full", "incremental"):
+            raise ValueError(f"stage {self.name!r}: unknown load strategy {self.load_strategy!r}")
+        if self.target and self.target.get("type", "parquet") not in ("parquet", "jdbc"):
+            raise ValueError(f"stage {self.name!r}: unknown target type {self.target['type']!r}")
 
     @property
     def table(self) -> str:
@@ -56,8 +76,12 @@ def stages_from_config(
     pipeline: Mapping[str, Any],
     sources: Mapping[str, Mapping[str, Any]],
     rule_sets: Mapping[str, Mapping[str, Any]],
+    targets: Mapping[str, Mapping[str, Any]] | None = None,
 ) -> list[Stage]:
-    """Stages of a pipeline configuration whose sources and rule sets are given by name."""
+    """Stages of a pipeline configuration whose sources, rule sets and targets are given by name.
+
+    A target that ``targets`` does not hold is the warehouse.
+    """
     stages = []
     for entry in pipeline.get("stages", ()):
         source = sources[entry["source"]]
@@ -72,6 +96,7 @@ def stages_from_config(
                 entry.get("load_strategy", "full"),
                 entry.get("incremental_key"),
                 entry.get("depends_on") or (),
+                target=(targets or {}).get(entry.get("target")),
             )
         )
     return stages
@@ -125,14 +150,47 @@ def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def source_rows(spark: SparkSession, stage: Stage) -> tuple[DataFrame, DataFrame]:
+def source_rows(spark: SparkSession, stage: Stage, since: Any) -> tuple[DataFrame, DataFrame]:
     """The stage's input, safe to read several times: with ``_row``, and without."""
     if isinstance(stage.source, Source):
-        return extract_rows(spark, stage.source, stage.since)
+        return extract_rows(spark, stage.source, since)
     df = normalise_missing(stage.source)
     return (df, df.drop(ROW)) if ROW in df.columns else landed(df, "rows")
 
 
+def target_name(stage: Stage, places: Places) -> str:
+    """Where the stage's table lies: a folder, or a database."""
+    target = stage.target or {}
+    return (target.get("url") or target.get("path") or places.warehouse).rstrip("/")
+
+
+def newest_loaded(spark: SparkSession, stage: Stage, places: Places) -> Any:
+    """The newest value of the source's incremental key that the target table holds."""
+    key = stage.source.options.get("incremental_key") if isinstance(stage.source, Source) else None
+    table = Table(spark, f"{target_name(stage, places)}/{stage.table}")
+    if not key or not table.exists():
+        return None
+    rows = table.read()
+    return watermark(rows, key) if key in rows.columns else None
+
+
+def noted(write: Callable, *values: Any) -> Any:
+    """Write to the history; what cannot be written is logged and changes nothing else."""
+    try:
+        return write(*values)
+    except Exception as exc:
+        log.warning("history not written: %s", exc)
+        return None
+
+
+def load(spark: SparkSession, df: DataFrame, stage: Stage, places: Places, strategy: str, version: str) -> int:
+    """Load the stage's rows into its target and return their number."""
+    if stage.target and stage.target.get("type") == "jdbc":
+        return write_jdbc(df, stage.target["url"], stage.table, strategy, **stage.target.get("options") or {})
+    table = Table(spark, f"{target_name(stage, places)}/{stage.table}")
+    return table.load(df, strategy, stage.incremental_key, version).rows_loaded
+
+
 def run_stage(
     spark: SparkSession,
     stage: Stage,
@@ -159,10 +217,14 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
     """Jobs that do not wait for each other run side by side: looking for duplicated keys
     beside the other checks, and notes for the history beside the loading."""
     history = History(spark, places.history) if places.history else None
-    df, data = source_rows(spark, stage)
+    strategy = "full" if full_refresh else stage.load_strategy
+    since = stage.since
+    if since == LATEST:
+        since = newest_loaded(spark, stage, places) if strategy == "incremental" else None
+    df, data = source_rows(spark, stage, since)
     notes = []
     if history:
-        notes.append(side_jobs.submit(history.record_schema, run_id, stage.name, data, started))
+        notes.append(side_jobs.submit(noted, history.record_schema, run_id, stage.name, data, started))
 
     report, rejected, path = None, 0, None
     if stage.rules is not None:
@@ -170,7 +232,7 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
         report = validate(data, stage.rules, stage.name, duplicates.result)
         if history:
             notes.append(
-                side_jobs.submit(history.record_quality, run_id, stage.name, report, started)
+                side_jobs.submit(noted, history.record_quality, run_id, stage.name, report, started)
             )
         sides = split(df, stage.rules, stage.order_by, report, duplicates.result())
         rejected = quarantine_rows(
@@ -182,35 +244,33 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
 
     if stage.steps:
         df = apply_steps(df, stage.steps)
-    strategy = "full" if full_refresh else stage.load_strategy
-    table = Table(spark, f"{places.warehouse.rstrip('/')}/{stage.table}")
-    loaded = table.load(df.drop(ROW), strategy, stage.incremental_key, version=f"{run_id}/{stage.name}")
+    loaded = load(spark, df.drop(ROW), stage, places, strategy, f"{run_id}/{stage.name}")
     extracted = report.row_count if report else data.count()
 
     for note in notes:
         note.result()
     if history:
         named = stage.source if isinstance(stage.source, Source) else Source("dataframe", "dataframe")
-        base = {"run_id": run_id, "stage_name": stage.name}
-        history.record_all({
+        base, target = {"run_id": run_id, "stage_name": stage.name}, target_name(stage, places)
+        noted(history.record_all, {
             "quarantine_log": [{
                 **base, "pipeline_name": pipeline, "row_count": rejected,
                 "reason": DEFAULT_REASON, "file_path": path, "recorded_at": started,
             }] if rejected else [],
             "stage_runs": [{
-                **base, "source_name": named.name, "target_name": places.warehouse,
+                **base, "source_name": named.name, "target_name": target,
                 "target_table": stage.table, "load_strategy": strategy, "status": "success",
-                "rows_extracted": extracted, "rows_loaded": loaded.rows_loaded,
+                "rows_extracted": extracted, "rows_loaded": loaded,
                 "rows_quarantined": rejected, "started_at": started, "finished_at": utc_now(),
             }],
             "lineage": [{
                 **base, "pipeline_name": pipeline, "source_name": named.name,
-                "source_type": named.type, "target_name": places.warehouse,
+                "source_type": named.type, "target_name": target,
                 "target_table": stage.table, "recorded_at": started,
             }],
         })
     result = StageResult(
-        stage.name, "success", extracted, loaded.rows_loaded, rejected,
+        stage.name, "success", extracted, loaded, rejected,
         report.score if report else None, report.success if report else None,
         quarantine_path=path,
     )
@@ -243,7 +303,7 @@ def run_pipeline(
     run_id, started = run_id or uuid.uuid4().hex, utc_now()
     history = History(spark, places.history) if places.history else None
     if history:
-        history.start_run(run_id, name, started, triggered_by)
+        noted(history.start_run, run_id, name, started, triggered_by)
     result = PipelineResult(run_id, name, "running", started)
     waiting, done = list(stages), set()
     while ready := next((s for s in waiting if done.issuperset(s.depends_on)), None):
@@ -256,7 +316,7 @@ def run_pipeline(
         except Exception as exc:
             outcome = StageResult(ready.name, "failed", error=str(exc))
             if history:
-                _record_failure(history, run_id, ready, places, exc)
+                noted(_record_failure, history, run_id, ready, places, exc)
         result.stages.append(outcome)
     for stage in waiting:
         unmet = [d for d in stage.depends_on if d not in done]
@@ -267,11 +327,11 @@ def run_pipeline(
     result.finished_at = utc_now()
     if history:
         rows = {c: result.total(c) for c in ROW_COUNTS}
-        history.finish_run(
-            run_id, name, result.status, started, result.finished_at, rows, triggered_by
+        noted(
+            history.finish_run, run_id, name, result.status, started, result.finished_at, rows, triggered_by
         )
         if channels:
-            record_alerts(history, run_id, name, channels, result.finished_at)
+            noted(record_alerts, history, run_id, name, channels, result.finished_at)
     return result
 
 
@@ -301,7 +361,7 @@ def _record_failure(history, run_id, stage, places, exc) -> None:
     now = utc_now()
     history.record("stage_runs", [{
         "run_id": run_id, "stage_name": stage.name, "source_name": named,
-        "target_name": places.warehouse, "status": "failed", "error_message": str(exc),
+        "target_name": target_name(stage, places), "status": "failed", "error_message": str(exc),
         "rows_extracted": 0, "rows_loaded": 0, "rows_quarantined": 0,
         "started_at": now, "finished_at": now,
     }])

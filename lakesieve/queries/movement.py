@@ -243,24 +243,35 @@ EVENT_RULES = RuleSet.of("events", [
 
 
 @query("""
-    select event_type, count(*) as n, round(sum(value), 2) as total from events
-    where value <= 200 group by event_type
+    with delivered as (
+      select event_id, event_type, value, 0 as delivery from events where event_id % 2 = 0
+      union all select event_id, event_type, value, 1 from events where event_id % 2 = 1
+      union all select event_id, event_type, value + 1, 1 from events where event_id % 10 = 0),
+    last as (select *, row_number() over (partition by event_id order by delivery desc) as rn from delivered)
+    select files, event_type, count(*) as n, round(sum(value), 2) as total
+    from last, (values (1), (1000)) f(files)
+    where rn = 1 and value <= 200 group by files, event_type
 """)
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries of event files, each ingested once; the totals of the loaded table."""
-    base = fresh_path(spark, "stream")
+    """Two deliveries of event files, the second with corrections of the first; the totals of
+    the loaded table, whether a micro-batch holds one file or all of them."""
     events = table(spark, sf, "events")
-    places = fresh_places(spark)
-    stage = Stage("events", events, EVENT_RULES, [step("derive", column="day", expression="to_date(ts)")],
-                  load_strategy="incremental", incremental_key="event_id")
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    for half in (0, 1):
-        part = events.where(F.col("event_id") % 2 == half)
-        part.write.mode("append").parquet(f"{base}/in")
+    corrected = events.where("event_id % 10 = 0").withColumn("value", F.col("value") + 1)
+    deliveries = [events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1").unionByName(corrected)]
+    base = fresh_path(spark, "stream")
+    totals = []
+    for part in deliveries:
+        part.coalesce(2).write.mode("append").parquet(f"{base}/in")
+    for files in (1, 1000):
+        places = fresh_places(spark)
+        stage = Stage("events", events, EVENT_RULES, [step("derive", column="day", expression="to_date(ts)")],
+                      load_strategy="incremental", incremental_key="event_id")
         ingest_files(
-            spark, f"{base}/in", schema, stage, places, f"{base}/checkpoint"
+            spark, f"{base}/in", schema, stage, places, f"{base}/checkpoint-{files}", max_files=files
         ).awaitTermination()
-    loaded = Table(spark, f"{places.warehouse}/events").read()
-    return loaded.groupBy("event_type").agg(
-        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
-    )
+        loaded = Table(spark, f"{places.warehouse}/events").read()
+        totals.append(loaded.groupBy(F.lit(files).alias("files"), "event_type").agg(
+            F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
+        ))
+    return totals[0].union(totals[1])

@@ -495,20 +495,20 @@ PARTS = [
     "case when p_partkey % 50 = 0 then cast(-p_retailprice as string) "
     "when p_partkey % 70 = 0 then 'n/a' else cast(p_retailprice as string) end as unitPrice",
 ]
-PRODUCT_RULES = RuleSet.of("product_catalog", [
-    {"name": "product_key", "type": "primary_key", "columns": ["product-id"],
+PRODUCT_RULES = RuleSet.of("parts on offer", [
+    {"name": "one row a part", "type": "primary_key", "columns": ["product-id"],
      "params": {"primary_key": True}},
-    {"name": "product_name", "type": "not_null", "columns": ["productName"]},
-    {"name": "category", "type": "not_null", "columns": ["category"], "severity": "warning"},
-    {"name": "price", "type": "range", "columns": ["unitPrice"], "params": {"min": 0, "max": 100000}},
+    {"name": "named", "type": "not_null", "columns": ["productName"]},
+    {"name": "typed", "type": "not_null", "columns": ["category"], "severity": "warning"},
+    {"name": "retail price", "type": "range", "columns": ["unitPrice"], "params": {"min": 1, "max": 5000}},
 ])
-CUSTOMER_RULES = RuleSet.of("customers", [
-    {"name": "customer_key", "type": "primary_key", "columns": ["customer_id"],
+CUSTOMER_RULES = RuleSet.of("buyers outside building", [
+    {"name": "one row a buyer", "type": "primary_key", "columns": ["customer_id"],
      "params": {"primary_key": True}},
-    {"name": "segment_known", "type": "not_null", "columns": ["segment"]},
-    {"name": "segment", "type": "allowed_values", "columns": ["segment"],
+    {"name": "market segment given", "type": "not_null", "columns": ["segment"]},
+    {"name": "market segment served", "type": "allowed_values", "columns": ["segment"],
      "params": {"values": ["AUTOMOBILE", "MACHINERY", "HOUSEHOLD"]}},
-    {"name": "balance", "type": "range", "columns": ["balance"], "severity": "warning",
+    {"name": "not in debt", "type": "range", "columns": ["balance"], "severity": "warning",
      "params": {"min": 0}},
 ])
 SALES_RULES = RuleSet.of("sales", [
@@ -517,10 +517,10 @@ SALES_RULES = RuleSet.of("sales", [
     {"name": "consistent", "type": "business_rule", "severity": "warning",
      "params": {"expression": "abs(l_extendedprice - l_quantity) > 0.01"}},
 ])
-INVENTORY_RULES = RuleSet.of("inventory", [
-    {"name": "product_store", "type": "unique", "columns": ["l_partkey", "l_suppkey"]},
-    {"name": "quantity_present", "type": "not_null", "columns": ["on_hand"]},
-    {"name": "quantity", "type": "range", "columns": ["on_hand"], "params": {"min": 0}},
+INVENTORY_RULES = RuleSet.of("parts by supplier", [
+    {"name": "first line of part and supplier", "type": "unique", "columns": ["l_partkey", "l_suppkey"]},
+    {"name": "counted", "type": "not_null", "columns": ["on_hand"]},
+    {"name": "not below nothing", "type": "range", "columns": ["on_hand"], "params": {"min": 0}},
 ])
 
 

@@ -5,9 +5,17 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.columns import column
+from ..operators.uniqueness import drop_duplicates
 from ..plans.stage import Places, Stage, run_stage
+from ..session import materialise
+
+#: When and where a row was delivered.
+DELIVERED = ("file_modification_time", "file_path", "file_block_start", "row_index")
+ARRIVAL = "_arrival"
 
 
 def ingest_files(
@@ -28,11 +36,24 @@ def ingest_files(
     ``max_files`` of them and goes through the same operators as a batch run.
     Its run id is its batch number, so a batch replayed after a failure
     replaces its own rows everywhere.
+
+    With an incremental key the last delivery of a key wins, by the time its file was
+    written, then by the file's name and the place in it: an upsert keeps the last batch's
+    row, and inside a batch earlier rows of a key are left out before the stage sees them.
+    So ``max_files`` says how much is done at a time, not which row survives.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     stream = reader.option("maxFilesPerTrigger", max_files).options(**options).load(path)
+    key = stage.incremental_key
+    if key:
+        stream = stream.select("*", F.struct(*[F.col(f"_metadata.{m}") for m in DELIVERED]).alias(ARRIVAL))
 
     def run(batch: DataFrame, number: int) -> None:
+        if key:
+            batch = materialise(batch, "micro-batch")
+            keyed = batch.where(column(key).isNotNull())
+            last = drop_duplicates(keyed, [key], "last", order_by=[ARRIVAL])
+            batch = last.unionByName(batch.where(column(key).isNull())).drop(ARRIVAL)
         run_stage(
             batch.sparkSession, replace(stage, source=batch), places, pipeline,
             run_id=f"{stage.name}-{number}",

@@ -27,12 +27,12 @@ def test_score_counts_warnings_too(sample):
         {"name": "ok", "type": "range", "columns": ["amount"], "params": {"max": 5000}},
     ], dataset="sample")
     report = validate(sample, rules)
-    assert (report.total, report.passed, report.failed, report.row_count) == (3, 1, 2, 5)
+    assert report.summary() == {"total": 3, "passed": 1, "failed": 2, "score": 0.3333, "success": False}
+    assert report.row_count == 5 and report.evaluated_at.tzinfo
     assert report.score == 0.3333
     assert not report.success
-    assert [r.name for r in report.failures("warning")] == ["amount"]
-    assert report.summary()["dataset"] == "sample"
-    assert [r["success"] for r in report.to_dict()["results"]] == [False, False, True]
+    assert [r.name for r in report.results if not r.success and r.severity == "warning"] == ["amount"]
+    assert [r.success for r in report.results] == [False, False, True]
     assert validate(sample, RuleSet("empty")).score == 1.0
 
 
@@ -174,3 +174,33 @@ def test_a_key_holding_a_third_of_all_rows(spark):
     sides = split(df, rules, order_by=["v"])
     assert sides.quarantined.count() == n // 3 - 1
     assert rows_of(sides.valid.where("k = -1"), "v") == [(0,)]
+
+
+def test_one_rule_never_ends_the_run(sample):
+    report = validate(sample, RuleSet.of("odd", [
+        {"name": "no columns", "type": "unique"},
+        {"name": "no time", "type": "freshness", "columns": ["id"], "params": {"reference": "garbage"}},
+        {"name": "mixed", "type": "allowed_values", "columns": ["id"], "params": {"values": [True, 2, 3, 4, 5]}},
+        {"name": "fine", "type": "not_null", "columns": ["id"]},
+    ]))
+    assert [r.success for r in report.results] == [False, False, True, True]
+    assert [r.broken for r in report.results] == [True, True, False, False]
+
+
+def test_a_judgement_that_raises_fails_its_rule_alone(sample):
+    def count(df, rule):
+        raise RuntimeError("boom")
+
+    register_expectation("booming", count)
+    try:
+        report = validate(sample, RuleSet.of("odd", [
+            {"name": "bad", "type": "booming"}, {"name": "fine", "type": "not_null", "columns": ["id"]},
+        ]))
+    finally:
+        unregister_expectation("booming")
+    assert [r.success for r in report.results] == [False, True] and "boom" in report.results[0].message
+
+
+def test_severities_are_checked():
+    with pytest.raises(ValueError, match="eror"):
+        RuleSet.of("r", [{"name": "n", "type": "not_null", "columns": ["id"], "severity": "eror"}])

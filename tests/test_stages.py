@@ -1,5 +1,7 @@
 """Whole stages and pipelines, batch and incremental."""
 
+import time
+
 import pytest
 from conftest import rows_of
 from retail import RULES, STEPS, feeds
@@ -15,6 +17,7 @@ from lakesieve import (
     stages_from_config,
 )
 from lakesieve.plans import history, monitor
+from lakesieve.plans.stage import LATEST
 from lakesieve.streaming.ingest import ingest_files
 
 
@@ -136,7 +139,59 @@ def test_ingest_sees_each_file_once(spark, places, frame, folder):
     assert deliver((2, "B"), (3, "c"), (None, "x")) == [(1, "a"), (2, "B"), (3, "c")]
     log = history.History(spark, places.history)
     assert rows_of(log.table("stage_runs"), "run_id", "rows_extracted") == [
-        ("events-0", 3), ("events-1", 3)]
+        ("events-0", 2), ("events-1", 3)]
+
+
+@pytest.mark.parametrize("max_files", [1, 2, 1000])
+def test_the_last_delivery_wins_wherever_batches_are_cut(spark, places, frame, folder, max_files):
+    base = folder()
+    stage = Stage("events", spark.range(0), ID, load_strategy="incremental", incremental_key="id")
+    for label in "abc":
+        rows = frame("id bigint, v string", *[(i, label) for i in range(5)], (None, label))
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        time.sleep(0.05)
+    ingest_files(spark, f"{base}/in", "id bigint, v string", stage, places, f"{base}/checkpoint",
+                 max_files=max_files).awaitTermination()
+    loaded = rows_of(Table(spark, f"{places.warehouse}/events").read())
+    assert [r for r in loaded if r[0] is not None] == [(i, "c") for i in range(5)]
+
+
+def test_a_stage_can_go_on_where_its_table_ends(spark, places, frame, folder):
+    path = folder()
+    schema = "id bigint, at timestamp_ntz"
+    stage = Stage("s", Source("f", "parquet", {"path": path, "incremental_key": "at"}),
+                  load_strategy="incremental", since=LATEST)
+
+    def day(*numbers):
+        rows = [(n, f"2024-01-{n:02d} 00:00:00") for n in numbers]
+        frame("id bigint, at string", *rows).selectExpr("id", "cast(at as timestamp_ntz) as at").write.mode("append").parquet(path)
+
+    day(1, 2)
+    assert run_pipeline(spark, "p", [stage], places).total("rows_loaded") == 2
+    day(3)
+    assert run_pipeline(spark, "p", [stage], places).total("rows_extracted") == 1
+    assert rows_of(Table(spark, f"{places.warehouse}/s").read(), "id") == [(1,), (2,), (3,)]
+    assert run_pipeline(spark, "p", [stage], places, full_refresh=True).total("rows_loaded") == 3
+
+
+def test_each_stage_may_have_its_own_target(spark, places, frame, folder):
+    elsewhere = folder()
+    stage = Stage("s", frame("id bigint", (1,)), target={"type": "parquet", "path": elsewhere})
+    run_pipeline(spark, "p", [stage], places)
+    assert rows_of(Table(spark, f"{elsewhere}/s").read()) == [(1,)]
+    lineage = history.History(spark, places.history).table("lineage")
+    assert lineage.first()["target_name"] == elsewhere
+    with pytest.raises(ValueError, match="sideways"):
+        Stage("s", frame("id bigint"), load_strategy="sideways")
+    with pytest.raises(ValueError, match="tape"):
+        Stage("s", frame("id bigint"), target={"type": "tape"})
+
+
+def test_a_history_that_cannot_be_written_fails_no_stage(spark, places, frame, tmp_path):
+    (tmp_path / "file").write_text("not a folder")
+    broken = Places(places.warehouse, places.quarantine, str(tmp_path / "file" / "history"))
+    result = run_pipeline(spark, "p", [Stage("s", frame("id bigint", (1,)), ID)], broken)
+    assert result.status == "success" and rows_of(Table(spark, f"{places.warehouse}/s").read()) == [(1,)]
 
 
 def test_stages_from_configuration(spark, places, tmp_path):
