@@ -18,12 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import column, normalise_missing
-from ..session import ROW, landed
+from ..session import ROW, fresh_path, landed
 from .rules import RuleSet, ValidationReport
 from .uniqueness import first_of_duplicates, flag_later_copies
 from .validate import compile_row_rules
 
-VIOLATIONS = "_violations"
+VIOLATIONS, OK = "_violations", "_ok"
 
 #: A control character no rule name holds.
 SEPARATOR = "\x01"
@@ -53,6 +53,19 @@ class Split:
         """All rows, each with the rules it breaks."""
         return self._named(self.rows)
 
+    def settled(self) -> Split:
+        """The same split, its rows written once if telling copies apart takes a join.
+
+        Both sides are then read from what was written, so the join runs once.
+        """
+        if not self.duplicates:
+            return self
+        spark, path = self.rows.sparkSession, fresh_path(self.rows.sparkSession, "split")
+        rows = self.rows.select(*map(column, self.columns), self.names.alias(VIOLATIONS), (~self.broken).alias(OK))
+        rows.write.partitionBy(OK).parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        return Split(stored, self.columns, ~F.col(OK), F.col(VIOLATIONS), self.duplicates)
+
     def _named(self, rows: DataFrame) -> DataFrame:
         return rows.select(*map(column, self.columns), self.names.alias(VIOLATIONS))
 

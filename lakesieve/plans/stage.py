@@ -24,7 +24,7 @@ from ..sinks.tables import Table, write_jdbc
 from ..sources import Source, extract_rows
 from ..sources.files import watermark
 from . import alerts
-from .history import History, latest_state
+from .history import History, latest_state, quality_rows
 
 log = logging.getLogger(__name__)
 
@@ -202,39 +202,40 @@ def run_stage(
 ) -> tuple[StageResult, ValidationReport | None]:
     """Run one stage; valid rows are loaded even when rules fail.
 
-    The input is read by the checks (only the columns rules name), once for
-    the rejected and once for the valid rows. Row rules are cheap expressions,
-    so reading twice costs less than writing every row an extra time would.
+    The input is read by the checks (only the columns rules name), and by the split:
+    where copies must be told apart, which takes a join, its rows are written once and
+    both sides read from there; otherwise each side evaluates the rules on its own scan.
     """
-    with ThreadPoolExecutor(3) as side_jobs:
-        return _run_stage(
-            spark, stage, places, pipeline, run_id or uuid.uuid4().hex, at or utc_now(),
-            full_refresh, side_jobs,
-        )
+    history = History(spark, places.history) if places.history else None
+    notes: dict[str, list[dict[str, Any]]] = {}
+    try:
+        with ThreadPoolExecutor(3) as side_jobs:
+            return _run_stage(
+                spark, stage, places, pipeline, run_id or uuid.uuid4().hex, at or utc_now(),
+                full_refresh, side_jobs, history, notes,
+            )
+    finally:
+        if history and notes:
+            noted(history.record_all, notes)
 
 
-def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, side_jobs):
+def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, side_jobs, history, notes):
     """Jobs that do not wait for each other run side by side: looking for duplicated keys
-    beside the other checks, and notes for the history beside the loading."""
-    history = History(spark, places.history) if places.history else None
+    beside the other checks, and the last schema. ``notes`` gathers what the history is to
+    hold, by table, to be written by one job."""
     strategy = "full" if full_refresh else stage.load_strategy
     since = stage.since
     if since == LATEST:
         since = newest_loaded(spark, stage, places) if strategy == "incremental" else None
     df, data = source_rows(spark, stage, since)
-    notes = []
-    if history:
-        notes.append(side_jobs.submit(noted, history.record_schema, run_id, stage.name, data, started))
+    schema = side_jobs.submit(noted, history.schema_rows, run_id, stage.name, data, started) if history else None
 
     report, rejected, path = None, 0, None
     if stage.rules is not None:
         duplicates = side_jobs.submit(find_duplicates, df, stage.rules, stage.order_by, data)
         report = validate(data, stage.rules, stage.name, duplicates.result)
-        if history:
-            notes.append(
-                side_jobs.submit(noted, history.record_quality, run_id, stage.name, report, started)
-            )
-        sides = split(df, stage.rules, stage.order_by, report, duplicates.result())
+        notes.update(quality_rows(run_id, stage.name, report, started))
+        sides = split(df, stage.rules, stage.order_by, report, duplicates.result()).settled()
         rejected = quarantine_rows(
             sides.quarantined.drop(ROW), places.quarantine, pipeline, stage.name, run_id, started
         )
@@ -247,12 +248,11 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
     loaded = load(spark, df.drop(ROW), stage, places, strategy, f"{run_id}/{stage.name}")
     extracted = report.row_count if report else data.count()
 
-    for note in notes:
-        note.result()
     if history:
+        notes.update(schema.result() or {})
         named = stage.source if isinstance(stage.source, Source) else Source("dataframe", "dataframe")
         base, target = {"run_id": run_id, "stage_name": stage.name}, target_name(stage, places)
-        noted(history.record_all, {
+        notes.update({
             "quarantine_log": [{
                 **base, "pipeline_name": pipeline, "row_count": rejected,
                 "reason": DEFAULT_REASON, "file_path": path, "recorded_at": started,
