@@ -37,9 +37,8 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, their number, and the text they decode to."""
-    path = vocabulary_path()
-    encoded = bpe.encode(docs.select("doc_id", "text"), path).select("doc_id", "ids", F.size("ids").alias("n_tokens"))
-    return bpe.decode(encoded, path).withColumnRenamed("decoded", "text")
+    found = bpe.round_trip(docs.select("doc_id", "text"), vocabulary_path())
+    return found.select("doc_id", "ids", "n_tokens", F.col("decoded").alias("text"))
 
 
 STAGES = [

@@ -8,10 +8,11 @@ import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .common import Memo, worker_store
 
@@ -33,10 +34,12 @@ def _letters() -> str:
 UNITS = " ?[%s]++(?![\U00010000-\U0010ffff])| ?[^%s]+|[%s]+(?![^%s])|[%s]+" % (_letters(), *(WHITE,) * 4)
 
 #: Units that a worker remembers at least, prefixes, pairs of tokens, steps of the automaton.
-REMEMBERED = 300_000
-PREFIXES = 500_000
-PAIRS = 150_000
-TRANSITIONS = 150_000
+REMEMBERED = 100_000
+PREFIXES = 150_000
+PAIRS = 80_000
+TRANSITIONS = 50_000
+#: Rows that are worked on together.
+TOGETHER = 200
 #: Bytes of a piece whose prefixes are remembered; longer pieces are hardly ever met again.
 REPEATED = 48
 #: Characters of a text that are cut into units at once.
@@ -266,42 +269,60 @@ def _on_workers(spark: SparkSession, path: str):
     return lambda: worker_store(("bpe", key), lambda: Tokenizer(sent.value))
 
 
-def encode(df: DataFrame, path: str, text: str = "text", column: str = "ids") -> DataFrame:
-    """``df`` with the token ids of its whole text; null is encoded like the empty text."""
+def _with(df: DataFrame, path: str, source: str, added: dict[str, tuple], make) -> DataFrame:
+    """``df`` with columns made by ``make(tokenizer, value of source)``; columns so named are replaced.
+
+    Rows are worked on a few at a time, so that a worker holds the results of a few texts.
+    """
     tokenizer = _on_workers(df.sparkSession, path)
+    kept = [c for c in df.columns if c not in added]
+    place, places = df.columns.index(source), [df.columns.index(c) for c in kept]
+    kinds = [kind for _, kind in added.values()]
+    fields = [df.schema[c] for c in kept] + [T.StructField(c, kind) for c, (kind, _) in added.items()]
+
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(start, TOGETHER)
+                made = zip(*[make(tokenizer(), value) for value in part.column(place).to_pylist()])
+                new = [pa.array(values, kind) for values, kind in zip(made, kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(at) for at in places] + new, [*kept, *added])
+
+    return df.mapInArrow(worked, T.StructType(fields))
+
+
+def _ids(tokenizer: Tokenizer, text: str | None) -> np.ndarray:
+    return np.array(tokenizer.encode(text), np.int32)
+
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([tokenizer().encode(t) for t in texts], dtype="object")
+IDS, TEXT, NUMBER = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), (T.StringType(), pa.string()), (T.LongType(), pa.int64())
 
-    return df.withColumn(column, encoded(F.col(text)))
+
+def encode(df: DataFrame, path: str, text: str = "text", column: str = "ids") -> DataFrame:
+    """``df`` with the token ids of its whole text; null is encoded like the empty text."""
+    return _with(df, path, text, {column: IDS}, lambda t, value: (_ids(t, value),))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """``df`` with the text of its token ids, special tokens spelt out; null ids give the empty text."""
-    tokenizer = _on_workers(df.sparkSession, path)
+    return _with(df, path, ids, {column: TEXT}, lambda t, value: (t.decode(value or ()),))
+
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for rows in batches:
-            yield pd.Series([tokenizer().decode(() if r is None else r) for r in rows], dtype="object")
+def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded``: ``encode`` and ``decode`` in one pass."""
 
-    return df.withColumn(column, decoded(F.col(ids)))
+    def both(tokenizer: Tokenizer, value: str | None) -> tuple:
+        ids = _ids(tokenizer, value)
+        return ids, len(ids), tokenizer.decode(ids)
 
+    return _with(df, path, text, {"ids": IDS, "n_tokens": NUMBER, "decoded": TEXT}, both)
 
-def digests(df: DataFrame, path: str, text: str = "text") -> Column:
-    """For every row the number of ids, and SHA-256 of the listed ids and of the decoded text.
+
+def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``df`` with ``n_tokens``, and SHA-256 of the listed ids and of the decoded text.
 
     What ``encode`` and ``decode`` give, without moving the ids of whole texts between
     processes. Null and empty texts have no ids.
     """
-    tokenizer = _on_workers(df.sparkSession, path)
-
-    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-    def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            rows = [tokenizer().digests(t) for t in texts]
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return digested(F.col(text))
+    added = {"n_tokens": NUMBER, "ids_sha256": TEXT, "decoded_sha256": TEXT}
+    return _with(df, path, text, added, lambda t, value: t.digests(value))

@@ -97,8 +97,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number and digest of every document's token ids, and the digest of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = bpe.digests(docs, vocabulary_path())
-    return docs.select("doc_id", found.alias("d")).select("doc_id", "d.*")
+    return bpe.digests(docs, vocabulary_path()).drop("text")
 
 
 @query
