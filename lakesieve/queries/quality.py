@@ -36,10 +36,21 @@ def observed(spark: SparkSession, df: DataFrame, *rules: dict) -> DataFrame:
 
 
 @query("""
-    select * from (values ('types', true, '{"missing": [], "type_mismatches": {}, "unexpected": []}'),
-      ('absent', false, '{"missing": ["x"], "type_mismatches": {"o_orderkey": "expected string, got bigint"}, "unexpected": []}'),
-      ('extra', false, '{"missing": [], "type_mismatches": {}, "unexpected": ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]}')
-    ) v(expectation_name, success, observed), (select count(*) as row_count from orders)
+    with has as (select column_name as c, column_type as t from (describe orders)),
+    families(kind, types) as (values ('int', ['TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT']), ('float', ['FLOAT', 'DOUBLE']),
+      ('string', ['VARCHAR']), ('datetime', ['TIMESTAMP', 'TIMESTAMP_NS', 'TIMESTAMP WITH TIME ZONE'])),
+    wanted(name, c, kind, strict) as (values ('types', 'o_orderkey', 'int', false), ('types', 'o_totalprice', 'float', false),
+      ('types', 'o_orderstatus', 'string', false), ('types', 'o_orderdate', 'datetime', false),
+      ('absent', 'o_orderkey', 'string', false), ('absent', 'x', 'int', false), ('extra', 'o_orderkey', null, true)),
+    judged as (select w.*, h.t, h.c is null as missing,
+        h.c is not null and kind is not null and not list_contains(types, h.t) as mistyped
+      from wanted w left join has h using (c) left join families using (kind)),
+    extra as (select w.name, h.c from (select distinct name from wanted where strict) w, has h
+      where h.c not in (select c from wanted where name = w.name)),
+    counted as (select name, count(*) filter (where missing) as missing, count(*) filter (where mistyped) as mistyped,
+        (select count(*) from extra e where e.name = j.name) as unexpected from judged j group by name)
+    select name as expectation_name, missing + mistyped + unexpected = 0 as success, missing, mistyped, unexpected,
+      (select count(*) from orders) as row_count from counted
 """)
 def exp_schema(spark, sf):
     types = {"o_orderkey": "int", "o_totalprice": "float", "o_orderstatus": "string",
@@ -51,7 +62,10 @@ def exp_schema(spark, sf):
     ])
     report = validate(table(spark, sf, "orders"), rules)
     rows = F.lit(report.row_count).cast("bigint").alias("row_count")
-    return report.to_df(spark).select("expectation_name", "success", "observed", rows)
+    found = F.from_json("observed", "missing array<string>, type_mismatches map<string,string>, unexpected array<string>")
+    counts = [F.size(found[c]).cast("bigint").alias(n) for c, n in
+              (("missing", "missing"), ("type_mismatches", "mistyped"), ("unexpected", "unexpected"))]
+    return report.to_df(spark).select("expectation_name", "success", *counts, rows)
 
 
 @query(f"""
@@ -59,14 +73,19 @@ def exp_schema(spark, sf):
       select round(avg(case when price is null then 1.0 else 0 end), 4) as price,
         round(avg(case when brand is null then 1.0 else 0 end), 4) as brand
       from ({DIRTY_PARTS})),
+    columns as (select column_name from (describe {DIRTY_PARTS})),
+    wanted as (select * from (values ('price'), ('brand'), ('absent')) w(column_name)),
     listed as (select 'price' as column_name, price as value from rates
-      union all select 'brand', brand from rates)
-    select 'strict' as expectation_name, column_name, 'null_rates' as metric, value, false as success from listed
-    union all select 'strict', column_name, 'violations', value, false from listed where value > 0
-    union all select 'strict', 'absent', 'violations', 1.0, false
-    union all select 'strict', null, 'threshold', 0.0, false
-    union all select 'lenient', column_name, 'null_rates', value, true from listed
-    union all select 'lenient', null, 'threshold', 0.5, true
+      union all select 'brand', brand from rates),
+    broken as (select column_name, value from listed where value > 0
+      union all select column_name, 1.0 from wanted where column_name not in (select column_name from columns)),
+    strict as (select (select count(*) from broken) = 0 as success),
+    lenient as (select max(value) <= 0.5 as success from listed)
+    select 'strict' as expectation_name, column_name, 'null_rates' as metric, value, success from listed, strict
+    union all select 'strict', column_name, 'violations', value, success from broken, strict
+    union all select 'strict', null, 'threshold', 0.0, success from strict
+    union all select 'lenient', column_name, 'null_rates', value, success from listed, lenient
+    union all select 'lenient', null, 'threshold', 0.5, success from lenient
 """)
 def exp_not_null(spark, sf):
     return observed(
@@ -99,14 +118,17 @@ def exp_unique(spark, sf):
 
 @query(f"""
     with keyed as (select c_custkey, nullif(c_nationkey, 3) as nation from customer),
-    dup as (select coalesce(sum(n), 0)::double as value from
-      (select count(*) as n from keyed group by nation having count(*) > 1))
-    select 'customer' as expectation_name, null::varchar as column_name, 'duplicate_rows' as metric,
-      0.0::double as value, true as success
-    union all select 'customer', null, 'null_key_rows', 0.0, true
-    union all select 'nation', null, 'duplicate_rows', value, false from dup
-    union all select 'nation', null, 'null_key_rows', count(*), false from keyed where nation is null
-    union all select 'nation_soft', null, 'duplicate_rows', value, false from dup
+    facts as (
+      select 'customer' as name, (select coalesce(sum(n), 0)::double from
+          (select count(*) as n from keyed group by c_custkey having count(*) > 1)) as dup,
+        (select count(*)::double from keyed where c_custkey is null) as nulls
+      union all select 'nation', (select coalesce(sum(n), 0)::double from
+          (select count(*) as n from keyed group by nation having count(*) > 1)),
+        (select count(*)::double from keyed where nation is null))
+    select name as expectation_name, null::varchar as column_name, 'duplicate_rows' as metric,
+      dup as value, dup + nulls = 0 as success from facts
+    union all select name, null, 'null_key_rows', nulls, dup + nulls = 0 from facts
+    union all select 'nation_soft', null, 'duplicate_rows', dup, dup = 0 from facts where name = 'nation'
 """)
 def exp_primary_key(spark, sf):
     df = table(spark, sf, "customer").selectExpr("c_custkey", "nullif(c_nationkey, 3) as nation")
@@ -126,11 +148,13 @@ def exp_primary_key(spark, sf):
           or try_cast(price_text as double) > 1500) as price_text
       from ({DIRTY_PARTS})),
     listed as (select 'price' as column_name, price as v, n from counts
-      union all select 'price_text', price_text, n from counts)
-    select 'strict' as expectation_name, column_name, 'violations' as metric, v::double as value, false as success from listed
-    union all select 'strict', column_name, 'violation_rate', round(v / n, 4), false from listed
-    union all select 'loose', 'price', 'violations', v, true from listed where column_name = 'price'
-    union all select 'loose', 'price', 'violation_rate', round(v / n, 4), true from listed where column_name = 'price'
+      union all select 'price_text', price_text, n from counts),
+    strict as (select sum(v) = 0 as success from listed),
+    loose as (select v / n <= 1.0 as success from listed where column_name = 'price')
+    select 'strict' as expectation_name, column_name, 'violations' as metric, v::double as value, success from listed, strict
+    union all select 'strict', column_name, 'violation_rate', round(v / n, 4), success from listed, strict
+    union all select 'loose', column_name, 'violations', v, success from listed, loose where column_name = 'price'
+    union all select 'loose', column_name, 'violation_rate', round(v / n, 4), success from listed, loose where column_name = 'price'
 """)
 def exp_range(spark, sf):
     bounds = {"min": 1000, "max": 1500}

@@ -11,6 +11,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .storage import delete
+
 #: Name of the hidden row-position column used where "first row" has a meaning.
 ROW = "_row"
 
@@ -51,8 +53,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/lakesieve/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, in this application's part of it, that nothing else uses."""
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/lakesieve/{spark.sparkContext.applicationId}"
+
+
+def clear_intermediates(spark: SparkSession) -> None:
+    """Remove what this application has written to the shared folder.
+
+    Results that were not written elsewhere yet may still read from there, so this is the
+    caller's to decide, after the last result is stored.
+    """
+    delete(spark, _own_dir(spark))
 
 
 def small_frame(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: str) -> DataFrame:

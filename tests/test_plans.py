@@ -39,6 +39,30 @@ def test_few_duplicates_do_not_move_the_table(stored):
         assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
 
 
+def test_copies_are_told_apart_once(spark, stored):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sides = split(stored, UNIQUE)
+        assert "SortMergeJoin" in plan(sides.valid)
+        settled = sides.settled()
+        for side in (settled.valid, settled.quarantined):
+            assert "Join" not in plan(side) and "Exchange" not in plan(side)
+        assert settled.valid.count() == sides.valid.count() == 901
+        assert settled.quarantined.count() == 99
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_intermediates_can_be_removed(spark, stored):
+    from lakesieve import clear_intermediates, storage
+    from lakesieve.session import _own_dir, materialise
+
+    materialise(stored, "kept")
+    assert any(n.startswith("kept-") for n in storage.names(spark, _own_dir(spark)))
+    clear_intermediates(spark)
+    assert storage.names(spark, _own_dir(spark)) == []
+
+
 def test_counting_duplicates_reads_only_the_key(stored):
     plain = stored.sparkSession.read.parquet(*stored.inputFiles())
     text = plan(duplicate_row_count(plain, ["k"]))
