@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .common import in_fold, pieces
 
 #: Lengths of the n-grams; a blank stands before and after each word.
@@ -105,7 +106,9 @@ def fit(
     known = docs.select(
         F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     ).where("lang is not null and text is not null")
+    # written, so that its size is known and texts need not move to meet a few shares
     shares = known.groupBy("lang").agg(F.least(F.lit(1.0), rows / F.count("*")).alias("share"))
+    shares = materialise(shares, "shares")
     chance = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / float(1 << 20)
     sample = known.join(shares, "lang").where(chance < F.col("share")).select("lang", "text")
 
