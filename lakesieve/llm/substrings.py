@@ -79,7 +79,7 @@ def cuts(body: bytes) -> np.ndarray:
 def chunks(df: DataFrame) -> DataFrame:
     """``(id, of, h1, h2, start, stop)`` of every chunk of ``(id, of, text)``.
 
-    The 128 bits of a chunk's digest are ``h1`` and ``h2``; offsets are in bytes.
+    The 96 bits of a chunk's digest are ``h1`` and ``h2``; offsets are in bytes.
     """
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,26 +91,26 @@ def chunks(df: DataFrame) -> DataFrame:
                 ends = cuts(body)
                 begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
                 digest = hashlib.blake2b
-                digests += [digest(body[a:b], digest_size=16).digest() for a, b in zip(begins.tolist(), ends.tolist())]
+                digests += [digest(body[a:b], digest_size=12).digest() for a, b in zip(begins.tolist(), ends.tolist())]
                 rows.append(np.full(len(ends), row))
                 starts.append(begins)
                 stops.append(ends)
                 held += len(ends)
                 if held >= 200_000 or row == batch.num_rows - 1:
                     at = pa.array(np.concatenate(rows).astype(np.int64))
-                    halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                    digest_of = np.frombuffer(b"".join(digests), [("h1", "<i8"), ("h2", "<i4")])
                     ends_of = (pa.array(np.concatenate(part).astype(np.int32)) for part in (starts, stops))
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("id").take(at), batch.column("of").take(at),
-                            pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), *ends_of,
+                            pa.array(digest_of["h1"].copy()), pa.array(digest_of["h2"].copy()), *ends_of,
                         ],
                         ["id", "of", "h1", "h2", "start", "stop"],
                     )
                     rows, starts, stops, digests, held = [], [], [], [], 0
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(chunked, f"id {kind}, of int, h1 bigint, h2 bigint, start int, stop int")
+    return df.mapInArrow(chunked, f"id {kind}, of int, h1 bigint, h2 int, start int, stop int")
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
@@ -129,12 +129,13 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = df.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
     docs = docs.select("id", F.hash("text").alias("of"), "text")
     found = chunks(docs)
-    # most chunks are unique: half of the digest, counted alone, tells so at the least cost
-    common = found.groupBy("h1").count().where("count > 1").select("h1")
+    # most chunks are unique: a part of the digest, counted alone, tells so at the least cost;
+    # what is joined is written first, so that both joins can be split where a chunk is hot
+    common = materialise(found.groupBy("h1").count().where("count > 1").select("h1"), "common")
     found = materialise(found.join(common, "h1"), "chunks")
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "of", "start")
     firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    firsts = firsts.where("n > 1").select("h1", "h2", "first")
+    firsts = materialise(firsts.where("n > 1").select("h1", "h2", "first"), "firsts")
     again = found.join(firsts, ["h1", "h2"]).select("id", "of", "start", "stop", "first", place.alias("own"))
     again = again.where("own != first").groupBy("id", "of", "start").agg(
         F.min("stop").alias("stop"), F.min("first").alias("first")
