@@ -9,6 +9,7 @@ to hold unexpected values. Only these few numbers reach the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -88,7 +89,7 @@ def validate(
     """Check ``df`` against ``rules``.
 
     ``duplicates`` may give duplicated keys the caller looks for anyway, by key
-    columns, with their row counts in ``_copies``; it is called last.
+    columns, with their row counts in ``_copies``; it is called when these are needed.
     """
     df = normalise_missing(df)
     results: dict[int, ExpectationResult] = {}
@@ -114,16 +115,17 @@ def validate(
         results[i] = _failed(rule, text, {"error": error} if is_custom else {})
         del checks[i]
 
-    known = duplicates() if duplicates and any(c.unique_on for c in checks.values()) else {}
     steps = (
         lambda some: _add_outliers(df, some, facts),
         lambda some: _add_samples(df, some, facts),
-        lambda some: _add_duplicates(df, some, facts, known),
+        lambda some: _add_duplicates(df, some, facts, duplicates or dict),
     )
-    for step in steps:
-        for i, error in _failing(step, checks).items():
-            results[i] = _failed(rules.expectations[i], f"Expectation raised an error: {error}")
-            del checks[i]
+    # The steps wait for nothing from each other, and each adds facts of its own.
+    with ThreadPoolExecutor(len(steps)) as side_by_side:
+        failing = list(side_by_side.map(lambda step: _failing(step, checks), steps))
+    for i, error in {i: error for found in failing for i, error in found.items()}.items():
+        results[i] = _failed(rules.expectations[i], f"Expectation raised an error: {error}")
+        del checks[i]
 
     for i, check in checks.items():
         rule = rules.expectations[i]
@@ -200,7 +202,8 @@ def _collect_separately(df: DataFrame, checks: Mapping[int, Check]):
     return facts, errors, rows
 
 
-def _add_duplicates(df, checks: Mapping[int, Check], facts, known) -> None:
+def _add_duplicates(df, checks: Mapping[int, Check], facts, found) -> None:
+    known = found() if any(check.unique_on for check in checks.values()) else {}
     counted: dict[tuple[str, ...], int] = {}
     for i, check in checks.items():
         keys = tuple(check.unique_on)
