@@ -59,6 +59,11 @@ MESSAGES = {
     "custom": ("Business rule satisfied", "Business rule violated"),
 }
 
+# Messages of rules that could not be evaluated.
+UNKNOWN_TYPE = "Unknown expectation type '{}'"
+RAISED = "Expectation raised an error: {}"
+CUSTOM_ERROR = "Custom expression error"
+
 #: How many unexpected values a categorical rule reports.
 SAMPLE_VALUES = 20
 
@@ -337,10 +342,10 @@ def custom(df: DataFrame, rule: Expectation) -> Check:
         # Analysis only; no job runs.
         dtype = df.select(F.expr(expression).alias("ok")).schema["ok"].dataType
     except Exception as exc:
-        raise InvalidExpectation("Custom expression error", {"error": str(exc)}) from exc
+        raise InvalidExpectation(CUSTOM_ERROR, {"error": str(exc)}) from exc
     if not isinstance(dtype, T.BooleanType):
         error = f"expression is {dtype.simpleString()}, not boolean"
-        raise InvalidExpectation("Custom expression error", {"error": error})
+        raise InvalidExpectation(CUSTOM_ERROR, {"error": error})
     broken = ~F.coalesce(F.expr(expression), F.lit(False))
 
     def judge(facts: Mapping[str, Any]) -> Judgement:

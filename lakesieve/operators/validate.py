@@ -101,17 +101,17 @@ def validate(
             elif rule.type in _compilers:
                 checks[i] = _compilers[rule.type](df, rule)
             else:
-                results[i] = _failed(rule, f"Unknown expectation type '{rule.type}'")
+                results[i] = _failed(rule, built_in.UNKNOWN_TYPE.format(rule.type))
         except InvalidExpectation as exc:
             results[i] = _failed(rule, str(exc), exc.observed)
         except Exception as exc:
-            results[i] = _failed(rule, f"Expectation raised an error: {exc}")
+            results[i] = _failed(rule, built_in.RAISED.format(exc))
 
     facts, errors, rows = _collect_counts(df, checks)
     for i, error in errors.items():
         rule = rules.expectations[i]
         is_custom = _compilers.get(rule.type) is built_in.custom
-        text = "Custom expression error" if is_custom else f"Expectation raised an error: {error}"
+        text = built_in.CUSTOM_ERROR if is_custom else built_in.RAISED.format(error)
         results[i] = _failed(rule, text, {"error": error} if is_custom else {})
         del checks[i]
 
@@ -124,7 +124,7 @@ def validate(
     with ThreadPoolExecutor(len(steps)) as side_by_side:
         failing = list(side_by_side.map(lambda step: _failing(step, checks), steps))
     for i, error in {i: error for found in failing for i, error in found.items()}.items():
-        results[i] = _failed(rules.expectations[i], f"Expectation raised an error: {error}")
+        results[i] = _failed(rules.expectations[i], built_in.RAISED.format(error))
         del checks[i]
 
     for i, check in checks.items():
@@ -132,7 +132,7 @@ def validate(
         try:
             success, observed, text = check.judge(facts[i])
         except Exception as exc:
-            results[i] = _failed(rule, f"Expectation raised an error: {exc}")
+            results[i] = _failed(rule, built_in.RAISED.format(exc))
             continue
         results[i] = ExpectationResult(
             rule.name, rule.type, success, rule.severity, list(rule.columns), observed, text

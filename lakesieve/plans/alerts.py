@@ -17,6 +17,16 @@ from .monitor import in_ranges
 SEVERITY_RANK = {"info": 0, "warning": 1, "error": 2, "critical": 3}
 UNKNOWN_RANK = 2
 
+# Keys, subjects and bodies of alerts, and a line of a body.
+QUALITY_KEY = "quality:%s:%s"
+QUALITY_SUBJECT = "Data quality failure in %s/%s"
+QUALITY_BODY = "Pipeline: %s\nStage: %s\nRun: %s\nQuality score: %.2f%%\nFailed expectations (%s):\n%s"
+QUALITY_LINE = "- %s (%s): %s"
+RUN_KEY = "run:%s"
+RUN_SUBJECT = "Pipeline %s finished with status %s"
+RUN_BODY = "Pipeline: %s\nRun: %s\nStatus: %s\nFailed stages (%s):\n%s"
+RUN_LINE = "- %s: %s"
+
 #: Minutes during which an alert is not repeated.
 SUPPRESSION_MINUTES = 30
 #: Failures listed in a quality alert.
@@ -54,29 +64,20 @@ def quality_alerts(metrics: DataFrame, scores: DataFrame, pipeline: Column) -> D
     listed = failed.withColumn("_place", F.row_number().over(place)).where(
         F.col("_place") <= LISTED_FAILURES
     )
-    line = F.concat(
-        F.lit("- "), F.col("expectation_name"), F.lit(" ("), F.col("expectation_type"),
-        F.lit("): "), F.col("message"),
-    )
+    line = F.format_string(QUALITY_LINE, "expectation_name", "expectation_type", "message")
     lines = listed.groupBy(*stage).agg(
         F.sort_array(F.collect_list(F.struct("_place", line.alias("line"))))["line"].alias("lines")
     )
     counts = failed.groupBy(*stage).agg(F.count("*").alias("failures"))
     found = counts.join(lines, stage).join(scores.select(*stage, "score"), stage)
-    body = F.concat(
-        F.lit("Pipeline: "), pipeline,
-        F.lit("\nStage: "), F.col("stage_name"),
-        F.lit("\nRun: "), F.col("run_id"),
-        F.lit("\nQuality score: "), F.format_string("%.2f", F.col("score").cast("double") * 100),
-        F.lit("%\nFailed expectations ("), F.col("failures").cast("string"),
-        F.lit("):\n"), F.array_join("lines", "\n"),
+    score = F.col("score").cast("double") * 100
+    body = F.format_string(
+        QUALITY_BODY, pipeline, "stage_name", "run_id", score, "failures", F.array_join("lines", "\n")
     )
     return found.select(
         *stage,
-        F.concat(F.lit("quality:"), pipeline, F.lit(":"), F.col("stage_name")).alias("key"),
-        F.concat(
-            F.lit("Data quality failure in "), pipeline, F.lit("/"), F.col("stage_name")
-        ).alias("subject"),
+        F.format_string(QUALITY_KEY, pipeline, "stage_name").alias("key"),
+        F.format_string(QUALITY_SUBJECT, pipeline, "stage_name").alias("subject"),
         body.alias("body"),
         F.lit("error").alias("severity"),
     )
@@ -84,29 +85,20 @@ def quality_alerts(metrics: DataFrame, scores: DataFrame, pipeline: Column) -> D
 
 def run_failure_alerts(runs: DataFrame, stages: DataFrame) -> DataFrame:
     """One alert per finished run that did not fully succeed, naming its failed stages."""
-    line = F.concat(
-        F.lit("- "), F.col("stage_name"), F.lit(": "), F.coalesce("error_message", F.lit("None"))
-    )
+    line = F.format_string(RUN_LINE, "stage_name", F.coalesce("error_message", F.lit("None")))
     failed = stages.where(F.col("status") == "failed").groupBy("run_id").agg(
         F.count("*").alias("failures"),
         F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines"),
     )
     bad = runs.where(F.col("status").isin("partial", "failed"))
     found = bad.join(failed, "run_id", "left")
-    body = F.concat(
-        F.lit("Pipeline: "), F.col("pipeline_name"),
-        F.lit("\nRun: "), F.col("run_id").cast("string"),
-        F.lit("\nStatus: "), F.col("status"),
-        F.lit("\nFailed stages ("), F.coalesce("failures", F.lit(0)).cast("string"),
-        F.lit("):\n"), F.coalesce("lines", F.lit("")),
+    body = F.format_string(
+        RUN_BODY, "pipeline_name", "run_id", "status", F.coalesce("failures", F.lit(0)), F.coalesce("lines", F.lit(""))
     )
     return found.select(
         "run_id",
-        F.concat(F.lit("run:"), F.col("pipeline_name")).alias("key"),
-        F.concat(
-            F.lit("Pipeline "), F.col("pipeline_name"),
-            F.lit(" finished with status "), F.col("status"),
-        ).alias("subject"),
+        F.format_string(RUN_KEY, "pipeline_name").alias("key"),
+        F.format_string(RUN_SUBJECT, "pipeline_name", "status").alias("subject"),
         body.alias("body"),
         F.lit("error").alias("severity"),
     )
