@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -34,7 +35,7 @@ def _letters() -> str:
 UNITS = " ?[%s]++(?![\U00010000-\U0010ffff])| ?[^%s]+|[%s]+(?![^%s])|[%s]+" % (_letters(), *(WHITE,) * 4)
 
 #: Units that a worker remembers at least, prefixes, pairs of tokens, steps of the automaton.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 PREFIXES = 150_000
 PAIRS = 80_000
 TRANSITIONS = 50_000
@@ -221,10 +222,10 @@ class Tokenizer:
             last.append(self._last_token(last, state))
         return last
 
-    def _encode_unit(self, unit: str) -> tuple[int, ...]:
+    def _encode_unit(self, unit: str) -> bytes:
         word = unit[1:] if unit[0] == " " else unit
         pieces = [unit] if word.isalpha() else self.pieces.findall(unit)
-        return tuple(chain.from_iterable(map(self._encode_piece, pieces)))
+        return array("I", chain.from_iterable(map(self._encode_piece, pieces))).tobytes()
 
     def _cut(self, text: str) -> Iterator[list[str]]:
         """The units of a text, in blocks: between two of them stands a space for sure."""
@@ -238,24 +239,24 @@ class Tokenizer:
             start = safe.start()
         yield self.units.findall(text[start:] if start else text)
 
-    def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
+    def encode(self, text: str | None) -> np.ndarray:
+        found: list[bytes] = []
         known = self.remembered
         parts = self.split.split(text or "") if self.split else [text or ""]
         for at, part in enumerate(parts):
             if at % 2:
-                ids.append(self.special[part])
+                found.append(array("I", [self.special[part]]).tobytes())
             elif part:
                 for units in self._cut(part):
-                    ids.extend(chain.from_iterable(map(known.__getitem__, units)))
-        return ids
+                    found.append(b"".join(map(known.__getitem__, units)))
+        return np.frombuffer(b"".join(found), np.uint32).astype(np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become the replacement character."""
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
-        ids = self.encode(text)
+        ids = self.encode(text).tolist()
         listed = ",".join(map(self.names.__getitem__, ids))
         decoded = self.decode(ids).encode("utf-8", "surrogatepass")
         return len(ids), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
@@ -291,16 +292,12 @@ def _with(df: DataFrame, path: str, source: str, added: dict[str, tuple], make)
     return df.mapInArrow(worked, T.StructType(fields))
 
 
-def _ids(tokenizer: Tokenizer, text: str | None) -> np.ndarray:
-    return np.array(tokenizer.encode(text), np.int32)
-
-
 IDS, TEXT, NUMBER = (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), (T.StringType(), pa.string()), (T.LongType(), pa.int64())
 
 
 def encode(df: DataFrame, path: str, text: str = "text", column: str = "ids") -> DataFrame:
     """``df`` with the token ids of its whole text; null is encoded like the empty text."""
-    return _with(df, path, text, {column: IDS}, lambda t, value: (_ids(t, value),))
+    return _with(df, path, text, {column: IDS}, lambda t, value: (t.encode(value),))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
@@ -312,8 +309,8 @@ def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` with ``ids``, ``n_tokens`` and ``decoded``: ``encode`` and ``decode`` in one pass."""
 
     def both(tokenizer: Tokenizer, value: str | None) -> tuple:
-        ids = _ids(tokenizer, value)
-        return ids, len(ids), tokenizer.decode(ids)
+        ids = tokenizer.encode(value)
+        return ids, len(ids), tokenizer.decode(ids.tolist())
 
     return _with(df, path, text, {"ids": IDS, "n_tokens": NUMBER, "decoded": TEXT}, both)
 
