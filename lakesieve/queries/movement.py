@@ -233,6 +233,48 @@ def load_replayed(spark, sf):
     return results[0].union(results[1])
 
 
+BEFORE, AFTER = "o_orderdate < timestamp '1996-01-01'", "o_orderdate >= timestamp '1996-01-01'"
+#: Overlaps with ``AFTER`` in a year of orders.
+LONGER = "o_orderdate < timestamp '1997-01-01'"
+
+
+def _labelled(part: str, label: str) -> str:
+    """All orders of a part of the dates; every ninth has no key."""
+    key = "case when o_orderkey % 9 = 0 then null else o_orderkey end as k"
+    return f"select {key}, '{label}' as loaded_by from orders where {part}"
+
+
+@query(f"{_labelled(BEFORE, 'one')} union all {_labelled(AFTER, 'two')}")
+def load_two_stages_all(spark, sf):
+    """As ``load_two_stages``, with every order in one of the two loads."""
+    places = fresh_places(spark)
+    stages = [
+        Stage(label, _orders(spark, sf, _labelled(part, label)), target_table="t", load_strategy="incremental")
+        for label, part in (("one", BEFORE), ("two", AFTER))
+    ]
+    run_pipeline(spark, "pair", stages, places, run_id="r1")
+    return Table(spark, f"{places.warehouse}/t").read()
+
+
+@query(f"""
+    with a as ({_labelled(LONGER, 'first')}), b as ({_labelled(AFTER, 'second')})
+    select 'append' as strategy, * from (select * from a union all select * from b)
+    union all
+    select 'upsert', * from (select * from a union all
+      select * from b where k is null or k not in (select k from a where k is not null))
+""")
+def load_replayed_all(spark, sf):
+    """As ``load_replayed``, over every order; a year of them is in both loads."""
+    first, second = (_orders(spark, sf, _labelled(*load)) for load in ((LONGER, "first"), (AFTER, "second")))
+    results = []
+    for strategy, key in (("append", None), ("upsert", "k")):
+        target = Table(spark, fresh_path(spark, "table"))
+        for rows, version in ((first, "r1"), (second, "r2"), (first, "r1")):
+            target.load(rows, "incremental", key, version)
+        results.append(target.read().select(F.lit(strategy).alias("strategy"), "k", "loaded_by"))
+    return results[0].union(results[1])
+
+
 # -- streaming ------------------------------------------------------------------------------
 
 EVENT_RULES = RuleSet.of("events", [

@@ -36,3 +36,13 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0
     assert "revenue" in df.columns
+
+
+def test_loads_hold_every_order(spark):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    both = orders.where("year(o_orderdate) = 1996").count()
+    assert both > 0
+    assert QUERIES["load_two_stages_all"](spark, SF_DIR).count() == orders.count()
+    counts = {r.strategy: r["count"] for r in QUERIES["load_replayed_all"](spark, SF_DIR).groupBy("strategy").count().collect()}
+    assert counts["append"] == orders.count() + both
+    assert orders.count() <= counts["upsert"] < counts["append"]
