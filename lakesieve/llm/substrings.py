@@ -20,7 +20,7 @@ LOOK_BACK = 16
 BITS = 5
 #: No cut follows a possible cut within so many bytes, and none is further than MOST away.
 LEAST, MOST = 8, 1024
-#: Bytes of consecutive chunks that one earlier document must hold as well.
+#: Bytes of consecutive chunks that one earlier place must hold as well.
 SPAN = 100
 #: Bytes that are hashed at once, and a cut may move to reach the start of a word.
 BLOCK, WORD = 1 << 20, 32
@@ -76,82 +76,115 @@ def cuts(body: bytes) -> np.ndarray:
     return edges[1:]
 
 
-def chunks(df: DataFrame) -> DataFrame:
-    """``(id, of, h1, h2, start, stop)`` of every chunk of ``(id, of, text)``.
+def windows(ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(last, before)``: the runs of chunks that hold ``span`` bytes, by their first chunk.
 
-    The 96 bits of a chunk's digest are ``h1`` and ``h2``; offsets are in bytes.
+    The shortest run from chunk ``i`` ends with chunk ``last[i]``, and the longer ones with
+    the chunks up to ``before[i]``, without it: those that hold fewer bytes without ``i``.
+    So a stretch of chunks, of ``span`` bytes or more, is the union of the runs inside it.
+    """
+    begins = np.concatenate([[0], ends[:-1]])
+    last = np.searchsorted(ends, begins + span)
+    return last, np.maximum(np.append(last[1:], len(ends)), last + 1)
+
+
+def chunk_runs(df: DataFrame, span: int = SPAN) -> DataFrame:
+    """``(id, of, h1, h2, start, stop, more)`` of the runs of ``span`` bytes of ``(id, of, text)``.
+
+    One row for each chunk that begins one. The 96 bits of the shortest run's digest are
+    ``h1`` and ``h2``; ``more`` are the digests and ends of the longer ones, null for none.
+    Offsets are in bytes.
     """
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, starts, stops, digests = [], [], [], []
+            rows, starts, stops, digests, sizes, longer, longer_stops = [], [], [], [], [], [], []
             held = 0
             for row, text in enumerate(batch.column("text")):
                 body = text.as_buffer().to_pybytes() if text.is_valid else b""
                 ends = cuts(body)
-                begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-                digest = hashlib.blake2b
-                digests += [digest(body[a:b], digest_size=12).digest() for a, b in zip(begins.tolist(), ends.tolist())]
-                rows.append(np.full(len(ends), row))
-                starts.append(begins)
-                stops.append(ends)
-                held += len(ends)
-                if held >= 200_000 or row == batch.num_rows - 1:
+                if len(ends):
+                    last, before = windows(ends, span)
+                    n = int(np.searchsorted(last, len(ends)))  # from there on, fewer bytes are left
+                    begins = np.concatenate([[0], ends[:-1]])[:n]
+                    last, more = last[:n], before[:n] - last[:n] - 1
+                    digest = hashlib.blake2b
+                    digests += [digest(body[a:b], digest_size=12).digest() for a, b in zip(begins.tolist(), ends[last].tolist())]
+                    of = np.repeat(np.arange(n), more)
+                    at = last[of] + 1 + np.arange(len(of)) - np.repeat(np.cumsum(more) - more, more)
+                    longer += [digest(body[a:b], digest_size=8).digest() for a, b in zip(begins[of].tolist(), ends[at].tolist())]
+                    rows.append(np.full(n, row))
+                    starts.append(begins)
+                    stops.append(ends[last])
+                    sizes.append(more)
+                    longer_stops.append(ends[at])
+                    held += n
+                if rows and (held >= 200_000 or row == batch.num_rows - 1):
                     at = pa.array(np.concatenate(rows).astype(np.int64))
                     digest_of = np.frombuffer(b"".join(digests), [("h1", "<i8"), ("h2", "<i4")])
                     ends_of = (pa.array(np.concatenate(part).astype(np.int32)) for part in (starts, stops))
+                    size = np.concatenate(sizes)
+                    runs = pa.StructArray.from_arrays(
+                        [pa.array(np.frombuffer(b"".join(longer), "<i8").copy()), pa.array(np.concatenate(longer_stops).astype(np.int32))],
+                        ["digest", "stop"],
+                    )
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("id").take(at), batch.column("of").take(at),
                             pa.array(digest_of["h1"].copy()), pa.array(digest_of["h2"].copy()), *ends_of,
+                            pa.ListArray.from_arrays(offsets, runs, mask=pa.array(size == 0)),
                         ],
-                        ["id", "of", "h1", "h2", "start", "stop"],
+                        ["id", "of", "h1", "h2", "start", "stop", "more"],
                     )
-                    rows, starts, stops, digests, held = [], [], [], [], 0
+                    rows, starts, stops, digests, sizes, longer, longer_stops, held = [], [], [], [], [], [], [], 0
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(chunked, f"id {kind}, of int, h1 bigint, h2 int, start int, stop int")
+    return df.mapInArrow(
+        chunked, f"id {kind}, of int, h1 bigint, h2 int, start int, stop int, more array<struct<digest: bigint, stop: int>>"
+    )
 
 
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
-    """``(id, of, start, stop, first_ids)`` of every passage that an earlier one repeats.
+    """``(id, of, start, stop, first_ids)`` of every passage that earlier ones repeat.
 
-    The first holder of a chunk, by id, then by the hash ``of`` its text, then by place,
-    keeps it; a null id comes first. Elsewhere, a run of consecutive repeated chunks is a
-    passage if at least ``span`` bytes of it stand at the same distance in one document
-    that keeps them, so chunks that are alike by chance make none. ``first_ids`` are the
-    ids of such documents, and may hold the document itself. Rows with the same id and
-    text are one document. Null and empty texts hold nothing.
+    The first holder of a run of chunks that is ``span`` bytes long or just longer, by id,
+    then by the hash ``of`` its text, then by place, keeps it; a null id comes first. A
+    passage is what such runs cover elsewhere without a gap, so each of its bytes lies in
+    ``span`` bytes that one earlier place holds in one piece, whatever else of the passage
+    other documents hold first. A run that overlaps its first holder is none.
+    ``first_ids`` are the ids of the first holders, and may hold the document itself. Rows
+    with the same id and text are one document. Null and empty texts hold nothing.
 
-    A chunk that very many documents share is counted before the shuffle, and the join
+    A run that very many documents share is counted before the shuffle, and the join
     that marks its holders can be split: nothing gathers them. Documents are read twice.
     """
     docs = df.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
     docs = docs.select("id", F.hash("text").alias("of"), "text")
-    found = chunks(docs)
-    # most chunks are unique: a part of the digest, counted alone, tells so at the least cost;
-    # what is joined is written first, so that both joins can be split where a chunk is hot
+    found = chunk_runs(docs, span)
+    # most runs are unique: a part of the digest, counted alone, tells so at the least cost, and
+    # a longer run is repeated only where the shortest from the same chunk is;
+    # what is joined is written first, so that both joins can be split where a run is hot
     common = materialise(found.groupBy("h1").count().where("count > 1").select("h1"), "common")
-    found = materialise(found.join(common, "h1"), "chunks")
+    found = materialise(found.join(common, "h1"), "runs")
+    shortest = F.array(F.struct(F.lit(None).cast("bigint").alias("digest"), F.col("stop")))
+    runs = F.when(F.col("more").isNull(), shortest).otherwise(F.concat(shortest, "more"))
+    found = found.select("id", "of", "h1", "h2", "start", F.inline(runs)).withColumn("digest", F.coalesce("digest", F.lit(0)))
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "of", "start")
-    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    firsts = materialise(firsts.where("n > 1").select("h1", "h2", "first"), "firsts")
-    again = found.join(firsts, ["h1", "h2"]).select("id", "of", "start", "stop", "first", place.alias("own"))
-    again = again.where("own != first").groupBy("id", "of", "start").agg(
-        F.min("stop").alias("stop"), F.min("first").alias("first")
-    )
-    inside = W.partitionBy("id", "of").orderBy("start")
-    fresh = F.coalesce(F.lag("stop").over(inside) != F.col("start"), F.lit(True)).cast("int")
-    runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(inside))
-    apart = (F.col("start") - F.col("first.start")).alias("apart")
-    alike = runs.groupBy("id", "of", "run", "first.id", "first.of", apart).agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum(F.col("stop") - F.col("start")).alias("bytes")
-    ).toDF("id", "of", "run", "first_id", "first_of", "apart", "start", "stop", "bytes")
-    whole = alike.groupBy("id", "of", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.max("bytes").alias("bytes"),
-        F.sort_array(F.collect_set(F.when(F.col("bytes") >= span, F.col("first_id")))).alias("first_ids"),
-    )
-    return whole.where(F.col("bytes") >= span).drop("run", "bytes")
+    firsts = found.groupBy("h1", "h2", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = materialise(firsts.where("n > 1").select("h1", "h2", "digest", "first"), "firsts")
+    again = found.join(firsts, ["h1", "h2", "digest"]).select("id", "of", "start", "stop", "first", place.alias("own"))
+    here = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("of") == F.col("first.of"))
+    overlaps = here & (F.col("first.start") + F.col("stop") - F.col("start") > F.col("start"))
+    again = again.where((F.col("own") != F.col("first")) & ~overlaps)
+    again = again.groupBy("id", "of", "start", "stop").agg(F.min("first.id").alias("first_id"))
+    inside = W.partitionBy("id", "of").orderBy("start", "stop")
+    reached = F.max("stop").over(inside.rowsBetween(W.unboundedPreceding, -1))
+    runs = again.withColumn("fresh", F.coalesce(reached < F.col("start"), F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("fresh").over(inside))
+    return runs.groupBy("id", "of", "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.sort_array(F.collect_set("first_id")).alias("first_ids")
+    ).drop("run")
 
 
 def _cut(df: DataFrame, doc_id: str, text: str, span: int) -> DataFrame:

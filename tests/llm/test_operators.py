@@ -220,6 +220,44 @@ def test_passages_on_odd_rows(odd, frame):
     assert substrings.cut_repeats(odd.limit(0)).count() == 0
 
 
+def plain_passages(texts, span):
+    """Bytes of every text that lie in runs of chunks, of ``span`` bytes, held at an earlier place."""
+    cut, ends = {}, [substrings.cuts(t.encode()).tolist() for t in texts]
+    first = {}
+    for doc, (text, stops) in enumerate(zip(texts, ends)):
+        body, starts, covered = text.encode(), [0, *stops[:-1]], set()
+        for i, start in enumerate(starts):
+            for stop in stops[i:]:
+                if stop - start < span:
+                    continue
+                at = first.setdefault(body[start:stop], (doc, start))
+                if at != (doc, start) and (at[0] != doc or at[1] + stop - start <= start):
+                    covered |= set(range(start, stop))
+        if covered:
+            cut[doc] = covered
+    return cut
+
+
+def test_passages_with_edited_copies_against_all_runs(docs):
+    rng = random.Random(8)
+    texts, later, later_at = [], [], []
+    for _ in range(30):
+        words = [w + str(rng.randrange(100)) for w in prose(rng, 55).split()]
+        passage, at = " ".join(words), rng.randrange(10, 45)
+        edited = " ".join([*words[:at], "inserted", *words[at:]])
+        half = " ".join(words[: len(words) // 2])
+        own = [" ".join(w + str(rng.randrange(10**6)) for w in prose(rng, 40).split()) for _ in range(8)]
+        group = [f"{own[0]} {edited} {own[1]}", f"{own[2]} {half} {own[3]}", f"{own[4]} {passage} {own[5]}", f"{own[6]} {passage} {own[7]}"]
+        later.append(len(texts) + 3)
+        later_at.append((later[-1], len(own[6]) + 1, len(passage)))
+        texts += group
+    found = {r.doc_id: {b for p in r.passages for b in range(p.start, p.stop)} for r in substrings.cut_repeats(docs(*texts)).collect()}
+    assert found == plain_passages(texts, substrings.SPAN)
+    assert sum(d in found for d in later) == len(later)
+    share = [len([b for b in found[d] if start <= b < start + size]) / size for d, start, size in later_at]
+    assert sum(share) / len(share) > 0.7
+
+
 # --- surrogates
 
 
