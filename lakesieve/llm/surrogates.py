@@ -36,6 +36,8 @@ PATTERNS = [
     rf"(?<!{_WORD})(?i:{_TITLE})\.? {_NAME}",
 ]
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS)
+#: What may follow a name in its match and is none of it: a possessive, quotes and dashes.
+SUFFIX = r"(?:['’][sS])?['’\-]*$"
 #: A quick look: texts without any of these hold none of the above.
 HINT = rf"[0-9@]|[0-9A-Fa-f]{{32}}|(?i:{_TITLE})\.? "
 
@@ -84,7 +86,8 @@ def _kind(value: Column) -> Column:
         F.when(value.contains("@"), "email")
         .when(value.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), "ip")
         .when(value.rlike(r"^([0-9a-f]{32,128}|[0-9A-F]{32,128})$"), "secret")
-        .when(value.rlike(r"^\p{L}"), "name")
+        .when(value.rlike(r"^\p{L}.* "), "name")
+        .when(value.rlike(r"^\p{L}"), "mention")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when((digits >= 13) & ~value.startswith("+"), "card")
         .otherwise("phone")
@@ -100,11 +103,42 @@ def _gender(title: Column) -> Column:
     )
 
 
-def _parts(value: Column, kind: Column) -> Column:
+def _stem(word: Column) -> Column:
+    return F.regexp_replace(word, SUFFIX, "")
+
+
+def _bearers(values: Column) -> Column:
+    """``(word, kind)`` of every name that the matches of a text hold after a title."""
+
+    def named(value: Column) -> Column:
+        words = F.split(value, " ")
+        names = F.slice(words, 2, F.size(words) - 1)
+        return F.transform(
+            names, lambda w, i: F.struct(_stem(w).alias("word"), F.when(i == F.size(names) - 1, "family").otherwise("given").alias("kind"))
+        )
+
+    return F.array_distinct(F.flatten(F.transform(F.filter(values, lambda v: _kind(v) == "name"), named)))
+
+
+def _pattern(bearers: Column) -> Column:
+    """What is replaced in a text with such names: also the names alone, as written, capitalised or in capitals.
+
+    Names hold letters, apostrophes and dashes only, so they stand for themselves in a pattern.
+    """
+    spelt = F.flatten(F.transform(bearers, lambda b: F.array(b["word"], F.initcap(b["word"]), F.upper(b["word"]))))
+    # the longest first, so that no name is taken for a part of another
+    longest = F.array_sort(F.transform(F.array_distinct(spelt), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
+    alone = F.array_join(F.transform(longest, lambda w: w["w"]), "|")
+    return F.concat(F.lit(f"{PATTERN}|(?<!{_WORD})(?:"), alone, F.lit(f")(?!{_WORD})"))
+
+
+def _parts(value: Column, kind: Column, bearers: Column) -> Column:
     """What of a match is one entity each: the names after a title, or the whole.
 
-    An entity is named without its format: digits alone, letters in lower case. The
-    last name is the family's, so it is the same for all who bear it.
+    An entity is named without its format: digits alone, letters in lower case, a phone
+    number of ten digits with the country code it leaves out. The last name is the
+    family's, so it is the same for all who bear it. A name alone is the given name or the
+    family name that the text has it as; the given name, if both.
     """
     words = F.split(value, " ")
     names = F.slice(words, 2, F.size(words) - 1)
@@ -113,20 +147,30 @@ def _parts(value: Column, kind: Column) -> Column:
         names,
         lambda w, i: F.struct(
             F.when(i == F.size(names) - 1, "family").otherwise("given").alias("kind"),
-            F.lower(w).alias("canon"),
+            F.lower(_stem(w)).alias("canon"),
             F.when(i == F.size(names) - 1, F.lit(None)).otherwise(gender).alias("gender"),
         ),
     )
     canon = (
         F.when(kind == "email", F.lower(value))
         .when(kind.isin("ip", "secret"), value)
+        .when(kind == "mention", F.lower(value))
         .when(value.startswith("+"), F.concat(F.lit("+"), F.regexp_replace(value, r"\D", "")))
+        .when(kind == "phone", F.concat(F.lit("+1"), F.regexp_replace(value, r"\D", "")))
         .otherwise(F.regexp_replace(value, r"\D", ""))
     )
+    given = F.exists(bearers, lambda b: (F.lower(b["word"]) == F.lower(value)) & (b["kind"] == "given"))
+    kind = F.when(kind != "mention", kind).when(given, "given").otherwise("family")
     whole = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), F.lit(None).cast("string").alias("gender")))
     return F.when(kind == "name", named).otherwise(whole)
 
 
+def _cased(word: Column, drawn: Column) -> Column:
+    stem = _stem(word)
+    cased = F.when(F.upper(stem) == stem, F.upper(drawn)).otherwise(F.initcap(drawn))
+    return F.concat(cased, F.substr(word, F.length(stem) + 1))
+
+
 def _number(seed: Column, at: Column | int) -> Column:
     """The ``at``-th number from 0 to 65535 of a stream that only the key's holder can make."""
     block = F.sha2(F.concat_ws("|", seed, F.floor(F.lit(at) / 16).cast("string")), 256)
@@ -228,7 +272,9 @@ def settle(entities: DataFrame, key: str) -> DataFrame:
 
 def _formatted(value: Column, kind: Column, found: Column) -> Column:
     """A match rewritten with its entities' surrogates, in the match's own format."""
-    single = found[0]["surrogate"]
+    drawn = found[0]["surrogate"]
+    # a phone number that leaves out the country code has none in its surrogate
+    single = F.when((kind == "phone") & ~value.startswith("+"), F.regexp_replace(drawn, r"^\+1", "")).otherwise(drawn)
     gaps = F.split(value, r"\d", -1)
     digits = F.split(F.regexp_replace(single, r"\D", ""), "")
     last = F.size(gaps) - 1
@@ -238,14 +284,12 @@ def _formatted(value: Column, kind: Column, found: Column) -> Column:
     rest = F.array_join(F.slice(digits, last + 1, F.greatest(F.size(digits) - last, F.lit(0))), "")
     numbers = F.concat(filled, rest)
     words = F.split(value, " ")
-    names = F.transform(
-        found,
-        lambda p, i: F.when(F.upper(words[i + 1]) == words[i + 1], F.upper(p["surrogate"])).otherwise(F.initcap(p["surrogate"])),
-    )
+    names = F.transform(found, lambda p, i: _cased(words[i + 1], p["surrogate"]))
     named = F.array_join(F.concat(F.array(words[0]), names), " ")
     mail = F.when(F.upper(value) == value, F.upper(single)).otherwise(single)
     return (
         F.when(kind == "name", named)
+        .when(kind == "mention", _cased(value, single))
         .when(kind == "email", mail)
         .when(kind.isin("ip", "secret"), single)
         .otherwise(numbers)
@@ -256,10 +300,13 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` with every detected entity of ``text`` replaced, and ``n_replaced``.
 
     Mail addresses, phone, card and social security numbers, addresses of machines,
-    secrets in hexadecimal and names after a title are found. The same entity gets the
-    same surrogate everywhere, in whatever format it is written; different entities get
-    different ones, and none is an entity that occurs in ``df``. A given name takes the
-    gender of the titles it occurs with, and none if those disagree.
+    secrets in hexadecimal and names after a title are found, and all other places of the
+    same text where one of these names stands alone, as a whole word that is not in lower
+    case. The same entity gets the same surrogate everywhere, in whatever format it is
+    written; different entities get different ones, and none is an entity that occurs in
+    ``df``. A given name takes the gender of the titles it occurs with, and none if those
+    disagree. Names that no title stands before in the text, and names without capitals,
+    are not found.
 
     Null, empty and clean texts stay as they are. Rows and all other columns are kept; a
     column ``n_replaced`` is replaced. Work on entities is done once for equal texts, and
@@ -270,11 +317,18 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), body.alias("t"))
     has = F.coalesce(F.col("t").rlike(HINT) & F.col("t").rlike(PATTERN), F.lit(False))
     hits = rows.where(has).withColumn("of", F.sha2("t", 256))
-    found = hits.groupBy("of").agg(F.first(find(F.col("t"))).alias("values"))
+    hits = hits.withColumn("values", find(F.col("t"))).withColumn("bearers", _bearers(F.col("values")))
+    named = F.size("bearers") > 0
+    pattern = F.when(named, _pattern(F.col("bearers"))).otherwise(F.lit(PATTERN))
+    values = F.when(named, F.regexp_extract_all("t", pattern, F.lit(0))).otherwise(F.col("values"))
+    found = hits.select("of", "bearers", values.alias("values")).groupBy("of").agg(
+        F.first("values").alias("values"), F.first("bearers").alias("bearers")
+    )
     found = materialise(found, "found")
 
-    matches = found.select("of", F.posexplode("values").alias("at", "value")).withColumn("whole", _kind(F.col("value")))
-    parts = matches.select("of", "at", "value", "whole", F.posexplode(_parts(F.col("value"), F.col("whole"))).alias("part", "e"))
+    matches = found.select("of", "bearers", F.posexplode("values").alias("at", "value")).withColumn("whole", _kind(F.col("value")))
+    whole = _parts(F.col("value"), F.col("whole"), F.col("bearers"))
+    parts = matches.select("of", "at", "value", "whole", F.posexplode(whole).alias("part", "e"))
     parts = parts.select("of", "at", "value", "whole", "part", "e.*")
     least, most = F.min("gender"), F.max("gender")
     known = F.when(least == most, least).when(least.isNotNull(), "u").alias("gender")
@@ -286,9 +340,9 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     )
     written = whole.select("of", "at", _formatted(F.col("value"), F.col("whole"), F.col("found")).alias("new"))
     written = written.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("new"))
-    gaps = F.split(F.col("t"), PATTERN, -1)
+    gaps = F.split(F.col("t"), pattern, -1)
     rebuilt = F.array_join(F.zip_with(gaps, F.col("new"), lambda g, n: F.concat(g, F.coalesce(n["new"], F.lit("")))), "")
-    changed = hits.join(written, "of").select("row", rebuilt.alias("t"), F.size("new").alias("n_replaced"))
+    changed = hits.drop("values").join(written, "of").select("row", rebuilt.alias("t"), F.size("new").alias("n_replaced"))
     same = rows.where(~has).select("row", "t", F.lit(0).alias("n_replaced"))
     out = [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns]
     return same.union(changed).select(*out, "n_replaced")

@@ -307,6 +307,28 @@ def test_surrogates_on_odd_rows(odd):
     assert surrogates.pseudonymise(odd.where("doc_id < 6"), "key").where("n_replaced > 0").count() == 0
 
 
+def test_later_mentions_and_formats_share_surrogates(docs):
+    rows = surrogates.pseudonymise(docs(
+        "Mr John Smith came. John Smith said that Smith's car, SMITH's, and John; a smith, Smithson and Mr Smith’s hat.",
+        "+1 (743) 555-3824 or 743-555-3824, (743) 555-3824, 743.555.3824", "Smith and John, 743-555-3824",
+        "Anna-Maria met Anna. Frau Anna Lee and Frau Anna-Maria Lee, 'Mrs Lee'",
+    ), "key").collect()
+    out, count = {r.doc_id: r.text for r in rows}, {r.doc_id: r.n_replaced for r in rows}
+    given, family = re.match(r"Mr (\w+) (\w+) came", out[0]).groups()
+    assert {given, family}.isdisjoint({"John", "Smith"}) and count[0] == 7
+    up = family.upper()
+    assert out[0] == (
+        f"Mr {given} {family} came. {given} {family} said that {family}'s car, {up}'s, and {given}; "
+        f"a smith, Smithson and Mr {family}’s hat."
+    )
+    area, mid, end = re.match(r"\+1 \((\d{3})\) (\d{3})-(\d{4}) or", out[1]).groups()
+    assert (area, mid, end) != ("743", "555", "3824")
+    assert out[1] == f"+1 ({area}) {mid}-{end} or {area}-{mid}-{end}, ({area}) {mid}-{end}, {area}.{mid}.{end}"
+    assert out[2] == f"Smith and John, {area}-{mid}-{end}"  # no title stands in this text
+    both, anna, lee = re.fullmatch(r"(\w+) met (\w+)\. Frau \2 (\w+) and Frau \1 \3, 'Mrs \3'", out[3]).groups()
+    assert len({both, anna, lee, "Anna", "Lee"}) == 5
+
+
 # --- toxicity
 
 
