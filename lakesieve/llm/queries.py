@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, search, sharding, simhash, substrings, surrogates, toxicity
+from ..session import fresh_path
+from . import (
+    bpe, centroids, decontaminate, language, quality, search, sharding, simhash, substrings, surrogates, token_files, toxicity,
+    variants,
+)
 from .common import in_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-#: Where the tokenizer's file lies when no other path is given.
-VOCABULARY = "byte_bpe_50k.json"
+#: The public tokenizers' files.
+VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def query(function):
@@ -22,10 +26,10 @@ def query(function):
     return function
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -166,3 +170,98 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after five rounds of exact centroid clustering."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """One assignment and one move of the centroids after another, as common tables."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+    near{r} as materialized (
+        select row, min(d * 64 + c) as best from (
+            select row, c, cast(sum((x - y) * (x - y)) as bigint) as d from parts join at{r} using (i) group by row, c)
+        group by row)""")
+        if r < rounds:
+            steps.append(f"""
+    sums{r} as (select best % 64 as c, i, cast(sum(x) as bigint) as s, count(*) as n from near{r} join parts using (row) group by all),
+    at{r + 1} as materialized (
+        select c, i, coalesce((s - ((s % n) + n) % n) // n, y) as y from at{r} left join sums{r} using (c, i))""")
+    return ",".join(steps)
+
+
+SQL["op11_centroids"] = f"""
+    with kept as materialized (
+        select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+        from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+    parts as materialized (select row, unnest(range(64)) as i, unnest(v) as x from kept),
+    first as materialized (
+        select row, row_number() over (order by sha256('2:' || vec_id), v) - 1 as c from kept
+        qualify c < 40),
+    at0 as materialized (select c, i, x as y from first join parts using (row)),
+    {_centroid_rounds(centroids.ROUNDS)},
+    found as (select vec_id, best % 64 as cluster, best // 64 as distance from near5 join kept using (row)),
+    names as (select c as cluster, sha256(string_agg(y::varchar, ',' order by i)) as centroid_sha256 from at5 group by c)
+    select vec_id, cast(cluster as int) as cluster, cast(distance as bigint) as distance,
+           cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+           cast(sum(distance) over () as bigint) as inertia, centroid_sha256
+    from found join names using (cluster)
+"""
+
+
+@query
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of seven letters that occurs twice, with the frequent word it may be a spelling of."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_variants"] = r"""
+    with recursive crc as materialized (
+        select list_transform(range(256), lambda i: list_reduce(
+            [i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+    runs as (
+        select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+        from documents),
+    counted as materialized (select coalesce(doc_id::varchar, '') || ':' || run as id, run, count(*) as n from runs where length(run) >= 7 group by all),
+    hashed as (
+        select run, n, xor(list_reduce(
+            list_prepend(4294967295, list_transform(range(1, strlen(id) + 1), lambda i: ('0x' || substr(hex(encode(id)), 2 * i - 1, 2))::bigint)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h
+        from counted, crc),
+    spelt as (
+        select case when h % 31 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, n
+        from hashed),
+    words as materialized (
+        select word, cast(sum(n) as bigint) as n from spelt where length(word) >= 7 group by word having sum(n) >= 2),
+    gaps as materialized (
+        select word, n, unnest(range(1, length(word) + 1)) as i, left(word, i - 1) || substr(word, i + 1) as rest from words),
+    pairs as materialized (
+        select distinct a.word, b.word as other, b.n as other_n from gaps a join gaps b on a.rest = b.rest and a.i = b.i where a.word <> b.word
+        union select w.word, g.word, g.n from words w join gaps g on g.rest = w.word
+        union select g.word, w.word, w.n from words w join gaps g on g.rest = w.word),
+    best as (
+        select word, count(*) as n_near, max(other_n) as most, arg_min(other, (-other_n, other)) as other from pairs group by word),
+    forms as materialized (
+        select w.word, case when most >= 10 * n then other end as form, n, coalesce(n_near, 0) as n_near,
+               case when most >= 10 * n then most end as form_n
+        from words w left join best using (word)),
+    follow as (
+        select word, word as reached from forms
+        union all select f.word, g.form from follow f join forms g on g.word = f.reached where g.form is not null),
+    roots as (select f.word, f.reached as root from follow f join forms g on g.word = f.reached where g.form is null)
+    select word, form, root, n, n_near, form_n from forms join roots using (word)
+"""
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place, number and checksum of every document's token ids, read back from binary files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.round_trip(docs, fresh_path(spark, "token-files"), vocabulary_path(WORD_VOCABULARY))
