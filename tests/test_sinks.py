@@ -7,7 +7,7 @@ from conftest import rows_of
 
 from lakesieve import Table, storage
 from lakesieve.sinks import quarantine
-from lakesieve.sinks.tables import merge_by_key
+from lakesieve.sinks.tables import Conflict, merge_by_key
 
 AT = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
@@ -73,6 +73,132 @@ def test_untouched_segments_are_not_rewritten(target, frame):
     assert rows_of(target.read()) == [(1,), (2,), (3,), (4,), (5,)]
 
 
+def test_one_key_rewrites_one_file(spark, target):
+    """A full load in eight files, by ranges of the key; then upserts of single keys."""
+    whole = spark.range(0, 8000, 1, 8).selectExpr("id", "'old' as v")
+    target.load(whole)
+    for key, rewritten in ((17, 999), (18, 998), (7999, 999), (99_999, 0)):
+        result = target.load(spark.range(key, key + 1).selectExpr("id", "'new' as v"), "incremental", "id")
+        assert (result.rows_loaded, result.rows_rewritten) == (1, rewritten)
+    expected = [(i, "new" if i in (17, 18, 7999) else "old") for i in range(8000)] + [(99_999, "new")]
+    assert rows_of(target.read()) == sorted(expected)
+    first = target.state()["segments"][0]
+    assert len(first["without"]) == 2 and len(target.state()["segments"]) > 2
+    target.compact()
+    assert len(target.state()["segments"]) == 1 and rows_of(target.read()) == sorted(expected)
+    result = target.load(spark.range(5, 6).selectExpr("id", "'newer' as v"), "incremental", "id")
+    assert result.rows_rewritten < 8000
+
+
+def test_a_segment_that_loses_all_files_is_gone(spark, target):
+    target.load(spark.range(0, 40, 1, 4).selectExpr("id", "1 as v"), version="a")
+    result = target.load(spark.range(40).selectExpr("id", "2 as v"), "incremental", "id", version="b")
+    assert result.rows_rewritten == 0
+    assert [s["version"] for s in target.state()["segments"]] == ["b"]
+    assert rows_of(target.read()) == [(i, 2) for i in range(40)]
+
+
+def test_vacuum_removes_files_that_upserts_replaced(spark, target):
+    target.load(spark.range(0, 400, 1, 4).selectExpr("id", "0 as v"))
+    segment = target.state()["segments"][0]["name"]
+    for i in range(3):
+        target.load(spark.range(i * 100, i * 100 + 1).selectExpr("id", "1 as v"), "incremental", "id")
+    rows = rows_of(target.read())
+    files = lambda: [n for n in storage.names(spark, f"{target.path}/{segment}") if n.startswith("part-")]
+    target.vacuum(keep=4)
+    assert len(files()) == 4
+    target.vacuum(keep=1)
+    assert len(files()) == 1 and rows_of(target.read()) == rows
+
+
+# -- one entry, whole or not at all ------------------------------------------------------------
+
+
+def half_written(spark, target, number):
+    """What a writer leaves that dies while Spark writes its entry as a folder."""
+    context = spark._jvm.org.apache.hadoop.fs.Path(f"{target.path}/_manifest/{number:012d}/_temporary/0")
+    context.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(context)
+
+
+def test_a_half_written_entry_is_passed_over(spark, target, frame):
+    rows = [(i,) for i in range(12)]
+    target.load(frame("id int", *rows[:5]))
+    half_written(spark, target, 1)
+    assert target.exists() and rows_of(target.read()) == rows[:5]
+    assert target.load(frame("id int", *rows[5:]), "incremental").rows_loaded == 7
+    assert rows_of(target.read()) == rows
+    half_written(spark, target, 7)
+    assert rows_of(target.read()) == rows
+    target.compact()
+    target.vacuum(keep=1)
+    assert rows_of(target.read()) == rows
+    assert len(storage.names(spark, f"{target.path}/_manifest")) == 1
+
+
+def test_a_half_written_first_entry(spark, target, frame):
+    half_written(spark, target, 0)
+    assert not target.exists()
+    target.load(frame("id int", (1,)), "incremental")
+    assert rows_of(target.read()) == [(1,)]
+
+
+def test_a_hidden_entry_is_none(spark, target, frame):
+    """A writer that dies between writing an entry and revealing it."""
+    target.load(frame("id int", (1,)))
+    assert storage.put_once(spark, f"{target.path}/_manifest/.{1:012d}.dead", "{ half of an ent")
+    assert rows_of(target.read()) == [(1,)]
+    target.load(frame("id int", (2,)), "incremental")
+    target.vacuum(keep=1)
+    assert rows_of(target.read()) == [(1,), (2,)]
+    assert storage.names(spark, f"{target.path}/_manifest") == [f"{1:012d}"]
+
+
+def test_entries_that_spark_wrote_as_folders_are_read(spark, target, frame):
+    target.load(frame("id int", (1,)))
+    entry = f"{target.path}/_manifest/{0:012d}"
+    old = spark.read.text(entry).first()[0].replace(', "without": []', "")
+    storage.delete(spark, entry)
+    spark.createDataFrame([(old,)], "value string").coalesce(1).write.text(entry)
+    assert rows_of(target.read()) == [(1,)]
+    target.load(frame("id int", (1,), (2,)), "incremental", "id")
+    assert rows_of(target.read()) == [(1,), (2,)]
+
+
+def test_of_two_writers_one_fails(target, frame, spark, monkeypatch):
+    """The second reads the table, then the first publishes."""
+    target.load(frame("id int, v string", (1, "a")))
+    other = Table(spark, target.path)
+    write, waiting = Table._write, [True]
+
+    def late(self, df, name):
+        write(self, df, name)
+        if self is other and waiting.pop():
+            target.load(frame("id int, v string", (2, "first")), "incremental", "id")
+
+    monkeypatch.setattr(Table, "_write", late)
+    with pytest.raises(Conflict):
+        other.load(frame("id int, v string", (1, "second")), "incremental", "id")
+    assert rows_of(target.read()) == [(1, "a"), (2, "first")]
+    monkeypatch.undo()
+    other.load(frame("id int, v string", (1, "second")), "incremental", "id")
+    assert rows_of(target.read()) == [(1, "second"), (2, "first")]
+
+
+@pytest.mark.parametrize("way", ["link", "rename"])
+def test_a_name_is_given_once(spark, folder, monkeypatch, way):
+    from concurrent.futures import ThreadPoolExecutor
+
+    if way == "rename":  # as on a file system without links
+        monkeypatch.setattr(storage, "_linked", lambda files, hidden, found: storage._renamed(spark, hidden, found))
+    path = folder()
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: storage.put_once(spark, f"{path}/entry", str(i)), range(8 if way == "link" else 1)))
+    assert sum(won) == 1
+    assert not storage.put_once(spark, f"{path}/entry", "late")
+    assert spark.read.text(f"{path}/entry").first()[0] == str(won.index(True))
+    assert storage.names(spark, path) == ["entry"] or way == "rename"
+
+
 def test_a_failed_load_changes_nothing(target, frame, spark):
     target.load(frame("id int", (1,)))
     bad = spark.range(3).selectExpr("cast(raise_error('boom') as int) as id")
