@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import column, column_type, epoch_micros
+from ..operators.chains import follow
 from ..session import materialise
-from .monitor import in_ranges
+from .monitor import in_ranges, with_next
 
 # Severities by rank; an unknown one ranks as an error.
 SEVERITY_RANK = {"info": 0, "warning": 1, "error": 2, "critical": 3}
@@ -29,6 +30,8 @@ RUN_LINE = "- %s: %s"
 
 #: Minutes during which an alert is not repeated.
 SUPPRESSION_MINUTES = 30
+#: Distinct moments of alerts that a task holds, on average.
+RANGE_ROWS = 500_000
 #: Failures listed in a quality alert.
 LISTED_FAILURES = 10
 
@@ -108,10 +111,14 @@ def run_failure_alerts(runs: DataFrame, stages: DataFrame) -> DataFrame:
 #
 # An alert is sent if no alert of its key was *sent* in the minutes before it. That makes
 # each decision depend on the one before, along the whole history of a key. The alerts lie
-# in ranges of key and time; a range is decided by itself once it is known when the key's
-# last alert before the range was sent. For keys that reach over several ranges, of which
-# every range holds at most two, each range is first reduced to a small function (last
-# alert sent before it -> last one sent in it), and these are chained per key.
+# in ranges of key and time, of a bounded number of rows; a range is decided by itself once
+# it is known when the key's last alert before the range was sent.
+#
+# For keys that reach over several ranges, each range is first reduced to steps: whichever
+# alert of the range is the first to be sent, the step says which is the last. From a step's
+# last alert the way leads to the step of a later range that holds the next alert sent. So
+# the steps of a key are a linked list that visits a range once at most, and doubling the
+# links marks the steps on the way in as many rounds as the number of ranges has bits.
 
 
 def _following(times: np.ndarray, window: int) -> np.ndarray:
@@ -138,22 +145,26 @@ def _range_function(window: int):
     return reduce_range
 
 
-def _chain(window: int):
-    def chain_ranges(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["_range", "_start"])
-        ranges = rows["_range"].to_numpy()
-        starts, exits = rows["_start"].to_numpy(), rows["_exit"].to_numpy()
-        edges = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
-        ends = np.append(edges[1:], len(ranges))
-        before, sent = [], None
-        for low, high in zip(edges, ends):
-            before.append(sent)
-            place = low if sent is None else low + np.searchsorted(starts[low:high], sent + window, side="right")
-            if place < high:
-                sent = int(exits[place])
-        return pd.DataFrame({"_key": key[0], "_range": ranges[edges], "_before": pd.array(before, dtype="Int64")})
-
-    return chain_ranges
+def _entered(moments: DataFrame, window: int, ranges: int) -> DataFrame:
+    """``moments`` with ``_before``, the last alert sent before the range; without ranges that none is sent in."""
+    spanning = moments.groupBy("_key").agg(F.min("_range").alias("a"), F.max("_range").alias("b"))
+    # at most one key for each range
+    spanning = materialise(spanning.where("a != b").select("_key"), "spanning")
+    steps = moments.join(spanning, "_key", "left_semi").groupBy("_key", "_range").applyInPandas(
+        _range_function(window), "_key string, _range int, _start long, _exit long"
+    )
+    steps = materialise(steps, "steps")
+    ends = steps.select("*", (F.col("_exit") + window).alias("_after"))
+    points = steps.select("_key", F.col("_start").alias("_after"))
+    steps = materialise(with_next(ends, points, "_key", "_after", "_next", ranges).drop("_after"), "linked-steps")
+    starts = steps.groupBy("_key").agg(F.min("_start").alias("_start"))
+    marked = follow(steps, starts, ["_key"], "_start", "_next", ranges)
+    visited = steps.join(marked, ["_key", "_start"], "left_semi")
+    visited = materialise(visited, "visited")
+    before = visited.where("_next is not null").select("_key", F.col("_next").alias("_start"), F.col("_exit").alias("_before"))
+    entries = materialise(visited.join(before, ["_key", "_start"], "left").select("_key", "_range", "_before"), "entries")
+    alone = moments.join(spanning, "_key", "left_anti").withColumn("_before", F.lit(None).cast("bigint"))
+    return alone.unionByName(moments.join(entries, ["_key", "_range"]))
 
 
 def _decide(window: int):
@@ -179,25 +190,25 @@ def suppress_repeats(
     """Add ``suppressed``: an alert of the same key was sent at most ``minutes`` ago.
 
     ``id_column`` identifies an alert; of several at one instant the lowest id
-    goes first.
+    goes first. Alerts without a key are of one key; alerts without a time are sent.
     """
     window = minutes * 60_000_000
     micros = epoch_micros(column(at), column_type(alerts, at))
     id_type = column_type(alerts, id_column).simpleString()
-    moments = alerts.groupBy(column(key).cast("string").alias("_key"), micros.alias("_at")).agg(
+    named = F.concat(F.when(column(key).isNull(), "-").otherwise("+"), F.coalesce(column(key).cast("string"), F.lit("")))
+    moments = alerts.where(column(at).isNotNull()).groupBy(named.alias("_key"), micros.alias("_at")).agg(
         F.min(column(id_column)).alias("_id")
     )
-    moments = in_ranges(moments, "_key", ["_at"], "moments")
-    spanning = moments.groupBy("_key").agg(F.min("_range").alias("a"), F.max("_range").alias("b"))
-    spanning = spanning.where("a != b").select("_key")
-    functions = moments.join(spanning, "_key", "left_semi").groupBy("_key", "_range").applyInPandas(
-        _range_function(window), "_key string, _range int, _start long, _exit long"
-    )
-    entries = functions.groupBy("_key").applyInPandas(_chain(window), "_key string, _range int, _before long")
-    entered = moments.join(materialise(entries, "entries"), ["_key", "_range"], "left")
-    sent = entered.groupBy("_range").applyInPandas(_decide(window), f"_sent {id_type}")
+    moments = materialise(moments, "instants")
+    ranges = moments.count() // RANGE_ROWS + 1
+    moments = in_ranges(moments, "_key", ["_at"], "moments", ranges)
+    if ranges > 1:
+        moments = _entered(moments, window, ranges)
+    else:
+        moments = moments.withColumn("_before", F.lit(None).cast("bigint"))
+    sent = moments.groupBy("_range").applyInPandas(_decide(window), f"_sent {id_type}")
     flagged = alerts.join(materialise(sent, "sent"), column(id_column) == F.col("_sent"), "left")
-    return flagged.withColumn("suppressed", F.col("_sent").isNull()).drop("_sent")
+    return flagged.withColumn("suppressed", F.col("_sent").isNull() & column(at).isNotNull()).drop("_sent")
 
 
 def alert_log_rows(alerts: DataFrame, channels: Sequence[str], minimum: str = "error") -> DataFrame:

@@ -8,16 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import column
+from ..operators.chains import downstream
 from ..session import materialise
 
 
-def in_ranges(df: DataFrame, key: str, order: Sequence[str], label: str) -> DataFrame:
+def in_ranges(df: DataFrame, key: str, order: Sequence[str], label: str, ranges: int | None = None) -> DataFrame:
     """``df`` written in ranges of ``key`` and ``order``, each row with the number of its range.
 
     However many rows a key has, and however they lie in time, a range is one partition's
-    rows: a busy key is cut into as many ranges as it fills.
+    rows: a busy key is cut into as many ranges as it fills. ``ranges`` is their number,
+    where it shall follow the number of rows.
     """
-    ranged = df.repartitionByRange(column(key), *[column(c) for c in order])
+    by = [column(c) for c in (key, *order)]
+    ranged = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
     return materialise(ranged.withColumn("_range", F.spark_partition_id()), label)
 
 
@@ -53,6 +56,41 @@ def with_previous(df: DataFrame, key: str, at: str, value: str, name: str, ties:
     return paired.select(*[column(c) for c in df.columns], previous.alias(name))
 
 
+def with_next(rows: DataFrame, points: DataFrame, key: str, at: str, name: str, ranges: int) -> DataFrame:
+    """Add the least ``at`` of ``points`` of the same key that is greater than the row's ``at``.
+
+    Rows and points lie in ``ranges`` ranges of key and value together; what a range does not
+    hold is the first point of the key's next range that holds one.
+    """
+    whole = F.struct(*[column(c) for c in rows.columns]).alias("_whole")
+    asked = rows.select(column(key).alias("_key"), column(at).alias("_at"), F.lit(1).alias("_asks"), whole)
+    held = points.select(
+        column(key).alias("_key"), column(at).alias("_at"), F.lit(0).alias("_asks"), F.lit(None).cast(rows.select(whole).schema[0].dataType).alias("_whole")
+    )
+    ranged = in_ranges(asked.union(held), "_key", ["_at", "_asks"], "next", ranges)
+    point = F.when(F.col("_asks") == 0, F.col("_at"))
+    # from above: Spark carries a value downwards in one pass, but not upwards
+    above = Window.partitionBy("_key", "_range").orderBy(F.desc("_at"), F.desc("_asks")).rowsBetween(Window.unboundedPreceding, -1)
+    found = ranged.withColumn("_next", F.last(point, ignorenulls=True).over(above)).where("_asks = 1")
+    firsts = ranged.groupBy("_key", "_range").agg(F.min(point).alias("_first"))
+    later = Window.partitionBy("_key").orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select(F.col("_key").alias("_of"), F.col("_range").alias("_in"), F.last("_first", ignorenulls=True).over(later).alias("_later"))
+    joined = found.join(materialise(firsts.where("_later is not null"), "later"), (F.col("_key") == F.col("_of")) & (F.col("_range") == F.col("_in")), "left")
+    return joined.select("_whole.*", F.coalesce("_next", "_later").alias(name))
+
+
+def failure_reach(stages: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """``(run_id, stage_name, distance)``: the stages that failed ones keep from running.
+
+    ``stages`` holds ``run_id``, ``stage_name`` and ``status``, ``dependencies`` a list
+    ``depends_on`` for ``run_id`` and ``stage_name``. A stage is reached if it depends on a
+    failed or a reached one; ``distance`` counts the steps from the nearest failed stage.
+    """
+    edges = dependencies.select("run_id", "stage_name", F.explode("depends_on").alias("after"))
+    failed = stages.where("status = 'failed'").select("run_id", "stage_name")
+    return downstream(edges, failed, ["run_id"], "stage_name", "after").where("distance > 0")
+
+
 def run_totals(stages: DataFrame) -> DataFrame:
     """Rows extracted, loaded and quarantined per run."""
     sums = [F.sum(F.coalesce(column(c), F.lit(0))).alias(c)

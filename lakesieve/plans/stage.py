@@ -80,7 +80,8 @@ def stages_from_config(
 ) -> list[Stage]:
     """Stages of a pipeline configuration whose sources, rule sets and targets are given by name.
 
-    A target that ``targets`` does not hold is the warehouse.
+    A target that ``targets`` does not hold is the warehouse. A stage's ``since`` is a value,
+    or ``latest``.
     """
     stages = []
     for entry in pipeline.get("stages", ()):
@@ -96,6 +97,7 @@ def stages_from_config(
                 entry.get("load_strategy", "full"),
                 entry.get("incremental_key"),
                 entry.get("depends_on") or (),
+                since=entry.get("since"),
                 target=(targets or {}).get(entry.get("target")),
             )
         )
@@ -304,6 +306,11 @@ def run_pipeline(
     history = History(spark, places.history) if places.history else None
     if history:
         noted(history.start_run, run_id, name, started, triggered_by)
+        listed = [
+            {"run_id": run_id, "stage_name": s.name, "pipeline_name": name, "depends_on": list(s.depends_on), "recorded_at": started}
+            for s in stages if s.depends_on
+        ]
+        noted(history.record, "stage_dependencies", listed)
     result = PipelineResult(run_id, name, "running", started)
     waiting, done = list(stages), set()
     while ready := next((s for s in waiting if done.issuperset(s.depends_on)), None):

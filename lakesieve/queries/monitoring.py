@@ -445,3 +445,27 @@ def alert_log_rows(spark, sf):
     )
     rows = alerts.dispatch(df, ["email", "slack"], at="ts", id_column="event_id", minutes=240)
     return rows.select("event_id", "severity", "suppressed", "channel")
+
+
+#: A customer's orders as the stages of a run; each waits for the two before the last.
+STAGE_ORDERS = """
+    select o_custkey as run_id, o_orderkey as stage_name, case when o_totalprice < 40000 then 'failed' else 'success' end as status,
+      lag(o_orderkey, 2) over w as one, lag(o_orderkey, 3) over w as two
+    from orders window w as (partition by o_custkey order by o_orderkey)
+"""
+
+
+@query(f"""
+    with recursive stages as ({STAGE_ORDERS}),
+    edges as (
+      select run_id, stage_name, one as after from stages where one is not null
+      union select run_id, stage_name, two from stages where two is not null),
+    reach as (
+      select run_id, stage_name, 0 as distance from stages where status = 'failed'
+      union select e.run_id, e.stage_name, r.distance + 1 from reach r join edges e on e.run_id = r.run_id and e.after = r.stage_name)
+    select run_id, stage_name, cast(min(distance) as int) as distance from reach group by run_id, stage_name having min(distance) > 0
+""")
+def failure_reach(spark, sf):
+    stages = spark.sql(STAGE_ORDERS.replace("from orders", "from {orders}"), orders=table(spark, sf, "orders"))
+    dependencies = stages.select("run_id", "stage_name", F.array_compact(F.array("one", "two")).alias("depends_on"))
+    return monitor.failure_reach(stages, dependencies)

@@ -132,6 +132,48 @@ def api_page_cutoff(spark, sf):
     return api_pages.cut_pages(pages, {"type": "page"}, "data", feed="feed").select("feed", "page")
 
 
+#: Pages of 200 events a feed, asked for with cursors that tell nothing of their order.
+CURSOR_PAGES = """
+    select *, case when page = 1 then null else md5(feed || ':' || page) end as asked, md5(feed || ':' || (page + 1)) as next,
+      event_count > 0 and (page * 31 + length(feed)) % 29 <> 0 as goes_on
+    from (select event_type as feed, event_id // 200 + 1 as page, count(*) as event_count from events group by all)
+"""
+
+
+@query(f"""
+    with recursive pages as ({CURSOR_PAGES}),
+    walk as (
+      select feed, page, next, goes_on from pages where asked is null
+      union all select p.feed, p.page, p.next, p.goes_on from walk w join pages p on p.feed = w.feed and p.asked = w.next where w.goes_on)
+    select feed, page from walk
+""")
+def api_page_cursors(spark, sf):
+    """The pages on the way of the cursors, numbered by a hash; on some pages no cursor follows."""
+    events = table(spark, sf, "events")
+    grouped = events.groupBy(F.col("event_type").alias("feed"), F.expr("cast(floor(event_id / 200) + 1 as bigint) as page")).agg(
+        F.array_sort(F.collect_list("event_id")).alias("data"))
+    cursor = lambda n: F.md5(F.concat_ws(":", "feed", n).cast("binary"))
+    goes_on = (F.col("page") * 31 + F.length("feed")) % 29 != 0
+    pages = grouped.select(
+        "feed", "page", F.when(F.col("page") > 1, cursor(F.col("page"))).alias("asked"), F.crc32(cursor(F.col("page"))).alias("landed"),
+        F.to_json(F.struct("data", F.struct(F.when(goes_on, cursor(F.col("page") + 1)).alias("next")).alias("meta"))).alias("body"),
+    )
+    how = {"type": "cursor", "next_cursor_path": "meta.next", "cursor_column": "asked"}
+    return api_pages.cut_pages(pages, how, "data", page="landed", feed="feed").select("feed", "page")
+
+
+@query("""
+    select event_id, event_type as "info.kind", user_id, value from events
+""")
+def src_landed_pages(spark, sf):
+    """Events as one text file a page, read by the data source of landed pages."""
+    path = fresh_path(spark, "landed")
+    pages = event_pages(table(spark, sf, "events"), "floor(event_id / 500) + 1", "event_type")
+    pages.select("feed", "page", F.col("body").alias("value")).repartition("feed").write.partitionBy("feed", "page").text(path)
+    options = {"path": path, "layout_of": "folders", "records_path": "data", "pagination": {"type": "page"}, "feed": "feed"}
+    return extract(spark, Source("events", "api_pages", options))
+
+
 # -- loads ----------------------------------------------------------------------------------
 
 KEYED = "case when o_orderkey % 17 = 0 then null else o_orderkey end as k"
@@ -186,53 +228,6 @@ def load_counts(spark, sf):
     return small_frame(spark, rows, "strategy string, rows_loaded bigint")
 
 
-def _numbers(spark, sf, low: int, high: int, label: str) -> DataFrame:
-    """Orders with a key in a range; every ninth has none."""
-    orders = table(spark, sf, "orders").where(F.col("o_orderkey").between(low, high))
-    key = F.expr("case when o_orderkey % 9 = 0 then null else o_orderkey end")
-    return orders.select(key.alias("k"), F.lit(label).alias("loaded_by"))
-
-
-@query("""
-    select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'one' as loaded_by
-    from orders where o_orderkey between 1 and 500
-    union all
-    select case when o_orderkey % 9 = 0 then null else o_orderkey end, 'two'
-    from orders where o_orderkey between 501 and 1200
-""")
-def load_two_stages(spark, sf):
-    """Two incremental stages of one run into one table; both loads stay."""
-    places = fresh_places(spark)
-    stages = [
-        Stage(label, _numbers(spark, sf, low, high, label), target_table="t", load_strategy="incremental")
-        for label, low, high in (("one", 1, 500), ("two", 501, 1200))
-    ]
-    run_pipeline(spark, "pair", stages, places, run_id="r1")
-    return Table(spark, f"{places.warehouse}/t").read()
-
-
-@query("""
-    with a as (select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'first' as loaded_by
-      from orders where o_orderkey between 1 and 500),
-    b as (select case when o_orderkey % 9 = 0 then null else o_orderkey end as k, 'second' as loaded_by
-      from orders where o_orderkey between 400 and 1200)
-    select 'append' as strategy, * from (select * from a union all select * from b)
-    union all
-    select 'upsert', * from (select * from a union all
-      select * from b where k is null or k not in (select k from a where k is not null))
-""")
-def load_replayed(spark, sf):
-    """Three loads, the last under the first one's version: it takes that one's place."""
-    first, second = _numbers(spark, sf, 1, 500, "first"), _numbers(spark, sf, 400, 1200, "second")
-    results = []
-    for strategy, key in (("append", None), ("upsert", "k")):
-        target = Table(spark, fresh_path(spark, "table"))
-        for rows, version in ((first, "r1"), (second, "r2"), (first, "r1")):
-            target.load(rows, "incremental", key, version)
-        results.append(target.read().select(F.lit(strategy).alias("strategy"), "k", "loaded_by"))
-    return results[0].union(results[1])
-
-
 BEFORE, AFTER = "o_orderdate < timestamp '1996-01-01'", "o_orderdate >= timestamp '1996-01-01'"
 #: Overlaps with ``AFTER`` in a year of orders.
 LONGER = "o_orderdate < timestamp '1997-01-01'"
@@ -275,6 +270,51 @@ def load_replayed_all(spark, sf):
     return results[0].union(results[1])
 
 
+@query(f"""
+    with a as ({_labelled(LONGER, 'one')}), b as ({_labelled(AFTER, 'two')})
+    select * from a where k is null or k not in (select k from b where k is not null)
+    union all select * from b
+""")
+def load_two_stages(spark, sf):
+    """Two stages of one run into one table, the second an upsert; a year of orders is in both."""
+    places = fresh_places(spark)
+    stages = [
+        Stage(label, _orders(spark, sf, _labelled(part, label)), target_table="t", load_strategy="incremental", incremental_key=key)
+        for label, part, key in (("one", LONGER, None), ("two", AFTER, "k"))
+    ]
+    run_pipeline(spark, "pair", stages, places, run_id="r1")
+    return Table(spark, f"{places.warehouse}/t").read()
+
+
+@query(f"{_labelled(BEFORE, 'first')} union all {_labelled(AFTER, 'second')}")
+def load_replayed(spark, sf):
+    """A load whose writer died before its entry was whole, then the same load again."""
+    target = Table(spark, fresh_path(spark, "table"))
+    first, second = (_orders(spark, sf, _labelled(*load)) for load in ((BEFORE, "first"), (AFTER, "second")))
+    target.load(first, "incremental", None, "r1")
+    second.write.parquet(f"{target.path}/segments/dead/batch")
+    spark.range(0).write.parquet(f"{target.path}/_manifest/{1:012d}/_temporary")
+    target.load(second, "incremental", None, "r2")
+    return target.read()
+
+
+@query(f"""
+    with a as ({_labelled('true', 'first')}), b as ({_labelled('o_custkey % 100 = 0', 'second')})
+    select * from a where k is null or k not in (select k from b where k is not null)
+    union all select * from b
+""")
+def load_upsert_files(spark, sf):
+    """All orders in many files by ranges of the key, then the orders of some customers again,
+    one after another: only files that hold their keys are rewritten."""
+    target = Table(spark, fresh_path(spark, "table"))
+    target.load(_orders(spark, sf, _labelled("true", "first")).repartitionByRange(16, "k"))
+    target.load(_orders(spark, sf, _labelled("o_custkey % 100 = 0 and o_orderkey % 2 = 0", "second")), "incremental", "k")
+    target.load(_orders(spark, sf, _labelled("o_custkey % 100 = 0 and o_orderkey % 2 = 1", "second")), "incremental", "k")
+    target.compact()
+    target.vacuum(keep=1)
+    return target.read()
+
+
 # -- streaming ------------------------------------------------------------------------------
 
 EVENT_RULES = RuleSet.of("events", [
@@ -317,3 +357,24 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
             F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
         ))
     return totals[0].union(totals[1])
+
+
+@query("""
+    select event_type, count(*) as n, round(sum(value), 2) as total from events group by event_type
+""")
+def stream_redelivered(spark: SparkSession, sf: str) -> DataFrame:
+    """Events appended without a key from two deliveries in two runs, the second of which repeats
+    a third of the first, and the first repeats a part of itself; each row is loaded once."""
+    events = table(spark, sf, "events")
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    first, second = events.where("event_id % 4 <> 0"), events.where("event_id % 4 = 0")
+    deliveries = [first.unionByName(first.where("event_id % 5 = 1")), second.unionByName(first.where("event_id % 3 = 1"))]
+    base, places = fresh_path(spark, "stream"), fresh_places(spark)
+    stage = Stage("events", events, None, load_strategy="incremental")
+    for part in deliveries:
+        part.coalesce(2).write.mode("append").parquet(f"{base}/in")
+        ingest_files(
+            spark, f"{base}/in", schema, stage, places, f"{base}/checkpoint", max_files=1, once_within="7 days"
+        ).awaitTermination()
+    loaded = Table(spark, f"{places.warehouse}/events").read()
+    return loaded.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))

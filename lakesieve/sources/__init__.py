@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import normalise_missing
 from ..session import ROW, landed, materialise, read_parquet
-from . import api_pages, files, jdbc
+from . import api_pages, files, jdbc, landed_pages
 
 #: ``(spark, options, since) -> DataFrame``
 Reader = Callable[[SparkSession, Mapping[str, Any], Any], DataFrame]
@@ -51,8 +51,13 @@ def _database(kind: str) -> Reader:
 
 
 def _api_pages(spark: SparkSession, options: Mapping[str, Any], since: Any) -> DataFrame:
-    """Landed responses: a Parquet folder with ``page`` and ``body`` columns."""
-    pages = spark.read.parquet(options["path"])
+    """Landed responses: a Parquet folder with ``page`` and ``body`` columns, or with the option
+    ``layout_of`` ``"folders"`` a text file for each page, below ``feed=`` and ``page=`` folders."""
+    if options.get("layout_of") == "folders":
+        landed_pages.register(spark)
+        pages = spark.read.format("landed_pages").load(options["path"])
+    else:
+        pages = spark.read.parquet(options["path"])
     path, feed = options.get("records_path"), options.get("feed")
     pages = api_pages.cut_pages(
         pages,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import column
 from ..functions.json_path import dig
+from ..operators.chains import follow
 from ..session import materialise
 from .files import flatten
 
@@ -50,12 +51,18 @@ def cut_pages(
 ) -> DataFrame:
     """Keep the pages a client walking through the source would have fetched.
 
-    Without ``pagination`` every landed page is kept. Otherwise the walk stops after the first page without records, and also after the first
-    short page (``offset``), the first page without a next cursor (``cursor``)
-    or the very first page (``none``). ``feed`` names a column separating
-    independent sources; ``max_pages`` limits each source if a caller names a limit.
+    Without ``pagination`` every landed page is kept. Otherwise the walk stops after the first
+    page without records, and also after the first short page (``offset``), the first page
+    without a next cursor (``cursor``) or the very first page (``none``). ``feed`` names a
+    column separating independent sources; ``max_pages`` limits each source if a caller names
+    a limit.
+
+    Pages are in the order of their number, or, where ``cursor_column`` of the pagination names
+    the column of the cursor that each was asked for with, in the order of the cursors.
     """
     number = column(page)
+    if pagination and pagination.get("type") == "cursor" and pagination.get("cursor_column"):
+        return _walked(pages, pagination, records_path, page, body, feed, max_pages)
     if pagination is None:
         if max_pages is None:
             return pages
@@ -96,6 +103,36 @@ def cut_pages(
     return joined.where(within(F.col("_first"), F.col("_stop"))).drop("_feed", "_first", "_stop")
 
 
+def _walked(
+    pages: DataFrame, pagination: Mapping[str, Any], records_path: str | None, page: str, body: str,
+    feed: str | None, max_pages: int | None,
+) -> DataFrame:
+    """The pages that lie on the way of the cursors, from the one asked for without a cursor.
+
+    Of several responses to one cursor the one with the least page number counts, without a
+    number the last. A cursor that leads back to an earlier page ends the walk.
+    """
+    asked, of = column(pagination["cursor_column"]).cast("string"), ["_feed"]
+    source = column(feed).cast("string") if feed else F.lit("")
+    named = [
+        F.concat(F.when(source.isNull(), "-").otherwise("+"), F.coalesce(source, F.lit(""))).alias("_feed"),
+        # the first request has no cursor
+        F.concat(F.when(asked.isNull(), "-").otherwise("+"), F.coalesce(asked, F.lit(""))).alias("_asked"),
+    ]
+    whole = F.struct(*[column(c) for c in pages.columns]).alias("_page")
+    cursor = dig(F.col("_body"), pagination.get("next_cursor_path"))
+    goes_on = (F.size(records_in(F.col("_body"), records_path)) > 0) & something(cursor)
+    read = parsed(pages, body).select(*named, column(page).alias("_number"), whole, F.when(goes_on, F.concat(F.lit("+"), cursor.cast("string"))).alias("_next"))
+    nodes = read.groupBy("_feed", "_asked").agg(F.min_by(F.struct("_page", "_next"), F.struct(F.col("_number").isNull(), "_number")).alias("n"))
+    nodes = materialise(nodes.select("_feed", "_asked", "n._page", "n._next"), "pages")
+    starts = nodes.where(F.col("_asked") == "-").select("_feed", "_asked")
+    way = follow(nodes.select("_feed", "_asked", "_next"), starts, of, "_asked", "_next", nodes.count() + 1)
+    way = way.groupBy("_feed", "_asked").agg(F.min("position").alias("position"))
+    if max_pages is not None:
+        way = way.where(F.col("position") < max_pages)
+    return nodes.join(way, ["_feed", "_asked"], "left_semi").select("_page.*")
+
+
 def record_layout(records: DataFrame, record: str) -> str:
     """The common type of all records as DDL, by one aggregate over them."""
     found = records.agg(F.schema_of_variant_agg(column(record))).first()[0]

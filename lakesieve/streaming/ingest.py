@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from ..session import materialise
 #: When and where a row was delivered.
 DELIVERED = ("file_modification_time", "file_path", "file_block_start", "row_index")
 ARRIVAL = "_arrival"
+#: When a row's micro-batch began.
+SEEN = "_seen"
 
 
 def ingest_files(
@@ -28,6 +31,8 @@ def ingest_files(
     pipeline: str = "ingest",
     file_format: str = "parquet",
     max_files: int = 1000,
+    once_within: str | None = None,
+    once_by: Sequence[str] = (),
     **options: str,
 ) -> StreamingQuery:
     """Process the files not seen yet, then stop.
@@ -41,6 +46,14 @@ def ingest_files(
     written, then by the file's name and the place in it: an upsert keeps the last batch's
     row, and inside a batch earlier rows of a key are left out before the stage sees them.
     So ``max_files`` says how much is done at a time, not which row survives.
+
+    Without a key, rows are appended, and a row delivered again is loaded again. With
+    ``once_within``, an interval such as ``"7 days"``, a row is let through only if none like
+    it arrived in the time before, in whatever file or run. Rows are alike if they agree in
+    ``once_by``, or in all columns; nulls agree. When a row arrived is when its micro-batch
+    began, so no row is late, and state older than the interval is forgotten. The state is
+    spread by a hash of these columns and lies in the checkpoint; where it outgrows memory,
+    choose Spark's RocksDB state store.
     """
     reader = spark.readStream.schema(schema).format(file_format)
     stream = reader.option("maxFilesPerTrigger", max_files).options(**options).load(path)
@@ -48,6 +61,11 @@ def ingest_files(
     if key:
         stream = stream.select("*", F.struct(*[F.col(f"_metadata.{m}") for m in DELIVERED]).alias(ARRIVAL))
 
+    if once_within:
+        columns = list(once_by) or [f.name for f in stream.schema.fields if f.name != ARRIVAL]
+        stream = stream.withColumn(SEEN, F.current_timestamp()).withWatermark(SEEN, once_within)
+        stream = stream.dropDuplicatesWithinWatermark(columns).drop(SEEN)
+
     def run(batch: DataFrame, number: int) -> None:
         if key:
             batch = materialise(batch, "micro-batch")

@@ -181,13 +181,14 @@ def greedy(alarms, window):
     return sent
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_suppression_agrees_with_a_plain_loop(spark, seed, ranges):
+@pytest.mark.parametrize("seed,rows", [(2, 500_000), (0, 60), (1, 60), (2, 60), (3, 40)])
+def test_suppression_agrees_with_a_plain_loop(spark, seed, rows, monkeypatch):
+    monkeypatch.setattr(alerts, "RANGE_ROWS", rows)
     rng = random.Random(seed)
-    spread = rng.choice([2_000, 30_000, 200_000])
+    spread = [600, 2_000, 30_000, 200_000][seed]
     alarms = [
-        (rng.choice([rng.randrange(spread), 600 * rng.randrange(spread // 600)]), i,
-         rng.choices(["hot", "b", "c"], [6, 3, 1])[0])
+        (rng.choice([rng.randrange(spread), 600 * rng.randrange(max(spread // 600, 1))]), i,
+         rng.choices(["hot", "b", None], [6, 3, 1])[0])
         for i in range(400)
     ]
     df = spark.createDataFrame(alarms, "at long, alert_id long, alert_key string").withColumn(
@@ -195,7 +196,67 @@ def test_suppression_agrees_with_a_plain_loop(spark, seed, ranges):
     out = alerts.suppress_repeats(df, minutes=10)
     assert out.count() == 400
     got = {r["alert_id"] for r in out.where("not suppressed").collect()}
-    assert got == greedy(alarms, 600)
+    assert got == greedy([(at, i, str(key)) for at, i, key in alarms], 600)
+
+
+def test_a_burst_of_one_key_stays_in_bounded_tasks(spark, monkeypatch):
+    """100,000 alerts of one key: dense minutes, then a quiet hour, three times. No group that a
+    task holds has more than four times the rows that a range has on average."""
+    monkeypatch.setattr(alerts, "RANGE_ROWS", 5_000)
+    sizes, seen = [], alerts.in_ranges
+
+    def noted(df, key, order, label, ranges=None):
+        found = seen(df, key, order, label, ranges)
+        sizes.append(found.groupBy("_range").count().agg(F.max("count")).first()[0])
+        return found
+
+    monkeypatch.setattr(alerts, "in_ranges", noted)
+    monkeypatch.setattr("lakesieve.plans.monitor.in_ranges", noted)
+    held, decide, reduce_ = spark.sparkContext.accumulator(0), alerts._decide, alerts._range_function
+
+    def bounded(make):
+        def made(window):
+            function = make(window)
+
+            def checked(*parts):
+                if len(parts[-1]) > 20_000:
+                    held.add(1)
+                return function(*parts)
+
+            if make is decide:
+                return lambda rows: checked(rows)
+            return lambda key, rows: checked(key, rows)
+
+        return made
+
+    monkeypatch.setattr(alerts, "_decide", bounded(decide))
+    monkeypatch.setattr(alerts, "_range_function", bounded(reduce_))
+    n = 100_000
+    df = spark.range(n).selectExpr(
+        "id as alert_id", "'k' as alert_key",
+        "timestamp_micros(id div 33334 * 3600000000L * 3 + id % 33334 * 50000L) as created_at")
+    sent = alerts.suppress_repeats(df).where("not suppressed")
+    at = [(i // 33334 * 3 * 3600 * 10**6 + i % 33334 * 50_000, i, "k") for i in range(n)]
+    assert {r.alert_id for r in sent.collect()} == greedy(at, 30 * 60 * 10**6)
+    assert len(sizes) == 2 and max(sizes) <= 20_000 and held.value == 0
+
+
+def test_alerts_without_a_time_are_sent(frame):
+    df = frame("alert_id int, alert_key string, created_at timestamp", (1, "k", None), (2, "k", None), (3, "k", "2024-01-01"), (4, "k", "2024-01-01"))
+    assert rows_of(alerts.suppress_repeats(df).where("suppressed"), "alert_id") == [(4,)]
+
+
+def test_next_point_of_a_key(spark):
+    from lakesieve.plans.monitor import with_next
+
+    rng = random.Random(2)
+    points = [(rng.choice("ab"), rng.randrange(300)) for _ in range(60)]
+    asked = [(rng.choice("abc"), rng.randrange(-5, 305), i) for i in range(200)]
+    rows = spark.createDataFrame(asked, "k string, x long, n long")
+    for ranges in (1, 6):
+        found = with_next(rows, spark.createDataFrame(points, "k string, x long"), "k", "x", "after", ranges)
+        expected = [(k, x, n, min((p for q, p in points if q == k and p > x), default=None)) for k, x, n in asked]
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
 
 
 def test_suppression_window_is_inclusive(spark):

@@ -156,6 +156,35 @@ def test_the_last_delivery_wins_wherever_batches_are_cut(spark, places, frame, f
     assert [r for r in loaded if r[0] is not None] == [(i, "c") for i in range(5)]
 
 
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_rows_delivered_again_are_appended_once(spark, places, frame, folder, max_files):
+    base = folder()
+    stage = Stage("events", spark.range(0), load_strategy="incremental")
+    schema = "id bigint, v string, tags array<string>"
+
+    def deliver(*rows, **named):
+        frame(schema, *rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        ingest_files(spark, f"{base}/in", schema, stage, places, f"{base}/checkpoint", max_files=max_files,
+                     once_within="1 day", **named).awaitTermination()
+        return rows_of(Table(spark, f"{places.warehouse}/events").read(), "id", "v")
+
+    first = [(1, "a", ["x"]), (2, "b", None), (None, None, None)]
+    assert deliver(*first, first[0], first[2]) == [(None, None), (1, "a"), (2, "b")]
+    # another run, which takes the state from the checkpoint
+    assert deliver(*first, (1, "a", ["y"]), (3, "c", None)) == [(None, None), (1, "a"), (1, "a"), (2, "b"), (3, "c")]
+    assert deliver(*first) == [(None, None), (1, "a"), (1, "a"), (2, "b"), (3, "c")]
+
+
+def test_rows_alike_in_some_columns_are_appended_once(spark, places, frame, folder):
+    base = folder()
+    stage = Stage("events", spark.range(0), load_strategy="incremental")
+    for rows in ([(1, "a"), (2, "b")], [(1, "A"), (3, "c")]):
+        frame("id bigint, v string", *rows).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        ingest_files(spark, f"{base}/in", "id bigint, v string", stage, places, f"{base}/checkpoint",
+                     once_within="1 day", once_by=["id"]).awaitTermination()
+    assert rows_of(Table(spark, f"{places.warehouse}/events").read()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_a_stage_can_go_on_where_its_table_ends(spark, places, frame, folder):
     path = folder()
     schema = "id bigint, at timestamp_ntz"
