@@ -141,7 +141,7 @@ def chunk_runs(df: DataFrame, span: int = SPAN) -> DataFrame:
 
     kind = df.schema["id"].dataType.simpleString()
     return df.mapInArrow(
-        chunked, f"id {kind}, of int, h1 bigint, h2 int, start int, stop int, more array<struct<digest: bigint, stop: int>>"
+        chunked, f"id {kind}, of bigint, h1 bigint, h2 int, start int, stop int, more array<struct<digest: bigint, stop: int>>"
     )
 
 
@@ -149,18 +149,20 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(id, of, start, stop, first_ids)`` of every passage that earlier ones repeat.
 
     The first holder of a run of chunks that is ``span`` bytes long or just longer, by id,
-    then by the hash ``of`` its text, then by place, keeps it; a null id comes first. A
+    then by the 64-bit hash ``of`` its text, then by place, keeps it; a null id comes first. A
     passage is what such runs cover elsewhere without a gap, so each of its bytes lies in
     ``span`` bytes that one earlier place holds in one piece, whatever else of the passage
     other documents hold first. A run that overlaps its first holder is none.
     ``first_ids`` are the ids of the first holders, and may hold the document itself. Rows
-    with the same id and text are one document. Null and empty texts hold nothing.
+    with the same id and text are one document. Null and empty texts hold nothing, and an
+    empty table gives no rows; a null id is not listed among ``first_ids``. Texts of any
+    length are cut into chunks whole.
 
     A run that very many documents share is counted before the shuffle, and the join
     that marks its holders can be split: nothing gathers them. Documents are read twice.
     """
     docs = df.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    docs = docs.select("id", F.hash("text").alias("of"), "text")
+    docs = docs.select("id", F.xxhash64("text").alias("of"), "text")
     found = chunk_runs(docs, span)
     # most runs are unique: a part of the digest, counted alone, tells so at the least cost, and
     # a longer run is repeated only where the shortest from the same chunk is;
@@ -209,7 +211,7 @@ def _cut(df: DataFrame, doc_id: str, text: str, span: int) -> DataFrame:
             out.append(b"".join([*parts, data[at:]]).decode("utf-8", "replace"))
         return pd.Series(out, dtype="object")
 
-    same = F.col("id").eqNullSafe(F.col("cut id")) & (F.hash("t") == F.col("cut of"))
+    same = F.col("id").eqNullSafe(F.col("cut id")) & (F.xxhash64("t") == F.col("cut of"))
     cut = rows.join(spans, same).withColumn("t", kept("t", "passages"))
     changed = [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns]
     return cut.select(F.struct(*changed).alias("row"), "passages", "first_ids")
@@ -230,5 +232,5 @@ def drop_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span
     """All rows of ``df``, with ``text`` cut where ``cut_repeats`` cuts it."""
     spans = materialise(repeated_passages(df, doc_id, text, span).select("id", "of").distinct(), "cut")
     spans = spans.withColumnsRenamed({"id": "cut id", "of": "cut of"})
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("cut id")) & (F.hash(F.col(f"`{text}`")) == F.col("cut of"))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("cut id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("cut of"))
     return df.join(spans, same, "left_anti").union(_cut(df, doc_id, text, span).select("row.*"))

@@ -163,11 +163,17 @@ def test_containment_against_all_pairs(docs, frame):
     assert ids(clean) == sorted(set(range(len(texts))) - {d for d, _ in wanted})
 
 
-def test_a_shuffle_join_finds_the_same(docs, frame, monkeypatch):
+def test_a_shuffle_join_finds_the_same(spark, docs, frame):
     item = "one two three four five six seven"
     frames = docs(f"x {item} y", "nothing"), frame("item_id bigint, text string", (1, item))
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
-    assert ids(decontaminate.contaminated(*frames)) == [0]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.contaminated(*frames)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert ids(found) == [0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_containment_on_odd_rows(odd, frame):
@@ -209,6 +215,19 @@ def test_passages_are_cut_everywhere_but_first(docs):
     assert len(whole) == 12 and whole[0] == held[0] and whole[7] == texts[7] and whole[3] != held[3]
 
 
+def test_texts_of_one_id_are_told_apart_by_64_bits(spark, frame):
+    """Two texts of one id that agree in a 32-bit hash: the one that repeats nothing stays whole."""
+    rng = random.Random(8)
+    passage, other = prose(rng, 40), prose(rng, 40)
+    family = lambda of, text: spark.range(200_000).select(F.lit(of).alias("of"), F.concat_ws(" ", F.lit(text), "id").alias("text"))
+    both = family("repeats", passage).union(family("new", other)).groupBy(F.hash("text").alias("h"))
+    twins = both.agg(F.min_by("text", "of").alias("new"), F.max_by("text", "of").alias("repeats"), F.count_distinct("of").alias("n"))
+    pair = twins.where("n = 2").orderBy("h").first()
+    held = frame("doc_id bigint, text string", (1, passage), (5, pair.repeats), (5, pair.new))
+    kept = {r.text for r in substrings.drop_repeats(held).where("doc_id = 5").collect()}
+    assert pair.new in kept and pair.repeats not in kept
+
+
 def test_passages_on_odd_rows(odd, frame):
     found = substrings.cut_repeats(odd)
     assert set(odd.columns) <= set(found.columns)
@@ -436,6 +455,13 @@ def test_pieces_of_a_long_text_count_like_the_whole(monkeypatch):
     assert abs(model.scores(pd.Series([text]))[0] - whole) < 1e-3
 
 
+def test_quality_with_ids_of_text(frame):
+    rows = [(f"k{i}", "plain good words here" if i % 2 else "bad### bad### words###") for i in range(40)]
+    df, labels = frame("doc_id string, text string", *rows), frame("doc_id string, quality int", *[(f"k{i}", i % 2) for i in range(40)])
+    scored = quality.score(df, quality.fit(df, labels)).collect()
+    assert all((r.score >= 0.5) == (int(r.doc_id[1:]) % 2 == 1) for r in scored)
+
+
 def test_quality_on_odd_rows(odd, frame):
     labels = frame("doc_id bigint, quality int", (4, 1), (5, 0), (5, 1), (6, 7), (None, 1), (99, 0))
     model = quality.fit(odd, labels)
