@@ -138,7 +138,8 @@ def fit(
                     {"id": [row_id], "y": [y], "used": [used.astype(np.uint16).tobytes()], "share": [share.tobytes()]}
                 )
 
-    found = texts.mapInPandas(counted, "id bigint, y int, used binary, share binary").collect()
+    kind = texts.schema["id"].dataType.simpleString()
+    found = texts.mapInPandas(counted, f"id {kind}, y int, used binary, share binary").collect()
     found.sort(key=lambda r: r["id"])
     examples = [(r["y"], np.frombuffer(r["used"], np.uint16), np.frombuffer(r["share"], np.float32)) for r in found]
     counts = labels.groupBy(F.col(label).alias("y")).count().where(F.col("y").isin(0, 1)).collect()
