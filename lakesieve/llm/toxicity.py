@@ -15,8 +15,6 @@ from .common import Memo, worker_store
 
 #: Labelled documents to learn from, half of each label where there are as many.
 TRAIN_ROWS = 4000
-#: Terms of a learned lexicon at most.
-TERMS = 500
 #: Different surroundings in toxic documents that make a word a term: so many, and so many
 #: for each toxic document; and the least share of all its surroundings that must be toxic.
 EVIDENCE = 8
@@ -210,7 +208,7 @@ def fit(
     term if at least ``EVIDENCE`` different pairs of neighbours, and ``FREQUENCY`` pairs for
     each toxic document, surround it in toxic documents, and ``PRECISION`` of all that
     surround it do; so copies of one text prove little, and neither does a word that
-    happens to occur in a few. The ``TERMS`` with most evidence are taken, and ``terms``,
+    happens to occur in a few. All of them are taken, which the sample bounds, and ``terms``,
     rarer ones with weights of their own, are added. A term whose look-alikes at some
     distance occur in harmless documents as well is matched at smaller distances only, and
     single look-alikes of harmless documents are remembered as harmless. Equal texts teach once. Labels other than 0 and 1,
@@ -233,7 +231,7 @@ def fit(
     seen = around.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("both")).alias("good"))
     toxic = texts.where("y = 1").count()
     strong = (F.col("bad") >= max(EVIDENCE, FREQUENCY * toxic)) & (F.col("bad") >= PRECISION * (F.col("bad") + F.col("good"))) & (F.length("word") > 2)
-    found = seen.where(strong).orderBy(F.desc("bad"), "word").limit(TERMS).collect()
+    found = seen.where(strong).orderBy(F.desc("bad"), "word").collect()
     weights = {r["word"]: float(np.log2(1 + (r["bad"] + 1) / (r["good"] + 1)) / 4) for r in found}
     weights |= terms or {}
     model = ToxicityModel(list(weights), list(weights.values()), [edits(len(t)) for t in weights])
