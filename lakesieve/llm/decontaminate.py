@@ -10,9 +10,6 @@ from ..session import materialise
 WORDS = 5
 CONTAINMENT = 0.8
 
-#: Sketch rows up to which the sketch is broadcast; 16 bytes a row.
-BROADCAST_ROWS = 1_000_000
-
 
 def shingle_hashes(text: Column, words: int = WORDS) -> Column:
     """Hashes of the distinct word shingles of a text, as an array.
@@ -65,9 +62,9 @@ def contaminated(
     ``words`` words matches only texts of the same words. A null id is kept as null.
     Other columns are not looked at.
 
-    Items are small beside documents, and their number decides the way: sketches of up to
-    ``BROADCAST_ROWS`` rows, which are counted, go to the documents; beyond, the hashes of
-    the documents are joined to them by a shuffle, which gives the same pairs.
+    Items and their sketches are written first, so their size is known: Spark sends them to
+    the documents where they are small, and joins by a shuffle, which it can split, where not.
+    An empty table of either kind gives no pairs; texts of any length are searched whole.
     """
     wanted = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("t")).distinct()
     wanted = wanted.select("item_id", shingle_hashes(F.col("t"), words).alias("hashes"))
@@ -75,28 +72,26 @@ def contaminated(
     wanted = materialise(wanted.where("size > 0").distinct(), "items")
     sets = wanted.dropDuplicates(["item"]).select("item", "size", "hashes")
     sketch = materialise(sketches(sets, containment), "sketches")
-    small = sketch.count() <= BROADCAST_ROWS
-    near = F.broadcast if small else (lambda df: df)
 
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")).where("t is not null")
     source = source.withColumn("of", F.xxhash64("t"))
     hashed = source.select("doc_id", "of", shingle_hashes(F.col("t"), words).alias("all"))
     hashed = hashed.select("doc_id", "of", "all", F.size("all").alias("held"))
-    met = hashed.select("doc_id", "of", "held", F.explode("all").alias("hash")).join(near(sketch), "hash")
+    met = hashed.select("doc_id", "of", "held", F.explode("all").alias("hash")).join(sketch, "hash")
     met = met.where(F.col("held") >= F.ceil(F.col("size") * containment - 1e-9))
     candidates = materialise(met.select("doc_id", "of", "item").distinct(), "candidates")
 
     # exact containment, on the candidates alone
     texts = source.join(candidates.select("of").distinct(), "of", "left_semi").select("of", "t").distinct()
     texts = texts.select("of", shingle_hashes(F.col("t"), words).alias("all"))
-    pairs = candidates.select("of", "item").distinct().join(near(sets), "item").join(texts, "of")
+    pairs = candidates.select("of", "item").distinct().join(sets, "item").join(texts, "of")
     pairs = pairs.select("of", "item", "size", F.size(F.array_intersect("all", "hashes")).alias("shared"))
     full = pairs.where(F.col("shared") >= F.col("size") * F.lit(containment) - F.lit(1e-9))
     named = wanted.select("item", "item_id").distinct()
     best = F.max(F.struct((F.col("shared") / F.col("size")).alias("containment"), "shared", "size"))
     return (
         candidates.join(full, ["of", "item"])
-        .join(near(named), "item")
+        .join(named, "item")
         .groupBy("doc_id", "item_id")
         .agg(best.alias("m"))
         .select("doc_id", "item_id", "m.shared", "m.size", "m.containment")
