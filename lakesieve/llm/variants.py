@@ -19,18 +19,37 @@ LOSES = 31
 
 #: Words and letters of a block's piece, on average; two pieces are multiplied at a time.
 WORDS, CHARACTERS = 2048, 1 << 20
+#: Pieces of a block that meet as many of another one in a task.
+TOGETHER = 16
+#: Pieces of a partition of the join, on average.
+SHARE = 32
 #: Letters of candidate pairs that are compared at once.
 COMPARED = 1 << 22
-#: The letters whose code point leaves this remainder by three are one class.
-CLASSES = ["".join(map(chr, [c for c in [*range(97, 123), *range(0xC0, 0x100)] if c % 3 == r])) for r in (0, 1)]
-#: From a block (length, letters of class 0, letters of class 1) to those one edit away, each pair of blocks once.
-STEPS = [(0, 0, 0), (0, 1, -1), (0, 1, 0), (0, 0, 1), (1, 1, 0), (1, 0, 1), (1, 0, 0)]
+#: Letters are of one class if their code points leave the same remainder by this number.
+CLASSES = 5
+#: The code points of letters, and where each has its place in a vector of counts.
+POINTS = [*range(97, 123), *range(0xC0, 0x100)]
 
 _UPPER, _LOWER = (bytes(range(a, a + 26)).decode() for a in (65, 97))
 _SLOT = np.zeros(256, np.int64)
-_SLOT[97:123] = np.arange(26)
-_SLOT[0xC0:] = np.arange(26, 90)
-SLOTS = 90
+_SLOT[POINTS] = np.arange(len(POINTS))
+
+
+def _steps() -> list[tuple[int, ...]]:
+    """How blocks one edit apart differ, in length and in letters of all classes but the last.
+
+    Every pair of blocks once: one more letter of some class, or one of a class instead of
+    one of a later class, or of the same.
+    """
+    unit = np.eye(CLASSES, dtype=int)
+    same = [np.zeros(CLASSES, int)] + [unit[j] - unit[i] for i in range(CLASSES) for j in range(i)]
+    steps = [(0, *step) for step in same] + [(1, *step) for step in unit]
+    return [tuple(int(x) for x in step[:-1]) for step in steps]
+
+
+STEPS = _steps()
+#: What names a block: the length of its words, and their letters of each class but the last.
+BLOCK = ["length", *[f"of{c}" for c in range(CLASSES - 1)]]
 
 
 def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST_LETTERS, loses: int = LOSES) -> DataFrame:
@@ -51,23 +70,28 @@ def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: in
     return found.where(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _held(word: Column, letters: str) -> Column:
+def _held(word: Column, remainder: int) -> Column:
+    """How many letters of a class a word has."""
+    letters = "".join(chr(c) for c in POINTS if c % CLASSES == remainder)
     return F.length(word) - F.length(F.translate(word, letters, ""))
 
 
-def _pieces(vocabulary: DataFrame) -> DataFrame:
-    """``(length, a, b, piece, words)``: blocks of words, large ones in pieces of bounded size.
+def _pieces(vocabulary: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks of words in pieces of bounded size: ``(BLOCK, piece, words)``, and ``(BLOCK, pieces)``.
 
     An edit changes a word's length by one at most, and the number of its letters of each
     class by one at most, so only neighbouring blocks hold words one edit apart.
     """
     word = F.col("word")
-    keyed = vocabulary.select("word", F.length(word).alias("length"), _held(word, CLASSES[0]).alias("a"), _held(word, CLASSES[1]).alias("b"))
-    block = ["length", "a", "b"]
+    keyed = vocabulary.select("word", F.length(word).alias("length"), *[_held(word, c).alias(f"of{c}") for c in range(CLASSES - 1)])
     many = F.greatest(F.ceil(F.count("*") / WORDS), F.ceil(F.count("*") * F.first("length") / CHARACTERS))
-    sizes = keyed.groupBy(*block).agg(many.alias("pieces"))
-    dealt = keyed.join(sizes, block).withColumn("piece", F.pmod(F.xxhash64("word"), F.col("pieces")).cast("int"))
-    return dealt.groupBy(*block, "piece").agg(F.collect_list("word").alias("words"))
+    sizes = materialise(keyed.groupBy(*BLOCK).agg(many.alias("pieces")), "blocks")
+    dealt = keyed.join(sizes, BLOCK).withColumn("piece", F.pmod(F.xxhash64("word"), F.col("pieces")).cast("int"))
+    return materialise(dealt.groupBy(*BLOCK, "piece").agg(F.collect_list("word").alias("words")), "pieces"), sizes
+
+
+def _buckets(of: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.floor((F.col(of) - 1) / TOGETHER).cast("int")))
 
 
 def _matrix(listed: list[str], length: int) -> np.ndarray:
@@ -76,8 +100,8 @@ def _matrix(listed: list[str], length: int) -> np.ndarray:
 
 def _counts(letters: np.ndarray) -> np.ndarray:
     """How often each letter occurs in each word, exact in products of floats."""
-    rows = np.arange(len(letters))[:, None] * SLOTS
-    counts = np.bincount((rows + _SLOT[letters]).ravel(), minlength=len(letters) * SLOTS).reshape(-1, SLOTS)
+    rows = np.arange(len(letters))[:, None] * len(POINTS)
+    counts = np.bincount((rows + _SLOT[letters]).ravel(), minlength=len(letters) * len(POINTS)).reshape(len(letters), -1)
     return counts.astype(np.float32 if letters.shape[1] <= 2048 else np.float64)
 
 
@@ -95,8 +119,10 @@ def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarra
     x, y = _counts(a), _counts(b)
     used = np.flatnonzero(x.any(axis=0) | y.any(axis=0))
     x, y = x[:, used], y[:, used]
-    squares = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-    rows, columns = np.nonzero((squares <= 2) & (squares > 0))
+    # two more columns, so that the product is the squared distance itself
+    x = np.column_stack([x, (x * x).sum(axis=1), np.ones(len(x), x.dtype)])
+    y = np.column_stack([-2 * y, np.ones(len(y), y.dtype), (y * y).sum(axis=1)])
+    rows, columns = np.divmod(np.flatnonzero(x @ y.T <= 2), len(y))
     if same:
         once = rows < columns
         rows, columns = rows[once], columns[once]
@@ -117,19 +143,29 @@ def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarra
 def near_words(vocabulary: DataFrame) -> DataFrame:
     """``(word, other)``: words of ``vocabulary`` that are one edit apart, each pair both ways.
 
-    Words are distinct. Pieces of neighbouring blocks are joined as whole rows; a task
-    multiplies two pieces at a time and returns only pairs that are one edit apart.
+    Words are distinct. Pieces of neighbouring blocks are joined as whole rows, some of one
+    block with some of the other, so that no key grows with a block; a task multiplies two
+    pieces at a time and returns only pairs that are one edit apart.
     """
-    pieces = materialise(_pieces(vocabulary), "pieces")
-    steps = F.explode(F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip("lab", step)]) for step in STEPS]))
-    left = pieces.select(F.col("piece").alias("own"), F.col("words").alias("left"), "length", "a", "b", steps.alias("to"))
-    itself = (F.col("to.l") == 0) & (F.col("to.a") == 0) & (F.col("to.b") == 0)
-    left = left.select(
-        "own", "left", itself.alias("itself"), (F.col("length") + F.col("to.l")).alias("length"),
-        (F.col("a") + F.col("to.a")).alias("a"), (F.col("b") + F.col("to.b")).alias("b"),
-    )
-    met = left.join(pieces, ["length", "a", "b"]).where(~F.col("itself") | (F.col("own") <= F.col("piece")))
-    met = met.select("left", F.col("words").alias("right"), (F.col("itself") & (F.col("own") == F.col("piece"))).alias("same"))
+    pieces, sizes = _pieces(vocabulary)
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("step"), *[F.lit(d).alias(c) for c, d in zip(BLOCK, step)]) for i, step in enumerate(STEPS)]))
+    here, there = [F.col(f"s.{c}") for c in BLOCK], [F.col(c) for c in BLOCK]
+    key = [*BLOCK, "step", "left bucket", "right bucket"]
+    # a left piece goes to the block one step on, once for every bucket of that block; a right
+    # one stays, once for every bucket of the block one step back
+    left = pieces.select("*", steps.alias("s")).select(
+        *[(a + b).alias(c) for a, b, c in zip(here, there, BLOCK)], "s.step", F.col("piece").alias("own"), F.col("words").alias("left"))
+    left = left.join(sizes, BLOCK).withColumn("left bucket", F.floor(F.col("own") / TOGETHER).cast("int")).withColumn("right bucket", _buckets("pieces"))
+    back = sizes.select("pieces", F.struct(*BLOCK).alias("from"), steps.alias("s")).select(
+        *[(F.col(f"s.{c}") + F.col(f"from.{c}")).alias(c) for c in BLOCK], "s.step", "pieces")
+    right = pieces.withColumnRenamed("words", "right").join(back, BLOCK)
+    right = right.withColumn("right bucket", F.floor(F.col("piece") / TOGETHER).cast("int")).withColumn("left bucket", _buckets("pieces"))
+    # work follows the number of pieces, not their bytes
+    parts = pieces.count() // SHARE + 1
+    left = left.select(*key, "own", "left").repartition(parts, *key)
+    met = left.join(right.select(*key, "piece", "right").repartition(parts, *key), key)
+    itself = F.col("step") == 0
+    met = met.where(~itself | (F.col("own") <= F.col("piece"))).select("left", "right", (itself & (F.col("own") == F.col("piece"))).alias("same"))
 
     def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

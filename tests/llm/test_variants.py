@@ -87,6 +87,7 @@ def test_pieces_change_nothing(spark, texts, monkeypatch):
         monkeypatch.setattr(variants, "WORDS", words)
         monkeypatch.setattr(variants, "CHARACTERS", characters)
         monkeypatch.setattr(variants, "COMPARED", compared)
+        monkeypatch.setattr(variants, "TOGETHER", 2)
         assert found(spark.createDataFrame(texts, "doc_id bigint, text string")) == expected
 
 
@@ -126,7 +127,7 @@ def test_blocks_one_edit_apart_are_neighbours():
     letters = "abcde"  # all classes
 
     def block(word):
-        return (len(word), *(sum(c in chosen for c in word) for chosen in variants.CLASSES))
+        return (len(word), *(sum(ord(c) % variants.CLASSES == r for c in word) for r in range(variants.CLASSES - 1)))
 
     steps = set(variants.STEPS) | {tuple(-x for x in s) for s in variants.STEPS}
     rng = random.Random(1)
