@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..session import materialise, read_parquet, small_frame
 from . import rans
+from .bpe import _alphabet
 from .common import Memo, worker_store
 
 #: The id after every document.
@@ -27,11 +29,16 @@ FRAME, FRAMES = 1 << 20, 16
 MAGIC, AFTER = b"LSV1", "\nend of frame\n"
 #: Distinct units whose ids a worker remembers, of at most so many characters.
 REMEMBERED, UNIT = 200_000, 64
+#: The marks between a Latin letter and a space: a piece of its own, if none is an apostrophe.
+MARKS = r"[!-&(-/:-@\[-`{-~]"
+LAST_MARKS = re.compile(rf"{MARKS}(?<=[a-zà-öø-ÿ].){MARKS}*(?=[ \n]|\Z)")
 
 # magic, length of the whole, crc of the table, part, frame, documents, ids, length and crc of the index
 _HEAD = "<4sQIQQIQII"
 HEAD_BYTES = struct.calcsize(_HEAD)
 ORDER = "_order"
+#: The printable character that stands for each byte in a vocabulary file.
+BYTES = {byte: sign for sign, byte in _alphabet().items() if byte > 127}
 
 
 class Vocabulary:
@@ -48,10 +55,22 @@ class Vocabulary:
         self.tokenizer.no_padding()
         self.apart = drops_white_space(self.tokenizer)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
-        self.known = Memo(self._ids, REMEMBERED)
-
-    def _ids(self, unit: str) -> bytes:
-        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, self.kind).tobytes()
+        self.known, self.runs = Memo(self._ids, REMEMBERED), None
+        if self.apart and runs_of_letters(self.tokenizer):
+            self.runs = Memo(self._run, REMEMBERED)
+            self.spelt = [np.array([i], self.kind).tobytes() for i in range(self.tokenizer.get_vocab_size(True))]
+            self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
+            self.model = self.tokenizer.model
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _run(self, unit: str) -> bytes:
+        """A run of lower Latin letters goes to the library's model without the steps before it."""
+        if not unit.isalpha():
+            return self._ids(unit)
+        spelt = unit if unit.isascii() else unit.encode().decode("latin-1").translate(BYTES)
+        return b"".join([self.spelt[token.id] for token in self.model.tokenize(spelt)])
 
     def encode(self, text: str | None, end: int | None) -> bytes:
         """The ids of a whole text, and ``end`` after them unless it is None, in ``kind``."""
@@ -60,10 +79,23 @@ class Vocabulary:
             return last
         if not self.apart:
             return self._ids(text) + last
+        known = self.known
+        if self.runs is not None and is_latin(text):
+            lower = text.lower()
+            if not any(content in lower for content in self.added):
+                known, text = self.runs, LAST_MARKS.sub(r" \g<0>", lower)
         units = text.replace("\n", " ").split(" ")
         if len(text) <= UNIT * len(units):
-            return b"".join(map(self.known.__getitem__, units)) + last
-        return b"".join([self.known[unit] if len(unit) <= UNIT else self._ids(unit) for unit in units]) + last
+            return b"".join(map(known.__getitem__, units)) + last
+        return b"".join([known[unit] if len(unit) <= UNIT else known.make(unit) for unit in units]) + last
+
+
+def is_latin(text: str) -> bool:
+    """Whether all characters are those of Latin-1, which combine with none and are lowered one by one."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
 def drops_white_space(tokenizer) -> bool:
@@ -85,6 +117,22 @@ def drops_white_space(tokenizer) -> bool:
     return plain and " " not in pattern and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in added)
 
 
+def runs_of_letters(tokenizer) -> bool:
+    """Whether a run of letters between spaces, and one of marks after it, are pieces of their own.
+
+    Given ``drops_white_space``, this is so if letters are lowered, a class of the pattern
+    takes all letters, another all else, and bytes then go to the model without more ado.
+    """
+    found = json.loads(tokenizer.to_str())
+    steps = (found.get("normalizer") or {}).get("normalizers", [])
+    cut = found["pre_tokenizer"].get("pretokenizers", [])
+    if "Lowercase" not in [step["type"] for step in steps] or len(cut) != 2 or found["model"].get("type") != "BPE":
+        return False
+    classes = [part for part in cut[0]["pattern"]["Regex"].split("|") if not part.startswith("'")]
+    plain = cut[1]["type"] == "ByteLevel" and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"]
+    return plain and classes[:1] == [r"[\p{L}]+"] and classes[-1:] == [r"[^\s\p{L}\p{N}]+"]
+
+
 def encode(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int | None = END) -> DataFrame:
     """``(doc_id, ids)`` of every row; ``ids`` are those of the whole text as 16 or 32 bits each.
 

@@ -78,9 +78,11 @@ def test_ids_are_those_of_the_library(path, library):
         words = token_files.Vocabulary(file.read())
     assert words.apart
     rng = random.Random(3)
-    signs = "abcABC  \n\t.,'!?0123éÉ́ßİΣς王あ🙂  \u0085\x1c\x00|<>_-’"
+    signs = "abcABCÀÿªµ;:  \n\t.,'!?0123éÉ́ßİΣς王あ🙂  \u0085\x1c\x00|<>_-’"
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
-    texts += ["", " ", "it's WE'LL they'd", "a<|endoftext|>b <|startoftext|> <|end oftext|>", "x" * 5000, "e\ńe ́", "ab " * 3000 + "y" * 300]
+    letters = [*map(chr, range(0xC0, 0x100)), *"abcdeABCDEªµº"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) + rng.choice(["", ".", "!?", ",;", "'s", "."]) for _ in range(2000)]
+    texts += ["", " ", "it's WE'LL they'd", "a<|endoftext|>b <|startoftext|> <|end oftext|>", "a<|ENDOFTEXT|> b<|endoftext|", "so... (he said), \"no\"?! it's. x'. n't", "x" * 5000, "e\ńe ́", "ab " * 3000 + "y" * 300]
     for text in texts:
         assert np.frombuffer(words.encode(text, 2), words.kind).tolist() == library.encode(text, add_special_tokens=False).ids + [2], text
     assert words.encode(None, 2) == words.encode("", 2) == np.array([2], words.kind).tobytes()
