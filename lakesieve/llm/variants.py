@@ -158,6 +158,7 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     left = left.join(sizes, BLOCK).withColumn("left bucket", F.floor(F.col("own") / TOGETHER).cast("int")).withColumn("right bucket", _buckets("pieces"))
     back = sizes.select("pieces", F.struct(*BLOCK).alias("from"), steps.alias("s")).select(
         *[(F.col(f"s.{c}") + F.col(f"from.{c}")).alias(c) for c in BLOCK], "s.step", "pieces")
+    back = materialise(back, "blocks-back")  # many times its source, so that its size is known
     right = pieces.withColumnRenamed("words", "right").join(back, BLOCK)
     right = right.withColumn("right bucket", F.floor(F.col("piece") / TOGETHER).cast("int")).withColumn("left bucket", _buckets("pieces"))
     # work follows the number of pieces, not their bytes
