@@ -47,6 +47,8 @@ class Stage:
 
     ``since`` limits an incremental source to newer rows; :data:`LATEST` means newer
     than the newest key the target table holds.
+
+    ``profile`` names loaded columns of which every run keeps sketches in its history.
     """
 
     name: str
@@ -60,6 +62,7 @@ class Stage:
     order_by: Sequence[str] = ()
     since: Any = None
     target: Mapping[str, Any] | None = None
+    profile: Sequence[str] = ()
 
     def __post_init__(self) -> None:
         if self.load_strategy not in ("full", "incremental"):
@@ -250,6 +253,8 @@ def _run_stage(spark, stage, places, pipeline, run_id, started, full_refresh, si
     loaded = load(spark, df.drop(ROW), stage, places, strategy, f"{run_id}/{stage.name}")
     extracted = report.row_count if report else data.count()
 
+    if history and stage.profile:
+        noted(history.record_profiles, run_id, stage.name, df, stage.profile, started)
     if history:
         notes.update(schema.result() or {})
         named = stage.source if isinstance(stage.source, Source) else Source("dataframe", "dataframe")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.validate import compile_row_rules
-from ..plans import alerts, history, monitor
+from ..plans import alerts, history, monitor, profiles
 from .base import query, table
 from .functions import EVENT_ALERTS, SEVERITY, event_alerts
 from .quality import LINE_RULES
@@ -469,3 +469,27 @@ def failure_reach(spark, sf):
     stages = spark.sql(STAGE_ORDERS.replace("from orders", "from {orders}"), orders=table(spark, sf, "orders"))
     dependencies = stages.select("run_id", "stage_name", F.array_compact(F.array("one", "two")).alias("depends_on"))
     return monitor.failure_reach(stages, dependencies)
+
+
+@query("""
+    select strftime(o_orderdate, '%Y-%m') as month, cast(count(*) as bigint) as row_count,
+      cast(count(*) - count(o_totalprice) as bigint) as missing,
+      cast(min(o_totalprice) as double) as least, cast(max(o_totalprice) as double) as most,
+      true as quantiles_hold, true as distinct_holds
+    from orders group by 1
+""")
+def profile_trend(spark, sf):
+    """Sketches of every day, merged by month, and whether they keep to their stated errors."""
+    orders = table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    days = profiles.profile(orders, ["o_totalprice"], ["month", "o_orderdate"])
+    found = profiles.estimates(profiles.merged(days, ["month"]), (0.25, 0.5, 0.75))
+    value, quantile = F.col("o_totalprice").cast("double"), F.col("quantiles")
+    shares = [(F.avg((value <= quantile[i]).cast("int")), p) for i, p in enumerate((0.25, 0.5, 0.75))]
+    # the stated errors are passed in one case of a hundred, three times as much practically never
+    within = [F.abs(share - p) <= 3 * profiles.RANK_ERROR + F.try_divide(F.lit(1), F.count("o_totalprice")) for share, p in shares]
+    known = F.count_distinct("o_totalprice")
+    exact = orders.join(found.select("month", "quantiles", "distinct_values"), "month").groupBy("month").agg(
+        (within[0] & within[1] & within[2]).alias("quantiles_hold"),
+        (F.abs(F.max("distinct_values") - known) <= 6 * profiles.DISTINCT_ERROR * known + 1).alias("distinct_holds"),
+    )
+    return found.select("month", "row_count", "missing", "least", "most").join(exact, "month")
