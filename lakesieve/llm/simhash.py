@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -16,15 +19,8 @@ SEED = 42
 BITS = 3
 BYTES = 8
 
-#: The fourteen sets of four byte positions whose numbers cancel under exclusive or.
-#: Any five of the eight positions contain exactly one of them.
-QUADS = [
-    (a, b, c, a ^ b ^ c)
-    for a in range(BYTES)
-    for b in range(a + 1, BYTES)
-    for c in range(b + 1, BYTES)
-    if a ^ b ^ c > c
-]
+#: All sets of five of the eight byte positions.
+FIVES = list(combinations(range(BYTES), 5))
 
 
 def _fingerprint(text: str | None, words: int, seed: int) -> int:
@@ -69,10 +65,10 @@ def _byte(column: str, position: int) -> F.Column:
     return F.shiftrightunsigned(F.col(column), 8 * position).bitwiseAND(F.lit(255))
 
 
-def _posting(quad: tuple[int, ...]) -> F.Column:
+def _posting(five: tuple[int, ...]) -> F.Column:
     """The number of a set of positions, and the bytes found there, in one integer."""
-    key = F.lit(QUADS.index(quad)).cast("bigint")
-    for position in quad:
+    key = F.lit(FIVES.index(five)).cast("bigint")
+    for position in five:
         key = F.shiftleft(key, 8).bitwiseOR(_byte("fp", position))
     return key
 
@@ -81,12 +77,13 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """Pairs ``a < b`` of the distinct fingerprints ``fp`` at most ``bits`` bits apart.
 
     Fingerprints that differ in ``bits`` bits agree in at least ``8 - bits`` of their
-    eight positional bytes; for three bits, in five. A posting of the index names four
-    positions and the bytes there, and five positions always contain one of the fourteen
-    sets posted, so every pair wanted meets. Pairs that meet are tallied: those with
-    fewer positional bytes in common than guaranteed go, the rest are verified by
-    counting differing bits. Single-byte postings would hold 1/256 of all fingerprints
-    each; these hold about one in four thousand million.
+    eight positional bytes; for three bits, in five. A posting of the index names five
+    positions and the bytes there, so every pair wanted meets, and no pair that shares
+    fewer positional bytes than guaranteed does: near copies of one template, which often
+    share four, make no candidates by that alone. The postings a pair shares are tallied: ``k``
+    equal bytes give as many as there are sets of five among them. Pairs with too few go, the
+    rest are verified by counting differing bits. Single-byte postings would hold 1/256 of all fingerprints each; these
+    hold about one in a million million.
 
     Every fingerprint occurs once, however many documents share it, and at most 128
     fingerprints can all lie within three bits of each other, so no group of copies
@@ -94,18 +91,13 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """
     if not 0 <= bits <= 3:
         raise ValueError("the index finds fingerprints up to three bits apart")
-    postings = distinct.select("fp", F.explode(F.array(*map(_posting, QUADS))).alias("key"))
+    postings = distinct.select("fp", F.explode(F.array(*map(_posting, FIVES))).alias("key"))
     differ = F.col("a").bitwiseXOR(F.col("b"))
-    shared = sum(
-        (F.shiftrightunsigned(differ, 8 * i).bitwiseAND(F.lit(255)) == 0).cast("int") for i in range(BYTES)
-    )
-    return (
-        postings.withColumnRenamed("fp", "a")
-        .join(postings.withColumnRenamed("fp", "b"), "key")
-        .where((F.col("a") < F.col("b")) & (shared >= BYTES - bits) & (F.bit_count(differ) <= bits))
-        .select("a", "b")
-        .distinct()
-    )
+    met = postings.withColumnRenamed("fp", "a").join(postings.withColumnRenamed("fp", "b"), "key").where("a < b")
+    tallied = met.groupBy("a", "b").agg(F.count("*").alias("sets"))
+    # as many sets as the bytes that are guaranteed to be equal have among them
+    enough = tallied.where(F.col("sets") >= comb(BYTES - bits, len(FIVES[0])))
+    return enough.where(F.bit_count(differ) <= bits).select("a", "b")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
