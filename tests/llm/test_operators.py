@@ -70,9 +70,19 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_any_five_positions_hold_one_quad():
-    for five in itertools.combinations(range(8), 5):
-        assert sum(set(quad) <= set(five) for quad in simhash.QUADS) == 1
+def test_four_equal_bytes_make_few_candidates(frame):
+    """Fingerprints of one template: four bytes of all are equal, and a few are near."""
+    rng = random.Random(5)
+    prints = sorted({0x1234ABCD00000000 | rng.getrandbits(32) for _ in range(2000)})
+    prints += [p ^ 1 << rng.randrange(32) for p in prints[:20]]
+    prints = sorted(set(prints))
+    wanted = {(a, b) for a, b in itertools.combinations(prints, 2) if (a ^ b).bit_count() <= 3}
+    df = frame("fp bigint", *[(p,) for p in prints])
+    assert {(r.a, r.b) for r in simhash.fingerprint_links(df).collect()} == wanted
+    posted = df.select(F.explode(F.array(*map(simhash._posting, simhash.FIVES))).alias("key"))
+    pairs = posted.groupBy("key").count().selectExpr("sum(count * (count - 1) div 2) as n").first()["n"]
+    # all pairs are 2.0 million, and met as often by keys of four bytes
+    assert len(wanted) >= 20 and pairs < 2_040_000 / 50
 
 
 def test_simhash_against_all_pairs(docs):
@@ -603,6 +613,16 @@ def test_many_buckets_number_alike(frame, monkeypatch):
     assert {r.doc_id: (r.shard, r.slot) for r in sharding.interleave(rows).collect()} == few
 
 
+def test_one_null_id_and_sources_of_one_row_are_cut_like_others(frame, monkeypatch):
+    """600 rows share a hash, 500 sources of one row a place: cut along the tie, they are numbered alike."""
+    rows = [(None if i % 3 else i, f"t{i}", None, "ab"[i % 2] if i < 400 else f"s{i}", i) for i in range(900)]
+    df = frame(DOCS, *rows)
+    few = {r.text: (r.shard, r.slot) for r in sharding.interleave(df).collect()}
+    assert len(few) == 900
+    monkeypatch.setattr(sharding, "ROWS_TOGETHER", 8)
+    assert {r.text: (r.shard, r.slot) for r in sharding.interleave(df).collect()} == few
+
+
 def test_sharding_odd_rows(odd):
     found = sharding.interleave(odd)
     assert sorted(found.columns) == sorted({*odd.columns, "slot"})
