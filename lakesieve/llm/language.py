@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import in_fold, pieces
+from .common import in_fold
 
 #: Lengths of the n-grams; a blank stands before and after each word.
 NGRAMS = (1, 2, 3)
@@ -29,20 +29,30 @@ UNKNOWN = "und"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _grams(text: str) -> np.ndarray:
-    """A number for every n-gram of a text: of its letters in lower case, and blanks."""
-    lowered = "".join([c if c.isalpha() else " " for c in f" {text} ".lower()]) if not text.isascii() else None
-    if lowered is None:
-        points = np.frombuffer(f" {text} ".lower().encode(), np.uint8)
-        points = np.where((points >= 97) & (points <= 122), points, 32).astype(np.uint32)
-    else:
-        points = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
+def _letters(text: str) -> np.ndarray:
+    """The code points of a text's letters in lower case; one blank for all between them, and at its ends."""
+    lowered = f" {text} ".lower()
+    parts = []
+    for start in range(0, len(lowered), BLOCK):
+        part = lowered[start : start + BLOCK]
+        if part.isascii():
+            points = np.frombuffer(part.encode(), np.uint8)
+            parts.append(np.where((points >= 97) & (points <= 122), points, 32).astype(np.uint32))
+        else:
+            letters = "".join([c if c.isalpha() else " " for c in part])
+            parts.append(np.frombuffer(letters.encode("utf-32-le", "surrogatepass"), np.uint32))
+    points = np.concatenate(parts)
     blank = points == 32
-    kept = ~(blank & np.concatenate([[False], blank[:-1]]))
-    points, blank = points[kept].astype(np.uint64), blank[kept]
+    return points[~(blank & np.concatenate([[False], blank[:-1]]))]
+
+
+def _grams(points: np.ndarray, starts: int) -> np.ndarray:
+    """A number for every n-gram that begins at one of the first ``starts`` points."""
+    blank = points == 32
+    points = points.astype(np.uint64)
     found = []
     for n in NGRAMS:
-        width = len(points) - n + 1
+        width = min(len(points) - n + 1, starts)
         if width < 1:
             continue
         gram = np.full(width, np.uint64(n))
@@ -54,17 +64,22 @@ def _grams(text: str) -> np.ndarray:
 
 
 def _counted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of a text and how often each occurs, whatever its length."""
+    """The distinct n-grams of a text and how often each occurs, whatever its length.
+
+    Blocks of a long text overlap by what its longest n-grams need, so that every n-gram is
+    counted where it begins, and cuts change nothing.
+    """
     grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for group in pieces([text], BLOCK):
-        for _, piece in group:
-            new, often = np.unique(_grams(piece), return_counts=True)
-            if len(grams):
-                both = np.concatenate([grams, new])
-                grams, at = np.unique(both, return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, often]), len(grams)).astype(np.int64)
-            else:
-                grams, counts = new, often
+    points = _letters(text or "")
+    for start in range(0, len(points), BLOCK):
+        block = points[start : start + BLOCK + max(NGRAMS) - 1]
+        new, often = np.unique(_grams(block, BLOCK), return_counts=True)
+        if len(grams):
+            both = np.concatenate([grams, new])
+            grams, at = np.unique(both, return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, often]), len(grams)).astype(np.int64)
+        else:
+            grams, counts = new, often
     return grams, counts
 
 

@@ -484,6 +484,17 @@ def test_quality_on_odd_rows(odd, frame):
 # --- language
 
 
+@pytest.mark.parametrize("block", [1, 2, 5, 64])
+def test_blocks_change_no_n_gram(monkeypatch, block):
+    rng = random.Random(13)
+    texts = ["", "a", "a b", "".join(rng.choices("天地玄黄宇宙", k=300)), prose(rng, 80), "x" * 99, "Été, 12 été! ΣΑΣ"]
+    whole = [language._counted(t) for t in texts]
+    monkeypatch.setattr(language, "BLOCK", block)
+    for text, (grams, counts) in zip(texts, whole):
+        found, often = language._counted(text)
+        assert (found == grams).all() and (often == counts).all()
+
+
 def test_ranks_against_a_plain_count():
     text = "Die Straße, die DIE Straße!"
     grams, counts = language._counted(text)
