@@ -19,7 +19,11 @@ TITLES = {
 _WORD = r"[\p{L}\p{N}]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _GAP = r"[^\p{L}\p{N}\n,;:/]{0,6}"
-_NAME = r"\p{Lu}[\p{L}'’\-]+(?: \p{Lu}[\p{L}'’\-]+){0,2}"
+#: Up to three capitalised words; in scripts without capitals one word, short where words are not spaced.
+_NAME = (
+    r"(?:\p{Lu}[\p{L}'’\-]+(?: \p{Lu}[\p{L}'’\-]+){0,2}"
+    rf"|[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\p{{IsHangul}}]{{2,4}}(?!{_WORD})|[\p{{IsArabic}}\p{{IsHebrew}}]{{2,24}}(?!{_WORD}))"
+)
 _TITLE = "(?:%s)" % "|".join(sorted(sum(TITLES.values(), []), key=len, reverse=True))
 
 #: What is looked for, first match first. No part can begin inside a word, and every
@@ -36,6 +40,16 @@ PATTERNS = [
     rf"(?<!{_WORD})(?i:{_TITLE})\.? {_NAME}",
 ]
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS)
+#: What may be one of these again: ten digits, and words that a name may be, with what hangs on
+#: them by dashes or apostrophes. Neither begins what the patterns above would find later.
+_NO_MAIL = r"(?![\p{L}\p{N}._%+\-'’]{0,64}@)"
+NUMBER = rf"(?<!{_WORD})\d{{3}}[\-. ]?\d{{3}}[\-. ]?\d{{4}}(?!{_WORD})(?![ \-.]?\d){_NO_MAIL}"
+ALONE = (
+    rf"(?<!{_WORD})[\p{{Lu}}\p{{Lo}}](?=[\p{{L}}'’])\p{{L}}*+(?:['’\-]{{1,3}}(?!(?i:{_TITLE})\.? )\p{{L}}++){{0,7}}(?!\p{{N}}){_NO_MAIL}"
+)
+#: Whether a text holds a name after a title, and what is read out of texts without and with one.
+TITLED = PATTERNS[-1]
+WITHOUT, WITH = f"{PATTERN}|(?:{NUMBER})", f"{PATTERN}|(?:{NUMBER})|(?:{ALONE})"
 #: What may follow a name in its match and is none of it: a possessive, quotes and dashes.
 SUFFIX = r"(?:['’][sS])?['’\-]*$"
 #: A quick look: texts without any of these hold none of the above.
@@ -74,12 +88,6 @@ ENDINGS = {
 PATIENCE = 12
 
 
-def find(text: Column) -> Column:
-    """Everything in a text that is to be replaced, in order."""
-    hits = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-    return F.when(text.rlike(HINT), hits).otherwise(F.array().cast("array<string>"))
-
-
 def _kind(value: Column) -> Column:
     digits = F.length(F.regexp_replace(value, r"\D", ""))
     return (
@@ -87,9 +95,10 @@ def _kind(value: Column) -> Column:
         .when(value.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), "ip")
         .when(value.rlike(r"^([0-9a-f]{32,128}|[0-9A-F]{32,128})$"), "secret")
         .when(value.rlike(r"^\p{L}.* "), "name")
-        .when(value.rlike(r"^\p{L}"), "mention")
+        .when(value.rlike(r"^\p{L}"), "alone")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when((digits >= 13) & ~value.startswith("+"), "card")
+        .when(value.rlike(r"^\d") & ~value.rlike(r"^\d{3}[-.]\d{3}[-.]\d{4}$"), "number")
         .otherwise("phone")
     )
 
@@ -107,38 +116,12 @@ def _stem(word: Column) -> Column:
     return F.regexp_replace(word, SUFFIX, "")
 
 
-def _bearers(values: Column) -> Column:
-    """``(word, kind)`` of every name that the matches of a text hold after a title."""
-
-    def named(value: Column) -> Column:
-        words = F.split(value, " ")
-        names = F.slice(words, 2, F.size(words) - 1)
-        return F.transform(
-            names, lambda w, i: F.struct(_stem(w).alias("word"), F.when(i == F.size(names) - 1, "family").otherwise("given").alias("kind"))
-        )
-
-    return F.array_distinct(F.flatten(F.transform(F.filter(values, lambda v: _kind(v) == "name"), named)))
-
-
-def _pattern(bearers: Column) -> Column:
-    """What is replaced in a text with such names: also the names alone, as written, capitalised or in capitals.
-
-    Names hold letters, apostrophes and dashes only, so they stand for themselves in a pattern.
-    """
-    spelt = F.flatten(F.transform(bearers, lambda b: F.array(b["word"], F.initcap(b["word"]), F.upper(b["word"]))))
-    # the longest first, so that no name is taken for a part of another
-    longest = F.array_sort(F.transform(F.array_distinct(spelt), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-    alone = F.array_join(F.transform(longest, lambda w: w["w"]), "|")
-    return F.concat(F.lit(f"{PATTERN}|(?<!{_WORD})(?:"), alone, F.lit(f")(?!{_WORD})"))
-
-
-def _parts(value: Column, kind: Column, bearers: Column) -> Column:
+def _parts(value: Column, kind: Column) -> Column:
     """What of a match is one entity each: the names after a title, or the whole.
 
     An entity is named without its format: digits alone, letters in lower case, a phone
     number of ten digits with the country code it leaves out. The last name is the
-    family's, so it is the same for all who bear it. A name alone is the given name or the
-    family name that the text has it as; the given name, if both.
+    family's, so it is the same for all who bear it.
     """
     words = F.split(value, " ")
     names = F.slice(words, 2, F.size(words) - 1)
@@ -146,6 +129,7 @@ def _parts(value: Column, kind: Column, bearers: Column) -> Column:
     named = F.transform(
         names,
         lambda w, i: F.struct(
+            i.alias("part"),
             F.when(i == F.size(names) - 1, "family").otherwise("given").alias("kind"),
             F.lower(_stem(w)).alias("canon"),
             F.when(i == F.size(names) - 1, F.lit(None)).otherwise(gender).alias("gender"),
@@ -154,17 +138,30 @@ def _parts(value: Column, kind: Column, bearers: Column) -> Column:
     canon = (
         F.when(kind == "email", F.lower(value))
         .when(kind.isin("ip", "secret"), value)
-        .when(kind == "mention", F.lower(value))
         .when(value.startswith("+"), F.concat(F.lit("+"), F.regexp_replace(value, r"\D", "")))
         .when(kind == "phone", F.concat(F.lit("+1"), F.regexp_replace(value, r"\D", "")))
         .otherwise(F.regexp_replace(value, r"\D", ""))
     )
-    given = F.exists(bearers, lambda b: (F.lower(b["word"]) == F.lower(value)) & (b["kind"] == "given"))
-    kind = F.when(kind != "mention", kind).when(given, "given").otherwise("family")
-    whole = F.array(F.struct(kind.alias("kind"), canon.alias("canon"), F.lit(None).cast("string").alias("gender")))
+    whole = F.array(F.struct(F.lit(0).alias("part"), kind.alias("kind"), canon.alias("canon"), F.lit(None).cast("string").alias("gender")))
     return F.when(kind == "name", named).otherwise(whole)
 
 
+def _pieces(word: Column) -> Column:
+    """A word cut before and after every dash and apostrophe, these included."""
+    return F.split(word, r"(?<=['’\-])|(?=['’\-])")
+
+
+def _guesses(value: Column, kind: Column) -> Column:
+    """``(part, canon)`` of the entities that a number or word alone may be: the whole is part 0, then its pieces."""
+    digits = F.concat(F.lit("+1"), F.regexp_replace(value, r"\D", ""))
+    canon = F.when(kind == "number", digits).otherwise(F.lower(_stem(value)))
+    whole = F.array(F.struct(F.lit(0).alias("part"), canon.alias("canon")))
+    pieces = F.transform(_pieces(value), lambda p, i: F.struct((i + 1).alias("part"), p.alias("canon")))
+    pieces = F.filter(pieces, lambda p: p["canon"].rlike(r"^[\p{Lu}\p{Lo}]\p{L}"))
+    pieces = F.transform(pieces, lambda p: F.struct(p["part"].alias("part"), F.lower(p["canon"]).alias("canon")))
+    return F.when((kind == "alone") & value.rlike("['’\\-]"), F.concat(whole, pieces)).otherwise(whole)
+
+
 def _cased(word: Column, drawn: Column) -> Column:
     stem = _stem(word)
     cased = F.when(F.upper(stem) == stem, F.upper(drawn)).otherwise(F.initcap(drawn))
@@ -252,29 +249,31 @@ def surrogate(kind: Column, canon: Column, gender: Column, key: str, attempt: Co
 def settle(entities: DataFrame, key: str) -> DataFrame:
     """``(kind, canon, surrogate)``: no two entities of a kind share one, none is a real entity.
 
-    Whoever draws a surrogate that is taken, or that occurs in the corpus, draws again; of
+    Given and family names count as one kind here. Whoever draws a surrogate that is taken, or that occurs in the corpus, draws again; of
     several that draw the same the least keeps it. Nothing leaves the executors but the
     number of those still without.
     """
-    pending, settled = materialise(entities.withColumn("attempt", F.lit(0)), "entities"), None
-    real = pending.select("kind", F.col("canon").alias("surrogate"))
+    space = F.when(F.col("kind").isin("given", "family"), "person").otherwise(F.col("kind"))
+    pending, settled = materialise(entities.withColumn("space", space).withColumn("attempt", F.lit(0)), "entities"), None
+    real = pending.select("space", F.col("canon").alias("surrogate"))
+    nobody = pending.limit(0).select("kind", "canon", F.lit("").alias("surrogate"))
     while not pending.isEmpty():
         drawn = pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canon"), F.col("gender"), key, F.col("attempt")))
-        taken = real if settled is None else real.union(settled.select("kind", "surrogate"))
-        free = drawn.join(taken, ["kind", "surrogate"], "left_anti")
-        won = free.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon")).select("kind", "canon", "surrogate")
-        won = materialise(won, "surrogates")
+        taken = real if settled is None else real.union(settled.select("space", "surrogate"))
+        free = drawn.join(taken, ["space", "surrogate"], "left_anti")
+        won = free.groupBy("space", "surrogate").agg(F.min(F.struct("canon", "kind")).alias("w"))
+        won = materialise(won.select("space", "w.kind", "w.canon", "surrogate"), "surrogates")
         settled = won if settled is None else settled.union(won)
-        pending = pending.join(won, ["kind", "canon"], "left_anti").withColumn("attempt", F.col("attempt") + 1)
+        pending = pending.join(won.drop("space", "surrogate"), ["kind", "canon"], "left_anti").withColumn("attempt", F.col("attempt") + 1)
         pending = materialise(pending, "pending")
-    return real.limit(0).select("kind", F.lit("").alias("canon"), "surrogate") if settled is None else settled
+    return nobody if settled is None else settled.drop("space")
 
 
 def _formatted(value: Column, kind: Column, found: Column) -> Column:
     """A match rewritten with its entities' surrogates, in the match's own format."""
     drawn = found[0]["surrogate"]
     # a phone number that leaves out the country code has none in its surrogate
-    single = F.when((kind == "phone") & ~value.startswith("+"), F.regexp_replace(drawn, r"^\+1", "")).otherwise(drawn)
+    single = F.when(kind.isin("phone", "number") & ~value.startswith("+"), F.regexp_replace(drawn, r"^\+1", "")).otherwise(drawn)
     gaps = F.split(value, r"\d", -1)
     digits = F.split(F.regexp_replace(single, r"\D", ""), "")
     last = F.size(gaps) - 1
@@ -287,9 +286,15 @@ def _formatted(value: Column, kind: Column, found: Column) -> Column:
     names = F.transform(found, lambda p, i: _cased(words[i + 1], p["surrogate"]))
     named = F.array_join(F.concat(F.array(words[0]), names), " ")
     mail = F.when(F.upper(value) == value, F.upper(single)).otherwise(single)
+    # a word alone is an entity as a whole, or pieces of it are
+    replaced = F.transform(
+        _pieces(value),
+        lambda p, i: F.coalesce(F.get(F.transform(F.filter(found, lambda f: f["part"] == i + 1), lambda f: _cased(p, f["surrogate"])), F.lit(0)), p),
+    )
+    alone = F.when(found[0]["part"] == 0, _cased(value, single)).otherwise(F.array_join(replaced, ""))
     return (
         F.when(kind == "name", named)
-        .when(kind == "mention", _cased(value, single))
+        .when(kind == "alone", alone)
         .when(kind == "email", mail)
         .when(kind.isin("ip", "secret"), single)
         .otherwise(numbers)
@@ -301,48 +306,51 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Mail addresses, phone, card and social security numbers, addresses of machines,
     secrets in hexadecimal and names after a title are found, and all other places of the
-    same text where one of these names stands alone, as a whole word that is not in lower
-    case. The same entity gets the same surrogate everywhere, in whatever format it is
-    written; different entities get different ones, and none is an entity that occurs in
-    ``df``. A given name takes the gender of the titles it occurs with, and none if those
-    disagree. Names that no title stands before in the text, and names without capitals,
-    are not found.
-
-    Null, empty and clean texts stay as they are. Rows and all other columns are kept; a
-    column ``n_replaced`` is replaced. Work on entities is done once for equal texts, and
-    only texts that hold one are moved.
+    same text where one of these names stands alone, as a whole word with a capital (or of a
+    script that has none), or ten digits, however spaced, are one of these phone numbers. The
+    same entity gets the same surrogate everywhere, in whatever format it is written;
+    different entities get different ones, and none is an entity that occurs in ``df``. A
+    given name takes the gender of the titles it occurs with, and none if those disagree; a
+    name that a text has as given and family name stands for the given name alone. In scripts
+    without capitals the one word after the title is the name, in those without spaces if it
+    has two to four letters. Names that no title stands before in the text, and names in
+    lower case, are not found.
+
+    Null, empty and clean texts stay as they are, and an empty table stays empty. Rows and all
+    other columns are kept; a column ``n_replaced`` is replaced. Work on entities is done once
+    for equal texts; only texts that hold one are moved, and they are read out once. What may
+    be a name is looked up in the text's names by a join, so a text costs what it is long,
+    however many names it has.
     """
     columns = [c for c in df.columns if c != "n_replaced"]
-    body = F.col(f"`{text}`")
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), body.alias("t"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text}`").alias("t"))
     has = F.coalesce(F.col("t").rlike(HINT) & F.col("t").rlike(PATTERN), F.lit(False))
-    hits = rows.where(has).withColumn("of", F.sha2("t", 256))
-    hits = hits.withColumn("values", find(F.col("t"))).withColumn("bearers", _bearers(F.col("values")))
-    named = F.size("bearers") > 0
-    pattern = F.when(named, _pattern(F.col("bearers"))).otherwise(F.lit(PATTERN))
-    values = F.when(named, F.regexp_extract_all("t", pattern, F.lit(0))).otherwise(F.col("values"))
-    found = hits.select("of", "bearers", values.alias("values")).groupBy("of").agg(
-        F.first("values").alias("values"), F.first("bearers").alias("bearers")
-    )
-    found = materialise(found, "found")
-
-    matches = found.select("of", "bearers", F.posexplode("values").alias("at", "value")).withColumn("whole", _kind(F.col("value")))
-    whole = _parts(F.col("value"), F.col("whole"), F.col("bearers"))
-    parts = matches.select("of", "at", "value", "whole", F.posexplode(whole).alias("part", "e"))
-    parts = parts.select("of", "at", "value", "whole", "part", "e.*")
+    hits = rows.where(has).select("row", "t", F.sha2("t", 256).alias("of"), F.col("t").rlike(TITLED).alias("titled"))
+    read = [F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (WITH, WITHOUT)]
+    hits = materialise(hits.withColumn("values", F.when(F.col("titled"), read[0]).otherwise(read[1])), "found")
+
+    found = hits.groupBy("of").agg(F.first("values").alias("values"))
+    matches = found.select("of", F.posexplode("values").alias("at", "value")).withColumn("whole", _kind(F.col("value")))
+    alone = F.col("whole").isin("alone", "number")
+    sure = matches.where(~alone).select("*", F.inline(_parts(F.col("value"), F.col("whole"))))
     least, most = F.min("gender"), F.max("gender")
     known = F.when(least == most, least).when(least.isNotNull(), "u").alias("gender")
-    mapping = settle(parts.groupBy("kind", "canon").agg(known), key)
+    mapping = settle(sure.groupBy("kind", "canon").agg(known), key)
 
-    mapped = parts.drop("gender").join(mapping, ["kind", "canon"])
+    called = sure.where(F.col("kind").isin("given", "family", "phone")).groupBy("of", "canon").agg(F.max("kind").alias("kind"))
+    maybe = matches.where(alone).select("*", F.inline(_guesses(F.col("value"), F.col("whole")))).join(called, ["of", "canon"], "left")
+    order = ["of", "at", "value", "whole", "part", "kind", "canon"]
+    mapped = sure.select(order).union(maybe.select(order)).join(mapping, ["kind", "canon"], "left")
     whole = mapped.groupBy("of", "at", "value", "whole").agg(
-        F.sort_array(F.collect_list(F.struct("part", "surrogate"))).alias("found")
+        F.sort_array(F.collect_list(F.when(F.col("surrogate").isNotNull(), F.struct("part", "surrogate")))).alias("found")
+    )
+    new = F.when(F.size("found") > 0, _formatted(F.col("value"), F.col("whole"), F.col("found"))).otherwise(F.col("value"))
+    written = whole.select("of", "at", new.alias("new"), (F.size("found") > 0).cast("int").alias("n")).groupBy("of").agg(
+        F.sort_array(F.collect_list(F.struct("at", "new"))).alias("new"), F.sum("n").cast("int").alias("n_replaced")
     )
-    written = whole.select("of", "at", _formatted(F.col("value"), F.col("whole"), F.col("found")).alias("new"))
-    written = written.groupBy("of").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("new"))
-    gaps = F.split(F.col("t"), pattern, -1)
+    gaps = F.when(F.col("titled"), F.split("t", WITH, -1)).otherwise(F.split("t", WITHOUT, -1))
     rebuilt = F.array_join(F.zip_with(gaps, F.col("new"), lambda g, n: F.concat(g, F.coalesce(n["new"], F.lit("")))), "")
-    changed = hits.drop("values").join(written, "of").select("row", rebuilt.alias("t"), F.size("new").alias("n_replaced"))
+    changed = hits.drop("values").join(written, "of").select("row", rebuilt.alias("t"), "n_replaced")
     same = rows.where(~has).select("row", "t", F.lit(0).alias("n_replaced"))
     out = [F.col("t").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns]
     return same.union(changed).select(*out, "n_replaced")

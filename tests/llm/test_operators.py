@@ -358,6 +358,72 @@ def test_later_mentions_and_formats_share_surrogates(docs):
     assert len({both, anna, lee, "Anna", "Lee"}) == 5
 
 
+def test_surrogates_against_planted_entities(docs):
+    """Texts are put together from words and entities, so what must change, and to what, is known."""
+    rng = random.Random(21)
+    people = [(rng.choice(["Adam", "Anna", "Jean-Luc", "Mary", "Omar"]), rng.choice(["O'Brien", "Stone", "Lee", "Marlow", "Weiß"])) for _ in range(30)]
+    numbers = [f"{rng.randint(201, 989)}{rng.randint(201, 989)}{rng.randint(1000, 9999)}" for _ in range(25)]
+    formats = ["+1 ({0}) {1}-{2}", "{0}-{1}-{2}", "({0}) {1}-{2}", "{0}.{1}.{2}", "{0}{1}{2}", "{0} {1} {2}", "{0}-{1} {2}"]
+    texts, plans = [], []
+    for _ in range(120):
+        parts, (given, family), number = [], rng.choice(people), rng.choice(numbers)
+        split = number[:3], number[3:6], number[6:]
+        parts += ["Dr ", ("given", given), " ", ("family", family), " has ", ("phone", formats[rng.randint(0, 3)].format(*split))]
+        for _ in range(rng.randint(0, 12)):
+            parts.append(", " + rng.choice(["The", "a", "Stonewall", "1234567", "said", "x3", "Leeds"]) + " ")
+            kind = rng.choice(["given", "family", "phone", "twin", "none"])
+            if kind == "phone":
+                parts.append(("phone", rng.choice(formats).format(*split)))
+            elif kind == "twin":
+                parts += [("family", family), "-", ("given", given)] if "-" not in given and "'" not in family else ["X"]
+            elif kind == "none":
+                parts.append("200 300 4001 5 and 6005004003")  # as long as a phone number, but none of the text's
+            else:
+                name = given if kind == "given" else family
+                parts += [(kind, rng.choice([name, name.upper()]) if "ß" not in name else name), rng.choice(["", "'s", "’s", "-"])]
+        texts.append("".join(p if isinstance(p, str) else p[1] for p in parts) + ".")
+        plans.append(parts)
+    rows = surrogates.pseudonymise(docs(*texts), "key").collect()
+    drawn = {}
+    for r in rows:
+        parts = plans[r.doc_id]
+        groups = re.fullmatch("".join(re.escape(p) if isinstance(p, str) else r"([\w+() .]+?|[\d+() .-]+?)" for p in parts) + r"\.", r.text)
+        entities = [p for p in parts if not isinstance(p, str)]
+        assert groups and r.n_replaced <= len(entities), f"{texts[r.doc_id]}\n{r.text}"
+        for (kind, old), new in zip(entities, groups.groups()):
+            if kind == "phone":
+                assert re.sub(r"\d", "0", old) == re.sub(r"\d", "0", new), (old, new)
+                old, new = (re.sub(r"\D", "", v)[-10:] for v in (old, new))
+            drawn.setdefault((kind, old.lower()), set()).add(new.lower())
+    assert all(len(v) == 1 for v in drawn.values()), drawn
+    assert len({next(iter(v)) for v in drawn.values()}) == len(drawn)
+    assert not {next(iter(v)) for v in drawn.values()} & {old for _, old in drawn}
+
+
+def test_a_long_text_of_many_names(docs):
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)).capitalize() for _ in range(3000)]
+    text = " ".join(f"then Mr {n} spoke and {n}'s friends with {rng.choice(names)} left" for n in names)
+    row = surrogates.pseudonymise(docs(text), "key").first()
+    assert row.n_replaced == 9000
+    left = set(re.findall(r"\w+", row.text))
+    assert left.isdisjoint(names) and len(left) == len(set(names)) + 8
+
+
+def test_names_in_scripts_without_capitals(docs):
+    out = texts_of(surrogates.pseudonymise(docs("Dr 王小明 came, 王小明 left", "Mr אברהם said. אברהם", "Dr 王小明是一个很好的医生"), "key"))
+    one = re.fullmatch(r"Dr (\w{3}) came, \1 left", out[0])
+    assert one and one[1] != "王小明" and re.fullmatch(r"[\u4e00-\u9fff]{3}", one[1])
+    assert re.fullmatch(r"Mr ([\u05d0-\u05ea]{5}) said\. \1", out[1]) and "אברהם" not in out[1]
+    assert out[2] == "Dr 王小明是一个很好的医生"  # where the name ends cannot be told
+
+
+def test_mail_is_found_beside_names(docs):
+    text = "Mr O'Brien wrote: O'Brien-x@mail.example, Smith-Mr Jones, 743 555 3824 1234 5678 9012; call 743-555-3824"
+    row = surrogates.pseudonymise(docs(text), "key").first()
+    assert not re.search("Brien|Jones|3824|x@|9012", row.text) and "Smith-Mr " in row.text
+
+
 # --- toxicity
 
 
