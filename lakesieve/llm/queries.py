@@ -51,7 +51,11 @@ SQL["op1_decontaminate"] = r"""
         select distinct doc_id, text, unnest(case when len(w) >= 5
             then list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
             when len(w) > 0 then [list_aggregate(w, 'string_agg', ' ')] else [] end) as shingle
-        from docs),
+        from docs
+        union
+        select doc_id, text, unnest(list_transform(range(1, len(w) - n + 2),
+            lambda i: list_aggregate(w[i:i+n-1], 'string_agg', ' '))) as shingle
+        from docs join (select distinct len(w) as n from items where len(w) between 1 and 4) on len(w) >= n),
     asked as (
         select distinct item_id, text, unnest(case when len(w) >= 5
             then list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
