@@ -40,6 +40,9 @@ READER = frozenset("you your yours yourself u ur du dich dir dein deine sie ihr
 OPENING, CLOSING = "\"“„«‘‹", "\"”“»’›"
 
 WORD = re.compile(r"[^\W\d_]+")
+#: A word, with digits and masking signs between its letters; the same in SQL, for texts in lower case.
+MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$*!]{1,2}[^\W\d_]+)*")
+MASKED_SQL = r"\p{L}+(?:[0-9@$*!]{1,2}\p{L}+)+"
 
 
 def edits(length: int) -> int:
@@ -147,17 +150,29 @@ class Scorer:
             return 0
         return self.lexicon.closest(word) or 0
 
+    def _spans(self, text: str) -> Iterator[tuple[int, int]]:
+        """Where the words of a text lie; one with digits or signs inside is cut there, unless it is near a term."""
+        for found in MASKED.finditer(text):
+            word = found.group()
+            if word.isalpha() or self.known[word]:
+                yield found.span()
+            else:
+                start = found.start()
+                yield from ((start + m.start(), start + m.end()) for m in WORD.finditer(word))
+
     def evidence(self, text: str | None) -> float:
         """The weights of all terms in a text, each scaled by its spelling and its context."""
         if not text:
             return 0.0
         lowered = text.lower()
         known = self.known
-        hits = [i for i, word in enumerate(WORD.findall(lowered)) if known[word]]
-        if not hits:
+        if not any(known[word] for word in WORD.findall(lowered)) and not any(
+            known[word] for word in MASKED.findall(lowered) if not word.isalpha()
+        ):
             return 0.0
+        hits = [i for i, (start, end) in enumerate(self._spans(lowered)) if known[lowered[start:end]]]
         wanted = {j for i in hits for j in range(i - WINDOW, i + WINDOW + 1)}
-        spans = {i: m.span() for i, m in enumerate(WORD.finditer(lowered)) if i in wanted}
+        spans = {i: span for i, span in enumerate(self._spans(lowered)) if i in wanted}
         total = 0.0
         for i in hits:
             start, end = spans[i]
@@ -211,7 +226,9 @@ def fit(
     happens to occur in a few. All of them are taken, which the sample bounds, and ``terms``,
     rarer ones with weights of their own, are added. A term whose look-alikes at some
     distance occur in harmless documents as well is matched at smaller distances only, and
-    single look-alikes of harmless documents are remembered as harmless. Equal texts teach once. Labels other than 0 and 1,
+    single look-alikes of harmless documents are remembered as harmless. A word with one or two
+    digits or masking signs between its letters is one word too, each text that holds it being
+    one surrounding. Equal texts teach once. Labels other than 0 and 1,
     and ids without a document, teach nothing; of an id labelled twice the larger label
     counts, of an id with several texts the least.
     """
@@ -220,13 +237,16 @@ def fit(
     texts = texts.join(sample, "id").groupBy("id", "y").agg(F.min("text").alias("text"))
     texts = texts.groupBy("text").agg(F.max("y").alias("y"))
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
-    grown = texts.select("y", F.concat(F.array(F.lit("")), words, F.array(F.lit(""))).alias("w"))
+    grown = texts.select("y", "text", F.concat(F.array(F.lit("")), words, F.array(F.lit(""))).alias("w"))
     at = F.sequence(F.lit(1), F.size("w") - 2)
-    grown = grown.where(F.size("w") > 2).select(
-        "y", F.explode(F.transform(at, lambda i: F.struct(
-            F.get("w", i).alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("around")
-        ))).alias("e")
-    ).select("e.*", "y")
+    around = F.transform(at, lambda i: F.struct(
+        F.get("w", i).alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("around")
+    ))
+    # a word with digits or signs inside is also one word, in the surroundings of its text
+    masked = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(MASKED_SQL), F.lit(0)), lambda w: F.struct(
+        w.alias("word"), F.xxhash64("text").alias("around")
+    ))
+    grown = grown.where(F.size("w") > 2).select("y", F.explode(F.concat(around, masked)).alias("e")).select("e.*", "y")
     around = grown.groupBy("word", "around").agg(F.max("y").alias("toxic"), F.min("y").alias("both"))
     seen = around.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("both")).alias("good"))
     toxic = texts.where("y = 1").count()
@@ -288,7 +308,9 @@ def _logistic(points: list) -> tuple[float, float]:
 def score(df: DataFrame, model: ToxicityModel, text: str = "text", column: str = "score") -> DataFrame:
     """``df`` with a score from 0 to 1 for its whole text; a column of that name is replaced.
 
-    Texts without a term, empty and null ones have the score of no evidence.
+    A term may be misspelt by digits and masking signs between its letters as well; words
+    merely joined by these count apart. Texts without a term, empty and null ones have the
+    score of no evidence; a text of any length is read whole, an empty table stays empty.
     """
     sent = df.sparkSession.sparkContext.broadcast(model.parts())
     key = ("toxicity", repr(model.parts()[:3]), tuple(sorted(model.harmless)), model.slope, model.offset)

@@ -161,7 +161,8 @@ def test_containment_against_all_pairs(docs, frame):
         texts.append(" ".join(words[:at] + item + words[at:]) if rng.random() < 0.7 else " ".join(item))
     wanted = {}
     for d, t in enumerate(texts):
-        held = plain_shingles(t)
+        tokens = t.lower().split()
+        held = plain_shingles(t) | {tuple(tokens[i : i + n]) for n in range(1, 5) for i in range(len(tokens) - n + 1)}
         for i, item in enumerate(items):
             asked = plain_shingles(item)
             if asked and len(asked & held) / len(asked) >= 0.8:
@@ -173,6 +174,14 @@ def test_containment_against_all_pairs(docs, frame):
     assert ids(clean) == sorted(set(range(len(texts))) - {d for d, _ in wanted})
 
 
+def test_short_items_inside_longer_texts(docs, frame):
+    texts = docs("What is the capital of France, you may ask", "capital of France", "the capital of all France", "Paris!", "in Paris today", "")
+    items = frame("item_id bigint, text string", (1, "Capital of France"), (2, "paris"), (3, "the capital of all France is far away"), (4, "?"))
+    found = decontaminate.contaminated(texts, items).collect()
+    assert {(r.doc_id, r.item_id, r.shared, r.size) for r in found} == {(0, 1, 1, 1), (1, 1, 1, 1), (3, 2, 1, 1), (4, 2, 1, 1)}
+    assert ids(decontaminate.drop_contaminated(texts, items)) == [2, 5]
+
+
 def test_a_shuffle_join_finds_the_same(spark, docs, frame):
     item = "one two three four five six seven"
     frames = docs(f"x {item} y", "nothing"), frame("item_id bigint, text string", (1, item))
@@ -461,6 +470,19 @@ def test_quotation_and_address_change_the_evidence():
     assert scorer.evidence("a patriot walked in") == scorer.evidence("") == scorer.evidence(None) == 0
 
 
+def test_digits_and_signs_inside_words():
+    scorer = toxicity.Scorer(toxicity.ToxicityModel(["moron", "idiot", "garbage"], [1.0, 1.0, 1.0], [1, 1, 1], frozenset(["mor4n"])))
+    spelt = scorer.evidence("such a morxn there")
+    for word in ("mor0n", "m*ron", "m**on", "id1ot", "idi0t", "g@rbage", "garb4ge"):
+        assert scorer.evidence(f"such a {word} there") == spelt * (word != "m**on"), word
+    assert scorer.evidence("such a mor4n there") == 0  # known to be harmless
+    assert scorer.evidence("sent to x@y.example in 4u2c, b2b and w0rd") == 0
+    # where the whole is near no term, its words are looked up as if they stood apart
+    for joined, apart in (("such idiot@home there", "such idiot home there"), ("idiot*moron there", "idiot moron there"), ("an idiot2you", "an idiot you")):
+        assert scorer.evidence(joined) == scorer.evidence(apart) > 0
+    assert scorer.evidence("you m0ron") > scorer.evidence("the m0ron") == spelt
+
+
 @pytest.fixture
 def abused(docs, frame):
     rng = random.Random(8)
