@@ -3,8 +3,10 @@
 import os
 import re
 import zlib
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_operators import plain_fingerprint, plain_shingles
 
 import corpus_pipeline
@@ -98,6 +100,59 @@ def test_ids_are_the_librarys_and_decode_to_the_text(stages):
         assert list(r.ids) == library.encode(r.text, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
 
 
+@pytest.fixture(scope="module")
+def odd_corpus(spark):
+    """The small sample and odd rows, with columns whose names the operators use themselves."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    long = "plain words and more of them " * 8000 + "x" * 50_000
+    rows = [
+        (9001, None), (9002, ""), (9003, " \n"), (9004, long), (9005, "one text of some words, twice"), (9005, "one text of some words, twice"),
+        (None, "one text of some words, twice"), (9006, "write to ann.lee@mail.example, 10.1.2.3"), (9007, f"before it {item} after it"),
+        (None, "nobody has this one"), (None, "nobody has this one"),
+    ]
+    kinds = dict(docs.dtypes)
+    odd = spark.createDataFrame(rows, f"doc_id {kinds['doc_id']}, text string")
+    odd = odd.select(*[odd[c] if c in odd.columns else F.lit(None).cast(kinds[c]).alias(c) for c in docs.columns])
+    both = docs.union(odd)
+    for name in ("score", "n_replaced", "row", "of", "item_id", "ids", "fp", "component_id", "t", "all"):
+        both = both.withColumn(name, F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    return both
+
+
+def test_stages_on_odd_rows(spark, odd_corpus):
+    names = [c for c in odd_corpus.columns if c not in ("text", "n_chars")]
+    given = Counter(odd_corpus.select(*names, "text", "n_chars").collect())
+    stages, after = dict(corpus_pipeline.STAGES), {}
+    for name in list(stages)[:-1]:
+        found = stages[name](spark, odd_corpus, SMALL)
+        assert found.columns == odd_corpus.columns, name
+        after[name] = Counter(found.select(*names, "text", "n_chars").collect())
+        if name != "private_data":
+            assert not after[name] - given, name
+    kept = {name: Counter(r.doc_id for r in rows.elements()) for name, rows in after.items()}
+    empty = [d in kept["quality"] for d in (9001, 9002, 9003)]
+    assert len(set(empty)) == 1 and kept["quality"][9005] in (0, 2)
+    near = kept["near_duplicates"]
+    assert [near[d] for d in (9001, 9002, 9003, 9004, 9005, 9006, 9007, None)] == [1, 0, 0, 1, 1, 1, 1, 1]
+    clean = kept["decontamination"]
+    assert [clean[d] for d in (9001, 9002, 9003, 9004, 9005, 9006, 9007, None)] == [1, 1, 1, 1, 2, 1, 0, 3]
+    private = after["private_data"]
+    assert sum(private.values()) == sum(given.values())
+    changed = [r for r in private - given if r.doc_id is not None and r.doc_id > 9000]
+    assert [r.doc_id for r in changed] == [9006] and changed[0].n_replaced == "n_replaced 9006"
+    assert changed[0].n_chars == len(changed[0].text) and "ann.lee" not in changed[0].text and "10.1.2.3" not in changed[0].text
+    tokens = stages["tokens"](spark, odd_corpus, SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in tokens) == Counter((r.doc_id, r.text or "") for r in given.elements())
+    assert all((r.n_tokens == 0) == (not r.text) for r in tokens)
+
+
+def test_stages_on_an_empty_table(spark, odd_corpus):
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, odd_corpus.limit(0), SMALL)
+        assert found.count() == 0 and (name == "tokens" or found.columns == odd_corpus.columns), name
+
+
 def test_run_is_its_stages(spark, stages):
     whole = corpus_pipeline.run(spark, MIDDLE)
     assert sorted(whole.columns) == sorted(stages["tokens"][1].columns)
