@@ -42,6 +42,7 @@ OPENING, CLOSING = "\"“„«‘‹", "\"”“»’›"
 WORD = re.compile(r"[^\W\d_]+")
 #: A word, with digits and masking signs between its letters; the same in SQL, for texts in lower case.
 MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$*!]{1,2}[^\W\d_]+)*")
+SIGN = re.compile(r"[0-9@$*!]{1,2}[^\W\d_]")
 MASKED_SQL = r"\p{L}+(?:[0-9@$*!]{1,2}\p{L}+)+"
 
 
@@ -166,10 +167,10 @@ class Scorer:
             return 0.0
         lowered = text.lower()
         known = self.known
-        if not any(known[word] for word in WORD.findall(lowered)) and not any(
-            known[word] for word in MASKED.findall(lowered) if not word.isalpha()
-        ):
-            return 0.0
+        if not any(known[word] for word in WORD.findall(lowered)):
+            # most texts hold no sign before a letter, and need no second look
+            if not SIGN.search(lowered) or not any(known[word] for word in MASKED.findall(lowered) if not word.isalpha()):
+                return 0.0
         hits = [i for i, (start, end) in enumerate(self._spans(lowered)) if known[lowered[start:end]]]
         wanted = {j for i in hits for j in range(i - WINDOW, i + WINDOW + 1)}
         spans = {i: span for i, span in enumerate(self._spans(lowered)) if i in wanted}
