@@ -306,7 +306,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", column: str = "decoded")
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``df`` with ``ids``, ``n_tokens`` and ``decoded``: ``encode`` and ``decode`` in one pass."""
+    """``df`` with ``ids``, ``n_tokens`` and ``decoded``: ``encode`` and ``decode`` in one pass.
+
+    Null and empty texts have no ids and decode to the empty text. A text of any length is
+    encoded whole, piece by piece; every row is kept, repeated ones too, and an empty table
+    stays empty. Columns of the three names are replaced, all others kept.
+    """
 
     def both(tokenizer: Tokenizer, value: str | None) -> tuple:
         ids = tokenizer.encode(value)
@@ -319,7 +324,8 @@ def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``df`` with ``n_tokens``, and SHA-256 of the listed ids and of the decoded text.
 
     What ``encode`` and ``decode`` give, without moving the ids of whole texts between
-    processes. Null and empty texts have no ids.
+    processes. Null and empty texts have no ids. Rows, long texts, empty tables and columns
+    of the same names are treated as by ``round_trip``.
     """
     added = {"n_tokens": NUMBER, "ids_sha256": TEXT, "decoded_sha256": TEXT}
     return _with(df, path, text, added, lambda t, value: t.digests(value))

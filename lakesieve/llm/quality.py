@@ -176,7 +176,8 @@ def score(df: DataFrame, model: QualityModel, text: str = "text", column: str =
     """``df`` with the probability of label 1 for its whole text, in a column of that name.
 
     Null and empty texts have no features; their score is that of the bias alone.
-    A column of the same name is replaced.
+    A column of the same name is replaced. A long text is counted in pieces and scored whole;
+    repeated rows are scored one by one, equal texts alike, and an empty table stays empty.
     """
     sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 

@@ -107,7 +107,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     ``component_id`` is the least ``doc_id`` that links lead to, itself included. Texts
     that are empty or null share fingerprint zero and so one component. Null ids are
     kept and name no component unless nothing else does, when it is null; repeated rows
-    are kept. Other columns are not looked at.
+    are kept. Other columns are not looked at. Texts of any length are read whole; an empty
+    table gives no row.
     """
     found = materialise(
         fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"),

@@ -136,7 +136,8 @@ def runs_of_letters(tokenizer) -> bool:
 def encode(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int | None = END) -> DataFrame:
     """``(doc_id, ids)`` of every row; ``ids`` are those of the whole text as 16 or 32 bits each.
 
-    A null text is encoded like the empty one: ``end`` alone.
+    A null text is encoded like the empty one: ``end`` alone. Texts of any length are encoded
+    whole, repeated rows one by one; an empty table gives no row, whatever other columns it has.
     """
     with open(vocabulary, encoding="utf-8") as file:
         definition = file.read()
