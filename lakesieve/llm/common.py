@@ -57,10 +57,10 @@ class Memo(dict):
         return value
 
 
-def pieces(texts: Iterable[str | None], limit: int) -> Iterator[list[tuple[int, str]]]:
-    """Texts by position, cut at white space, in groups of about ``limit`` characters.
+def pieces(texts: Iterable[str | None], limit: int, together: int | None = None) -> Iterator[list[tuple[int, str]]]:
+    """Texts by position, cut at white space, in groups of about ``together`` characters.
 
-    Arrays made from a group are bounded whatever the texts are. A piece after a
+    What is longer than ``limit``, which ``together`` is if it is left out, is cut. Arrays made from a group are bounded whatever the texts are. A piece after a
     cut begins with the white space it was cut at. A run without white space longer
     than ``limit`` is cut where the limit falls.
     """
@@ -80,7 +80,7 @@ def pieces(texts: Iterable[str | None], limit: int) -> Iterator[list[tuple[int,
             start = end
         group.append((at, text[start:] if start else text))
         held += len(text) - start
-        if held >= limit:
+        if held >= (together or limit):
             yield group
             group, held = [], 0
     if group:

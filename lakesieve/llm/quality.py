@@ -25,6 +25,8 @@ NEUTRAL = 20
 TRAIN_ROWS = 3000
 #: Characters that are hashed at once.
 BLOCK = 1 << 19
+#: Characters of short texts worked on together, which bounds a worker's arrays.
+TOGETHER = 1 << 16
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -91,7 +93,7 @@ class QualityModel:
 
     def scores(self, texts: pd.Series) -> pd.Series:
         total, count = np.zeros(len(texts)), np.zeros(len(texts))
-        for group in pieces(texts, BLOCK):
+        for group in pieces(texts, BLOCK, TOGETHER):
             found, owner = _features(group, len(self.weights))
             rows = np.array([at for at, _ in group])
             np.add.at(total, rows, np.bincount(owner, self.weights[found], len(group)))
