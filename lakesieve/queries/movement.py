@@ -52,7 +52,9 @@ def src_json_nested(spark, sf):
         "struct(c_custkey, struct(c_acctbal as balance, c_mktsegment as segment, "
         "struct(c_nationkey as nation) as home) as account) as item",
     )
-    items = customers.groupBy("chunk").agg(F.collect_list("item").alias("items"))
+    # A number that is asked for is kept: by their few bytes, all documents would be one task's files.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    items = customers.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list("item").alias("items"))
     document = F.to_json(F.struct(F.struct("items").alias("result")))
     items.select("chunk", document.alias("value")).write.partitionBy("chunk").text(path)
     return read_json(spark, f"{path}/*", records_path="result.items")

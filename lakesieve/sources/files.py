@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -23,6 +24,11 @@ NULL_TOKENS = [
 
 TEXT = T.StringType()
 
+#: Larger files are not held as one text.
+WHOLE_BYTES = 256 << 20
+#: Compressed files, and how much larger their text is taken to be.
+PACKED, PACKED_TIMES = r"\.(gz|bz2|deflate|lz4|snappy|zst)$", 100
+
 
 def positioned(df: DataFrame) -> DataFrame:
     """Add ``_row``: file, offset of the split in it, and order within the split.
@@ -176,6 +182,28 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*[reach(parts).alias(name) for parts, name in zip(found, names)])
 
 
+def documents_schema(
+    spark: SparkSession, paths: Sequence[str], encoding: str, options: Mapping[str, Any]
+) -> T.StructType | None:
+    """The schema Spark infers from files that hold a document each, found by many tasks.
+
+    Asked for files, Spark packs them into tasks by their bytes alone, so one task opens
+    thousands of small ones in turn. Asked for texts, it infers in the tasks that read them,
+    and these count what opening a file costs. None where the files are left to the reader:
+    one is too large for a text, or they hold no field.
+    """
+    sizes = spark.read.options(**options).format("binaryFile").load(list(paths))
+    # Files are chosen by their listed names and sizes, so no other one is opened.
+    packed = F.when(F.col("_metadata.file_name").rlike(PACKED), PACKED_TIMES).otherwise(1)
+    if not sizes.where(F.col("_metadata.file_size") * packed > WHOLE_BYTES).select("path").isEmpty():
+        return None
+    texts = spark.read.options(**options).text(list(paths), wholetext=True).select("value")
+    as_texts = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = spark.read.options(encoding=encoding, **options)._jreader
+    schema = T.StructType.fromJson(json.loads(reader.json(as_texts).schema().json()))
+    return schema if schema.fields else None
+
+
 def read_json(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -192,11 +220,14 @@ def read_json(
     """
     options = dict(read_options or {})
     lines = bool(options.pop("lines", False))
+    paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.options(multiLine=not lines, encoding=encoding, **options)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        df = reader.json([path] if isinstance(path, str) else list(path))
+        if schema is None and not lines:
+            schema = documents_schema(spark, paths, encoding, options)
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.json(paths)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             raise FileNotFoundError(f"No files matched path: {path}") from exc

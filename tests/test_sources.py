@@ -8,7 +8,7 @@ from conftest import rows_of
 
 from lakesieve import Source, extract, register_source
 from lakesieve.session import ROW
-from lakesieve.sources import READERS, api_pages, extract_rows
+from lakesieve.sources import READERS, api_pages, extract_rows, files
 from lakesieve.sources.files import infer_types, read_csv, read_json
 from lakesieve.sources.jdbc import jdbc_url, reader_options
 
@@ -102,6 +102,35 @@ def test_one_document_without_records_is_an_error(spark, write, tmp_path):
         read_json(spark, str(tmp_path / "d"), records_path="data").collect()
 
 
+def test_small_documents_are_looked_at_by_many_tasks(spark, write, tmp_path):
+    for i in range(12):
+        record = {"id": i, "v": i if i % 2 else i + 0.5, **({"late": {"x": "y"}} if i == 11 else {})}
+        write(f"many/{i}.json", json.dumps({"data": [record]}))
+    path, context = str(tmp_path / "many"), spark.sparkContext
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    context.setJobGroup("documents", "documents")
+    try:
+        df = read_json(spark, path, records_path="data")
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("documents") for s in tracker.getJobInfo(j).stageIds]
+        assert max(tracker.getStageInfo(s).numTasks for s in stages) == 12
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert dict(df.dtypes) == {"id": "bigint", "v": "double", "late.x": "string"}
+    whole = write("utf16.json", json.dumps([{"id": 1, "v": "ä"}], indent=1, ensure_ascii=False).encode("utf-16"))
+    assert rows_of(read_json(spark, whole, encoding="utf-16"), "id", "v") == [(1, "ä")]
+    assert rows_of(df, "id", "v", "`late.x`")[10:] == [(10, 10.5, None), (11, 11.0, "y")]
+
+
+def test_documents_too_large_for_a_text_are_left_to_the_reader(spark, write, monkeypatch):
+    path = write("large.json", json.dumps([{"id": 1}, {"id": 2, "a": "x"}]))
+    whole = read_json(spark, path)
+    monkeypatch.setattr(files, "WHOLE_BYTES", 10)
+    assert files.documents_schema(spark, [path], "utf-8", {}) is None
+    assert rows_of(read_json(spark, path), "id", "a") == rows_of(whole, "id", "a") == [(1, None), (2, "x")]
+
+
 def test_incremental_file_is_strict(spark, write):
     path = write("i.csv", "id,ts\n1,2024-01-01\n2,2024-06-01\n3,2024-03-01\n4,\n")
     source = Source("i", "csv", {"path": path, "incremental_key": "ts"})
