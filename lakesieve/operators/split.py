@@ -2,9 +2,10 @@
 
 Every rule is judged on the original table, tolerances do not apply, and the
 broken rules' names travel with the row. Row predicates are plain expressions
-over the scan. A unique rule adds one aggregate (the first row of each
-duplicated key) and one join to its result, which is written once, so that the
-valid and the quarantined side see the same decision.
+over the scan. A unique rule adds one aggregate (the duplicated keys, and of few
+keys their first rows), and one join to its result or, of many keys, one ranking of
+their rows. Rows carry their place in stored files, so that the valid and the
+quarantined side come to the same decision.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import column, normalise_missing
 from ..session import ROW, fresh_path, landed
 from .rules import RuleSet, ValidationReport
-from .uniqueness import first_of_duplicates, flag_later_copies
+from .uniqueness import find_copies, flag_copies
 from .validate import compile_row_rules
 
 VIOLATIONS, OK = "_violations", "_ok"
@@ -76,12 +77,12 @@ def find_duplicates(
     order_by: Sequence[str] = (),
     plain: DataFrame | None = None,
 ) -> dict[tuple[str, ...], DataFrame]:
-    """First rows of the duplicated keys of every unique rule, written once.
+    """The duplicated keys of every unique rule, written once; of few keys, their first rows too.
 
     ``plain`` is the same table without ``_row``, if there is a cheaper scan of it.
     """
     keys = {tuple(c.unique_on) for _, c in compile_row_rules(df, rules).values() if c.unique_on}
-    return {k: first_of_duplicates(df, k, order_by, plain) for k in sorted(keys)}
+    return {k: find_copies(df, k, order_by, plain) for k in sorted(keys)}
 
 
 def split(
@@ -115,9 +116,9 @@ def split(
         keys = tuple(check.unique_on)
         if keys and keys not in flags:
             if keys not in found:
-                found[keys] = first_of_duplicates(df, keys, order_by, plain)
+                found[keys] = find_copies(df, keys, order_by, plain)
             flags[keys] = f"_later_{len(flags)}"
-            flagged = flag_later_copies(flagged, found[keys], keys, flags[keys])
+            flagged = flag_copies(flagged, found[keys], keys, order_by, flags[keys])
 
     marks: list[tuple[str, Column]] = []
     for rule, check in compiled.values():

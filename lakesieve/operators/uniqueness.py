@@ -5,6 +5,8 @@ row are aggregates with a map-side step, so a key that holds a third of the
 table shrinks to one row per task before the shuffle. Flagging joins the rows
 to the (materialised) table of duplicated keys: it is broadcast when its size
 allows, and otherwise adaptive execution splits the partitions of hot keys.
+Where very many keys are repeated, copies are ranked after one shuffle of the
+rows instead, but for keys of very many copies, which are joined as before.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,13 @@ from ..session import ROW, materialise
 
 FIRST, COPIES = "_first", "_copies"
 
+#: Repeated keys up to which their first rows are looked for ahead, to be broadcast: some 7 MB of stored numbers.
+FEW_KEYS = 750_000
+#: Copies of a key up to which one task compares them.
+CROWD = 10_000
+#: Parts into which the rows of a key with more copies are dealt.
+PARTS = 1_000
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The key values that occur more than once, with their number of rows."""
@@ -58,6 +67,10 @@ def first_of_duplicates(
 
 def _end_of_duplicates(df, keys, order_by, plain, pick) -> DataFrame:
     repeated = materialise(duplicate_keys(df if plain is None else plain, keys), "repeated-keys")
+    return _ends(df, repeated, keys, order_by, pick)
+
+
+def _ends(df, repeated, keys, order_by, pick) -> DataFrame:
     marked = repeated.select(*[column(k).alias(f"_key_{i}") for i, k in enumerate(keys)])
     candidates = df.join(marked, _same_key(df, keys, "_key"), "left_semi")
     end = pick(order_key(df, order_by, [ROW]))[ROW]
@@ -86,6 +99,49 @@ def flag_later_copies(
     return joined.withColumn(flag, later).drop(*renamed.columns)
 
 
+def find_copies(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str] = (),
+    plain: DataFrame | None = None,
+) -> DataFrame:
+    """The duplicated keys with their number of rows, written once, for :func:`flag_copies`.
+
+    Of few keys the first rows are given as well, as by :func:`first_of_duplicates`. Of many
+    they are not: finding them moves every row's key and position, and a join with them the
+    whole table, where one move of the table is enough.
+    """
+    repeated = materialise(duplicate_keys(df if plain is None else plain, keys), "repeated-keys")
+    if repeated.count() <= FEW_KEYS:
+        return _ends(df, repeated, keys, order_by, F.min)
+    return repeated
+
+
+def flag_copies(
+    df: DataFrame, found: DataFrame, keys: Sequence[str], order_by: Sequence[str], flag: str
+) -> DataFrame:
+    """Add ``flag`` as :func:`flag_later_copies` does; ``found`` is the result of :func:`find_copies`.
+
+    Where it has no first rows, a key's rows meet in one task and are ranked. Those of a key
+    with more than ``CROWD`` copies do not: their first row comes from an aggregate, and they
+    are dealt to many tasks.
+    """
+    if FIRST in found.columns:
+        return flag_later_copies(df, found, keys, flag)
+    crowded = _ends(df, materialise(found.where(F.col(COPIES) > CROWD), "crowded-keys"), keys, order_by, F.min)
+    part, place = f"{flag}_part", f"{flag}_place"
+    marked = crowded.select(*[column(k).alias(f"{flag}_{i}") for i, k in enumerate(keys)], F.col(FIRST).alias(f"{flag}_first"))
+    first = F.col(f"{flag}_first")
+    dealt = df.join(marked, _same_key(df, keys, flag), "left").withColumns({
+        flag: first.isNotNull() & (F.col(ROW) != first),
+        part: F.when(first.isNull(), 0).otherwise(F.pmod(F.xxhash64(ROW), F.lit(PARTS)) + 1).cast("int"),
+    }).drop(*marked.columns)
+    same = Window.partitionBy(*[grouping_key(df, k) for k in keys], part).orderBy(*[column(c) for c in [*order_by, ROW]])
+    ranked = dealt.withColumn(place, F.rank().over(same))
+    later = F.col(flag) | ((F.col(part) == 0) & (F.col(place) > 1))
+    return ranked.withColumn(flag, later).drop(part, place)
+
+
 def drop_duplicates(
     df: DataFrame,
     subset: Sequence[str] | None = None,

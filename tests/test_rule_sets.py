@@ -12,9 +12,10 @@ from lakesieve import (
     split,
     validate,
 )
+from lakesieve.operators import uniqueness
 from lakesieve.operators.split import violations_by_rule
 from lakesieve.operators.validate import unregister_expectation
-from lakesieve.session import ROW, materialise
+from lakesieve.session import ROW, materialise, read_parquet
 
 CATEGORY = {"name": "category", "type": "not_null", "columns": ["category"]}
 AMOUNT = {"name": "amount", "type": "range", "columns": ["amount"], "params": {"min": 0}}
@@ -204,3 +205,37 @@ def test_a_judgement_that_raises_fails_its_rule_alone(sample):
 def test_severities_are_checked():
     with pytest.raises(ValueError, match="eror"):
         RuleSet.of("r", [{"name": "n", "type": "not_null", "columns": ["id"], "severity": "eror"}])
+
+
+def test_many_repeated_keys_move_the_table_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(uniqueness, "FEW_KEYS", 100_000)
+    path = folder()
+    spark.range(260_000).selectExpr("case when id % 130000 > 0 then id % 130000 end as k", "-id as v").write.parquet(path)
+    stored = read_parquet(spark, path, row_id=True)
+    found = uniqueness.find_copies(stored, ["k"], ["v"])
+    assert found.columns == ["k", "_copies"] and found.count() == 130_000
+    sides = split(stored, RuleSet.of("u", [{"name": "u", "type": "unique", "columns": ["k"]}]), ["v"], duplicates={("k",): found})
+    assert sides.settled().quarantined.agg(F.count("*"), F.count("k"), F.min("v")).first()[:] == (130_000, 129_999, -129_999)
+    assert sides.valid.agg(F.count("*"), F.count("k"), F.max("v")).first()[:] == (130_000, 129_999, -130_000)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_copies_are_ranked_and_crowds_are_joined(spark, folder, monkeypatch, broadcast):
+    monkeypatch.setattr(uniqueness, "FEW_KEYS", 0)
+    monkeypatch.setattr(uniqueness, "CROWD", 3)
+    path = folder()
+    spark.range(60).selectExpr(
+        "id", "case when id < 9 then null when id < 30 then 1 when id < 34 then 2 else floor(id / 3) end as a",
+        "case when id % 2 = 0 then double('nan') when id < 40 then null else 0.5D end as b", "id % 5 as o").write.parquet(path)
+    stored = read_parquet(spark, path, row_id=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        firsts = uniqueness.first_of_duplicates(stored, ["a", "b"], ["o"])
+        joined = uniqueness.flag_later_copies(stored, firsts, ["a", "b"], "later")
+        found = uniqueness.find_copies(stored, ["a", "b"], ["o"])
+        ranked = uniqueness.flag_copies(stored, found, ["a", "b"], ["o"], "later")
+        assert ranked.columns == joined.columns
+        assert rows_of(ranked, "id", "later") == rows_of(joined, "id", "later")
+        assert found.where("_copies > 3").count() > 1 and ranked.where("later").count() > 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
