@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,9 +126,13 @@ def _following(times: np.ndarray, window: int) -> np.ndarray:
     return np.searchsorted(times, times + window, side="right")
 
 
+def _micros(rows: pa.Table, name: str) -> np.ndarray:
+    return rows[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+
 def _range_function(window: int):
-    def reduce_range(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(rows["_at"].to_numpy())
+    def reduce_range(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        times = np.sort(_micros(rows, "_at"))
         follow = _following(times, window)
         # Follow the chain of sent alerts from every possible first one to its end in the
         # range, doubling the stride each time.
@@ -140,7 +144,9 @@ def _range_function(window: int):
         firsts = np.searchsorted(times, times[0] + window, side="right") + 1
         exits, starts = times[last[:firsts]], times[:firsts]
         final = np.append(exits[1:] != exits[:-1], True)
-        return pd.DataFrame({"_key": key[0], "_range": key[1], "_start": starts[final], "_exit": exits[final]})
+        starts, exits = starts[final], exits[final]
+        named = [pa.repeat(part, len(starts)) for part in key]
+        return pa.table([*named, starts, exits], names=["_key", "_range", "_start", "_exit"])
 
     return reduce_range
 
@@ -150,7 +156,8 @@ def _entered(moments: DataFrame, window: int, ranges: int) -> DataFrame:
     spanning = moments.groupBy("_key").agg(F.min("_range").alias("a"), F.max("_range").alias("b"))
     # at most one key for each range
     spanning = materialise(spanning.where("a != b").select("_key"), "spanning")
-    steps = moments.join(spanning, "_key", "left_semi").groupBy("_key", "_range").applyInPandas(
+    spread = moments.select("_key", "_range", "_at").join(spanning, "_key", "left_semi")
+    steps = spread.groupBy("_key", "_range").applyInArrow(
         _range_function(window), "_key string, _range int, _start long, _exit long"
     )
     steps = materialise(steps, "steps")
@@ -168,17 +175,27 @@ def _entered(moments: DataFrame, window: int, ranges: int) -> DataFrame:
 
 
 def _decide(window: int):
-    def decide_range(rows: pd.DataFrame) -> pd.DataFrame:
+    """Which alerts of a range are sent. Keys are numbered, so no text becomes an object of Python's."""
+
+    def decide_range(rows: pa.Table) -> pa.Table:
+        number = rows["_key"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        times = _micros(rows, "_at")
+        order = np.lexsort((times, number))
+        number, times = number[order], times[order]
+        entered = rows["_before"].combine_chunks()
+        known = entered.is_valid().to_numpy(zero_copy_only=False)[order]
+        before = entered.fill_null(0).to_numpy(zero_copy_only=False)[order]
         chosen = []
-        for _, alerts in rows.sort_values(["_key", "_at"]).groupby("_key", sort=False, dropna=False):
-            times, ids = alerts["_at"].to_numpy(), alerts["_id"].to_numpy()
-            before = alerts["_before"].iloc[0]
-            place = 0 if pd.isna(before) else int(np.searchsorted(times, int(before) + window, side="right"))
-            follow = _following(times, window)
-            while place < len(times):
-                chosen.append(ids[place])
+        starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+        for start, end in zip(starts, np.append(starts[1:], len(times))):
+            own = times[start:end]
+            place = int(np.searchsorted(own, before[start] + window, side="right")) if known[start] else 0
+            follow = _following(own, window)
+            while place < len(own):
+                chosen.append(start + place)
                 place = int(follow[place])
-        return pd.DataFrame({"_sent": chosen})
+        sent = rows["_id"].take(pa.array(order[np.array(chosen, dtype=np.int64)]))
+        return pa.table([sent], names=["_sent"])
 
     return decide_range
 
@@ -206,7 +223,7 @@ def suppress_repeats(
         moments = _entered(moments, window, ranges)
     else:
         moments = moments.withColumn("_before", F.lit(None).cast("bigint"))
-    sent = moments.groupBy("_range").applyInPandas(_decide(window), f"_sent {id_type}")
+    sent = moments.groupBy("_range").applyInArrow(_decide(window), f"_sent {id_type}")
     flagged = alerts.join(materialise(sent, "sent"), column(id_column) == F.col("_sent"), "left")
     return flagged.withColumn("suppressed", F.col("_sent").isNull() & column(at).isNotNull()).drop("_sent")
 

@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -265,3 +267,19 @@ def test_suppression_window_is_inclusive(spark):
         "alert_id", "'k' as alert_key", "timestamp_seconds(m * 60) as created_at")
     sent = alerts.suppress_repeats(df).where("not suppressed")
     assert rows_of(sent, "alert_id") == [(0,), (31,), (62,)]
+
+
+def test_a_range_of_alerts_is_decided_without_python_objects():
+    n, minute = 200_000, 60_000_000
+    rows = pa.table({
+        "_key": [f"+some event of some kind:{i % 5000}" for i in range(n)], "_at": [i // 5000 * minute for i in range(n)],
+        "_id": pa.array(range(n), pa.int64()), "_before": pa.array([-10 * minute if i % 5000 == 1 else None for i in range(n)], pa.int64()),
+    })
+    tracemalloc.start()
+    sent = alerts._decide(30 * minute)(rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 * n  # a text alone takes more as an object
+    minutes = {key: [i // 5000 for i in sorted(sent["_sent"].to_pylist()) if i % 5000 == key] for key in (0, 1, 4999)}
+    assert minutes == {0: [0, 31], 1: [21], 4999: [0, 31]}
+    assert sent.schema.field("_sent").type == pa.int64()
