@@ -110,10 +110,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     are kept. Other columns are not looked at. Texts of any length are read whole; an empty
     table gives no row.
     """
-    found = materialise(
-        fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"),
-        "fingerprints",
-    )
+    found = fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    return _linked(materialise(found.select("doc_id", "fp"), "fingerprints"), bits)
+
+
+def _linked(found: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``found``, which has ``doc_id`` and ``fp``, with their ``component_id``."""
     heads = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("head")), "heads")
     roots = components(fingerprint_links(heads.select("fp"), bits))
     named = heads.join(roots, heads["fp"] == roots["node"], "left").select(
@@ -122,7 +124,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     named = materialise(named, "roots")
     least = named.groupBy("root").agg(F.min("head").alias("component_id"))
     return found.join(named.join(least, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id"
+        *found.columns, "component_id"
     )
 
 
@@ -132,15 +134,19 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Of repeated rows with that id one stays, the one with the least text, then the
     least JSON of the row. Of a component without any id one row stays, by the same rule.
     """
-    found = near_duplicates(df, doc_id, text, bits)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     order = F.struct(F.col("text"), F.to_json("row"))
     rows = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), row.alias("row"))
+    # a second pass over the texts, to find the rows without an id, would start Python workers
+    # beside those of the first, as many for each filter that Spark derives from a join
+    printed = fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    printed = printed.withColumn("text", F.when(F.col("doc_id").isNull(), F.col("text").cast("binary")))
+    found = _linked(materialise(printed, "fingerprints"), bits)
     leaders = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
     led = rows.join(leaders, rows["id"] == leaders["doc_id"])
     single = led.where("copies = 1").select("row.*")
     repeated = led.where("copies > 1").groupBy("id").agg(F.min_by("row", order).alias("row"))
-    nameless = found.where("component_id is null").select("fp").distinct()
-    blank = fingerprints(rows.where("id is null")).join(nameless, "fp", "left_semi")
+    nameless = found.where("doc_id is null and component_id is null").select(F.col("text").alias("of"), "fp").distinct()
+    blank = rows.where("id is null").join(nameless, F.col("text").cast("binary").eqNullSafe(F.col("of")))
     blank = blank.groupBy("fp").agg(F.min_by("row", order).alias("row"))
     return single.union(repeated.select("row.*")).union(blank.select("row.*"))

@@ -138,6 +138,20 @@ def test_simhash_on_odd_rows(odd):
     assert simhash.drop_near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_texts_are_fingerprinted_once(frame):
+    """Of rows without an id those of a nameless group stay, and no second pass over the texts finds them."""
+    rng = random.Random(4)
+    base = [prose(rng, 300) for _ in range(3)]
+    near = [f"{base[0]} {base[0]}", f"{base[0]} {base[0].upper()}"]
+    rows = [(1, base[1]), (None, base[1]), (None, None), (None, ""), (None, " "), (None, base[2]), (None, base[2]), *[(None, t) for t in near]]
+    kept = simhash.drop_near_duplicates(frame("doc_id bigint, text string", *rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(1, base[1]), (None, None), (None, base[2]), (None, min(near))], key=str
+    )
+    # fingerprints in the plan of the result start Python workers beside those that wrote them
+    assert "EvalPython" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
 # --- decontamination
 
 
