@@ -93,7 +93,8 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         raise ValueError("the index finds fingerprints up to three bits apart")
     postings = distinct.select("fp", F.explode(F.array(*map(_posting, FIVES))).alias("key"))
     differ = F.col("a").bitwiseXOR(F.col("b"))
-    met = postings.withColumnRenamed("fp", "a").join(postings.withColumnRenamed("fp", "b"), "key").where("a < b")
+    # Spark takes the postings to be as small as the fingerprints they are made from, and would broadcast them
+    met = postings.withColumnRenamed("fp", "a").hint("merge").join(postings.withColumnRenamed("fp", "b"), "key").where("a < b")
     tallied = met.groupBy("a", "b").agg(F.count("*").alias("sets"))
     # as many sets as the bytes that are guaranteed to be equal have among them
     enough = tallied.where(F.col("sets") >= comb(BYTES - bits, len(FIVES[0])))

@@ -85,6 +85,15 @@ def test_four_equal_bytes_make_few_candidates(frame):
     assert len(wanted) >= 20 and pairs < 2_040_000 / 50
 
 
+def test_postings_are_not_broadcast(frame):
+    """Spark takes the postings to be no larger than the fingerprints, of which each has 56."""
+    prints = frame("fp bigint", (1,), (3,), (-1,))
+    links = simhash.fingerprint_links(prints)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(r.a, r.b) for r in links.collect()} == {(1, 3)}
+
+
 def test_simhash_against_all_pairs(docs):
     rng = random.Random(1)
     base = [prose(rng, rng.randint(1, 400)) for _ in range(30)]
