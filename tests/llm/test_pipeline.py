@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_operators import plain_fingerprint, plain_shingles
 
 import corpus_pipeline
+from lakesieve.llm import simhash
 from lakesieve.llm.queries import QUERIES
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -64,6 +65,19 @@ def test_one_of_each_group_stays(stages):
     assert sorted(after) == sorted(set(root.values())) and len(after) < len(before)
 
 
+def test_no_stage_broadcasts_postings(spark, monkeypatch):
+    """What is made of one copy's fingerprints is many times as large as Spark takes it to be."""
+    plans, linked = [], simhash.components
+
+    def planned(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return linked(links)
+
+    monkeypatch.setattr(simhash, "components", planned)
+    corpus_pipeline.keep_one_copy(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_no_benchmark_item_stays(spark, stages):
     before, after = map(texts, stages["decontamination"])
     items = [plain_shingles(r.text) for r in spark.read.parquet(f"{MIDDLE}/benchmark.parquet").collect()]
